@@ -99,9 +99,8 @@ def _as_int(expr: str, scale: int) -> str:
     return f"CAST(({expr}) * {10 ** scale} AS HUGEINT)" if scale else f"CAST(({expr}) AS HUGEINT)"
 
 
-def rdiv(num: str, den: str, k: int, ns: int = 0, ds: int = 0, even: bool = False) -> str:
-    """num / den rounded to k places, exactly.  ``ns`` / ``ds`` are the
-    decimal scales of num and den (both must be exact at that scale)."""
+def rint(num: str, den: str, k: int, ns: int = 0, ds: int = 0, even: bool = False) -> str:
+    """num / den rounded to k places, as the integer 10^k * result (or NULL)."""
     n = f"({_as_int(num, ns)} * {10 ** (ds + k)})"
     d = f"({_as_int(den, ds)} * {10 ** ns})"
     sign = f"(CASE WHEN ({n} < 0) <> ({d} < 0) THEN -1 ELSE 1 END)"
@@ -112,7 +111,13 @@ def rdiv(num: str, den: str, k: int, ns: int = 0, ds: int = 0, even: bool = Fals
              f"THEN 1 ELSE 0 END)")
     else:
         q = f"((2 * ABS({n}) + ABS({d})) // (2 * ABS({d})))"
-    return f"(CASE WHEN {d} = 0 THEN NULL ELSE CAST({sign} * {q} AS DOUBLE) / {10 ** k} END)"
+    return f"(CASE WHEN {d} = 0 THEN NULL ELSE {sign} * {q} END)"
+
+
+def rdiv(num: str, den: str, k: int, ns: int = 0, ds: int = 0, even: bool = False) -> str:
+    """num / den rounded to k places, exactly, as DOUBLE.  ``ns`` / ``ds`` are
+    the decimal scales of num and den (both must be exact at that scale)."""
+    return f"(CAST({rint(num, den, k, ns, ds, even)} AS DOUBLE) / {10 ** k})"
 
 
 def rpct(num: str, den: str, k: int, ns: int = 0, ds: int = 0, even: bool = False) -> str:

@@ -60,3 +60,86 @@ for _name, _fn in _QUESTIONS.items():
 @register("q9_target_attainment", OQ.ORACLE["q9_target_attainment"])
 def _q9(d: Drop) -> DataFrame:
     return Q.q9_target_attainment(d.clean, d.targets)
+
+
+# --- 2.1 / 2.2: overview, profile, data quality --------------------------------
+
+from tillroll.operators import clean as C  # noqa: E402
+from tillroll.operators import explore as X  # noqa: E402
+from tillroll.operators import quality as DQ  # noqa: E402
+from tillroll.oracle import explore as OX  # noqa: E402
+from tillroll.oracle import quality as ODQ  # noqa: E402
+from tillroll.schema import ROW_SEQ  # noqa: E402
+
+
+def _raw_out(df: DataFrame) -> DataFrame:
+    return as_output(df.drop(ROW_SEQ))
+
+
+register("dataset_overview", ODQ.ORACLE["dataset_overview"])(
+    lambda d: DQ.dataset_overview(d.raw))
+register("column_profile", ODQ.ORACLE["column_profile"])(lambda d: DQ.column_profile(d.raw))
+register("preview_head", ODQ.ORACLE["preview_head"])(lambda d: as_output(DQ.preview_head(d.raw)))
+register("dq_report", ODQ.ORACLE["dq_report"])(lambda d: DQ.dq_report(d.raw))
+for _issue in ["missing_names", "missing_region", "negative_qty", "duplicates", "returns"]:
+    register(f"dq_{_issue}", ODQ.ORACLE[f"dq_{_issue}"])(
+        lambda d, _issue=_issue: DQ.dq_measure(d.raw, _issue))
+register("dq_rows_removed", ODQ.ORACLE["dq_rows_removed"])(
+    lambda d: DQ.dq_rows_removed(d.raw, d.dedup))
+
+# --- 2.3: row-level cleaning steps ------------------------------------------------
+
+register("fill_defaults", ODQ.ORACLE["fill_defaults"])(lambda d: _raw_out(C.fill_defaults(d.raw)))
+register("abs_quantity", ODQ.ORACLE["abs_quantity"])(lambda d: _raw_out(C.abs_quantity(d.raw)))
+register("derive_revenue", ODQ.ORACLE["derive_revenue"])(
+    lambda d: _raw_out(C.derive_revenue(C.abs_quantity(C.fill_defaults(d.raw)))))
+register("derive_gross_discount", ODQ.ORACLE["derive_gross_discount"])(
+    lambda d: _raw_out(C.derive_gross_discount(
+        C.derive_revenue(C.abs_quantity(C.fill_defaults(d.raw))))))
+register("dedup_filter_first", ODQ.ORACLE["dedup_filter_first"])(
+    lambda d: _raw_out(C.keep_first(C.split_kept(d.raw))))
+register("dedup_keep_first", ODQ.ORACLE["dedup_keep_first"])(
+    lambda d: _raw_out(C.keep_first(d.raw)))
+register("split_kept", ODQ.ORACLE["split_kept"])(lambda d: as_output(d.kept))
+register("split_returns", ODQ.ORACLE["split_returns"])(lambda d: as_output(d.returns))
+register("drop_unknown_region", ODQ.ORACLE["drop_unknown_region"])(
+    lambda d: as_output(C.drop_unknown_region(d.kept)))
+register("product_label", ODQ.ORACLE["product_label"])(
+    lambda d: C.product_label(d.raw.select("sku_id", "product_name").distinct()))
+
+# --- 2.6: exploratory tables, KPIs, executive measures, chart data ---------------
+
+_EDA = {
+    "eda_category": lambda d: X.eda_category(d.kept),
+    "eda_category_discount": lambda d: X.eda_category(d.kept, with_discount=True),
+    "eda_daily": lambda d: X.eda_daily(d.kept),
+    "eda_daily_aov": lambda d: X.eda_daily(d.kept, with_aov=True),
+    "eda_region": lambda d: X.eda_region(d.kept),
+    "eda_region_salespeople": lambda d: X.eda_region(d.kept, with_salespeople=True),
+    "eda_region_efficiency": lambda d: X.eda_region_efficiency(d.kept, d.params.team_size),
+    "eda_products": lambda d: X.eda_products(d.kept),
+    "eda_products_aov": lambda d: X.eda_products(d.kept, with_aov=True),
+    "eda_top10_products": lambda d: X.eda_top_products(d.kept, d.params.top_n),
+    "eda_discount": lambda d: X.eda_discount(d.kept),
+    "eda_discount_gross": lambda d: X.eda_discount(d.kept, with_gross=True),
+    "discount_tier_units": lambda d: X.discount_tier_units(d.kept),
+    "kpi_summary": lambda d: X.kpi_summary(d.dedup),
+    "kpi_returns": lambda d: X.kpi_returns(d.dedup),
+    "kpi_dashboard": lambda d: X.kpi_dashboard(d.dedup),
+    "kpi_daily_average": lambda d: X.kpi_daily_average(d.kept, d.params.period_days),
+    "exec_best_worst_region": lambda d: X.exec_best_worst_region(d.kept),
+    "exec_peak_weak_day": lambda d: X.exec_peak_weak_day(d.kept),
+    "exec_discount_share": lambda d: X.exec_discount_share(d.kept, d.params.base_tier),
+    "exec_volume_lift": lambda d: X.exec_volume_lift(d.kept, d.params.base_tier,
+                                                     d.params.deep_tier),
+    "exec_top2_share": lambda d: X.exec_top2_share(d.kept),
+    "exec_named_category_share": lambda d: X.exec_named_category_share(
+        d.kept, d.params.named_categories),
+    "chart_category": lambda d: X.chart_category(d.kept),
+    "chart_daily": lambda d: X.chart_daily(d.kept),
+    "chart_region": lambda d: X.chart_region(d.kept, d.params.team_size),
+    "chart_top_products": lambda d: X.chart_top_products(d.kept, d.params.top_n),
+    "chart_discount": lambda d: X.chart_discount(d.kept),
+}
+for _name, _fn in _EDA.items():
+    register(_name, OX.ORACLE[_name])(_fn)
