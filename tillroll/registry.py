@@ -143,3 +143,91 @@ _EDA = {
 }
 for _name, _fn in _EDA.items():
     register(_name, OX.ORACLE[_name])(_fn)
+
+
+# --- 2.7: significance tests and forecast ---------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tillroll.operators import stats as S  # noqa: E402
+from tillroll.oracle import stats as OS  # noqa: E402
+
+
+def _neg_log10(p: str = "p_value"):
+    return F.round(F.when(F.col(p) > 0, -F.log10(F.col(p)))
+                    .when(F.col(p) == 0, F.lit(float("inf"))), 4).alias("neg_log10_p")
+
+
+def anova_report(df: DataFrame) -> DataFrame:
+    """Reported precision: F 6 places, p 9, eta^2 10 (full values stay in
+    ``S.anova_oneway``)."""
+    return df.select("groups", "n", "df_between", "df_within",
+                     F.round("f_stat", 6).alias("f_stat"), F.round("p_value", 9).alias("p_value"),
+                     _neg_log10(), F.round("eta_squared", 10).alias("eta_squared"),
+                     "effect", "verdict")
+
+
+register("anova_region", OS.ORACLE["anova_region"])(lambda d: anova_report(S.anova_region(d.kept)))
+register("anova_salesperson", OS.ORACLE["anova_salesperson"])(
+    lambda d: anova_report(S.anova_salesperson(d.kept)))
+register("anova_discount", OS.ORACLE["anova_discount"])(
+    lambda d: anova_report(S.anova_discount(d.kept)))
+
+
+@register("corr_discount_quantity", OS.ORACLE["corr_discount_quantity"])
+def _corr(d: Drop) -> DataFrame:
+    return S.corr_discount_quantity(d.kept).select(
+        "n", F.round("r", 10).alias("r"), F.round("r_squared", 10).alias("r_squared"),
+        F.round("p_value", 9).alias("p_value"), _neg_log10(), "verdict")
+
+
+@register("ttest_returns", OS.ORACLE["ttest_returns"])
+def _ttest(d: Drop) -> DataFrame:
+    return S.ttest_returns(d.dedup).select(
+        "n1", "n2", F.round("mean_first", 6).alias("mean_first"),
+        F.round("mean_second", 6).alias("mean_second"), F.round("t_stat", 6).alias("t_stat"),
+        F.round("df", 4).alias("df"), F.round("p_value", 9).alias("p_value"), _neg_log10(),
+        "verdict")
+
+
+@register("linear_trend", OS.ORACLE["linear_trend"])
+def _trend(d: Drop) -> DataFrame:
+    return S.linear_trend(d.kept).select(
+        "days", F.round("slope", 6).alias("slope"), F.round("intercept", 4).alias("intercept"),
+        F.round("r_squared", 10).alias("r_squared"), F.round("p_value", 9).alias("p_value"),
+        _neg_log10(), F.round("stderr", 6).alias("stderr"), "low_r_squared")
+
+
+@register("forecast_next_day", OS.ORACLE["forecast_next_day"])
+def _forecast(d: Drop) -> DataFrame:
+    return S.forecast_next_day(d.kept, d.params.trailing_days).select(
+        "last_date", "next_date", "weekday", "days", "moving_average",
+        F.round("daily_std", 4).alias("daily_std"))
+
+
+@register("eta_squared", OS.ORACLE["eta_squared"])
+def _eta(d: Drop) -> DataFrame:
+    parts = [(S.anova_region(d.kept), "region"), (S.anova_salesperson(d.kept), "salesperson"),
+             (S.anova_discount(d.kept), "discount_pct")]
+    out = None
+    for df, name in parts:
+        row = df.select(F.lit(name).alias("factor"),
+                        F.round("eta_squared", 10).alias("eta_squared"), "effect")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("stat_verdicts", OS.ORACLE["stat_verdicts"])
+def _verdicts(d: Drop) -> DataFrame:
+    tests = [("anova_region", S.anova_region(d.kept), "f_stat", 6),
+             ("anova_salesperson", S.anova_salesperson(d.kept), "f_stat", 6),
+             ("corr_discount_quantity", S.corr_discount_quantity(d.kept), "r", 10),
+             ("anova_discount", S.anova_discount(d.kept), "f_stat", 6),
+             ("ttest_returns", S.ttest_returns(d.dedup), "t_stat", 6)]
+    out = None
+    for i, (name, df, stat, places) in enumerate(tests):
+        row = df.select(F.lit(i + 1).alias("position"), F.lit(name).alias("test"),
+                        F.round(stat, places).alias("statistic"),
+                        F.round("p_value", 9).alias("p_value"), "verdict")
+        out = row if out is None else out.unionByName(row)
+    return out
