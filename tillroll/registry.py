@@ -231,3 +231,98 @@ def _verdicts(d: Drop) -> DataFrame:
                         F.round("p_value", 9).alias("p_value"), "verdict")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+# --- 2.1 sources and sinks, 2.8 sampling, 2.9 incremental ingestion ---------------
+
+from pyspark.sql import types as T  # noqa: E402
+
+from tillroll.oracle.quality import OUT_COLS as _RAW_OUT  # noqa: E402
+from tillroll.oracle.quality import DEDUP_OUT as _DEDUP_OUT  # noqa: E402
+from tillroll.oracle.sql import with_base as _with_base  # noqa: E402
+from tillroll.plans.catalog import read_query, register_views  # noqa: E402
+from tillroll.session import scratch_path  # noqa: E402
+from tillroll.sources.daily_csv import read_daily_drop  # noqa: E402
+from tillroll.sources.sinks import write_clean_csv, write_daily_drop, write_raw_table  # noqa: E402
+from tillroll.streaming.increments import ingest_available, read_ingested  # noqa: E402
+
+# Blank text written to CSV reads back as missing (pandas semantics).
+_CSV_RAW_ORACLE = _with_base(
+    f"SELECT {_RAW_OUT.replace('customer_name,', 'NULLIF(customer_name, chr(0)) AS customer_name,')} "
+    "FROM sales").replace("chr(0)", "''")
+_CSV_RAW_ORACLE = _CSV_RAW_ORACLE.replace(
+    "NULLIF(customer_name, '') AS customer_name, region,",
+    "NULLIF(customer_name, '') AS customer_name, NULLIF(region, '') AS region,")
+
+
+def _drop_schema(raw: DataFrame) -> T.StructType:
+    return T.StructType([f for f in raw.schema.fields if f.name != ROW_SEQ])
+
+
+def _csv_drop(d: Drop) -> DataFrame:
+    """Write the raw rows as a daily CSV drop in the shared folder, scan it."""
+    path = write_daily_drop(d.raw, scratch_path(d.spark, "drop"))
+    return read_daily_drop(d.spark, path, _drop_schema(d.raw))
+
+
+@register("scan_daily_csv", _CSV_RAW_ORACLE)
+def _scan_daily_csv(d: Drop) -> DataFrame:
+    return _raw_out(_csv_drop(d))
+
+
+@register("csv_sales_clean", OQ.ORACLE["sales_clean"])
+def _csv_sales_clean(d: Drop) -> DataFrame:
+    """The cleaning view over a scanned CSV drop: first copies by file order."""
+    return as_output(C.sales_clean(_csv_drop(d)))
+
+
+@register("write_raw_table", ODQ.ORACLE["preview_head"].rsplit("ORDER BY", 1)[0])
+def _write_raw(d: Drop) -> DataFrame:
+    path = write_raw_table(d.raw, scratch_path(d.spark, "raw"))
+    return _raw_out(d.spark.read.parquet(path))
+
+
+@register("write_clean_csv", ODQ.ORACLE["split_kept"])
+def _write_clean_csv(d: Drop) -> DataFrame:
+    path = write_clean_csv(d.kept, scratch_path(d.spark, "clean_csv"))
+    back = d.spark.read.schema(d.kept.schema).option("header", True).csv(path)
+    return as_output(back)
+
+
+# One of the nine questions as a user would type it, against registered views.
+READ_QUERY_SQL = """
+SELECT payment_method,
+       COUNT(DISTINCT order_id) AS order_count,
+       ROUND(100.0 * COUNT(DISTINCT order_id) / (SELECT COUNT(DISTINCT order_id) FROM sales_clean), 1)
+         AS pct_of_orders,
+       ROUND(SUM(revenue), 2) AS total_revenue,
+       ROUND(100.0 * SUM(revenue) / (SELECT SUM(revenue) FROM sales_clean), 1) AS pct_of_revenue,
+       ROUND(AVG(revenue), 2) AS avg_order_value
+FROM sales_clean
+GROUP BY payment_method
+ORDER BY total_revenue DESC
+"""
+
+
+@register("read_query", OQ.ORACLE["q7_payment"])
+def _read_query(d: Drop) -> DataFrame:
+    register_views(d.spark, d)
+    return as_output(read_query(d.spark, READ_QUERY_SQL))
+
+
+@register("sample_fraction")
+def _sample(d: Drop) -> DataFrame:
+    """A 2% Bernoulli sample of raw rows (fixed seed); checked by row count."""
+    return _raw_out(d.raw.sample(withReplacement=False, fraction=0.02, seed=42))
+
+
+@register("stream_ingest_first_copies",
+          _with_base(f"SELECT {_DEDUP_OUT.split(', CAST(gross_revenue')[0]} FROM dedup"))
+def _stream(d: Drop) -> DataFrame:
+    """Drop folder -> availableNow stream -> raw table -> first copies, cleaned."""
+    drop_dir = write_daily_drop(d.raw, scratch_path(d.spark, "stream_drop"))
+    table_dir = scratch_path(d.spark, "stream_table")
+    q = ingest_available(d.spark, drop_dir, table_dir, scratch_path(d.spark, "stream_ckpt"),
+                         _drop_schema(d.raw))
+    q.awaitTermination()
+    return as_output(C.dedup_clean(read_ingested(d.spark, table_dir)))
