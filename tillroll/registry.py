@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import questions as Q
 from tillroll.oracle import questions as OQ
+from tillroll.plans.materialize import load
 from tillroll.schema import SALES_COLUMNS
 from tillroll.workspace import Drop, as_output
 
@@ -21,7 +22,7 @@ ORACLES: dict[str, str] = {}
 def register(name: str, oracle: str | None = None):
     def deco(fn: Callable[[Drop], DataFrame]) -> Callable[[Drop], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Drop.from_tables(spark, sf_dir))
+            return fn(load(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

@@ -28,17 +28,17 @@ def write_daily_drop(raw: DataFrame, path: str, partitions: int | None = None) -
     return path
 
 
-def write_raw_table(raw: DataFrame, path: str, partitions: int | None = None) -> str:
-    """Store the raw table as parquet clustered by (order_date, row_seq).
-
-    Range partitioning gives each file a contiguous slice of days, so the
-    parquet row-group statistics prune date filters without one directory
-    per day (and its many small files).  ``row_seq`` is stored, so rows
-    read back keep their first-copy order.
+def write_raw_table(raw: DataFrame, path: str) -> str:
+    """Store the raw table as parquet, clustered by (order_date, row_seq).
+
+    ``REBALANCE(order_date)`` hash-distributes days over tasks and lets AQE
+    split a day that holds a large share of the rows; unlike a range
+    repartition it needs no sampling job, which would evaluate the whole
+    upstream plan a second time.  Rows are sorted inside each file, so the
+    parquet row-group statistics prune date filters.  ``row_seq`` is stored,
+    so the first-copy order does not depend on file order.
     """
-    spark = raw.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (raw.repartitionByRange(n, "order_date", ROW_SEQ)
+    (raw.hint("rebalance", "order_date")
         .sortWithinPartitions("order_date", ROW_SEQ)
         .write.mode("overwrite").parquet(path))
     return path
