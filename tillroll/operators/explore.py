@@ -266,8 +266,9 @@ def exec_named_category_share(kept: DataFrame,
                               names: tuple[str, ...] = Params.named_categories) -> DataFrame:
     """Share and revenue of named categories; share 0 and revenue NULL if absent."""
     cat = eda_category(kept)
-    wanted = kept.sparkSession.createDataFrame(
-        [(i + 1, n) for i, n in enumerate(names)], "position int, category string")
+    rows = [F.struct(F.lit(i + 1).alias("position"), F.lit(n).alias("category"))
+            for i, n in enumerate(names)]
+    wanted = kept.sparkSession.range(1).select(F.inline(F.array(*rows)))
     return (wanted.join(cat, "category", "left")
                   .select("position", "category",
                           F.coalesce(F.col("pct_of_revenue"), F.lit(0.0)).alias("pct_of_revenue"),

@@ -48,7 +48,7 @@ def _fingerprint(sf_dir: str) -> tuple:
 
 def load(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Drop:
     """A Drop whose raw, clean and dedup frames read materialised tables."""
-    key = (spark.sparkContext.applicationId, sf_dir, _fingerprint(sf_dir), params)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, _fingerprint(sf_dir), params)
     with _LOCK:
         if key in _LOADS:
             return _LOADS[key]

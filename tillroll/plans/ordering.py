@@ -7,10 +7,10 @@ numbers as a two-level prefix sum:
 
 1. collapse rows to distinct order values (ties are peers: one row each,
    with their count and sums; partial aggregation shrinks hot values map-side);
-2. range-partition those values, tag each with its partition id, and
-   checkpoint the result to the shared checkpoint folder so that both
+2. range-partition those values, tag each with its partition id, and write
+   the result as a table in the shared checkpoint folder so that both
    branches below read the same partitioning (range bounds are sampled and
-   would otherwise be recomputed);
+   would otherwise be drawn again);
 3. per-partition totals -> prefix offsets over the partitions (one row per
    shuffle partition, a bounded, tiny table that is broadcast back);
 4. within each partition a window partitioned by partition id gives the
@@ -27,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.session import scratch_path
+
 
 def _sort_key(col: str, descending: bool) -> Column:
     # SQL defaults: NULLs sort first ascending and last descending.
@@ -45,9 +47,11 @@ def ordered_scan(df: DataFrame, order_col: str, *, descending: bool = False,
 
     per_value = df.groupBy(order_col).agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_own_{c}") for c in sums])
-    ranged = (per_value.repartitionByRange(parts, key)
+    path = scratch_path(spark, "ordered")
+    (per_value.repartitionByRange(parts, key)
               .withColumn("_part", F.spark_partition_id())
-              .checkpoint(eager=True))
+              .write.parquet(path))
+    ranged = spark.read.parquet(path)
 
     carried = ["_n", *[f"_own_{c}" for c in sums]]
     totals = ranged.groupBy("_part").agg(*[F.sum(c).alias(c) for c in carried])

@@ -22,14 +22,14 @@ FIRST_COPY_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity",
                     "l_linestatus"]
 
 
-_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+_RELATIONS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name``; the resolved relation (file listing and
     footer schema) is kept per session, as a catalog would keep it."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.sparkContext.applicationId, id(spark), path)
     if key not in _RELATIONS:
         _RELATIONS[key] = spark.read.parquet(path)
     return _RELATIONS[key]
