@@ -61,3 +61,14 @@ def test_first_copy_follows_file_then_position_over_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert firsts == {"DUP-1": 1, "DUP-2": 2}
+
+
+def test_reordered_header_is_rejected(spark):
+    import pytest
+    d = tempfile.mkdtemp(prefix="tillroll-test-")
+    with open(os.path.join(d, "sales_2026_06_22.csv"), "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(list(reversed(HEADER)))
+        w.writerow(list(reversed(_row("O1"))))
+    with pytest.raises(Exception):
+        read_daily_drop(spark, d).collect()

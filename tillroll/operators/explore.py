@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.money import ratio, rounded, to_double
 from tillroll.operators.clean import drop_unknown_region, product_label
-from tillroll.schema import MONEY, Params
+from tillroll.schema import KEPT_FLAG, KPI_CARD_LABELS, MONEY, RETURN_FLAG, Params
 
 _R2 = "decimal(38,2)"
 
@@ -132,8 +132,8 @@ def discount_tier_units(kept: DataFrame) -> DataFrame:
 
 def _split_totals(dedup: DataFrame) -> DataFrame:
     """One pass over deduplicated rows: kept and returned counts and sums."""
-    kept = F.col("return_flag") == "No"
-    ret = F.col("return_flag") == "Yes"
+    kept = F.col("return_flag") == KEPT_FLAG
+    ret = F.col("return_flag") == RETURN_FLAG
     return dedup.agg(
         F.count(F.lit(1)).alias("dedup_rows"),
         F.count_if(kept).alias("total_orders"),
@@ -152,7 +152,7 @@ def kpi_summary(dedup: DataFrame) -> DataFrame:
 
 def kpi_returns(dedup: DataFrame) -> DataFrame:
     """Returns, their share of cleaned orders, the loss, and "net revenue"
-    computed as in the notebook: kept revenue minus returned revenue, although
+    computed as the original report did: kept revenue minus returned revenue, although
     kept revenue already excludes returns."""
     t = _split_totals(dedup)
     return t.select("return_orders",
@@ -173,10 +173,10 @@ def kpi_dashboard(dedup: DataFrame) -> DataFrame:
         F.col("total_orders").cast("double").alias("total_orders"),
         ratio("_rev", "total_orders", 2, half_even=True).alias("avg_order_value"),
         ratio(F.col("return_orders") * 100, "dedup_rows", 1, half_even=True).alias("return_rate"))
-    return (cards.selectExpr(
-                "stack(5, 1, 'Total Revenue', total_revenue, 2, 'Net Revenue', net_revenue, "
-                "3, 'Total Orders', total_orders, 4, 'Avg Order Value', avg_order_value, "
-                "5, 'Return Rate %', return_rate) AS (position, kpi, value)")
+    cols = ["total_revenue", "net_revenue", "total_orders", "avg_order_value", "return_rate"]
+    stacked = ", ".join(f"{i + 1}, '{label}', {c}" for i, (label, c)
+                        in enumerate(zip(KPI_CARD_LABELS, cols)))
+    return (cards.selectExpr(f"stack({len(cols)}, {stacked}) AS (position, kpi, value)")
             .withColumn("position", F.col("position").cast("int")).orderBy("position"))
 
 

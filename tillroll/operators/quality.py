@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import pct
-from tillroll.schema import RETURN_FLAG, ROW_SEQ
+from tillroll.schema import DQ_ISSUE_LABELS, RETURN_FLAG, ROW_SEQ
 
 
 def _blank(c: str) -> Column:
@@ -45,11 +45,8 @@ def dq_measure(raw: DataFrame, issue: str) -> DataFrame:
                     pct(issue, "rows", 1).alias("pct_of_rows"))
 
 
-ISSUES = [("missing_names", "Missing customer names"),
-          ("missing_region", "Missing regions"),
-          ("negative_qty", "Negative quantities"),
-          ("duplicates", "Duplicate order IDs"),
-          ("returns", "Return orders")]
+ISSUES = list(zip(["missing_names", "missing_region", "negative_qty", "duplicates", "returns"],
+                  DQ_ISSUE_LABELS))
 
 
 def dq_report(raw: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.money import pct, ratio, rounded, to_double
 from tillroll.plans.ordering import with_rank, with_sequence
-from tillroll.schema import MONEY, Params
+from tillroll.schema import BELOW_TARGET, MONEY, ON_TARGET, Params
 
 
 def targets_dim(raw: DataFrame, weekly_target: float = Params.weekly_target) -> DataFrame:
@@ -170,6 +170,6 @@ def q9_target_attainment(clean: DataFrame, targets: DataFrame) -> DataFrame:
                 rounded("_rev", 2).alias("actual_revenue"),
                 "weekly_target",
                 pct("_rev", target, 1).alias("attainment_pct"),
-                F.when(F.col("_rev") >= target, F.lit("On Target"))
-                 .otherwise(F.lit("Below Target")).alias("status"))
+                F.when(F.col("_rev") >= target, F.lit(ON_TARGET))
+                 .otherwise(F.lit(BELOW_TARGET)).alias("status"))
             .orderBy(F.desc("attainment_pct"), "salesperson"))

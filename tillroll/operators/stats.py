@@ -28,7 +28,8 @@ from tillroll.functions.betainc import with_f_test_p, with_t_test_p
 from tillroll.functions.money import ratio
 from tillroll.operators.clean import drop_unknown_region
 from tillroll.plans.ordering import with_sequence
-from tillroll.schema import ETA_BANDS, LOW_R2, SIGNIFICANCE_ALPHA
+from tillroll.schema import (EFFECT_LABELS, ETA_BANDS, LOW_R2, NOT_SIGNIFICANT,
+                             SIGNIFICANCE_ALPHA, SIGNIFICANT)
 
 
 def _null() -> Column:
@@ -37,15 +38,15 @@ def _null() -> Column:
 
 def effect_label(eta2: Column) -> Column:
     """Rough bands for eta squared."""
-    small, medium, large = ETA_BANDS
-    return (F.when(eta2.isNull(), F.lit(None).cast("string"))
-             .when(eta2 < small, "negligible").when(eta2 < medium, "small")
-             .when(eta2 < large, "medium").otherwise("large"))
+    out = F.when(eta2.isNull(), F.lit(None).cast("string"))
+    for bound, label in zip(ETA_BANDS, EFFECT_LABELS):
+        out = out.when(eta2 < bound, label)
+    return out.otherwise(EFFECT_LABELS[-1])
 
 
 def verdict(p: Column, alpha: float = SIGNIFICANCE_ALPHA) -> Column:
     """Strictly below alpha is significant (NULL p is not)."""
-    return F.when(p < alpha, "SIGNIFICANT").otherwise("NOT significant")
+    return F.when(p < alpha, SIGNIFICANT).otherwise(NOT_SIGNIFICANT)
 
 
 def group_moments(df: DataFrame, group: str, value: str) -> DataFrame:

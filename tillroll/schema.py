@@ -40,6 +40,7 @@ SALES_COLUMNS = [f.name for f in RAW_SCHEMA.fields if f.name != "order_time"]
 ROW_SEQ = "row_seq"
 
 # --- fixed values -----------------------------------------------------------
+# Values the analyses must reproduce exactly (labels, thresholds, defaults).
 # Text a default pandas CSV read treats as missing (pandas read_csv,
 # ``na_values`` default list).  Text columns holding one of these are null.
 NULL_TOKENS = [
@@ -51,32 +52,49 @@ UNKNOWN_CUSTOMER = "Unknown Customer"
 UNKNOWN_REGION = "Unknown Region"
 KEPT_FLAG = "No"
 RETURN_FLAG = "Yes"
+ON_TARGET = "On Target"
+BELOW_TARGET = "Below Target"
 SIGNIFICANCE_ALPHA = 0.05
-# Effect-size bands for eta squared: negligible / small / medium / large.
+SIGNIFICANT = "SIGNIFICANT"
+NOT_SIGNIFICANT = "NOT significant"
+# Effect-size bands for eta squared and their labels (below 0.01, 0.06, 0.14, above).
 ETA_BANDS = (0.01, 0.06, 0.14)
+EFFECT_LABELS = ("negligible", "small", "medium", "large")
 LOW_R2 = 0.3
+DQ_ISSUE_LABELS = ("Missing customer names", "Missing regions", "Negative quantities",
+                   "Duplicate order IDs", "Return orders")
+KPI_CARD_LABELS = ("Total Revenue", "Net Revenue", "Total Orders", "Avg Order Value",
+                   "Return Rate %")
+DEFAULT_PERIOD_DAYS = 8
+DEFAULT_TEAM_SIZE = 10
+DEFAULT_BASE_TIER = 0
+DEFAULT_DEEP_TIER = 15
+DEFAULT_NAMED_CATEGORIES = ("Dairy", "Beverages")
+DEFAULT_WEEKLY_TARGET = 900000.0
+DEFAULT_TRAILING_DAYS = 3
+DEFAULT_TOP_N = 10
 # -----------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
 class Params:
-    """Constants of the analyses, with the defaults of the original scripts.
+    """Constants of the analyses (defaults: the fixed values above).
 
     ``period_days`` divides revenue into a daily average and ``team_size``
     divides regional revenue per salesperson (both were fixed numbers in
-    the scripts).  ``deep_tier`` is the discount tier compared with 0% for
-    the volume lift; on the driver's tables the deepest tier is 10.
-    ``weekly_target`` is the uniform rep quota.
+    the original analyses).  ``deep_tier`` is the discount tier compared
+    with ``base_tier`` for the volume lift; on the driver's tables the
+    deepest tier is 10.  ``weekly_target`` is the uniform rep quota.
     """
 
-    period_days: int = 8
-    team_size: int = 10
-    base_tier: int = 0
-    deep_tier: int = 15
-    named_categories: tuple[str, str] = ("Dairy", "Beverages")
-    weekly_target: float = 900000.0
-    trailing_days: int = 3
-    top_n: int = 10
+    period_days: int = DEFAULT_PERIOD_DAYS
+    team_size: int = DEFAULT_TEAM_SIZE
+    base_tier: int = DEFAULT_BASE_TIER
+    deep_tier: int = DEFAULT_DEEP_TIER
+    named_categories: tuple[str, ...] = DEFAULT_NAMED_CATEGORIES
+    weekly_target: float = DEFAULT_WEEKLY_TARGET
+    trailing_days: int = DEFAULT_TRAILING_DAYS
+    top_n: int = DEFAULT_TOP_N
 
 
 # Parameters that fit the driver's TPC-H-shaped tables (FIXTURES.md section 2).

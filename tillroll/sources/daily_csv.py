@@ -10,6 +10,8 @@ orders the splits of a file, so sorting by ``row_seq`` reproduces "files
 in sorted name order, rows in file order" — the order in which the original
 loader concatenated the files — without a global row number.
 
+Columns are matched by header name (``enforceSchema`` off): pandas aligns
+concatenated files by name, a positional read would silently shift them.
 Text that pandas would read as missing (``schema.NULL_TOKENS``) becomes
 NULL; numbers that do not parse become NULL (PERMISSIVE mode).
 """
@@ -37,6 +39,9 @@ def read_daily_drop(spark: SparkSession, path: str,
     """All CSV files under ``path`` (a folder, a glob or a list) as raw rows."""
     df = (spark.read.schema(schema)
           .option("header", True)
+          # check each file's header against the schema: a drop whose
+          # columns are reordered fails instead of being read by position
+          .option("enforceSchema", False)
           .option("mode", "PERMISSIVE")
           .option("dateFormat", "yyyy-MM-dd")
           .csv(path))
