@@ -151,12 +151,12 @@ def _staged_p_columns(app_id: str, terms: int) -> tuple[dict[str, Column], Colum
     pa, pb, pr = F.col("_pa"), F.col("_pb"), F.col("_pr")
     ln1p_r = F.log1p(pr)
     stage1 = {
-        "_pfront": F.exp(pa * (-ln1p_r) + pb * (F.log(pr) - ln1p_r) - log_beta(pa, pb)),
-        "_pdirect": _continued_fraction(pa, pb, 1 / (1 + pr), terms),
-        "_pmirror": _continued_fraction(pb, pa, pr / (1 + pr), terms)}
+        "_pfront": F.exp(pa * (-ln1p_r) + pb * (F.log(pr) - ln1p_r) - log_beta(pa, pb))}
     front = F.col("_pfront")
-    p = F.when(1 / (1 + pr) < (pa + 1) / (pa + pb + 2), front * F.col("_pdirect") / pa) \
-         .otherwise(1 - front * F.col("_pmirror") / pb)
+    # Only the branch that converges fast is evaluated for a row.
+    p = F.when(1 / (1 + pr) < (pa + 1) / (pa + pb + 2),
+               front * _continued_fraction(pa, pb, 1 / (1 + pr), terms) / pa) \
+         .otherwise(1 - front * _continued_fraction(pb, pa, pr / (1 + pr), terms) / pb)
     value = (F.when(pa.isNull() | pb.isNull() | pr.isNull() | (pa <= 0) | (pb <= 0) | (pr < 0),
                     F.lit(None).cast("double"))
               .when(pr == 0, F.lit(1.0))
