@@ -6,11 +6,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillroll.operators import clean as C
+from tillroll.operators import explore as X
+from tillroll.operators import quality as DQ
 from tillroll.operators import questions as Q
+from tillroll.operators import stats as S
+from tillroll.oracle import explore as OX
+from tillroll.oracle import quality as ODQ
 from tillroll.oracle import questions as OQ
+from tillroll.oracle import stats as OS
+from tillroll.oracle.quality import DEDUP_OUT as _DEDUP_OUT
+from tillroll.oracle.quality import OUT_COLS as _RAW_OUT
+from tillroll.oracle.sql import with_base as _with_base
+from tillroll.plans.catalog import read_query, register_views
 from tillroll.plans.materialize import load
-from tillroll.schema import SALES_COLUMNS
+from tillroll.schema import ROW_SEQ, SALES_COLUMNS
+from tillroll.session import scratch_path
+from tillroll.sources.daily_csv import read_daily_drop
+from tillroll.sources.sinks import write_clean_csv, write_daily_drop, write_raw_table
+from tillroll.streaming.increments import ingest_available, read_ingested
 from tillroll.workspace import Drop, as_output
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -65,13 +82,6 @@ def _q9(d: Drop) -> DataFrame:
 
 # --- 2.1 / 2.2: overview, profile, data quality --------------------------------
 
-from tillroll.operators import clean as C  # noqa: E402
-from tillroll.operators import explore as X  # noqa: E402
-from tillroll.operators import quality as DQ  # noqa: E402
-from tillroll.oracle import explore as OX  # noqa: E402
-from tillroll.oracle import quality as ODQ  # noqa: E402
-from tillroll.schema import ROW_SEQ  # noqa: E402
-
 
 def _raw_out(df: DataFrame) -> DataFrame:
     return as_output(df.drop(ROW_SEQ))
@@ -148,11 +158,6 @@ for _name, _fn in _EDA.items():
 
 # --- 2.7: significance tests and forecast ---------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from tillroll.operators import stats as S  # noqa: E402
-from tillroll.oracle import stats as OS  # noqa: E402
-
 
 def _neg_log10(p: str = "p_value"):
     return F.round(F.when(F.col(p) > 0, -F.log10(F.col(p)))
@@ -236,34 +241,31 @@ def _verdicts(d: Drop) -> DataFrame:
 
 # --- 2.1 sources and sinks, 2.8 sampling, 2.9 incremental ingestion ---------------
 
-from pyspark.sql import types as T  # noqa: E402
-
-from tillroll.oracle.quality import OUT_COLS as _RAW_OUT  # noqa: E402
-from tillroll.oracle.quality import DEDUP_OUT as _DEDUP_OUT  # noqa: E402
-from tillroll.oracle.sql import with_base as _with_base  # noqa: E402
-from tillroll.plans.catalog import read_query, register_views  # noqa: E402
-from tillroll.session import scratch_path  # noqa: E402
-from tillroll.sources.daily_csv import read_daily_drop  # noqa: E402
-from tillroll.sources.sinks import write_clean_csv, write_daily_drop, write_raw_table  # noqa: E402
-from tillroll.streaming.increments import ingest_available, read_ingested  # noqa: E402
 
 # Blank text written to CSV reads back as missing (pandas semantics).
-_CSV_RAW_ORACLE = _with_base(
-    f"SELECT {_RAW_OUT.replace('customer_name,', 'NULLIF(customer_name, chr(0)) AS customer_name,')} "
-    "FROM sales").replace("chr(0)", "''")
-_CSV_RAW_ORACLE = _CSV_RAW_ORACLE.replace(
-    "NULLIF(customer_name, '') AS customer_name, region,",
-    "NULLIF(customer_name, '') AS customer_name, NULLIF(region, '') AS region,")
+_CSV_RAW_ORACLE = _with_base("SELECT " + _RAW_OUT.replace(
+    "customer_name, region,",
+    "NULLIF(customer_name, '') AS customer_name, NULLIF(region, '') AS region,") + " FROM sales")
 
 
 def _drop_schema(raw: DataFrame) -> T.StructType:
     return T.StructType([f for f in raw.schema.fields if f.name != ROW_SEQ])
 
 
+_DROP_DIRS: dict[int, str] = {}
+
+
+def _drop_dir(d: Drop) -> str:
+    """The raw rows written once as a daily CSV drop in the shared folder
+    (one folder per loaded Drop; the drop is an input, like a landing zone)."""
+    if id(d) not in _DROP_DIRS:
+        _DROP_DIRS[id(d)] = write_daily_drop(d.raw, scratch_path(d.spark, "drop"))
+    return _DROP_DIRS[id(d)]
+
+
 def _csv_drop(d: Drop) -> DataFrame:
-    """Write the raw rows as a daily CSV drop in the shared folder, scan it."""
-    path = write_daily_drop(d.raw, scratch_path(d.spark, "drop"))
-    return read_daily_drop(d.spark, path, _drop_schema(d.raw))
+    """Scan the daily CSV drop of ``d``."""
+    return read_daily_drop(d.spark, _drop_dir(d), _drop_schema(d.raw))
 
 
 @register("scan_daily_csv", _CSV_RAW_ORACLE)
@@ -321,7 +323,7 @@ def _sample(d: Drop) -> DataFrame:
           _with_base(f"SELECT {_DEDUP_OUT.split(', CAST(gross_revenue')[0]} FROM dedup"))
 def _stream(d: Drop) -> DataFrame:
     """Drop folder -> availableNow stream -> raw table -> first copies, cleaned."""
-    drop_dir = write_daily_drop(d.raw, scratch_path(d.spark, "stream_drop"))
+    drop_dir = _drop_dir(d)
     table_dir = scratch_path(d.spark, "stream_table")
     q = ingest_available(d.spark, drop_dir, table_dir, scratch_path(d.spark, "stream_ckpt"),
                          _drop_schema(d.raw))
