@@ -42,3 +42,17 @@ def test_dedup_plan_reduces_before_shuffle(spark):
     partial = plan.find("WindowGroupLimit")
     exchange = plan.find("Exchange hashpartitioning(order_id")
     assert 0 <= exchange < plan.rfind("WindowGroupLimit") and partial >= 0
+
+
+def test_first_copies_aggregation_equals_window_dedup(spark):
+    import random
+    rnd = random.Random(11)
+    rows = [dict(order_id=rnd.choice(["HOT", "HOT", None] + [f"O{k}" for k in range(300)]),
+                 quantity=rnd.randint(-5, 9), return_flag=rnd.choice(["Yes", "No", "No"]),
+                 customer_name=rnd.choice(["", "C1", None]))
+            for _ in range(2500)]
+    raw = make_raw(spark, rows)
+    firsts = C.first_copies(raw)
+    assert sorted(C.sales_clean(raw).collect()) == sorted(C.sales_clean_from_firsts(firsts).collect())
+    assert (sorted(C.dedup_clean(raw, True).collect())
+            == sorted(C.dedup_clean_from_firsts(firsts, True).collect()))

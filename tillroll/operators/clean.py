@@ -101,3 +101,39 @@ def product_label(df: DataFrame, out: str = "label") -> DataFrame:
     """"name (sku)" label of a product."""
     return df.withColumn(out, F.format_string("%s (%s)", F.col("product_name"),
                                               F.col("sku_id").cast("string")))
+
+
+def first_copies(raw: DataFrame, key: str = "order_id", order: str = ROW_SEQ) -> DataFrame:
+    """Both first copies of every ``key`` from ONE aggregation (one shuffle).
+
+    ``first``      - the first copy over all rows (EDA dedup);
+    ``first_kept`` - the first copy among non-returned rows (the view), or NULL.
+
+    ``min_by`` ignores rows whose ordering value is NULL, so masking the
+    order of returned rows selects the first kept copy.  Partial aggregation
+    runs map-side, so a hot key is cut to one row per map partition before
+    the shuffle, as with the window's partial WindowGroupLimit.
+    """
+    cols = [c for c in raw.columns if c != order]
+    row = F.struct(*[F.col(c) for c in cols])
+    kept = F.col("return_flag") == KEPT_FLAG
+    return raw.groupBy(key).agg(
+        F.min_by(row, F.col(order)).alias("first"),
+        F.min_by(row, F.when(kept, F.col(order))).alias("first_kept"))
+
+
+def sales_clean_from_firsts(firsts: DataFrame) -> DataFrame:
+    """The cleaning view from ``first_copies`` output."""
+    kept_first = firsts.filter(F.col("first_kept").isNotNull()).select("first_kept.*")
+    cleaned = derive_revenue(abs_quantity(fill_defaults(kept_first)))
+    return cleaned.select(*SALES_COLUMNS, "revenue")
+
+
+def dedup_clean_from_firsts(firsts: DataFrame, with_gross: bool = False) -> DataFrame:
+    """EDA cleaning (keep first over all rows) from ``first_copies`` output."""
+    cleaned = derive_revenue(abs_quantity(fill_defaults(firsts.select("first.*"))))
+    cols = [*SALES_COLUMNS, "revenue"]
+    if with_gross:
+        cleaned = derive_gross_discount(cleaned)
+        cols += ["gross_revenue", "discount_amount"]
+    return cleaned.select(*cols)

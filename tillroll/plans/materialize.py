@@ -4,13 +4,16 @@ The original loader stored the raw rows once and every question read them.
 Here ``load`` writes three parquet tables to the shared checkpoint folder
 (``spark.checkpoint.dir``):
 
-* ``raw``   - raw rows with their ``row_seq`` identity, clustered by
-              (order_date, row_seq) so date filters prune row groups;
-* ``clean`` - the cleaning view (returns dropped, first copies, revenue);
-* ``dedup`` - first copies over all rows with revenue, gross and discount.
+* ``raw``    - raw rows with their ``row_seq`` identity, clustered by
+               (order_date, row_seq) so date filters prune row groups;
+* ``firsts`` - per order_id, the first copy over all rows and the first
+               non-returned copy, from ONE aggregation (one shuffle of the
+               raw rows serves both cleaning orders).
 
-Every query then scans one of these instead of re-running the star joins
-and the dedup window.  The written tables also cut lineage: a lost
+``clean`` (the cleaning view) and ``dedup`` (EDA dedup with revenue, gross
+and discount) are projections over ``firsts``; nested-column pruning reads
+only the fields a query uses.  Every query scans these instead of
+re-running the star joins and the deduplication.  The written tables also cut lineage: a lost
 executor costs a re-read, not a recomputation of the whole chain.  Loads
 are cached per application and per input-file fingerprint (sizes and
 modification times), so changed inputs are loaded again.
@@ -23,6 +26,7 @@ import threading
 
 from pyspark.sql import SparkSession
 
+from tillroll.operators import clean as C
 from tillroll.schema import FIXTURE_PARAMS, Params
 from tillroll.session import scratch_path
 from tillroll.sources.sinks import write_raw_table
@@ -52,15 +56,13 @@ def load(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> D
     with _LOCK:
         if key in _LOADS:
             return _LOADS[key]
-        lazy = Drop(spark, raw_sales(spark, sf_dir), params)
-        raw_path = write_raw_table(lazy.raw, scratch_path(spark, "raw"))
-        stored = Drop(spark, spark.read.parquet(raw_path), params)
-        clean_path = scratch_path(spark, "clean")
-        stored.clean.write.mode("overwrite").parquet(clean_path)
-        dedup_path = scratch_path(spark, "dedup")
-        stored.dedup.write.mode("overwrite").parquet(dedup_path)
-        drop = Drop(spark, stored.raw, params)
-        drop.__dict__["clean"] = spark.read.parquet(clean_path)
-        drop.__dict__["dedup"] = spark.read.parquet(dedup_path)
+        raw_path = write_raw_table(raw_sales(spark, sf_dir), scratch_path(spark, "raw"))
+        raw = spark.read.parquet(raw_path)
+        firsts_path = scratch_path(spark, "firsts")
+        C.first_copies(raw).write.mode("overwrite").parquet(firsts_path)
+        firsts = spark.read.parquet(firsts_path)
+        drop = Drop(spark, raw, params)
+        drop.__dict__["clean"] = C.sales_clean_from_firsts(firsts)
+        drop.__dict__["dedup"] = C.dedup_clean_from_firsts(firsts, with_gross=True)
         _LOADS[key] = drop
         return drop
