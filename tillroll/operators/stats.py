@@ -62,10 +62,10 @@ def anova_oneway(df: DataFrame, group: str, value: str = "revenue") -> DataFrame
     eta_squared, effect, verdict."""
     g = group_moments(df, group, value)
     grand = g.select(F.sum(F.col("n") * F.col("mean")) / F.sum("n")).scalar()
-    dev = F.col("mean") - grand
-    one = g.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"),
-                F.sum(F.col("n") * dev * dev).alias("ssb"),
-                F.sum(F.col("n") * F.col("vp")).alias("ssw"))
+    dev = g.select("n", "vp", (F.col("mean") - grand).alias("dev"))   # one subquery
+    one = dev.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"),
+                  F.sum(F.col("n") * F.col("dev") * F.col("dev")).alias("ssb"),
+                  F.sum(F.col("n") * F.col("vp")).alias("ssw"))
     df1 = F.col("groups") - 1
     df2 = F.col("n") - F.col("groups")
     f = (F.when((F.col("groups") < 2) | (df2 <= 0), _null())

@@ -61,8 +61,7 @@ def load(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> D
         firsts_path = scratch_path(spark, "firsts")
         C.first_copies(raw).write.mode("overwrite").parquet(firsts_path)
         firsts = spark.read.parquet(firsts_path)
-        drop = Drop(spark, raw, params)
-        drop.__dict__["clean"] = C.sales_clean_from_firsts(firsts)
-        drop.__dict__["dedup"] = C.dedup_clean_from_firsts(firsts, with_gross=True)
+        drop = Drop(spark, raw, params, clean=C.sales_clean_from_firsts(firsts),
+                    dedup=C.dedup_clean_from_firsts(firsts, with_gross=True))
         _LOADS[key] = drop
         return drop

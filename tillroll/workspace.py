@@ -14,12 +14,21 @@ from tillroll.sources.tables import raw_sales
 
 
 class Drop:
-    """All frames derive lazily from ``raw``; nothing is computed here."""
+    """All frames derive lazily from ``raw``; nothing is computed here.
 
-    def __init__(self, spark: SparkSession, raw: DataFrame, params: Params = FIXTURE_PARAMS):
+    ``clean`` and ``dedup`` may be given (e.g. read from materialised
+    tables); otherwise they are derived from ``raw`` on first use.
+    """
+
+    def __init__(self, spark: SparkSession, raw: DataFrame, params: Params = FIXTURE_PARAMS,
+                 clean: DataFrame | None = None, dedup: DataFrame | None = None):
         self.spark = spark
         self.raw = raw
         self.params = params
+        if clean is not None:
+            self.__dict__["clean"] = clean
+        if dedup is not None:
+            self.__dict__["dedup"] = dedup
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str,
