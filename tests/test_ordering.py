@@ -28,3 +28,11 @@ def test_sequence_running_total_and_lag(spark):
         "d", (F.row_number().over(w) - 1).alias("i"), F.sum("v").over(w).alias("run"),
         F.lag("v").over(w).alias("prev")).collect()}
     assert ours == ref
+
+
+def test_sequence_with_null_key_first(spark):
+    rows = [(None, 5), (1, 7), (2, -3), (4, 10)]
+    df = spark.createDataFrame(rows, "d long, v long")
+    ours = {r.d: (r._idx, r.run, r.prev) for r in
+            with_sequence(df, "d", "v", running="run", previous="prev").collect()}
+    assert ours == {None: (0, 5, None), 1: (1, 12, 5), 2: (2, 9, 7), 4: (3, 19, -3)}

@@ -36,11 +36,15 @@ def _sort_key(col: str, descending: bool) -> Column:
 
 
 def ordered_scan(df: DataFrame, order_col: str, *, descending: bool = False,
-                 sums: Sequence[str] = ()) -> DataFrame:
+                 sums: Sequence[str] = (), previous: Sequence[str] = ()) -> DataFrame:
     """Per distinct ``order_col`` value: ``_n`` rows with that value,
     ``_before_n`` rows strictly before it, and for each column ``c`` in
     ``sums`` its sum ``_own_c`` over the peers and ``_before_c`` before them.
+    For ``c`` in ``previous`` (a subset of ``sums``, ascending order only)
+    ``_prev_c`` is ``_own_c`` of the preceding distinct value (``LAG``).
     """
+    if previous and descending:
+        raise ValueError("previous values are only defined for ascending scans")
     spark = df.sparkSession
     key = _sort_key(order_col, descending)
 
@@ -55,25 +59,35 @@ def ordered_scan(df: DataFrame, order_col: str, *, descending: bool = False,
     ranged = spark.read.parquet(path)
 
     carried = ["_n", *[f"_own_{c}" for c in sums]]
-    totals = ranged.groupBy("_part").agg(*[F.sum(c).alias(c) for c in carried])
+    # The last value of a partition in sort order (NULL keys sort first).
+    last_key = F.struct(F.col(order_col).isNotNull(), F.col(order_col))
+    totals = ranged.groupBy("_part").agg(
+        *[F.sum(c).alias(c) for c in carried],
+        *[F.max_by(F.col(f"_own_{c}"), last_key).alias(f"_last_{c}") for c in previous])
     # One row per shuffle partition: bounded by configuration, not by data.
-    earlier_parts = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    by_part = Window.orderBy("_part")
+    earlier_parts = by_part.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_part", *[F.coalesce(F.sum(c).over(earlier_parts), F.lit(0)).alias(f"_off{c}")
-                   for c in carried])
+                   for c in carried],
+        *[F.lag(f"_last_{c}").over(by_part).alias(f"_plast_{c}") for c in previous])
 
-    earlier_rows = Window.partitionBy("_part").orderBy(key).rowsBetween(
-        Window.unboundedPreceding, -1)
+    in_part = Window.partitionBy("_part").orderBy(key)
+    earlier_rows = in_part.rowsBetween(Window.unboundedPreceding, -1)
     within = ranged.select(
         order_col, "_part", *carried,
-        *[F.coalesce(F.sum(c).over(earlier_rows), F.lit(0)).alias(f"_in{c}") for c in carried])
+        *[F.coalesce(F.sum(c).over(earlier_rows), F.lit(0)).alias(f"_in{c}") for c in carried],
+        *[F.lag(f"_own_{c}").over(in_part).alias(f"_inlag_{c}") for c in previous])
 
     scanned = within.join(F.broadcast(offsets), "_part")
+    first_in_part = F.col("_in_n") == 0
     return scanned.select(
         order_col, "_n",
         (F.col("_off_n") + F.col("_in_n")).alias("_before_n"),
         *[F.col(f"_own_{c}") for c in sums],
         *[(F.col(f"_off_own_{c}") + F.col(f"_in_own_{c}")).alias(f"_before_{c}") for c in sums],
+        *[F.when(first_in_part, F.col(f"_plast_{c}")).otherwise(F.col(f"_inlag_{c}"))
+          .alias(f"_prev_{c}") for c in previous],
     )
 
 
@@ -94,15 +108,12 @@ def with_sequence(df: DataFrame, order_col: str, value: str, *, index: str = "_i
     (``SUM(value) OVER (ORDER BY order_col)``) and optional ``previous``
     value (``LAG(value)``, NULL on the first row).
     """
-    scan = ordered_scan(df, order_col, sums=[value])
-    seq = scan.select(order_col, F.col("_before_n").alias(index),
-                      (F.col(f"_before_{value}") + F.col(f"_own_{value}")).alias("_running"))
-    out = df.join(seq, order_col)
+    scan = ordered_scan(df, order_col, sums=[value], previous=[value] if previous else [])
+    cols = [order_col, F.col("_before_n").alias(index)]
     if running:
-        out = out.withColumnRenamed("_running", running)
-    else:
-        out = out.drop("_running")
+        cols.append((F.col(f"_before_{value}") + F.col(f"_own_{value}")).alias(running))
     if previous:
-        prev = out.select((F.col(index) + 1).alias(index), F.col(value).alias(previous))
-        out = out.join(prev, index, "left")
-    return out
+        cols.append(F.col(f"_prev_{value}").alias(previous))
+    seq = scan.select(*cols).withColumnRenamed(order_col, "_seq_key")
+    return (df.join(seq, df[order_col].eqNullSafe(seq["_seq_key"]))
+              .drop("_seq_key"))
