@@ -72,3 +72,22 @@ def test_reordered_header_is_rejected(spark):
         w.writerow(list(reversed(_row("O1"))))
     with pytest.raises(Exception):
         read_daily_drop(spark, d).collect()
+
+
+def test_raw_table_keeps_identity_and_prunes_dates(spark):
+    from datetime import date
+
+    from pyspark.sql import functions as F
+
+    from tests.fixtures import make_raw
+    from tillroll.session import scratch_path
+    from tillroll.sources.sinks import write_raw_table
+    rows = [dict(order_id=f"O{i % 50}", order_date=date(2026, 6, 1 + i % 20), quantity=i)
+            for i in range(400)]
+    raw = make_raw(spark, rows)
+    back = spark.read.parquet(write_raw_table(raw, scratch_path(spark, "raw-test")))
+    assert ({r.order_id: r.quantity for r in C.keep_first(back).collect()}
+            == {r.order_id: r.quantity for r in C.keep_first(raw).collect()})
+    plan = back.filter(F.col("order_date") == date(2026, 6, 3))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(order_date), EqualTo(order_date" in plan
