@@ -91,3 +91,19 @@ def test_p_values_closed_forms(spark):
     tdf = spark.createDataFrame([(t,) for t in [0.0, 0.3, 1.0, 2.5, 12.0]], "t double")
     for r in with_t_test_p(tdf, F.col("t") * F.col("t"), F.lit(1.0)).collect():
         assert math.isclose(r.p_value, 1 - 2 / math.pi * math.atan(abs(r.t)), rel_tol=1e-9)
+
+
+def test_anova_factors_equals_separate_anovas(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["a", "b", "c", None]), rnd.choice(["x", "y"]), float(rnd.randint(1, 50)))
+            for _ in range(600)]
+    df = spark.createDataFrame(rows, "f1 string, f2 string, revenue double")
+    both = {r.factor: r for r in S.anova_factors(
+        df, {"f1": F.col("f1"), "f2": F.when(F.col("f1") != "c", F.col("f2"))}).collect()}
+    one = S.anova_oneway(df, "f1").collect()[0]
+    two = S.anova_oneway(df.filter(F.col("f1") != "c"), "f2").collect()[0]
+    for got, ref in ((both["f1"], one), (both["f2"], two)):
+        assert (got.groups, got.n) == (ref.groups, ref.n)
+        assert math.isclose(got.f_stat, ref.f_stat, rel_tol=1e-9)
+        assert math.isclose(got.p_value, ref.p_value, rel_tol=1e-9)

@@ -29,7 +29,7 @@ from tillroll.functions.money import ratio
 from tillroll.operators.clean import drop_unknown_region
 from tillroll.plans.ordering import with_sequence
 from tillroll.schema import (EFFECT_LABELS, ETA_BANDS, LOW_R2, NOT_SIGNIFICANT,
-                             SIGNIFICANCE_ALPHA, SIGNIFICANT)
+                             SIGNIFICANCE_ALPHA, SIGNIFICANT, UNKNOWN_REGION)
 
 
 def _null() -> Column:
@@ -66,6 +66,42 @@ def anova_oneway(df: DataFrame, group: str, value: str = "revenue") -> DataFrame
     one = dev.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"),
                   F.sum(F.col("n") * F.col("dev") * F.col("dev")).alias("ssb"),
                   F.sum(F.col("n") * F.col("vp")).alias("ssw"))
+    return _anova_tail(one, [])
+
+
+def anova_factors(df: DataFrame, factors: dict[str, Column],
+                  value: str = "revenue") -> DataFrame:
+    """One-way ANOVA of ``value`` for several factors in one pass.
+
+    ``factors`` maps a factor name to its level expression (NULL levels are
+    left out, so a factor can exclude rows, e.g. an unknown bucket).  Each
+    row is expanded into one (factor, level) pair per factor, the moments of
+    every level come from ONE aggregation, and the per-factor grand means
+    (one row per factor, a fixed, small table) are broadcast back.  Output:
+    one row per factor with the columns of ``anova_oneway``.
+    """
+    v = F.col(value).cast("double")
+    pairs = F.array(*[F.struct(F.lit(name).alias("factor"),
+                               level.cast("string").alias("level"))
+                      for name, level in factors.items()])
+    tagged = (df.select(v.alias("_v"), F.explode(pairs).alias("_f"))
+                .filter(F.col("_f.level").isNotNull() & F.col("_v").isNotNull())
+                .select(F.col("_f.factor").alias("factor"), F.col("_f.level").alias("level"), "_v"))
+    g = tagged.groupBy("factor", "level").agg(
+        F.count("_v").alias("n"), F.avg("_v").alias("mean"), F.var_pop("_v").alias("vp"))
+    grand = g.groupBy("factor").agg(
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_grand"))
+    dev = (g.join(F.broadcast(grand), "factor")
+            .select("factor", "n", "vp", (F.col("mean") - F.col("_grand")).alias("dev")))
+    one = dev.groupBy("factor").agg(
+        F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"),
+        F.sum(F.col("n") * F.col("dev") * F.col("dev")).alias("ssb"),
+        F.sum(F.col("n") * F.col("vp")).alias("ssw"))
+    return _anova_tail(one, ["factor"])
+
+
+def _anova_tail(one: DataFrame, keys: list[str]) -> DataFrame:
+    """F, eta squared, p-value and labels from (groups, n, ssb, ssw)."""
     df1 = F.col("groups") - 1
     df2 = F.col("n") - F.col("groups")
     f = (F.when((F.col("groups") < 2) | (df2 <= 0), _null())
@@ -73,7 +109,7 @@ def anova_oneway(df: DataFrame, group: str, value: str = "revenue") -> DataFrame
                 F.when(F.col("ssb") == 0, _null()).otherwise(F.lit(float("inf"))))
           .otherwise((F.col("ssb") / df1) / (F.col("ssw") / df2)))
     stats = one.select(
-        "groups", "n", df1.alias("df_between"), df2.alias("df_within"), "ssb", "ssw",
+        *keys, "groups", "n", df1.alias("df_between"), df2.alias("df_within"), "ssb", "ssw",
         f.alias("f_stat"),
         F.when(F.col("groups") < 2, _null())
          .otherwise(F.try_divide(F.col("ssb"), F.col("ssb") + F.col("ssw"))).alias("eta_squared"))
@@ -82,6 +118,14 @@ def anova_oneway(df: DataFrame, group: str, value: str = "revenue") -> DataFrame
                                "verdict": verdict(F.col("p_value"))})
 
 
+def standard_factors() -> dict[str, Column]:
+    """The three factors of the original tests: region (known regions only),
+    salesperson and discount tier."""
+    return {"region": F.when(F.col("region") != UNKNOWN_REGION, F.col("region")),
+            "salesperson": F.col("salesperson"),
+            "discount_pct": F.col("discount_pct")}
+
+
 def anova_region(kept: DataFrame) -> DataFrame:
     return anova_oneway(drop_unknown_region(kept), "region")
 

@@ -213,119 +213,28 @@ def _forecast(d: Drop) -> DataFrame:
 
 @register("eta_squared", OS.ORACLE["eta_squared"])
 def _eta(d: Drop) -> DataFrame:
-    parts = [(S.anova_region(d.kept), "region"), (S.anova_salesperson(d.kept), "salesperson"),
-             (S.anova_discount(d.kept), "discount_pct")]
-    out = None
-    for df, name in parts:
-        row = df.select(F.lit(name).alias("factor"),
-                        F.round("eta_squared", 10).alias("eta_squared"), "effect")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Effect sizes of the three factors from one pass over kept orders."""
+    a = S.anova_factors(d.kept, S.standard_factors())
+    return a.select("factor", F.round("eta_squared", 10).alias("eta_squared"), "effect")
 
 
 @register("stat_verdicts", OS.ORACLE["stat_verdicts"])
 def _verdicts(d: Drop) -> DataFrame:
-    tests = [("anova_region", S.anova_region(d.kept), "f_stat", 6),
-             ("anova_salesperson", S.anova_salesperson(d.kept), "f_stat", 6),
-             ("corr_discount_quantity", S.corr_discount_quantity(d.kept), "r", 10),
-             ("anova_discount", S.anova_discount(d.kept), "f_stat", 6),
-             ("ttest_returns", S.ttest_returns(d.dedup), "t_stat", 6)]
-    out = None
-    for i, (name, df, stat, places) in enumerate(tests):
-        row = df.select(F.lit(i + 1).alias("position"), F.lit(name).alias("test"),
-                        F.round(stat, places).alias("statistic"),
-                        F.round("p_value", 9).alias("p_value"), "verdict")
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
-# --- 2.1 sources and sinks, 2.8 sampling, 2.9 incremental ingestion ---------------
-
-
-# Blank text written to CSV reads back as missing (pandas semantics).
-_CSV_RAW_ORACLE = _with_base("SELECT " + _RAW_OUT.replace(
-    "customer_name, region,",
-    "NULLIF(customer_name, '') AS customer_name, NULLIF(region, '') AS region,") + " FROM sales")
-
-
-def _drop_schema(raw: DataFrame) -> T.StructType:
-    return T.StructType([f for f in raw.schema.fields if f.name != ROW_SEQ])
-
-
-_DROP_DIRS: dict[int, str] = {}
-
-
-def _drop_dir(d: Drop) -> str:
-    """The raw rows written once as a daily CSV drop in the shared folder
-    (one folder per loaded Drop; the drop is an input, like a landing zone)."""
-    if id(d) not in _DROP_DIRS:
-        _DROP_DIRS[id(d)] = write_daily_drop(d.raw, scratch_path(d.spark, "drop"))
-    return _DROP_DIRS[id(d)]
-
-
-def _csv_drop(d: Drop) -> DataFrame:
-    """Scan the daily CSV drop of ``d``."""
-    return read_daily_drop(d.spark, _drop_dir(d), _drop_schema(d.raw))
-
-
-@register("scan_daily_csv", _CSV_RAW_ORACLE)
-def _scan_daily_csv(d: Drop) -> DataFrame:
-    return _raw_out(_csv_drop(d))
-
-
-@register("csv_sales_clean", OQ.ORACLE["sales_clean"])
-def _csv_sales_clean(d: Drop) -> DataFrame:
-    """The cleaning view over a scanned CSV drop: first copies by file order."""
-    return as_output(C.sales_clean(_csv_drop(d)))
-
-
-@register("write_raw_table", ODQ.ORACLE["preview_head"].rsplit("ORDER BY", 1)[0])
-def _write_raw(d: Drop) -> DataFrame:
-    path = write_raw_table(d.raw, scratch_path(d.spark, "raw"))
-    return _raw_out(d.spark.read.parquet(path))
-
-
-@register("write_clean_csv", ODQ.ORACLE["split_kept"])
-def _write_clean_csv(d: Drop) -> DataFrame:
-    path = write_clean_csv(d.kept, scratch_path(d.spark, "clean_csv"))
-    back = d.spark.read.schema(d.kept.schema).option("header", True).csv(path)
-    return as_output(back)
-
-
-# One of the nine questions as a user would type it, against registered views.
-READ_QUERY_SQL = """
-SELECT payment_method,
-       COUNT(DISTINCT order_id) AS order_count,
-       ROUND(100.0 * COUNT(DISTINCT order_id) / (SELECT COUNT(DISTINCT order_id) FROM sales_clean), 1)
-         AS pct_of_orders,
-       ROUND(SUM(revenue), 2) AS total_revenue,
-       ROUND(100.0 * SUM(revenue) / (SELECT SUM(revenue) FROM sales_clean), 1) AS pct_of_revenue,
-       ROUND(AVG(revenue), 2) AS avg_order_value
-FROM sales_clean
-GROUP BY payment_method
-ORDER BY total_revenue DESC
-"""
-
-
-@register("read_query", OQ.ORACLE["q7_payment"])
-def _read_query(d: Drop) -> DataFrame:
-    register_views(d.spark, d)
-    return as_output(read_query(d.spark, READ_QUERY_SQL))
-
-
-@register("sample_fraction")
-def _sample(d: Drop) -> DataFrame:
-    """A 2% Bernoulli sample of raw rows (fixed seed); checked by row count."""
-    return _raw_out(d.raw.sample(withReplacement=False, fraction=0.02, seed=42))
-
-
-@register("stream_ingest_first_copies",
-          _with_base(f"SELECT {_DEDUP_OUT.split(', CAST(gross_revenue')[0]} FROM dedup"))
-def _stream(d: Drop) -> DataFrame:
-    """Drop folder -> availableNow stream -> raw table -> first copies, cleaned."""
-    drop_dir = _drop_dir(d)
-    table_dir = scratch_path(d.spark, "stream_table")
-    q = ingest_available(d.spark, drop_dir, table_dir, scratch_path(d.spark, "stream_ckpt"),
-                         _drop_schema(d.raw))
-    q.awaitTermination()
-    return as_output(C.dedup_clean(read_ingested(d.spark, table_dir)))
+    """The five tests with their verdicts; the three ANOVAs share one pass."""
+    a = S.anova_factors(d.kept, S.standard_factors())
+    factor = F.col("factor")
+    anovas = a.select(
+        F.when(factor == "region", 1).when(factor == "salesperson", 2).otherwise(4)
+         .alias("position"),
+        F.concat(F.lit("anova_"), F.when(factor == "discount_pct", F.lit("discount"))
+                 .otherwise(factor)).alias("test"),
+        F.round("f_stat", 6).alias("statistic"), F.round("p_value", 9).alias("p_value"),
+        "verdict")
+    corr = S.corr_discount_quantity(d.kept).select(
+        F.lit(3).alias("position"), F.lit("corr_discount_quantity").alias("test"),
+        F.round("r", 10).alias("statistic"), F.round("p_value", 9).alias("p_value"), "verdict")
+    ttest = S.ttest_returns(d.dedup).select(
+        F.lit(5).alias("position"), F.lit("ttest_returns").alias("test"),
+        F.round("t_stat", 6).alias("statistic"), F.round("p_value", 9).alias("p_value"),
+        "verdict")
+    return anovas.unionByName(corr).unionByName(ttest)
