@@ -52,3 +52,38 @@ def test_matches_oracle(spark, duck, key):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "revenue_rank" in df.columns
+
+
+# SURVEY section 2 inventory: every key must stay registered.
+INVENTORY = {
+    # 2.1 scans, sources, sinks
+    "scan_daily_csv", "csv_sales_clean", "write_raw_table", "sales_clean", "targets_dim",
+    "read_query", "write_clean_csv", "preview_head", "dataset_overview", "column_profile",
+    # 2.2 data quality
+    "dq_missing_names", "dq_missing_region", "dq_negative_qty", "dq_duplicates", "dq_returns",
+    "dq_report", "dq_rows_removed",
+    # 2.3 cleaning
+    "fill_defaults", "abs_quantity", "derive_revenue", "derive_gross_discount",
+    "dedup_filter_first", "dedup_keep_first", "split_kept", "split_returns",
+    "drop_unknown_region", "product_label",
+    # 2.5 the nine questions
+    "q1_salesperson_rank", "q2_category", "q3_region", "q4_daily_trend", "q5_top_products",
+    "q6_discount", "q7_payment", "q8_channel", "q9_target_attainment",
+    # 2.6 exploration, KPIs, executive measures, chart data
+    "kpi_summary", "kpi_returns", "kpi_dashboard", "kpi_daily_average", "eda_category",
+    "eda_category_discount", "eda_daily", "eda_daily_aov", "eda_region",
+    "eda_region_salespeople", "eda_region_efficiency", "eda_products", "eda_products_aov",
+    "eda_top10_products", "eda_discount", "eda_discount_gross", "discount_tier_units",
+    "exec_best_worst_region", "exec_peak_weak_day", "exec_discount_share", "exec_volume_lift",
+    "exec_top2_share", "exec_named_category_share", "chart_category", "chart_daily",
+    "chart_region", "chart_top_products", "chart_discount",
+    # 2.7 statistics
+    "anova_region", "anova_salesperson", "anova_discount", "eta_squared", "stat_verdicts",
+    "corr_discount_quantity", "ttest_returns", "linear_trend", "forecast_next_day",
+    # 2.8 sampling, 2.9 incremental ingestion
+    "sample_fraction", "stream_ingest_first_copies",
+}
+
+
+def test_inventory_is_registered():
+    assert set(E.queries()) == INVENTORY
