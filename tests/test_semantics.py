@@ -103,3 +103,18 @@ def test_volume_lift_missing_tier_is_null(spark, tier, expected):
                            dict(order_id="B", discount_pct=10, quantity=4)])
     row = X.exec_volume_lift(C.kept_orders(raw), 0, tier).collect()[0]
     assert row.volume_lift_pct == expected
+
+
+def test_drop_first_rows_equal_window_dedup(spark):
+    from collections import Counter
+
+    from tillroll.workspace import Drop
+    raw = make_raw(spark, [dict(order_id="A", return_flag="Yes", quantity=2),
+                           dict(order_id="A", return_flag="No", quantity=3),
+                           dict(order_id="B", quantity=5), dict(order_id="B", quantity=6)])
+    d = Drop(spark, raw)
+
+    def bag(df):
+        return Counter(tuple(r) for r in df.collect())
+    assert bag(d.first_rows) == bag(C.keep_first(raw).drop("row_seq"))
+    assert bag(d.first_kept_rows) == bag(C.keep_first(C.split_kept(raw)).drop("row_seq"))

@@ -62,6 +62,6 @@ def load(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> D
         C.first_copies(raw).write.mode("overwrite").parquet(firsts_path)
         firsts = spark.read.parquet(firsts_path)
         drop = Drop(spark, raw, params, clean=C.sales_clean_from_firsts(firsts),
-                    dedup=C.dedup_clean_from_firsts(firsts, with_gross=True))
+                    dedup=C.dedup_clean_from_firsts(firsts, with_gross=True), firsts=firsts)
         _LOADS[key] = drop
         return drop

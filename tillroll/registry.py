@@ -108,9 +108,9 @@ register("derive_gross_discount", ODQ.ORACLE["derive_gross_discount"])(
     lambda d: _raw_out(C.derive_gross_discount(
         C.derive_revenue(C.abs_quantity(C.fill_defaults(d.raw))))))
 register("dedup_filter_first", ODQ.ORACLE["dedup_filter_first"])(
-    lambda d: _raw_out(C.keep_first(C.split_kept(d.raw))))
+    lambda d: _raw_out(d.first_kept_rows))
 register("dedup_keep_first", ODQ.ORACLE["dedup_keep_first"])(
-    lambda d: _raw_out(C.keep_first(d.raw)))
+    lambda d: _raw_out(d.first_rows))
 register("split_kept", ODQ.ORACLE["split_kept"])(lambda d: as_output(d.kept))
 register("split_returns", ODQ.ORACLE["split_returns"])(lambda d: as_output(d.returns))
 register("drop_unknown_region", ODQ.ORACLE["drop_unknown_region"])(

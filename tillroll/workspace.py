@@ -21,14 +21,29 @@ class Drop:
     """
 
     def __init__(self, spark: SparkSession, raw: DataFrame, params: Params = FIXTURE_PARAMS,
-                 clean: DataFrame | None = None, dedup: DataFrame | None = None):
+                 clean: DataFrame | None = None, dedup: DataFrame | None = None,
+                 firsts: DataFrame | None = None):
         self.spark = spark
         self.raw = raw
         self.params = params
-        if clean is not None:
-            self.__dict__["clean"] = clean
-        if dedup is not None:
-            self.__dict__["dedup"] = dedup
+        for name, frame in (("clean", clean), ("dedup", dedup), ("firsts", firsts)):
+            if frame is not None:
+                self.__dict__[name] = frame
+
+    @cached_property
+    def firsts(self) -> DataFrame:
+        """Per order_id: first copy over all rows and first non-returned copy."""
+        return C.first_copies(self.raw)
+
+    @cached_property
+    def first_rows(self) -> DataFrame:
+        """Raw columns of the first copy of every order_id (keep-first)."""
+        return self.firsts.select("first.*")
+
+    @cached_property
+    def first_kept_rows(self) -> DataFrame:
+        """Raw columns of the first non-returned copy (filter, then keep-first)."""
+        return self.firsts.filter(F.col("first_kept").isNotNull()).select("first_kept.*")
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str,
