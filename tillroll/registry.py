@@ -3,6 +3,7 @@ key -> DuckDB oracle SQL.  ``__spark_entry__`` exposes both."""
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -254,14 +255,16 @@ def _drop_schema(raw: DataFrame) -> T.StructType:
 
 
 _DROP_DIRS: dict[int, str] = {}
+_DROP_LOCK = threading.Lock()
 
 
 def _drop_dir(d: Drop) -> str:
     """The raw rows written once as a daily CSV drop in the shared folder
     (one folder per loaded Drop; the drop is an input, like a landing zone)."""
-    if id(d) not in _DROP_DIRS:
-        _DROP_DIRS[id(d)] = write_daily_drop(d.raw, scratch_path(d.spark, "drop"))
-    return _DROP_DIRS[id(d)]
+    with _DROP_LOCK:
+        if id(d) not in _DROP_DIRS:
+            _DROP_DIRS[id(d)] = write_daily_drop(d.raw, scratch_path(d.spark, "drop"))
+        return _DROP_DIRS[id(d)]
 
 
 def _csv_drop(d: Drop) -> DataFrame:

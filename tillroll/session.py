@@ -10,6 +10,13 @@ from pyspark.sql import SparkSession
 
 # Settings every tillroll job relies on.  AQE re-plans joins from runtime
 # sizes, coalesces small shuffle partitions and splits skewed join partitions.
+#
+# Partition sizing on a cluster (not set here; it belongs to the cluster):
+# set spark.sql.shuffle.partitions to about input bytes / 128 MB (at least a
+# few times the total cores) and let AQE coalesce toward
+# spark.sql.adaptive.advisoryPartitionSizeInBytes; keep
+# spark.sql.files.maxPartitionBytes at 128-512 MB so scan tasks fit in
+# executor memory.  Ordered scans and the load adapt to these settings.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
