@@ -91,3 +91,13 @@ def test_raw_table_keeps_identity_and_prunes_dates(spark):
     plan = back.filter(F.col("order_date") == date(2026, 6, 3))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PushedFilters: [IsNotNull(order_date), EqualTo(order_date" in plan
+
+
+def test_overview_counts_scanned_files(spark):
+    d = tempfile.mkdtemp(prefix="tillroll-test-")
+    _write(d, "sales_2026_06_22.csv", [_row("A"), _row("B")])
+    _write(d, "sales_2026_06_22_late.csv", [_row("C")])          # two files, one day
+    _write(d, "sales_2026_06_23.csv", [_row("D", day="2026-06-23")])
+    r = DQ.dataset_overview(read_daily_drop(spark, d)).collect()[0]
+    assert (r.files, r.rows, r.columns) == (3, 4, 17)
+    assert str(r.first_date) == "2026-06-22" and str(r.last_date) == "2026-06-23"

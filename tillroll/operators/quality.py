@@ -74,12 +74,16 @@ def dq_rows_removed(raw: DataFrame, deduped: DataFrame) -> DataFrame:
 def dataset_overview(raw: DataFrame, file_col: str | Column | None = None) -> DataFrame:
     """Files, rows, first and last order_date, number of columns.
 
-    ``file_col`` names the source file of each row; without it the number of
-    distinct order dates is used (one file per day).
+    ``file_col`` names the source file of each row; without it the file of
+    a scanned drop's ``row_seq`` is used, or else the number of distinct
+    order dates (one file per day).
     """
     fc = F.col(file_col) if isinstance(file_col, str) else file_col
     if fc is None:
-        fc = F.col("order_date")
+        seq = next((f for f in raw.schema.fields if f.name == ROW_SEQ), None)
+        has_file = seq is not None and "file" in getattr(seq.dataType, "names", [])
+        # a scanned drop knows its files; otherwise one file per order date
+        fc = F.col(f"{ROW_SEQ}.file") if has_file else F.col("order_date")
     cols = [c for c in raw.columns if c != ROW_SEQ]
     return raw.agg(F.count_distinct(fc).alias("files"),
                    F.count(F.lit(1)).alias("rows"),
