@@ -107,3 +107,20 @@ def test_anova_factors_equals_separate_anovas(spark):
         assert (got.groups, got.n) == (ref.groups, ref.n)
         assert math.isclose(got.f_stat, ref.f_stat, rel_tol=1e-9)
         assert math.isclose(got.p_value, ref.p_value, rel_tol=1e-9)
+
+
+def test_one_pass_corr_and_ttest_equal_separate(spark):
+    import random
+    rnd = random.Random(9)
+    rows = [dict(order_id=f"O{i}", discount_pct=rnd.choice([0, 5, 10]), quantity=rnd.randint(1, 9),
+                 unit_price=rnd.randint(5, 500), return_flag=rnd.choice(["Yes", "No", "No", "Maybe"]))
+            for i in range(400)]
+    dedup = C.dedup_clean(make_raw(spark, rows))
+    both = S.kept_corr_and_return_ttest(dedup).collect()[0]
+    corr = S.corr_discount_quantity(C.split_kept(dedup)).collect()[0]
+    tt = S.ttest_returns(dedup).collect()[0]
+    assert both.n == corr.n and math.isclose(both.r, corr.r, rel_tol=1e-12)
+    assert math.isclose(both.corr_p, corr.p_value, rel_tol=1e-9)
+    assert (both.n1, both.n2) == (tt.n1, tt.n2)
+    assert math.isclose(both.t_stat, tt.t_stat, rel_tol=1e-12)
+    assert math.isclose(both.t_p, tt.p_value, rel_tol=1e-9)

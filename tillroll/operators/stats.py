@@ -28,8 +28,8 @@ from tillroll.functions.betainc import with_f_test_p, with_t_test_p
 from tillroll.functions.money import ratio
 from tillroll.operators.clean import drop_unknown_region
 from tillroll.plans.ordering import with_sequence
-from tillroll.schema import (EFFECT_LABELS, ETA_BANDS, LOW_R2, NOT_SIGNIFICANT,
-                             SIGNIFICANCE_ALPHA, SIGNIFICANT, UNKNOWN_REGION)
+from tillroll.schema import (EFFECT_LABELS, ETA_BANDS, KEPT_FLAG, LOW_R2, NOT_SIGNIFICANT,
+                             RETURN_FLAG, SIGNIFICANCE_ALPHA, SIGNIFICANT, UNKNOWN_REGION)
 
 
 def _null() -> Column:
@@ -181,6 +181,41 @@ def ttest_returns(dedup: DataFrame) -> DataFrame:
     return welch_t(dedup, "return_flag", "Yes", "No")
 
 
+def kept_corr_and_return_ttest(dedup: DataFrame) -> DataFrame:
+    """``corr_discount_quantity`` (kept orders) and ``ttest_returns`` from ONE
+    aggregation over the deduplicated rows: conditional aggregates replace
+    the two separate scans.  Columns: n, r, corr_p, n1, n2, mean_first,
+    mean_second, t_stat, df, t_p."""
+    kept = F.col("return_flag") == KEPT_FLAG
+    ret = F.col("return_flag") == RETURN_FLAG
+    x, y = F.col("discount_pct").cast("double"), F.col("quantity").cast("double")
+    v = F.col("revenue").cast("double")
+    pair = kept & x.isNotNull() & y.isNotNull()
+    one = dedup.agg(
+        F.count_if(pair).alias("n"), F.corr(F.when(pair, x), F.when(pair, y)).alias("r"),
+        F.count(F.when(ret, v)).alias("n1"), F.avg(F.when(ret, v)).alias("m1"),
+        F.var_samp(F.when(ret, v)).alias("v1"),
+        F.count(F.when(kept, v)).alias("n2"), F.avg(F.when(kept, v)).alias("m2"),
+        F.var_samp(F.when(kept, v)).alias("v2"))
+    r = F.col("r")
+    cdf = (F.col("n") - 2).cast("double")
+    s1 = F.try_divide(F.col("v1"), F.col("n1"))
+    s2 = F.try_divide(F.col("v2"), F.col("n2"))
+    se2 = s1 + s2
+    tdf = F.try_divide(se2 * se2, F.try_divide(s1 * s1, F.col("n1") - 1)
+                       + F.try_divide(s2 * s2, F.col("n2") - 1))
+    t = F.try_divide(F.col("m1") - F.col("m2"), F.sqrt(se2))
+    stats = one.select(
+        "n", "r", cdf.alias("_cdf"),
+        F.when(cdf > 0, F.when(F.abs(r) >= 1, F.lit(float("inf"))).otherwise(r * r / (1 - r * r)))
+         .alias("_ct2"),
+        "n1", "n2", F.col("m1").alias("mean_first"), F.col("m2").alias("mean_second"),
+        t.alias("t_stat"), tdf.alias("df"))
+    with_cp = with_t_test_p(stats, F.col("_ct2"), F.col("_cdf"), out="corr_p")
+    t2 = F.try_divide(F.col("t_stat") * F.col("t_stat"), F.col("df"))
+    return with_t_test_p(with_cp, t2, F.col("df"), out="t_p").drop("_cdf", "_ct2")
+
+
 def daily_revenue(kept: DataFrame) -> DataFrame:
     """(order_date, exact revenue) per day."""
     return (kept.filter(F.col("order_date").isNotNull())

@@ -231,13 +231,15 @@ def _verdicts(d: Drop) -> DataFrame:
                  .otherwise(factor)).alias("test"),
         F.round("f_stat", 6).alias("statistic"), F.round("p_value", 9).alias("p_value"),
         "verdict")
-    corr = S.corr_discount_quantity(d.kept).select(
+    pair = S.kept_corr_and_return_ttest(d.dedup)     # one pass for both tests
+    corr = pair.select(
         F.lit(3).alias("position"), F.lit("corr_discount_quantity").alias("test"),
-        F.round("r", 10).alias("statistic"), F.round("p_value", 9).alias("p_value"), "verdict")
-    ttest = S.ttest_returns(d.dedup).select(
+        F.round("r", 10).alias("statistic"), F.round("corr_p", 9).alias("p_value"),
+        S.verdict(F.col("corr_p")).alias("verdict"))
+    ttest = pair.select(
         F.lit(5).alias("position"), F.lit("ttest_returns").alias("test"),
-        F.round("t_stat", 6).alias("statistic"), F.round("p_value", 9).alias("p_value"),
-        "verdict")
+        F.round("t_stat", 6).alias("statistic"), F.round("t_p", 9).alias("p_value"),
+        S.verdict(F.col("t_p")).alias("verdict"))
     return anovas.unionByName(corr).unionByName(ttest)
 
 
