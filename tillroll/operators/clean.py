@@ -12,6 +12,10 @@ in the file).  The dedup is a ``row_number() == 1`` window partitioned by
 order_id; Spark plans it as a WindowGroupLimit that already keeps one row
 per order_id and map partition before the shuffle, so a hot order_id with
 millions of copies never reaches a reducer whole.
+
+``first_copies`` computes *both* first copies (over all rows and over
+non-returned rows) with one ``groupBy(order_id)`` of two ``min_by``
+aggregates; the load path uses it so one shuffle serves both orders.
 """
 
 from __future__ import annotations
