@@ -101,9 +101,10 @@ class Words:
         return mix(out ^ (self.ends - self.starts).astype(_U))
 
 
-def split_words(column: pa.Array | pa.ChunkedArray) -> Words:
+def split_words(column: pa.Array | pa.ChunkedArray, inside_bytes: np.ndarray = _IS_WORD) -> Words:
+    """Words of all texts; ``inside_bytes``: for each byte value, whether it belongs to a word."""
     data, offsets = utf8_buffer(column)
-    inside = _IS_WORD[data]
+    inside = inside_bytes[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     if len(data):
         edge[1:-1] = inside[1:] != inside[:-1]
