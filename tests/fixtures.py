@@ -12,6 +12,7 @@ from tillroll.schema import PRICE
 RAW_TYPES = T.StructType([
     T.StructField("order_id", T.StringType()),
     T.StructField("order_date", T.DateType()),
+    T.StructField("order_time", T.StringType()),
     T.StructField("customer_id", T.LongType()),
     T.StructField("customer_name", T.StringType()),
     T.StructField("region", T.StringType()),
@@ -29,7 +30,7 @@ RAW_TYPES = T.StructType([
     T.StructField("row_seq", T.StructType([T.StructField("pos", T.LongType())])),
 ])
 
-DEFAULTS = dict(order_id="O1", order_date=date(2026, 6, 22), customer_id=1, customer_name="C1",
+DEFAULTS = dict(order_id="O1", order_date=date(2026, 6, 22), order_time="09:00:00", customer_id=1, customer_name="C1",
                 region="North", city="X", salesperson="S1", category="Dairy",
                 product_name="Milk", sku_id=1, quantity=1, unit_price=Decimal("10.00"),
                 discount_pct=0, return_flag="No", payment_method="Cash", channel="Online")

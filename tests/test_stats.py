@@ -124,3 +124,54 @@ def test_one_pass_corr_and_ttest_equal_separate(spark):
     assert (both.n1, both.n2) == (tt.n1, tt.n2)
     assert math.isclose(both.t_stat, tt.t_stat, rel_tol=1e-12)
     assert math.isclose(both.t_p, tt.p_value, rel_tol=1e-9)
+
+
+def _beta_cdf(a, b, r):
+    """I_x(a, b) by integrating the density over log-odds around its peak: no series, no fraction."""
+    import math
+    n, mode = a + b, math.log(a / b)
+    width = math.sqrt(n / (a * b))
+    upper = -math.log(r)
+
+    def log_density(z):      # of log-odds z = log(x / (1 - x)), up to a constant
+        d = z - mode
+        soft = math.log1p(a / n * math.expm1(d))
+        return a * d - n * soft
+
+    def integral(low, high, steps=20000):
+        h = (high - low) / steps
+        return h / 3 * sum((1 if k in (0, steps) else 4 if k % 2 else 2) * math.exp(log_density(low + k * h))
+                           for k in range(steps + 1))
+    low, high = mode - 12 * width, mode + 12 * width
+    cut = min(max(upper, low), high)
+    left, right = integral(low, cut) if cut > low else 0.0, integral(cut, high) if cut < high else 0.0
+    return left / (left + right)
+
+
+def test_p_values_at_huge_degrees_of_freedom(spark):
+    import math
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from tillroll.functions.betainc import f_test_p, t_test_p
+    cases = [(f, d1, d2) for d1 in (1e6, 1e8, 1e10) for d2 in (1e6, 1e8, 1e10) for f in (0.999, 1.0, 1.0005)]
+    cases += [(1.0001, 3e5, 5e4), (1.0, 41000.0, 41000.0), (0.98, 41000.0, 2e9)]
+    df = spark.createDataFrame(cases, "f double, d1 double, d2 double")
+    for f, d1, d2, p in df.select("*", f_test_p(F.col("f"), F.col("d1"), F.col("d2")).alias("p")).collect():
+        assert p == pytest.approx(_beta_cdf(d2 / 2, d1 / 2, f * d1 / d2), abs=1e-6), (f, d1, d2)
+    closed = [(f, d2) for f in (0.5, 1.0, 4.0) for d2 in (1e6, 1e8, 1e10)]
+    df = spark.createDataFrame(closed, "f double, d2 double")
+    for f, d2, p in df.select("*", f_test_p(F.col("f"), F.lit(2.0), F.col("d2")).alias("p")).collect():
+        assert p == pytest.approx(math.exp(-d2 / 2 * math.log1p(2 * f / d2)), rel=1e-9)
+    df = spark.createDataFrame([(t, d) for t in (0.1, 1.0, 2.5, 6.0) for d in (1e6, 1e8, 1e10)], "t double, d double")
+    for t, d, p in df.select("*", t_test_p(F.col("t"), F.col("d")).alias("p")).collect():
+        assert p == pytest.approx(math.erfc(t / math.sqrt(2)), abs=1e-6)
+
+
+def test_an_unfinished_fraction_is_no_number(spark):
+    from pyspark.sql import functions as F
+
+    from tillroll.functions.betainc import p_from_ratio
+    row = spark.range(1).select(p_from_ratio(F.lit(15000.0), F.lit(15000.0), F.lit(1.0), terms=5).alias("p")).first()
+    assert row.p is None

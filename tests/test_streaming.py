@@ -38,3 +38,12 @@ def test_first_copy_independent_of_arrival_order(spark):
     rows = read_ingested(spark, table)
     assert rows.count() == 7
     assert {r.order_id for r in C.keep_first(rows).collect()} == {"A", "B", "C", "D"}
+
+
+def test_stream_aligns_columns_by_name(spark):
+    from tests.test_sources import _mixed_drop
+    base = tempfile.mkdtemp(prefix="tillroll-stream-")
+    table = os.path.join(base, "table")
+    ingest_available(spark, _mixed_drop(), table, os.path.join(base, "ckpt")).awaitTermination()
+    got = {r.order_id: (r.quantity, r.customer_name, r.channel) for r in read_ingested(spark, table).collect()}
+    assert got == {"A": (1, "Shop", "Online"), "B": (2, "Bob", "Online"), "C": (3, "Shop", None)}

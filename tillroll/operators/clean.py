@@ -13,9 +13,8 @@ order_id; Spark plans it as a WindowGroupLimit that already keeps one row
 per order_id and map partition before the shuffle, so a hot order_id with
 millions of copies never reaches a reducer whole.
 
-``first_copies`` computes *both* first copies (over all rows and over
-non-returned rows) with one ``groupBy(order_id)`` of two ``min_by``
-aggregates; the load path uses it so one shuffle serves both orders.
+``first_copies`` keeps the rows that either order needs, flat and once each;
+the load stores them, so both views are filters over one table.
 """
 
 from __future__ import annotations
@@ -108,34 +107,41 @@ def product_label(df: DataFrame, out: str = "label") -> DataFrame:
 
 
 def first_copies(raw: DataFrame, key: str = "order_id", order: str = ROW_SEQ) -> DataFrame:
-    """Both first copies of every ``key`` from ONE aggregation (one shuffle).
+    """Flat rows that serve both cleaning orders, with ``is_first``.
+
+    One row per (key, return_flag) survives: its first copy.  Among the few
+    survivors of a key the first is marked, which is the first copy over all
+    rows; the survivor that is not returned is the first kept copy.  Rows that
+    are neither are left out.  The first ranking keeps one row per group and
+    map partition before the shuffle (a partial WindowGroupLimit), so a hot
+    key shrinks there; the second sees the survivors alone.
+    """
+    copy = F.row_number().over(Window.partitionBy(key, "return_flag").orderBy(order))
+    survivors = raw.withColumn("_copy", copy).filter(F.col("_copy") == 1).drop("_copy")
+    place = F.row_number().over(Window.partitionBy(key).orderBy(order))
+    return (survivors.withColumn("is_first", place == 1)
+                     .filter(F.col("is_first") | (F.col("return_flag") == KEPT_FLAG)))
 
-    ``first``      - the first copy over all rows (EDA dedup);
-    ``first_kept`` - the first copy among non-returned rows (the view), or NULL.
 
-    ``min_by`` ignores rows whose ordering value is NULL, so masking the
-    order of returned rows selects the first kept copy.  Partial aggregation
-    runs map-side, so a hot key is cut to one row per map partition before
-    the shuffle, as with the window's partial WindowGroupLimit.
-    """
-    cols = [c for c in raw.columns if c != order]
-    row = F.struct(*[F.col(c) for c in cols])
-    kept = F.col("return_flag") == KEPT_FLAG
-    return raw.groupBy(key).agg(
-        F.min_by(row, F.col(order)).alias("first"),
-        F.min_by(row, F.when(kept, F.col(order))).alias("first_kept"))
+def first_rows(firsts: DataFrame) -> DataFrame:
+    """The first copy of every key over all rows."""
+    return firsts.filter("is_first").drop("is_first")
+
+
+def first_kept_rows(firsts: DataFrame) -> DataFrame:
+    """The first copy of every key among rows that were not returned."""
+    return split_kept(firsts).drop("is_first")
 
 
 def sales_clean_from_firsts(firsts: DataFrame) -> DataFrame:
     """The cleaning view from ``first_copies`` output."""
-    kept_first = firsts.filter(F.col("first_kept").isNotNull()).select("first_kept.*")
-    cleaned = derive_revenue(abs_quantity(fill_defaults(kept_first)))
+    cleaned = derive_revenue(abs_quantity(fill_defaults(first_kept_rows(firsts))))
     return cleaned.select(*SALES_COLUMNS, "revenue")
 
 
 def dedup_clean_from_firsts(firsts: DataFrame, with_gross: bool = False) -> DataFrame:
     """EDA cleaning (keep first over all rows) from ``first_copies`` output."""
-    cleaned = derive_revenue(abs_quantity(fill_defaults(firsts.select("first.*"))))
+    cleaned = derive_revenue(abs_quantity(fill_defaults(first_rows(firsts))))
     cols = [*SALES_COLUMNS, "revenue"]
     if with_gross:
         cleaned = derive_gross_discount(cleaned)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.money import ratio, rounded, to_double
 from tillroll.operators.clean import drop_unknown_region, product_label
+from tillroll.plans.ordering import grouped_totals
 from tillroll.schema import KEPT_FLAG, KPI_CARD_LABELS, MONEY, RETURN_FLAG, Params
 
 _R2 = "decimal(38,2)"
@@ -46,8 +47,7 @@ def _aov(rev_r: str = "_rev_r", orders: str = "orders") -> Column:
 
 
 def _share(g: DataFrame, rev_r: str = "_rev_r") -> Column:
-    total = g.select(F.sum(rev_r)).scalar()
-    return ratio(F.col(rev_r) * 100, total, 1, half_even=True)
+    return ratio(F.col(rev_r) * 100, grouped_totals(g, rev_r)[rev_r], 1, half_even=True)
 
 
 def eda_category(kept: DataFrame, with_discount: bool = False) -> DataFrame:
@@ -235,18 +235,20 @@ def exec_volume_lift(kept: DataFrame, base_tier: int = Params.base_tier,
                      deep_tier: int = Params.deep_tier) -> DataFrame:
     """Units per order at the deep tier against the base tier, in percent.
 
-    lift = (U_d/O_d - U_b/O_b) / (U_b/O_b) * 100, evaluated exactly as
-    (U_d*O_b - U_b*O_d) * 100 / (U_b*O_d).  A missing tier gives NULL.
+    lift = (U_d/O_d - U_b/O_b) / (U_b/O_b) * 100 from the two means with 18
+    decimals, whose size does not grow with the rows.  A missing tier gives
+    NULL.
     """
     b, d = F.col("discount_pct") == base_tier, F.col("discount_pct") == deep_tier
     t = kept.agg(F.sum(F.when(b, F.col("quantity"))).alias("ub"), F.count_if(b).alias("ob"),
                  F.sum(F.when(d, F.col("quantity"))).alias("ud"), F.count_if(d).alias("od"))
-    ub, ob, ud, od = (F.col(c).cast("decimal(38,0)") for c in ("ub", "ob", "ud", "od"))
+    mean = lambda u, o: F.try_divide(F.col(u).cast("decimal(38,18)"), F.col(o)).cast("decimal(38,18)")
+    t = t.select(mean("ub", "ob").alias("base"), mean("ud", "od").alias("deep"))
     return t.select(F.lit(base_tier).alias("base_tier"), F.lit(deep_tier).alias("deep_tier"),
-                    ratio(ub, F.nullif(ob, F.lit(0)), 2, half_even=True).alias("base_units_per_order"),
-                    ratio(ud, F.nullif(od, F.lit(0)), 2, half_even=True).alias("deep_units_per_order"),
-                    ratio((ud * ob - ub * od) * 100, F.nullif(ub * od, F.lit(0)), 1, half_even=True)
-                    .alias("volume_lift_pct"))
+                    rounded("base", 2, half_even=True).alias("base_units_per_order"),
+                    rounded("deep", 2, half_even=True).alias("deep_units_per_order"),
+                    ratio((F.col("deep") - F.col("base")) * 100, F.nullif(F.col("base"), F.lit(0)), 1,
+                          half_even=True).alias("volume_lift_pct"))
 
 
 def exec_top2_share(kept: DataFrame) -> DataFrame:
@@ -257,8 +259,8 @@ def exec_top2_share(kept: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct((-F.col("revenue")).alias("k"),
                                              F.col("category").alias("c")))).alias("t"),
         F.sum(F.col("pct_of_revenue").cast("decimal(10,1)")).alias("_share")
-    ).select(F.col("t")[0]["c"].alias("first_category"),
-             F.col("t")[1]["c"].alias("second_category"),
+    ).select(F.get("t", F.lit(0))["c"].alias("first_category"),
+             F.get("t", F.lit(1))["c"].alias("second_category"),
              to_double("_share").alias("top2_share_pct"))
 
 

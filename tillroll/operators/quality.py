@@ -71,25 +71,32 @@ def dq_rows_removed(raw: DataFrame, deduped: DataFrame) -> DataFrame:
                          F.lit(len(deduped.columns)).alias("clean_columns")))
 
 
-def dataset_overview(raw: DataFrame, file_col: str | Column | None = None) -> DataFrame:
-    """Files, rows, first and last order_date, number of columns.
-
-    ``file_col`` names the source file of each row; without it the file of
-    a scanned drop's ``row_seq`` is used, or else the number of distinct
-    order dates (one file per day).
+def unparsed_report(raw: DataFrame) -> DataFrame:
+    """Values of a scanned drop that did not convert, by column: (column_name, values, rows, example)."""
+    fault = F.explode(f"{ROW_SEQ}.faults")
+    return (raw.select(fault.alias("fault"))
+               .select(F.substring_index("fault", "=", 1).alias("column_name"),
+                       F.expr("substring(fault, locate('=', fault) + 1)").alias("text"))
+               .groupBy("column_name")
+               .agg(F.count(F.lit(1)).alias("values"), F.min("text").alias("example"))
+               .orderBy("column_name"))
+
+
+def dataset_overview(raw: DataFrame, files: int | None = None) -> DataFrame:
+    """Files, rows, first and last order_date, number and list of columns.
+
+    ``files`` is the number of source files, as ``daily_csv.source_files``
+    counts them for a scanned drop (files without rows included); without it
+    the number of distinct order dates (one file per day).
     """
-    fc = F.col(file_col) if isinstance(file_col, str) else file_col
-    if fc is None:
-        seq = next((f for f in raw.schema.fields if f.name == ROW_SEQ), None)
-        has_file = seq is not None and "file" in getattr(seq.dataType, "names", [])
-        # a scanned drop knows its files; otherwise one file per order date
-        fc = F.col(f"{ROW_SEQ}.file") if has_file else F.col("order_date")
     cols = [c for c in raw.columns if c != ROW_SEQ]
-    return raw.agg(F.count_distinct(fc).alias("files"),
+    return raw.agg(F.count_distinct("order_date").alias("files") if files is None
+                   else F.lit(files).cast("long").alias("files"),
                    F.count(F.lit(1)).alias("rows"),
                    F.min("order_date").alias("first_date"),
                    F.max("order_date").alias("last_date"),
-                   F.lit(len(cols)).alias("columns"))
+                   F.lit(len(cols)).alias("columns"),
+                   F.lit(", ".join(cols)).alias("column_names"))
 
 
 def column_profile(raw: DataFrame) -> DataFrame:

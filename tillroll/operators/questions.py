@@ -6,9 +6,10 @@ choices, all exact:
 
 * order_id is unique after the keep-first dedup, so ``COUNT(DISTINCT
   order_id)`` is written as ``COUNT(order_id)`` (no Expand, no extra shuffle);
-* whole-table denominators are scalar subqueries over the grouped result
-  (the sum of exact group sums equals the table total), so they reuse the
-  group-by exchange instead of rescanning the table;
+* whole-table denominators come from the grouped rows (the sum of exact
+  group sums equals the table total): the ranking carries them along, other
+  questions use ``plans.ordering.grouped_totals`` over the persisted grouped
+  rows, so each question scans its table once;
 * global ranks and running totals come from ``plans.ordering`` instead of
   a window without PARTITION BY;
 * Q9 aggregates actuals per salesperson *before* joining targets; both
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import pct, ratio, rounded, to_double
-from tillroll.plans.ordering import with_rank, with_sequence
+from tillroll.plans.ordering import grouped_totals, with_rank, with_sequence
 from tillroll.schema import BELOW_TARGET, MONEY, ON_TARGET, Params
 
 
@@ -39,12 +40,11 @@ def _money_aggs() -> list:
 def q1_salesperson_rank(clean: DataFrame) -> DataFrame:
     g = clean.groupBy("salesperson").agg(F.count("order_id").alias("total_orders"),
                                          *_money_aggs())
-    total = g.select(F.sum("_rev")).scalar()
-    ranked = with_rank(g, "_rev", "revenue_rank")
+    ranked = with_rank(g, "_rev", "revenue_rank", total="_all")
     return (ranked.select(
                 "revenue_rank", "salesperson", "total_orders",
                 rounded("_rev", 2).alias("total_revenue"),
-                pct("_rev", total, 1).alias("pct_of_total"),
+                pct("_rev", "_all", 1).alias("pct_of_total"),
                 ratio("_rev", "_nrev", 2).alias("avg_order_value"))
             .orderBy(F.desc("total_revenue"), "salesperson"))
 
@@ -102,7 +102,7 @@ def q5_top_products(clean: DataFrame, n: int = Params.top_n) -> DataFrame:
     g = clean.groupBy("sku_id", "product_name", "category").agg(
         F.sum("quantity").alias("_units"), *_money_aggs(),
         F.count("order_id").alias("order_count"))
-    total_orders = g.select(F.sum("order_count")).scalar()
+    total_orders = grouped_totals(g, "order_count")["order_count"]
     return (g.select(
                 "product_name", "sku_id", "category",
                 to_double("_units").alias("units_sold"),
@@ -132,9 +132,8 @@ def q6_discount(clean: DataFrame) -> DataFrame:
 def q7_payment(clean: DataFrame) -> DataFrame:
     g = clean.groupBy("payment_method").agg(F.count("order_id").alias("order_count"),
                                             *_money_aggs())
-    totals = g.agg(F.sum("order_count").alias("n"), F.sum("_rev").alias("r"))
-    total_orders = totals.select("n").scalar()
-    total_rev = totals.select("r").scalar()
+    totals = grouped_totals(g, "order_count", "_rev")
+    total_orders, total_rev = totals["order_count"], totals["_rev"]
     return (g.select(
                 "payment_method", "order_count",
                 pct("order_count", total_orders, 1).alias("pct_of_orders"),
@@ -150,7 +149,7 @@ def q8_channel(clean: DataFrame) -> DataFrame:
         F.countDistinct("salesperson").alias("salespeople_involved"),
         F.countDistinct("customer_id").alias("unique_customers"),
         *_money_aggs())
-    total_rev = g.select(F.sum("_rev")).scalar()
+    total_rev = grouped_totals(g, "_rev")["_rev"]
     return (g.select(
                 "channel", "order_count", "salespeople_involved", "unique_customers",
                 rounded("_rev", 2).alias("channel_revenue"),

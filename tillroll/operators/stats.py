@@ -21,13 +21,14 @@ gives F = +infinity and p = 0 (NULL if the groups do not differ either).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.betainc import with_f_test_p, with_t_test_p
 from tillroll.functions.money import ratio
 from tillroll.operators.clean import drop_unknown_region
-from tillroll.plans.ordering import with_sequence
+from tillroll.plans.ordering import grouped_totals, with_sequence
 from tillroll.schema import (EFFECT_LABELS, ETA_BANDS, KEPT_FLAG, LOW_R2, NOT_SIGNIFICANT,
                              RETURN_FLAG, SIGNIFICANCE_ALPHA, SIGNIFICANT, UNKNOWN_REGION)
 
@@ -61,8 +62,9 @@ def anova_oneway(df: DataFrame, group: str, value: str = "revenue") -> DataFrame
     """One row: groups, n, df_between, df_within, ssb, ssw, f_stat, p_value,
     eta_squared, effect, verdict."""
     g = group_moments(df, group, value)
-    grand = g.select(F.sum(F.col("n") * F.col("mean")) / F.sum("n")).scalar()
-    dev = g.select("n", "vp", (F.col("mean") - grand).alias("dev"))   # one subquery
+    g = g.withColumn("nm", F.col("n") * F.col("mean"))
+    sums = grouped_totals(g, "n", "nm")
+    dev = g.select("n", "vp", (F.col("mean") - sums["nm"] / sums["n"]).alias("dev"))
     one = dev.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"),
                   F.sum(F.col("n") * F.col("dev") * F.col("dev")).alias("ssb"),
                   F.sum(F.col("n") * F.col("vp")).alias("ssw"))
@@ -89,6 +91,7 @@ def anova_factors(df: DataFrame, factors: dict[str, Column],
                 .select(F.col("_f.factor").alias("factor"), F.col("_f.level").alias("level"), "_v"))
     g = tagged.groupBy("factor", "level").agg(
         F.count("_v").alias("n"), F.avg("_v").alias("mean"), F.var_pop("_v").alias("vp"))
+    g.persist(StorageLevel.MEMORY_AND_DISK)      # one row per level, read by both branches
     grand = g.groupBy("factor").agg(
         (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_grand"))
     dev = (g.join(F.broadcast(grand), "factor")

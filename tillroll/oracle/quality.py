@@ -23,7 +23,8 @@ ISSUES = [("missing_names", "Missing customer names"),
           ("duplicates", "Duplicate order IDs"),
           ("returns", "Return orders")]
 
-PROFILE_TYPES = [("order_id", "string"), ("order_date", "date"), ("customer_id", "bigint"),
+PROFILE_TYPES = [("order_id", "string"), ("order_date", "date"), ("order_time", "string"),
+                 ("customer_id", "bigint"),
                  ("customer_name", "string"), ("region", "string"), ("city", "string"),
                  ("salesperson", "string"), ("category", "string"), ("product_name", "string"),
                  ("sku_id", "bigint"), ("quantity", "int"), ("unit_price", "decimal(12,2)"),
@@ -55,7 +56,7 @@ FILLED = OUT_COLS.replace(
 ).replace("region,", "COALESCE(NULLIF(region, ''), 'Unknown Region') AS region,", 1)
 
 def _cleaned_all(gross: bool) -> str:
-    body = (f"SELECT order_id, order_date, customer_id, "
+    body = (f"SELECT order_id, order_date, order_time, customer_id, "
             f"COALESCE(NULLIF(customer_name, ''), 'Unknown Customer') AS customer_name, "
             f"COALESCE(NULLIF(region, ''), 'Unknown Region') AS region, city, salesperson, "
             f"category, product_name, sku_id, ABS(quantity) AS quantity, "
@@ -71,7 +72,7 @@ def _cleaned_all(gross: bool) -> str:
     return body + " FROM sales"
 
 
-DEDUP_OUT = ("order_id, order_date, customer_id, customer_name, region, city, salesperson, "
+DEDUP_OUT = ("order_id, order_date, order_time, customer_id, customer_name, region, city, salesperson, "
              "category, product_name, sku_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price, "
              "discount_pct, return_flag, payment_method, channel, CAST(revenue AS DOUBLE) AS revenue, "
              "CAST(gross_revenue AS DOUBLE) AS gross_revenue, "
@@ -80,7 +81,9 @@ DEDUP_OUT = ("order_id, order_date, customer_id, customer_name, region, city, sa
 SQL = {
     "dataset_overview": """
 SELECT COUNT(DISTINCT order_date) AS files, COUNT(*) AS rows,
-       MIN(order_date) AS first_date, MAX(order_date) AS last_date, 16 AS columns
+       MIN(order_date) AS first_date, MAX(order_date) AS last_date, 17 AS columns,
+       'order_id, order_date, order_time, customer_id, customer_name, region, city, salesperson, category, '
+       || 'product_name, sku_id, quantity, unit_price, discount_pct, return_flag, payment_method, channel' AS column_names
 FROM sales""",
     "column_profile": _profile(),
     "preview_head": f"SELECT {OUT_COLS} FROM sales ORDER BY order_date, {SEQ}, order_id LIMIT 5",
@@ -92,19 +95,14 @@ FROM sales""",
     "dq_rows_removed": """
 SELECT (SELECT COUNT(*) FROM sales) AS raw_rows, (SELECT COUNT(*) FROM dedup) AS clean_rows,
        (SELECT COUNT(*) FROM sales) - (SELECT COUNT(*) FROM dedup) AS rows_removed,
-       16 AS raw_columns, 19 AS clean_columns""",
+       17 AS raw_columns, 20 AS clean_columns""",
     "fill_defaults": f"SELECT {FILLED} FROM sales",
     "abs_quantity": f"SELECT {OUT_COLS.replace('quantity,', 'ABS(quantity) AS quantity,')} FROM sales",
     "derive_revenue": _cleaned_all(False),
     "derive_gross_discount": _cleaned_all(True),
     "dedup_filter_first": f"""
-SELECT {OUT_COLS} FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY {SEQ}) AS _rn
-  FROM sales WHERE return_flag = 'No') WHERE _rn = 1""",
-    "dedup_keep_first": f"""
-SELECT {OUT_COLS} FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY {SEQ}) AS _rn
-  FROM sales) WHERE _rn = 1""",
+SELECT {OUT_COLS} FROM placed WHERE return_flag = 'No' AND place = place_of_first_kept AND twin = 1""",
+    "dedup_keep_first": f"SELECT {OUT_COLS} FROM placed WHERE place = place_of_first AND twin = 1",
     "split_kept": f"SELECT {DEDUP_OUT} FROM kept",
     "split_returns": f"SELECT {DEDUP_OUT} FROM returns",
     "drop_unknown_region": f"SELECT {DEDUP_OUT} FROM kept WHERE region <> 'Unknown Region'",

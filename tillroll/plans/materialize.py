@@ -1,67 +1,117 @@
-"""Load once, query many: materialise a drop's tables in the shared folder.
-
-The original loader stored the raw rows once and every question read them.
-Here ``load`` writes three parquet tables to the shared checkpoint folder
-(``spark.checkpoint.dir``):
-
-* ``raw``    - raw rows with their ``row_seq`` identity, clustered by
-               (order_date, row_seq) so date filters prune row groups;
-* ``firsts`` - per order_id, the first copy over all rows and the first
-               non-returned copy, from ONE aggregation (one shuffle of the
-               raw rows serves both cleaning orders).
-
-``clean`` (the cleaning view) and ``dedup`` (EDA dedup with revenue, gross
-and discount) are projections over ``firsts``; nested-column pruning reads
-only the fields a query uses.  Every query scans these instead of
-re-running the star joins and the deduplication.  The written tables also cut lineage: a lost
-executor costs a re-read, not a recomputation of the whole chain.  Loads
-are cached per application and per input-file fingerprint (sizes and
-modification times), so changed inputs are loaded again.
+"""Load once, query many: a drop's tables, stored when first used.
+
+The original loader stored the rows of a folder of CSV files once and every
+question read that table.  A ``StoredDrop`` keeps three parquet tables under
+fixed names in one folder, each written when a query first needs it and then
+read by all:
+
+* ``sales``   - raw rows with their ``row_seq`` identity, sorted by
+                (order_date, row_seq) inside files, so date filters prune;
+* ``firsts``  - the first copies that the two cleaning orders need, flat, one
+                row each; the view and the EDA set are filters over it;
+* ``targets`` - one row per salesperson.
+
+The written tables also cut lineage: a lost executor costs a re-read.
+
+``load`` stores what the driver's star tables give, ``load_drop`` a folder of
+CSV files.  Loads of the star tables are kept per session and fingerprint of
+every input file (path, length, modification time from the Hadoop listing),
+so changed inputs are loaded again.
 """
 
 from __future__ import annotations
 
-import os
 import threading
+from collections.abc import Callable
+from functools import cached_property
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import clean as C
-from tillroll.schema import FIXTURE_PARAMS, Params
+from tillroll.operators.questions import targets_dim
+from tillroll.schema import FIXTURE_PARAMS, RAW_SCHEMA, Params
 from tillroll.session import scratch_path
+from tillroll.sources.daily_csv import read_daily_drop
 from tillroll.sources.sinks import write_raw_table
-from tillroll.sources.tables import raw_sales
+from tillroll.sources.tables import raw_sales, table_path
 from tillroll.workspace import Drop
 
 _LOADS: dict[tuple, Drop] = {}
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _TABLES = ["lineitem", "orders", "customer", "nation", "region", "supplier", "part"]
 
 
-def _fingerprint(sf_dir: str) -> tuple:
+class StoredDrop(Drop):
+    """A drop whose raw rows, first copies and targets are tables in ``store``."""
+
+    def __init__(self, spark: SparkSession, source: Callable[[], DataFrame], store: str, params: Params = Params()):
+        super().__init__(spark, None, params)
+        del self.__dict__["raw"]
+        self.source = source
+        self.store = store.rstrip("/")
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.store}/{name}")
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        with _LOCK:
+            write_raw_table(self.source(), f"{self.store}/sales")
+            return self._read("sales")
+
+    @cached_property
+    def firsts(self) -> DataFrame:
+        with _LOCK:
+            C.first_copies(self.raw).write.mode("overwrite").parquet(f"{self.store}/firsts")
+            return self._read("firsts")
+
+    @cached_property
+    def targets(self) -> DataFrame:
+        with _LOCK:
+            targets_dim(self.raw, self.params.weekly_target).write.mode("overwrite").parquet(f"{self.store}/targets")
+            return self._read("targets")
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        return C.sales_clean_from_firsts(self.firsts)
+
+    @cached_property
+    def dedup(self) -> DataFrame:
+        return C.dedup_clean_from_firsts(self.firsts, with_gross=True)
+
+    def store_all(self) -> StoredDrop:
+        """Write every table now."""
+        self.raw, self.firsts, self.targets
+        return self
+
+
+def fingerprint(spark: SparkSession, paths: list[str]) -> tuple:
+    """Path, length and modification time of every file under ``paths``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     out = []
-    for t in _TABLES:
-        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        try:
-            st = os.stat(p)
-            out.append((t, st.st_size, int(st.st_mtime)))
-        except OSError:   # not a local path: rely on the path alone
-            out.append((t, p))
-    return tuple(out)
-
-
-def load(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Drop:
-    """A Drop whose raw, clean and dedup frames read materialised tables."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, _fingerprint(sf_dir), params)
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        files = path.getFileSystem(conf)
+        status = files.getFileStatus(path)
+        found = [status] if status.isFile() else []
+        listing = files.listFiles(path, True) if status.isDirectory() else None
+        while listing is not None and listing.hasNext():
+            found.append(listing.next())
+        out += [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in found]
+    return tuple(sorted(out))
+
+
+def load(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> StoredDrop:
+    """The drop that the star tables of ``sf_dir`` give, stored in the shared folder."""
+    files = fingerprint(spark, [table_path(sf_dir, t) for t in _TABLES])
+    key = (spark.sparkContext.applicationId, sf_dir, files, params)
     with _LOCK:
-        if key in _LOADS:
-            return _LOADS[key]
-        raw_path = write_raw_table(raw_sales(spark, sf_dir), scratch_path(spark, "raw"))
-        raw = spark.read.parquet(raw_path)
-        firsts_path = scratch_path(spark, "firsts")
-        C.first_copies(raw).write.mode("overwrite").parquet(firsts_path)
-        firsts = spark.read.parquet(firsts_path)
-        drop = Drop(spark, raw, params, clean=C.sales_clean_from_firsts(firsts),
-                    dedup=C.dedup_clean_from_firsts(firsts, with_gross=True), firsts=firsts)
-        _LOADS[key] = drop
-        return drop
+        if key not in _LOADS:
+            _LOADS[key] = StoredDrop(spark, lambda: raw_sales(spark, sf_dir), scratch_path(spark, "load"), params)
+        return _LOADS[key]
+
+
+def load_drop(spark: SparkSession, csv_path: str, store: str, params: Params = Params(),
+              schema=RAW_SCHEMA) -> StoredDrop:
+    """A folder of CSV files as the tables sales, firsts and targets in ``store``; a second load replaces them."""
+    return StoredDrop(spark, lambda: read_daily_drop(spark, csv_path, schema), store, params).store_all()

@@ -3,7 +3,6 @@ key -> DuckDB oracle SQL.  ``__spark_entry__`` exposes both."""
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,16 +15,14 @@ from tillroll.operators import quality as DQ
 from tillroll.operators import questions as Q
 from tillroll.operators import stats as S
 from tillroll.oracle import explore as OX
+from tillroll.oracle import io as OIO
 from tillroll.oracle import quality as ODQ
 from tillroll.oracle import questions as OQ
 from tillroll.oracle import stats as OS
-from tillroll.oracle.quality import DEDUP_OUT as _DEDUP_OUT
-from tillroll.oracle.quality import OUT_COLS as _RAW_OUT
-from tillroll.oracle.sql import with_base as _with_base
 from tillroll.plans.catalog import read_query, register_views
 from tillroll.plans.materialize import load
 from tillroll.schema import ROW_SEQ, SALES_COLUMNS
-from tillroll.session import scratch_path
+from tillroll.session import scratch_path, stable_path
 from tillroll.sources.daily_csv import read_daily_drop
 from tillroll.sources.sinks import write_clean_csv, write_daily_drop, write_raw_table
 from tillroll.streaming.increments import ingest_available, read_ingested
@@ -231,50 +228,43 @@ def _verdicts(d: Drop) -> DataFrame:
                  .otherwise(factor)).alias("test"),
         F.round("f_stat", 6).alias("statistic"), F.round("p_value", 9).alias("p_value"),
         "verdict")
-    pair = S.kept_corr_and_return_ttest(d.dedup)     # one pass for both tests
-    corr = pair.select(
-        F.lit(3).alias("position"), F.lit("corr_discount_quantity").alias("test"),
-        F.round("r", 10).alias("statistic"), F.round("corr_p", 9).alias("p_value"),
-        S.verdict(F.col("corr_p")).alias("verdict"))
-    ttest = pair.select(
-        F.lit(5).alias("position"), F.lit("ttest_returns").alias("test"),
-        F.round("t_stat", 6).alias("statistic"), F.round("t_p", 9).alias("p_value"),
-        S.verdict(F.col("t_p")).alias("verdict"))
-    return anovas.unionByName(corr).unionByName(ttest)
+    # One row with both tests, one pass; unfolded into two rows, not read twice.
+    pair = S.kept_corr_and_return_ttest(d.dedup).select(F.inline(F.array(
+        F.struct(F.lit(3).alias("position"), F.lit("corr_discount_quantity").alias("test"),
+                 F.round("r", 10).alias("statistic"), F.round("corr_p", 9).alias("p_value"),
+                 S.verdict(F.col("corr_p")).alias("verdict")),
+        F.struct(F.lit(5).alias("position"), F.lit("ttest_returns").alias("test"),
+                 F.round("t_stat", 6).alias("statistic"), F.round("t_p", 9).alias("p_value"),
+                 S.verdict(F.col("t_p")).alias("verdict")))))
+    return anovas.unionByName(pair)
 
 
-# --- 2.1 sources and sinks, 2.8 sampling, 2.9 incremental ingestion ---------------
-
-
-# Blank text written to CSV reads back as missing (pandas semantics).
-_CSV_RAW_ORACLE = _with_base("SELECT " + _RAW_OUT.replace(
-    "customer_name, region,",
-    "NULLIF(customer_name, '') AS customer_name, NULLIF(region, '') AS region,") + " FROM sales")
+# --- 2.1 sources and sinks, 2.9 incremental ingestion -----------------------------
 
 
 def _drop_schema(raw: DataFrame) -> T.StructType:
     return T.StructType([f for f in raw.schema.fields if f.name != ROW_SEQ])
 
 
-_DROP_DIRS: dict[int, str] = {}
-_DROP_LOCK = threading.Lock()
+_WRITTEN: set[str] = set()
 
 
 def _drop_dir(d: Drop) -> str:
-    """The raw rows written once as a daily CSV drop in the shared folder
-    (one folder per loaded Drop; the drop is an input, like a landing zone)."""
-    with _DROP_LOCK:
-        if id(d) not in _DROP_DIRS:
-            _DROP_DIRS[id(d)] = write_daily_drop(d.raw, scratch_path(d.spark, "drop"))
-        return _DROP_DIRS[id(d)]
+    """The raw rows written once as a CSV drop in the shared folder: an
+    input of the CSV keys, like a landing zone (one per loaded Drop)."""
+    path = stable_path(d.spark, f"drop-{d.key}")
+    if path not in _WRITTEN:
+        write_daily_drop(d.raw, path)
+        _WRITTEN.add(path)
+    return path
 
 
 def _csv_drop(d: Drop) -> DataFrame:
-    """Scan the daily CSV drop of ``d``."""
+    """Scan the CSV drop of ``d``."""
     return read_daily_drop(d.spark, _drop_dir(d), _drop_schema(d.raw))
 
 
-@register("scan_daily_csv", _CSV_RAW_ORACLE)
+@register("scan_daily_csv", OIO.ORACLE["scan_daily_csv"])
 def _scan_daily_csv(d: Drop) -> DataFrame:
     return _raw_out(_csv_drop(d))
 
@@ -285,48 +275,40 @@ def _csv_sales_clean(d: Drop) -> DataFrame:
     return as_output(C.sales_clean(_csv_drop(d)))
 
 
-@register("write_raw_table", ODQ.ORACLE["preview_head"].rsplit("ORDER BY", 1)[0])
+@register("write_raw_table", OIO.ORACLE["write_raw_table"])
 def _write_raw(d: Drop) -> DataFrame:
-    path = write_raw_table(d.raw, scratch_path(d.spark, "raw"))
+    path = write_raw_table(d.raw, stable_path(d.spark, f"sales-{d.key}"))
     return _raw_out(d.spark.read.parquet(path))
 
 
 @register("write_clean_csv", ODQ.ORACLE["split_kept"])
 def _write_clean_csv(d: Drop) -> DataFrame:
-    path = write_clean_csv(d.kept, scratch_path(d.spark, "clean_csv"))
+    path = write_clean_csv(d.kept, stable_path(d.spark, f"clean-{d.key}"))
     back = d.spark.read.schema(d.kept.schema).option("header", True).csv(path)
     return as_output(back)
 
 
-# One of the nine questions as a user would type it, against registered views.
+# A query as a user would type it, over several registered views.
 READ_QUERY_SQL = """
-SELECT payment_method,
-       COUNT(DISTINCT order_id) AS order_count,
-       ROUND(100.0 * COUNT(DISTINCT order_id) / (SELECT COUNT(DISTINCT order_id) FROM sales_clean), 1)
-         AS pct_of_orders,
-       ROUND(SUM(revenue), 2) AS total_revenue,
-       ROUND(100.0 * SUM(revenue) / (SELECT SUM(revenue) FROM sales_clean), 1) AS pct_of_revenue,
-       ROUND(AVG(revenue), 2) AS avg_order_value
-FROM sales_clean
-GROUP BY payment_method
-ORDER BY total_revenue DESC
+WITH per_city AS (
+  SELECT salesperson, city, COUNT(*) AS orders, SUM(revenue) AS sold
+  FROM sales_kept GROUP BY salesperson, city)
+SELECT c.city, COUNT(*) AS reps, SUM(c.orders) AS orders,
+       CAST(SUM(c.sold) AS DOUBLE) AS sold,
+       COUNT(CASE WHEN c.sold * 25 >= t.weekly_target THEN 1 END) AS reps_on_pace
+FROM per_city c JOIN targets t ON t.salesperson = c.salesperson
+GROUP BY c.city
+HAVING SUM(c.orders) >= 10
 """
 
 
-@register("read_query", OQ.ORACLE["q7_payment"])
+@register("read_query", OIO.ORACLE["read_query"])
 def _read_query(d: Drop) -> DataFrame:
     register_views(d.spark, d)
-    return as_output(read_query(d.spark, READ_QUERY_SQL))
-
-
-@register("sample_fraction")
-def _sample(d: Drop) -> DataFrame:
-    """A 2% Bernoulli sample of raw rows (fixed seed); checked by row count."""
-    return _raw_out(d.raw.sample(withReplacement=False, fraction=0.02, seed=42))
+    return read_query(d.spark, READ_QUERY_SQL)
 
 
-@register("stream_ingest_first_copies",
-          _with_base(f"SELECT {_DEDUP_OUT.split(', CAST(gross_revenue')[0]} FROM dedup"))
+@register("stream_ingest_first_copies", OIO.ORACLE["stream_ingest_first_copies"])
 def _stream(d: Drop) -> DataFrame:
     """Drop folder -> availableNow stream -> raw table -> first copies, cleaned."""
     drop_dir = _drop_dir(d)

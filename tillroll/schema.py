@@ -32,12 +32,14 @@ RAW_SCHEMA = T.StructType([
     T.StructField("channel", T.StringType()),
 ])
 
-# Columns every analysis reads (order_time is carried but never analysed).
-SALES_COLUMNS = [f.name for f in RAW_SCHEMA.fields if f.name != "order_time"]
+# All 17 columns, in order; cleaning carries every one of them.
+SALES_COLUMNS = [f.name for f in RAW_SCHEMA.fields]
 
 # Hidden column giving the "first copy" order of raw rows: file order, then
 # position in the file.  Sources attach it; cleaning orders by it.
 ROW_SEQ = "row_seq"
+# Folder column of written drops (the files hold every real column).
+DROP_MONTH = "order_month"
 
 # --- fixed values -----------------------------------------------------------
 # Values the analyses must reproduce exactly (labels, thresholds, defaults).

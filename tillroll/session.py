@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -28,6 +30,9 @@ DEFAULT_CONF = {
 }
 
 
+_ROOTS: set[str] = set()
+
+
 def build_session(master: str | None = None, app: str = "tillroll",
                   shuffle_partitions: int | None = None,
                   extra_conf: dict[str, str] | None = None) -> SparkSession:
@@ -54,8 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is only read
-    here.  When it is unset (a local test session) a private folder is set
-    so that ``checkpoint()`` works.
+    here; without it a clear error says so.  A session whose driver and
+    executors are one process (master ``local[...]``) gets a private folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,15 +68,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: written tables need a folder that the driver "
+                               "and all executors share")
         configured = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for written tables, removed when the driver ends."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tillroll-{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        atexit.register(remove_scratch, spark, root)
+    return root
+
+
+def remove_scratch(spark: SparkSession, root: str) -> None:
+    """Delete the folder ``root``; a session that was stopped already leaves it to the cluster's own cleaning."""
+    if spark.sparkContext._jsc is None:
+        return
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table inside the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tillroll/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stable_path(spark: SparkSession, name: str) -> str:
+    """The path of a table that is written again under the same name and then replaced."""
+    return f"{scratch_root(spark)}/{name}"
 
 
 def local_path(uri: str) -> str:

@@ -1,51 +1,125 @@
-"""Daily order drops: one CSV per day with a header row.
+"""Order drops: CSV files with a header row, one or several days per file.
 
 ``read_daily_drop`` scans every file of a drop with a fixed schema (no
 inference pass) and attaches the hidden ``row_seq`` identity column:
 
-    (file path, start of the file split, monotonically_increasing_id())
+    (file path, start of the file split, monotonically_increasing_id(), faults)
 
 The id grows with the row position inside one split and the split start
 orders the splits of a file, so sorting by ``row_seq`` reproduces "files
-in sorted name order, rows in file order" — the order in which the original
-loader concatenated the files — without a global row number.
+in sorted name order, rows in file order" without a global row number.
 
-Columns are matched by header name (``enforceSchema`` off): pandas aligns
-concatenated files by name, a positional read would silently shift them.
-Text that pandas would read as missing (``schema.NULL_TOKENS``) becomes
-NULL; numbers that do not parse become NULL (PERMISSIVE mode).
+Columns are aligned by header name.  The first line of every file is read on
+the driver (as many small reads as the listing has files); files of one
+header are scanned together, columns that a header lacks are NULL, columns
+that the schema lacks are left out.
+
+Everything is read as text and converted here.  Text that pandas reads as
+missing (``schema.NULL_TOKENS``) is NULL.  A whole number may be written with
+a zero fraction (``12.0``, as pandas does for a column with a blank).  Text
+that does not convert is NULL too, and ``row_seq.faults`` names the column
+and the text; ``quality.unparsed_report`` counts them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import datetime
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.schema import NULL_TOKENS, RAW_SCHEMA, ROW_SEQ
-
-
-def null_tokens_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Map pandas' default missing-value tokens to NULL in text columns."""
-    text = [f.name for f in df.schema.fields
-            if isinstance(f.dataType, T.StringType) and (columns is None or f.name in columns)]
-    tokens = F.array(*[F.lit(t) for t in NULL_TOKENS])
-    return df.withColumns({c: F.when(F.array_contains(tokens, F.col(c)), F.lit(None))
-                              .otherwise(F.col(c)) for c in text})
-
-
-def read_daily_drop(spark: SparkSession, path: str,
-                    schema: T.StructType = RAW_SCHEMA) -> DataFrame:
-    """All CSV files under ``path`` (a folder, a glob or a list) as raw rows."""
-    df = (spark.read.schema(schema)
-          .option("header", True)
-          # check each file's header against the schema: a drop whose
-          # columns are reordered fails instead of being read by position
-          .option("enforceSchema", False)
-          .option("mode", "PERMISSIVE")
-          .option("dateFormat", "yyyy-MM-dd")
-          .csv(path))
+from tillroll.schema import DROP_MONTH, NULL_TOKENS, RAW_SCHEMA, ROW_SEQ
+
+
+def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names in the first line of a CSV file, through Hadoop's file systems."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)) if ":" in path else jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(conf).open(where)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+        codec.createInputStream(stream) if codec is not None else stream, "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return tuple(next(csv.reader([line.lstrip("\ufeff")]), [])) if line else ()
+
+
+def _missing(value: Column) -> Column:
+    return F.when(value.isin(NULL_TOKENS), F.lit(None)).otherwise(value)
+
+
+def _converted(value: Column, kind: T.DataType) -> Column:
+    """``value`` (text without missing tokens) as ``kind``; NULL if it does not convert exactly."""
+    if isinstance(kind, T.StringType):
+        return value
+    text = F.trim(value)
+    if isinstance(kind, (T.IntegerType, T.LongType)):
+        whole = F.regexp_extract(text, r"^([+-]?\d+)(\.0*)?$", 1)
+        return whole.try_cast(kind)
+    return text.try_cast(kind)
+
+
+def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns of ``df`` as the schema's columns, with the row's identity and faults."""
+    present = set(df.columns)
+    text = {f.name: _missing(F.col(f"`{f.name}`")) if f.name in present else F.lit(None).cast("string")
+            for f in schema.fields}
+    values = {f.name: _converted(text[f.name], f.dataType) for f in schema.fields}
+    faults = [F.when(text[f.name].isNotNull() & values[f.name].isNull(), F.concat(F.lit(f"{f.name}="), text[f.name]))
+              for f in schema.fields if not isinstance(f.dataType, T.StringType)]
     seq = F.struct(F.col("_metadata.file_path").alias("file"),
                    F.col("_metadata.file_block_start").alias("block"),
-                   F.monotonically_increasing_id().alias("pos"))
-    return null_tokens_to_null(df.withColumn(ROW_SEQ, seq))
+                   F.monotonically_increasing_id().alias("pos"),
+                   F.array_compact(F.array(*faults)).alias("faults"))
+    return df.select(*[values[f.name].alias(f.name) for f in schema.fields], seq.alias(ROW_SEQ))
+
+
+def _in_days(df: DataFrame, days: tuple[datetime.date, datetime.date] | None) -> DataFrame:
+    if days is None or DROP_MONTH not in df.columns:
+        return df
+    return df.filter(F.col(DROP_MONTH).between(*[d.strftime("%Y-%m") for d in days]))
+
+
+def read_daily_drop(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_SCHEMA,
+                    days: tuple[datetime.date, datetime.date] | None = None) -> DataFrame:
+    """All CSV files under ``path`` (a folder, a glob or a list) as raw rows.
+
+    ``days`` (first, last) limits the read: months of a written drop are
+    pruned before a file is opened, then rows by order_date.  An empty folder
+    gives no rows.
+    """
+    # Only the listing is used here: no column is inferred from data.
+    listed = spark.read.schema("value string").option("pathGlobFilter", "*.csv*").csv(path)
+    base = {"basePath": path} if isinstance(path, str) and not any(c in path for c in "*?[{") else {}
+    files = sorted(listed.inputFiles())
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda f: header_of(spark, f), files))
+    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for file, header in zip(files, headers):
+        if header:
+            by_header[header].append(file)
+    parts = []
+    for header, same in by_header.items():
+        text = T.StructType([T.StructField(name, T.StringType()) for name in header])
+        # One header for all files: the folder itself is read, so that its partitions prune.
+        whole = len(by_header) == 1 and len(same) == len(files)
+        df = spark.read.schema(text).option("header", True).option("enforceSchema", True) \
+            .options(**({} if whole else base)).csv(path if whole else same)
+        typed = _typed(_in_days(df, days), schema)
+        parts.append(typed if days is None else typed.filter(F.col("order_date").between(*days)))
+    if not parts:
+        return _typed(spark.createDataFrame([], "order_id string").withColumn("_metadata", F.struct(
+            F.lit("").alias("file_path"), F.lit(0).cast("long").alias("file_block_start"))), schema)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def source_files(raw: DataFrame) -> int:
+    """Number of files that a scanned drop was read from, files without rows included."""
+    return len(set(raw.inputFiles()))

@@ -3,7 +3,7 @@
 Writers never funnel data through one task: daily drops are
 range-partitioned on (order_date, row_seq), so a day holding a third of
 all rows is split over many tasks, and each task writes its own part file
-per day.  File names carry the task number, so sorted path order is the
+per month.  File names carry the task number, so sorted path order is the
 written order and a later ``read_daily_drop`` sees the same first copies.
 """
 
@@ -12,19 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.schema import ROW_SEQ
+from tillroll.schema import DROP_MONTH, ROW_SEQ
 
 
-def write_daily_drop(raw: DataFrame, path: str, partitions: int | None = None) -> str:
-    """Write raw rows as a drop: ``order_date=YYYY-MM-DD/part-*.csv`` with
-    header, rows in first-copy order."""
-    spark = raw.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (raw.repartitionByRange(n, "order_date", ROW_SEQ)
+def write_daily_drop(raw: DataFrame, path: str) -> str:
+    """Write raw rows as a drop: ``order_month=YYYY-MM/part-*.csv`` with
+    header, all columns inside the files, rows in first-copy order.
+
+    A folder per month keeps the files few; a read of some days opens only
+    their months.  The number of ranges is left to Spark (AQE).
+    """
+    ordered = (raw.withColumn(DROP_MONTH, F.date_format("order_date", "yyyy-MM"))
+                  .repartitionByRange("order_date", ROW_SEQ)
                   .sortWithinPartitions("order_date", ROW_SEQ)
                   .drop(ROW_SEQ))
     (ordered.write.mode("overwrite").option("header", True)
-            .partitionBy("order_date").csv(path))
+            .partitionBy(DROP_MONTH).csv(path))
     return path
 
 

@@ -22,17 +22,13 @@ FIRST_COPY_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity",
                     "l_linestatus"]
 
 
-_RELATIONS: dict[tuple[str, int, str], DataFrame] = {}
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table ``name``; the resolved relation (file listing and
-    footer schema) is kept per session, as a catalog would keep it."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    if key not in _RELATIONS:
-        _RELATIONS[key] = spark.read.parquet(path)
-    return _RELATIONS[key]
+    """The parquet table ``name`` with the files that it has now."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,10 +53,14 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(part, F.col("l_partkey") == part.p_partkey))
 
     qty = F.col("l_quantity")
+    second = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 997) % 86400
     return joined.select(
         F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("order_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
+        # the tables have no time of day: a fixed one per order line
+        F.format_string("%02d:%02d:%02d", F.floor(second / 3600), F.floor(second / 60) % 60, second % 60)
+         .alias("order_time"),
         F.col("o_custkey").alias("customer_id"),
         F.when(F.col("c_custkey") % 50 == 0, F.lit("")).otherwise(F.col("c_name")).alias("customer_name"),
         F.when(F.col("l_partkey") % 100 == 7, F.lit("")).otherwise(F.col("r_name")).alias("region"),

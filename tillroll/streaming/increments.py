@@ -7,9 +7,9 @@ the first copy of an order_id is decided when the table is *read*
 in-stream ``dropDuplicates`` would keep whichever copy a task saw first,
 which is not the first copy of the drop.
 
-The position inside a split comes from ``monotonically_increasing_id``,
-which streaming plans do not allow, so it is attached in ``foreachBatch``
-on the batch's (static) DataFrame.  Each batch is written to its own
+The stream only finds out which files are new; each batch reads its files
+with ``read_daily_drop``, the reader of batch jobs, so columns are aligned by
+name and identities are the same.  Each batch is written to its own
 folder ``batch=<epoch>`` in overwrite mode: a batch replayed after a
 failure replaces its own output, which makes the sink idempotent.
 """
@@ -21,27 +21,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.schema import RAW_SCHEMA, ROW_SEQ
-from tillroll.sources.daily_csv import null_tokens_to_null
+from tillroll.schema import RAW_SCHEMA
+from tillroll.sources.daily_csv import read_daily_drop
 
 
-def drop_stream(spark: SparkSession, drop_dir: str, schema: T.StructType = RAW_SCHEMA,
-                files_per_batch: int | None = None) -> DataFrame:
-    """Streaming raw rows of a drop folder with their file and split start."""
-    reader = spark.readStream.schema(schema).option("header", True)
+def new_files(spark: SparkSession, drop_dir: str, files_per_batch: int | None = None) -> DataFrame:
+    """Streaming lines of a drop folder, with the file of each."""
+    reader = spark.readStream.schema("value string").option("pathGlobFilter", "*.csv*") \
+        .option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    df = reader.csv(drop_dir)
-    return null_tokens_to_null(df.withColumns({
-        "_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")}))
+    return reader.text(drop_dir).select(F.col("_metadata.file_path").alias("file"))
 
 
-def _append_batch(table_dir: str):
+def _append_batch(table_dir: str, schema: T.StructType):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        seq = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"),
-                       F.monotonically_increasing_id().alias("pos"))
-        rows = batch.withColumn(ROW_SEQ, seq).drop("_file", "_block")
-        rows.write.mode("overwrite").parquet(f"{table_dir}/batch={epoch_id:010d}")
+        files = [r["file"] for r in batch.distinct().collect()]      # names of this batch's files
+        if files:
+            read_daily_drop(batch.sparkSession, files, schema).write.mode("overwrite") \
+                .parquet(f"{table_dir}/batch={epoch_id:010d}")
     return write
 
 
@@ -49,8 +47,8 @@ def ingest_available(spark: SparkSession, drop_dir: str, table_dir: str, checkpo
                      schema: T.StructType = RAW_SCHEMA,
                      files_per_batch: int | None = None) -> StreamingQuery:
     """Append every not-yet-ingested file of ``drop_dir`` to ``table_dir``, then stop."""
-    stream = drop_stream(spark, drop_dir, schema, files_per_batch)
-    return (stream.writeStream.foreachBatch(_append_batch(table_dir))
+    stream = new_files(spark, drop_dir, files_per_batch)
+    return (stream.writeStream.foreachBatch(_append_batch(table_dir, schema))
                   .option("checkpointLocation", checkpoint_dir)
                   .trigger(availableNow=True)
                   .start())

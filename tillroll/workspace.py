@@ -1,7 +1,8 @@
-"""Lazily built frames of one order drop (raw, clean, dedup, splits)."""
+"""Frames of one order drop (raw, first copies, clean, dedup, splits)."""
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,41 +15,32 @@ from tillroll.sources.tables import raw_sales
 
 
 class Drop:
-    """All frames derive lazily from ``raw``; nothing is computed here.
+    """All frames derive lazily from ``raw``; nothing is computed here."""
 
-    ``clean`` and ``dedup`` may be given (e.g. read from materialised
-    tables); otherwise they are derived from ``raw`` on first use.
-    """
-
-    def __init__(self, spark: SparkSession, raw: DataFrame, params: Params = FIXTURE_PARAMS,
-                 clean: DataFrame | None = None, dedup: DataFrame | None = None,
-                 firsts: DataFrame | None = None):
+    def __init__(self, spark: SparkSession, raw: DataFrame, params: Params = Params()):
         self.spark = spark
-        self.raw = raw
+        self.__dict__["raw"] = raw
         self.params = params
-        for name, frame in (("clean", clean), ("dedup", dedup), ("firsts", firsts)):
-            if frame is not None:
-                self.__dict__[name] = frame
+        self.key = uuid.uuid4().hex[:12]
+
+    @classmethod
+    def from_tables(cls, spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Drop:
+        return cls(spark, raw_sales(spark, sf_dir), params)
 
     @cached_property
     def firsts(self) -> DataFrame:
-        """Per order_id: first copy over all rows and first non-returned copy."""
+        """The rows that the two cleaning orders need (``clean.first_copies``)."""
         return C.first_copies(self.raw)
 
     @cached_property
     def first_rows(self) -> DataFrame:
         """Raw columns of the first copy of every order_id (keep-first)."""
-        return self.firsts.select("first.*")
+        return C.first_rows(self.firsts)
 
     @cached_property
     def first_kept_rows(self) -> DataFrame:
         """Raw columns of the first non-returned copy (filter, then keep-first)."""
-        return self.firsts.filter(F.col("first_kept").isNotNull()).select("first_kept.*")
-
-    @classmethod
-    def from_tables(cls, spark: SparkSession, sf_dir: str,
-                    params: Params = FIXTURE_PARAMS) -> "Drop":
-        return cls(spark, raw_sales(spark, sf_dir), params)
+        return C.first_kept_rows(self.firsts)
 
     @cached_property
     def clean(self) -> DataFrame:
