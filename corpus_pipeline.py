@@ -16,7 +16,7 @@ from tillroll.llm.frames import write_scratch
 from tillroll.llm.jaccard_join import jaccard_join
 from tillroll.llm.queries import PIECES, training_labels
 from tillroll.llm.secret_scan import redact, scan_secrets
-from tillroll.llm.sentence_pieces import decode_pieces, encode_pieces
+from tillroll.llm.sentence_pieces import encode_pieces
 from tillroll.llm.toxicity import learn, score_toxicity
 
 
@@ -67,7 +67,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and a digest of what they decode to."""
-    decoded = decode_pieces(encode_pieces(docs, PIECES, keep=("doc_id", "lang", "source")), PIECES)
+    decoded = encode_pieces(docs, PIECES, keep=("doc_id", "lang", "source"), decoded=True)
     return decoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                           F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 

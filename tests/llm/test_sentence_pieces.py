@@ -42,7 +42,9 @@ def test_spans_are_the_librarys(spark, library):
 def test_whole_table(spark, library):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
+    once = {r.doc_id: r.decoded for r in encode_pieces(docs, MODEL, decoded=True).collect()}
     for r in decode_pieces(encode_pieces(docs, MODEL), MODEL).collect():
+        assert r.decoded == once[r.doc_id]
         assert r.ids == library.encode(texts[r.doc_id], add_eos=True) and r.decoded == library.decode(r.ids)
 
 
@@ -67,3 +69,26 @@ def test_character_map_and_alignment(rule, trim):
 
 def test_empty_table(spark):
     assert decode_pieces(encode_pieces(empty(spark), MODEL), MODEL).collect() == []
+
+
+def test_flat_way_is_the_general_way(library):
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tillroll.llm.sentence_pieces import PieceCoder
+    with open(MODEL, "rb") as f:
+        it = PieceCoder(f.read())
+    rng = random.Random(8)
+    bits = ["a", "the", " ", "  ", "\n", "é", "日", "\U0001F600", "Word", "\t", "1", "...", "\x00"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.choice([0, 1, 5, 60]))) for _ in range(300)]
+    ids, begins, ends, offsets = it.encode_flat(pa.array(texts))
+    for k, (want, b, e) in enumerate(it.encode(texts)):
+        part = slice(offsets[k], offsets[k + 1])
+        assert ids[part].tolist() == want.tolist() == library.encode(texts[k])
+        assert begins[part].tolist() == b.tolist() and ends[part].tolist() == e.tolist()
+    assert it.encode_flat(pa.array(["a ▁ b"])) is None
+    lists = [[], [2], [1, 264, 2], [0, 264], [264, 0, 2], [3 + 0xE3], [3 + 0xE3, 3 + 0x81, 264], [28705, 28705, 264], [13, 264]]
+    flat = np.array([i for x in lists for i in x], np.int64)
+    assert it.decode_flat(flat, np.cumsum([0, *map(len, lists)])) == [library.decode(x) for x in lists]

@@ -12,7 +12,7 @@ from tillroll.llm.jaccard_join import jaccard_join
 from tillroll.llm.lm_score import score_texts, train
 from tillroll.llm.quality import classify_quality
 from tillroll.llm.secret_scan import scan_secrets
-from tillroll.llm.sentence_pieces import decode_pieces, encode_pieces
+from tillroll.llm.sentence_pieces import encode_pieces
 from tillroll.llm.token_counts import count_with_edits
 from tillroll.llm.top_k import top_k, whole_vectors
 from tillroll.llm.toxicity import learn, score_toxicity
@@ -57,8 +57,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op2_sentence_pieces")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode_pieces(table(spark, sf_dir, "documents"), PIECES, add_eos=True)
-    return decode_pieces(encoded, PIECES).select(
+    coded = encode_pieces(table(spark, sf_dir, "documents"), PIECES, add_eos=True, decoded=True)
+    return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),

@@ -7,7 +7,9 @@ normalised range, and the alignment projects it to a range of source bytes.
 
 A piece never holds a space mark behind another character (checked when a
 model is loaded), so no merge crosses from a word into the next one's mark:
-words are encoded once each per task and remembered.
+words are encoded once each per task and remembered.  For models whose
+normaliser only marks spaces, a slice of texts is cut, looked up and put
+together as flat arrays; other models and texts take the general way.
 """
 
 from __future__ import annotations
@@ -18,14 +20,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.frames import map_slices
+from tillroll.llm.frames import map_slices, ship_package
+from tillroll.llm.words import Words, utf8_buffer
 
 MARK = "▁"
 _MARK = MARK.encode()
-REMEMBERED = 300_000         # words kept per task; more only cost time
+REMEMBERED = 200_000         # words kept per task; more only cost time
 
 
 class CharacterMap:
@@ -131,8 +135,18 @@ class PieceCoder:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.by_word = not any(MARK in p.piece.lstrip(MARK) for p in spec.pieces
                                if p.type == proto.ModelProto.SentencePiece.NORMAL)
-        byte = proto.ModelProto.SentencePiece.BYTE
-        self.lengths = np.array([1 if p.type == byte else len(p.piece.encode()) for p in spec.pieces], np.int64)
+        kinds = proto.ModelProto.SentencePiece
+        self.lengths = np.array([1 if p.type == kinds.BYTE else len(p.piece.encode()) for p in spec.pieces], np.int64)
+        surfaces = [bytes([int(p.piece[3:5], 16)]) if p.type == kinds.BYTE else
+                    b"" if p.type == kinds.CONTROL else p.piece.replace(MARK, " ").encode() for p in spec.pieces]
+        self.widths = np.array([len(x) for x in surfaces], np.int64)
+        self.starts = np.cumsum(self.widths) - self.widths
+        self.surface = np.frombuffer(b"".join(surfaces), np.uint8)
+        self.marks = (self.by_word and not self.normalise.map.units and not self.normalise.trim
+                      and self.normalise.escape and self.normalise.prefix)
+        self.plain = np.array([p.type in (kinds.NORMAL, kinds.BYTE) for p in spec.pieces])
+        self.control = np.array([p.type == kinds.CONTROL for p in spec.pieces])
+        self.by_hash: dict[int, bytes] = {}
         spec.normalizer_spec.precompiled_charsmap = b""
         spec.normalizer_spec.add_dummy_prefix = False
         spec.normalizer_spec.remove_extra_whitespaces = False
@@ -173,9 +187,80 @@ class PieceCoder:
             out.append((ids, align[begins].astype(np.int32), align[ends].astype(np.int32)))
         return out
 
+    def encode_flat(self, column: pa.Array) -> tuple[np.ndarray, ...] | None:
+        """(ids, begins, ends, n + 1 offsets) of a column of texts; None if it needs the general way.
+
+        Each text gets one space in front, the normaliser's prefix, and is cut
+        before every space that follows another character.
+        """
+        data, offsets = utf8_buffer(column)
+        if not self.marks or _MARK in data.tobytes():
+            return None
+        filled = np.flatnonzero(np.diff(offsets))
+        data = np.insert(data, offsets[filled], 32)
+        first = offsets.copy()
+        first[1:] += np.cumsum(np.diff(offsets) > 0)
+        space = data == 32
+        cut = np.zeros(len(data) + 1, dtype=bool)
+        cut[1:-1] = space[1:] & ~space[:-1]
+        cut[first] = True
+        at = np.flatnonzero(cut)
+        words = Words(data, at[:-1], at[1:], np.searchsorted(at[:-1], first))
+        raw = words.hashes(lower=False)
+        keys, where, which = np.unique(raw, return_index=True, return_inverse=True)
+        held = self.by_hash
+        wanted = keys.tolist()
+        new = [k for k, h in enumerate(wanted) if h not in held]
+        if len(held) + len(new) > REMEMBERED:
+            held.clear()
+            new = list(range(len(wanted)))
+        blob = data.tobytes()
+        for low in range(0, len(new), 20_000):
+            some = new[low:low + 20_000]
+            text = [blob[words.starts[w]:words.ends[w]].decode().replace(" ", MARK) for w in where[some].tolist()]
+            for k, ids in zip(some, self.cutter.encode(text, num_threads=1)):
+                held[wanted[k]] = np.array(ids, np.int32).tobytes()
+        parts = [held[h] for h in wanted]
+        table = np.frombuffer(b"".join(parts), np.int32)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        if not self.plain[table].all():
+            return None
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[which]
+        ends_at = np.cumsum(n)
+        ids = table[np.arange(n.sum()) + np.repeat(starts[which] - (ends_at - n), n)]
+        id_first = np.concatenate([[0], ends_at])[words.first]
+        # Offsets in the buffer, a mark being one byte there; the space in front of a text has no source byte.
+        ends = np.cumsum(self.widths[ids])
+        base = np.repeat(first[:-1] + 1, np.diff(id_first))
+        begins = np.maximum(ends - self.widths[ids] - base, 0)
+        return ids, begins.astype(np.int32), np.maximum(ends - base, 0).astype(np.int32), id_first
+
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.library.decode(ids)
 
+    def decode_flat(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """Texts of flat ids, from the pieces' surfaces; what those alone cannot tell goes to the library."""
+        width = self.widths[ids]
+        ends = np.cumsum(width)
+        flat = self.surface[np.arange(width.sum()) + np.repeat(self.starts[ids] - (ends - width), width)].tobytes()
+        borders = np.concatenate([[0], ends])[offsets].tolist()
+        odd = ~(self.plain | self.control)[ids]
+        odd[offsets[:-1][offsets[:-1] < offsets[1:]]] |= self.control[ids[offsets[:-1][offsets[:-1] < offsets[1:]]]] & (
+            np.diff(offsets)[np.diff(offsets) > 0] > 1)
+        strange = np.add.reduceat(np.append(odd, 0), offsets[:-1]) > 0 if len(ids) else np.zeros(len(offsets) - 1, bool)
+        strange &= np.diff(offsets) > 0
+        out = []
+        for k in range(len(offsets) - 1):
+            part = flat[borders[k]:borders[k + 1]]
+            try:
+                if strange[k]:
+                    raise ValueError
+                out.append(part[self.normalise.prefix and part[:1] == b" ":].decode())
+            except ValueError:           # unknown ids, ids in front, or bytes that spell no character
+                out.append(self.library.decode(ids[offsets[k]:offsets[k + 1]].tolist()))
+        return out
+
 
 _CODERS: dict[int, PieceCoder] = {}
 
@@ -189,34 +274,48 @@ def coder(model: bytes) -> PieceCoder:
     return _CODERS[key]
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
-    flat = np.concatenate(arrays) if arrays else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+def _lists(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.astype(np.int32, copy=False)))
 
 
-def _encode(model: bytes, add_bos: bool, add_eos: bool):
+def _general(it: PieceCoder, column: pa.Array) -> tuple[np.ndarray, ...]:
+    parts = it.encode([t or "" for t in column.to_pylist()])
+    offsets = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts], dtype=np.int64)])
+    return *(np.concatenate([p[k] for p in parts]) for k in range(3)), offsets
+
+
+def _encode(model: bytes, add_bos: bool, add_eos: bool, decoded: bool):
     def run(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         it = coder(model)
-        texts = [t or "" for t in piece.column("text").to_pylist()]
-        ids, begins, ends = [], [], []
-        for text, (i, b, e) in zip(texts, it.encode(texts)):
-            head, tail = np.zeros(int(add_bos), np.int32), np.full(int(add_eos), len(text.encode()), np.int32)
-            ids.append(np.concatenate([np.full(int(add_bos), it.library.bos_id(), np.int32), i,
-                                       np.full(int(add_eos), it.library.eos_id(), np.int32)]))
-            begins.append(np.concatenate([head, b, tail]))
-            ends.append(np.concatenate([head, e, tail]))
+        column = piece.column("text")
+        sizes = np.diff(utf8_buffer(column)[1])
+        ids, begins, ends, offsets = it.encode_flat(column) or _general(it, column)
+        if add_eos:
+            ids, begins, ends = (np.insert(x, offsets[1:], v) for x, v in (
+                (ids, it.library.eos_id()), (begins, sizes), (ends, sizes)))
+            offsets = offsets + np.arange(len(offsets))
+        if add_bos:
+            ids, begins, ends = (np.insert(x, offsets[:-1], v) for x, v in (
+                (ids, it.library.bos_id()), (begins, 0), (ends, 0)))
+            offsets = offsets + np.arange(len(offsets))
         kept = [k for k, name in enumerate(piece.schema.names) if name != "text"]
-        yield pa.RecordBatch.from_arrays(
-            [*[piece.column(k) for k in kept], _lists(ids), _lists(begins), _lists(ends)],
-            [*[piece.schema.names[k] for k in kept], "ids", "begins", "ends"])
+        columns = [_lists(x, offsets) for x in (ids, begins, ends)]
+        names = ["ids", "begins", "ends"]
+        if decoded:
+            columns.append(pa.array(it.decode_flat(ids, offsets), pa.string()))
+            names.append("decoded")
+        yield pa.RecordBatch.from_arrays([*[piece.column(k) for k in kept], *columns],
+                                         [*[piece.schema.names[k] for k in kept], *names])
     return run
 
 
 def _decode(model: bytes):
     def run(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids = [x or [] for x in piece.column("ids").to_pylist()]
-        yield piece.append_column("decoded", pa.array(coder(model).decode(ids), pa.string()))
+        lists = piece.column("ids").cast(pa.list_(pa.int64()))
+        sizes = np.array([0 if x is None else x for x in pc.list_value_length(lists).to_pylist()], np.int64)
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        yield piece.append_column("decoded", pa.array(coder(model).decode_flat(ids, offsets), pa.string()))
     return run
 
 
@@ -225,9 +324,11 @@ def _columns(df: DataFrame) -> str:
 
 
 def encode_pieces(docs: DataFrame, model_path: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text",
-                  add_bos: bool = False, add_eos: bool = True) -> DataFrame:
+                  add_bos: bool = False, add_eos: bool = True, decoded: bool = False) -> DataFrame:
     """The columns ``keep`` and ``ids``, ``begins``, ``ends``: each piece's range of source bytes.
 
+    With ``decoded`` also that column of ``decode_pieces``, in the same pass.
+
     Begin and end ids have empty ranges at the ends of the text.  Null and
     empty texts have the added ids alone; each repeated row gives its own
     row; other columns are left out.  Text that needs several source bytes
@@ -236,13 +337,14 @@ def encode_pieces(docs: DataFrame, model_path: str, keep: tuple[str, ...] = ("do
     with open(model_path, "rb") as f:
         model = f.read()
     chosen = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("text"))
-    return map_slices(chosen, _encode(model, add_bos, add_eos),
-                      _columns(chosen.drop("text")) + ", ids array<int>, begins array<int>, ends array<int>",
-                      limit=4 << 20)
+    return map_slices(chosen, _encode(model, add_bos, add_eos, decoded),
+                      _columns(chosen.drop("text")) + ", ids array<int>, begins array<int>, ends array<int>"
+                      + ", decoded string" * decoded, limit=2 << 20)
 
 
 def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
     """``encoded`` with ``decoded``, the library's decode(ids); null ids decode to the empty text."""
+    ship_package(encoded.sparkSession)
     with open(model_path, "rb") as f:
         model = f.read()
 

@@ -73,20 +73,21 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word, A-Z lower-cased; equal words have equal hashes.
+    def hashes(self, lower: bool = True) -> np.ndarray:
+        """A 64-bit hash of each word, A-Z lower-cased if ``lower``; equal words have equal hashes.
 
         Polynomial over random byte values, from running sums per stretch of
         ``_PERIOD`` bytes; a word over a border adds up its two or more parts.
         """
         n = len(self.data)
+        values = _LOWER_VALUE if lower else _BYTE_VALUE
         out = np.zeros(len(self.starts), dtype=_U)
         if not len(out):
             return out
         running = np.zeros(_PERIOD + 1, dtype=_U)
         for low in range(0, n, _PERIOD):
             high = min(low + _PERIOD, n)
-            np.cumsum(_LOWER_VALUE[self.data[low:high]] * _POW[:high - low],
+            np.cumsum(values[self.data[low:high]] * _POW[:high - low],
                       out=running[1:high - low + 1])
             i = np.searchsorted(self.ends, low, side="right")
             j = np.searchsorted(self.starts, high, side="left")
