@@ -7,8 +7,11 @@ binary values instead of billions of small rows.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +25,25 @@ SLICE_BYTES = 8 << 20        # text handled at once by one task
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: their workers may not have it on their path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="tillroll-package-")) / "tillroll-package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))           # Spark's own file server hands it out
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
+    ship_package(spark)
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
@@ -63,6 +84,8 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text",
 def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str,
                column: str = "text", limit: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` over bounded slices of rows."""
+    ship_package(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, column, limit):
             yield from fn(piece)
