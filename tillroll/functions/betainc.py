@@ -16,8 +16,8 @@ All tests in ``operators.stats`` reduce to one shape: with a ratio r >= 0,
 
 so ``p_from_ratio`` takes r and forms log x and log(1 - x) with ``log1p``,
 which keeps the prefactor accurate when the degrees of freedom are huge.
-If both parameters are large, the fraction would need too many terms and the
-uniform asymptotic expansion takes its place.
+If both parameters are so large that the fraction does not end, the p-value
+is NULL, never an unfinished number.
 """
 
 from __future__ import annotations
@@ -29,11 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Number of continued-fraction steps; each step is a few multiplications and
-# converged steps leave the accumulator unchanged.  The fraction needs about
-# sqrt(max(a, b)) steps, so beyond LARGE for both parameters the uniform
-# expansion below is used; a fraction that does not end gives NULL.
+# converged steps leave the accumulator unchanged.  Near the mean the fraction
+# needs about sqrt(max(a, b)) steps if both are large; one that does not end
+# within CF_TERMS gives NULL.
 CF_TERMS = 1000
-LARGE = 20000.0
 _TINY = 1e-300
 _EPS = 1e-16
 _LN_SQRT_2PI = 0.5 * math.log(2 * math.pi)
@@ -105,50 +104,12 @@ def _continued_fraction(a: Column, b: Column, x: Column, terms: int) -> Column:
             (frozen | ((k % 2 == 1) & (k > 1) & (F.abs(factor - 1) < _EPS))).alias("done"))
 
     def finish(acc: Column) -> Column:
-        # An unfinished fraction is no number: NULL, which the callers replace or pass on.
+        # An unfinished fraction is no number: NULL, which stays NULL in the result.
         return F.when(acc["done"], acc["h"])
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(2 * terms)), init, step, finish)
 
 
-def _log1p_rest(u: Column) -> Column:
-    """log(1 + u) - u without cancellation for small u."""
-    series = F.lit(0.0)
-    for k in range(9, 1, -1):
-        series = (F.lit((-1.0) ** (k + 1) / k) + series) * u
-    return F.when(F.abs(u) < 0.01, series * u).otherwise(F.log1p(u) - u)
-
-
-def _normal_two_sided(z2: Column, terms: int) -> Column:
-    """P(|Z| > z) for z^2: Student's t with so many degrees of freedom that it is normal to 1e-12."""
-    nu = 1e12
-    r = z2 / nu
-    front = F.exp(-(F.lit(nu / 2)) * F.log1p(r) + 0.5 * (F.log(r) - F.log1p(r))
-                  - log_beta(F.lit(nu / 2), F.lit(0.5)))
-    direct = front * _continued_fraction(F.lit(nu / 2), F.lit(0.5), 1 / (1 + r), terms) / (nu / 2)
-    mirrored = 1 - front * _continued_fraction(F.lit(0.5), F.lit(nu / 2), r / (1 + r), terms) / 0.5
-    near_one = 1 / (1 + r) < (nu / 2 + 1) / (nu / 2 + 2.5)
-    return F.when(z2 == 0, F.lit(1.0)).when(z2 > 1400, F.lit(0.0)).otherwise(
-        F.when(near_one, direct).otherwise(mirrored))
-
-
-def _uniform(a: Column, b: Column, r: Column, terms: int) -> Column:
-    """I_x(a, b), x = 1 / (1 + r), for large a and b: the normal tail of a
-    signed distance from the mean and its first correction (Temme's uniform
-    asymptotic expansion; the error falls as (a + b)^-1.5)."""
-    n = a + b
-    x0, y0 = a / n, b / n
-    gap = (b / a - r) / ((1 + r) * (1 + b / a))          # x - x0
-    half_eta2 = -(x0 * _log1p_rest(gap / x0) + y0 * _log1p_rest(-gap / y0))
-    eta = F.signum(gap) * F.sqrt(2 * F.greatest(half_eta2, F.lit(0.0)))
-    tail = _normal_two_sided(2 * n * half_eta2, terms) / 2
-    main = F.when(eta > 0, 1 - tail).otherwise(tail)
-    at_mean = (1 - 2 * x0) / (3 * F.sqrt(x0 * y0))       # limit of the correction at the mean
-    correction = F.when(F.abs(gap) < 1e-7 * F.least(x0, y0), at_mean) \
-        .otherwise(F.sqrt(x0 * y0) / gap - 1 / eta)
-    return main - F.exp(-n * half_eta2) / F.sqrt(2 * math.pi * n) * correction
-
-
 def p_from_ratio(a, b, r, terms: int = CF_TERMS) -> Column:
     """I_x(a, b) with x = 1 / (1 + r); NULL if any input is NULL or a, b <= 0."""
     a, b, r = _lit(a).cast("double"), _lit(b).cast("double"), _lit(r).cast("double")
@@ -158,15 +119,16 @@ def p_from_ratio(a, b, r, terms: int = CF_TERMS) -> Column:
 
 
 def _chosen(a: Column, b: Column, r: Column, front: Column, terms: int) -> Column:
-    # Only the branch that is chosen is evaluated for a row.
-    p = (F.when((a > LARGE) & (b > LARGE), _uniform(a, b, r, terms))
-          .when(1 / (1 + r) < (a + 1) / (a + b + 2), front * _continued_fraction(a, b, 1 / (1 + r), terms) / a)
-          .otherwise(1 - front * _continued_fraction(b, a, r / (1 + r), terms) / b))
+    # Only the branch that converges fast is evaluated for a row.
+    p = F.when(1 / (1 + r) < (a + 1) / (a + b + 2), front * _continued_fraction(a, b, 1 / (1 + r), terms) / a) \
+         .otherwise(1 - front * _continued_fraction(b, a, r / (1 + r), terms) / b)
+    # Bound as a lambda variable: the large expression is there once, and NULL stays NULL.
+    clamped = F.transform(F.array(p), lambda v: F.when(v < 0, 0.0).when(v > 1, 1.0).otherwise(v))[0]
     return (F.when(a.isNull() | b.isNull() | r.isNull() | (a <= 0) | (b <= 0) | (r < 0),
                    F.lit(None).cast("double"))
              .when(r == 0, F.lit(1.0))
              .when(r == float("inf"), F.lit(0.0))
-             .when(p.isNotNull(), F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))))
+             .otherwise(clamped))
 
 
 def with_p_value(df: DataFrame, a, b, r, out: str = "p_value",
