@@ -95,10 +95,18 @@ def source_plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int =
 
 
 def with_repeats(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """rows (source, draw, ...) with source_size, target and ``repeats``, how often the mix takes each."""
-    aims = plan.select(F.col("source").alias("_mix_source"), "source_size", "target", "whole", "cut")
-    return rows.join(aims, F.col("source").eqNullSafe(F.col("_mix_source"))).withColumn(
-        "repeats", F.col("whole") + (F.col("draw") <= F.col("cut")).cast("int")).drop("_mix_source", "whole", "cut")
+    """rows (source, draw, ...) with source_size, target and ``repeats``, how often the mix takes each.
+
+    A source may hold a third of all rows: rows meet their source's one row of
+    the plan by source and the first two digits of their draw, 256 parts each.
+    """
+    digits = [f"{d:02x}" for d in range(256)]
+    aims = plan.select(F.col("source").alias("_mix_source"), "source_size", "target", "whole", "cut",
+                       F.explode(F.array(*map(F.lit, digits))).alias("_mix_part"))
+    same = F.col("source").eqNullSafe(F.col("_mix_source")) & (F.substring("draw", 1, 2) == F.col("_mix_part"))
+    return rows.join(aims, same).withColumn(
+        "repeats", F.col("whole") + (F.col("draw") <= F.col("cut")).cast("int")) \
+        .drop("_mix_source", "_mix_part", "whole", "cut")
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
