@@ -156,7 +156,7 @@ class PieceCoder:
 
     def _cut(self, parts: list[list[str]]) -> list[np.ndarray]:
         wanted = set().union(*parts)
-        new = list(wanted - self.known.keys())
+        new = [w for w in wanted if w not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
             new = list(wanted)

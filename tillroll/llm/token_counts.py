@@ -41,8 +41,9 @@ class PreTokenCounter:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
-        for p in set(parts) - known.keys():
-            known[p] = len(self.encode(p))
+        for p in set(parts):
+            if p not in known:
+                known[p] = len(self.encode(p))
         return [known[p] for p in parts]
 
 
