@@ -4,8 +4,9 @@ incomplete beta.
 Spark SQL has no beta or gamma function and a Python UDF would leave the
 JVM, so the continued fraction for the incomplete beta (modified Lentz
 method) is written with the higher-order ``aggregate`` function over a fixed
-sequence of term indices.  It runs once per *result* row (a test statistic),
-never per input row.
+sequence of term indices.  Where both parameters are large and the statistic
+lies near the middle, the density is integrated instead.  Either runs once
+per *result* row (a test statistic), never per input row.
 
 All tests in ``operators.stats`` reduce to one shape: with a ratio r >= 0,
 
@@ -16,8 +17,7 @@ All tests in ``operators.stats`` reduce to one shape: with a ratio r >= 0,
 
 so ``p_from_ratio`` takes r and forms log x and log(1 - x) with ``log1p``,
 which keeps the prefactor accurate when the degrees of freedom are huge.
-If both parameters are so large that the fraction does not end, the p-value
-is NULL, never an unfinished number.
+A fraction that does not end gives NULL, never an unfinished number.
 """
 
 from __future__ import annotations
@@ -28,13 +28,18 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Number of continued-fraction steps; each step is a few multiplications and
-# converged steps leave the accumulator unchanged.  Near the mean the fraction
-# needs about sqrt(max(a, b)) steps if both are large; one that does not end
-# within CF_TERMS gives NULL.
+# Most steps of the continued fraction; each is a few multiplications and
+# converged steps leave the accumulator unchanged.  A fraction that does not
+# end within CF_TERMS gives NULL.
 CF_TERMS = 1000
+# Near the peak of large parameters the fraction converges slowly (with the
+# inverse square of the distance in widths), and the density there is smooth.
+LARGE = 1e5
+NEAR_PEAK = 6.0
+PEAK_REACH = 12.0
+SIMPSON_STEPS = 4000
 _TINY = 1e-300
-_EPS = 1e-16
+_EPS = 1e-15
 _LN_SQRT_2PI = 0.5 * math.log(2 * math.pi)
 _SHIFT = 8
 
@@ -74,54 +79,82 @@ def _fix(v: Column) -> Column:
     return F.when(F.abs(v) < _TINY, F.lit(_TINY)).otherwise(v)
 
 
-def _continued_fraction(a: Column, b: Column, x: Column, terms: int) -> Column:
-    """Lentz evaluation of the incomplete-beta continued fraction.
+def _continued_fraction(a: Column, b: Column, x: Column, y: Column, ahead: Column, terms: int) -> Column:
+    """Front factor over I_x(a, b): the contracted continued fraction by Lentz's method.
 
-    Each loop index is one half-step (the even and the odd coefficient of a
-    Lentz iteration alternate).  The state carries a, b and x so that the
-    lambda body only reads struct fields, and it keeps the running product
-    ``h`` *without* the latest factor ``d * c``; the factor is folded in at
-    the next half-step and in the finish, so no sub-expression is repeated.
+    ``y`` is 1 - x and ``ahead`` is a - (a + b) x, both given by the caller: formed
+    from x here they would lose their digits when x is near 1.  The state
+    carries the parameters so that the lambda body only reads struct fields,
+    and it keeps the running product ``h`` *without* the latest factor
+    ``d * c``; the factor is folded in at the next step, so no sub-expression
+    is repeated.
     """
-    d0 = 1 / _fix(1 - (a + b) * x / (a + 1))
-    init = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), F.lit(1.0).alias("h"),
-                    a.alias("a"), b.alias("b"), x.alias("x"), F.lit(False).alias("done"))
+    first = a / (a + 1) * (ahead + 1)
+    init = F.struct(_fix(first).alias("c"), F.lit(0.0).alias("d"), first.alias("h"), a.alias("a"),
+                    b.alias("b"), x.alias("x"), y.alias("y"), ahead.alias("ahead"), F.lit(False).alias("done"))
 
     def step(acc: Column, k: Column) -> Column:
-        a_, b_, x_ = acc["a"], acc["b"], acc["x"]
-        m = F.ceil(k / 2).cast("double")
-        m2 = 2 * m
-        coef = F.when(k % 2 == 1,
-                      m * (b_ - m) * x_ / ((a_ - 1 + m2) * (a_ + m2))
-                      ).otherwise(-(a_ + m) * (a_ + b_ + m) * x_ / ((a_ + m2) * (a_ + 1 + m2)))
-        factor = acc["d"] * acc["c"]
+        a_, b_, x_, n = acc["a"], acc["b"], acc["x"], k.cast("double")
+        odd = a_ + 2 * n - 1
+        weight = n * (b_ - n) * x_ / odd
+        over = (a_ + n - 1) * (a_ + b_ + n - 1) / odd * x_ * weight
+        under = n + weight + (a_ + n) / (odd + 2) * (acc["ahead"] + 1 + n * (1 + acc["y"]))
+        factor = F.when(k == 1, 1.0).otherwise(acc["d"] * acc["c"])
         frozen = acc["done"]
         return F.struct(
-            F.when(frozen, acc["c"]).otherwise(_fix(1 + coef / acc["c"])).alias("c"),
-            F.when(frozen, acc["d"]).otherwise(1 / _fix(1 + coef * acc["d"])).alias("d"),
+            F.when(frozen, acc["c"]).otherwise(_fix(under + over / acc["c"])).alias("c"),
+            F.when(frozen, acc["d"]).otherwise(1 / _fix(under + over * acc["d"])).alias("d"),
             (acc["h"] * F.when(frozen, F.lit(1.0)).otherwise(factor)).alias("h"),
-            a_.alias("a"), b_.alias("b"), x_.alias("x"),
-            (frozen | ((k % 2 == 1) & (k > 1) & (F.abs(factor - 1) < _EPS))).alias("done"))
+            a_.alias("a"), b_.alias("b"), x_.alias("x"), acc["y"].alias("y"), acc["ahead"].alias("ahead"),
+            (frozen | ((k > 1) & (F.abs(factor - 1) < _EPS))).alias("done"))
 
     def finish(acc: Column) -> Column:
         # An unfinished fraction is no number: NULL, which stays NULL in the result.
         return F.when(acc["done"], acc["h"])
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(2 * terms)), init, step, finish)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(terms)), init, step, finish)
+
+
+def _density_sum(a: Column, b: Column, low: Column, high: Column) -> Column:
+    """Simpson sum of the density of log-odds, relative to its peak, between two distances from the
+    peak in units of the peak's width."""
+    n = a + b
+    init = F.struct(F.lit(0.0).alias("sum"), a.alias("a"), n.alias("n"), F.sqrt(n / a / b).alias("width"),
+                    low.alias("low"), ((high - low) / SIMPSON_STEPS).alias("h"))
+
+    def step(acc: Column, k: Column) -> Column:
+        d = acc["width"] * (acc["low"] + k * acc["h"])
+        height = F.exp(acc["a"] * d - acc["n"] * F.log1p(acc["a"] / acc["n"] * F.expm1(d)))
+        share = F.when((k == 0) | (k == SIMPSON_STEPS), 1.0).when(k % 2 == 1, 4.0).otherwise(2.0)
+        return acc.withField("sum", acc["sum"] + share * height)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(SIMPSON_STEPS)), init, step, lambda acc: acc["sum"] * acc["h"])
+
+
+def _integral(a: Column, b: Column, cut: Column) -> Column:
+    """I_x(a, b) for large a and b by integrating the density; ``cut``: widths from the peak to x."""
+    low, high = F.lit(-PEAK_REACH), F.lit(PEAK_REACH)
+    left, right = _density_sum(a, b, low, cut), _density_sum(a, b, cut, high)
+    return F.transform(F.array(F.struct(left.alias("left"), right.alias("right"))),
+                       lambda s: s["left"] / (s["left"] + s["right"]))[0]
 
 
 def p_from_ratio(a, b, r, terms: int = CF_TERMS) -> Column:
     """I_x(a, b) with x = 1 / (1 + r); NULL if any input is NULL or a, b <= 0."""
     a, b, r = _lit(a).cast("double"), _lit(b).cast("double"), _lit(r).cast("double")
-    ln1p_r = F.log1p(r)
-    front = F.exp(a * (-ln1p_r) + b * (F.log(r) - ln1p_r) - log_beta(a, b))
+    front = F.exp(-a * F.log1p(r) - b * F.log1p(1 / F.nullif(r, F.lit(0.0))) - log_beta(a, b))
     return _chosen(a, b, r, front, terms)
 
 
 def _chosen(a: Column, b: Column, r: Column, front: Column, terms: int) -> Column:
-    # Only the branch that converges fast is evaluated for a row.
-    p = F.when(1 / (1 + r) < (a + 1) / (a + b + 2), front * _continued_fraction(a, b, 1 / (1 + r), terms) / a) \
-         .otherwise(1 - front * _continued_fraction(b, a, r / (1 + r), terms) / b)
+    # Only one branch is evaluated for a row: the integral near the peak of large parameters,
+    # else the fraction on the side where it converges fast.
+    x, y = 1 / (1 + r), r / (1 + r)
+    ahead = F.when(y < x, (a + b) * y - b).otherwise(a - (a + b) * x)
+    cut = -F.log(r * a / b) / F.sqrt((a + b) / a / b)
+    p = F.when((F.least(a, b) > LARGE) & (F.abs(cut) < NEAR_PEAK), _integral(a, b, cut)) \
+         .when(x < (a + 1) / (a + b + 2), front / _continued_fraction(a, b, x, y, ahead, terms)) \
+         .otherwise(1 - front / _continued_fraction(b, a, y, x, -ahead, terms))
     # Bound as a lambda variable: the large expression is there once, and NULL stays NULL.
     clamped = F.transform(F.array(p), lambda v: F.when(v < 0, 0.0).when(v > 1, 1.0).otherwise(v))[0]
     return (F.when(a.isNull() | b.isNull() | r.isNull() | (a <= 0) | (b <= 0) | (r < 0),
@@ -156,9 +189,7 @@ def _staged_p_columns(app_id: str, terms: int) -> tuple[dict[str, Column], Colum
     """
     del app_id  # part of the cache key only
     pa, pb, pr = F.col("_pa"), F.col("_pb"), F.col("_pr")
-    ln1p_r = F.log1p(pr)
-    stage1 = {
-        "_pfront": F.exp(pa * (-ln1p_r) + pb * (F.log(pr) - ln1p_r) - log_beta(pa, pb))}
+    stage1 = {"_pfront": F.exp(-pa * F.log1p(pr) - pb * F.log1p(1 / F.nullif(pr, F.lit(0.0))) - log_beta(pa, pb))}
     return stage1, _chosen(pa, pb, pr, F.col("_pfront"), terms)
 
 

@@ -55,7 +55,7 @@ def _cf(a: str, b: str, x: str) -> str:
             f"'a': s.a, 'b': s.b, 'x': s.x, "
             f"'done': s.done OR (k % 2 = 1 AND k > 1 AND abs(s.d * s.c - 1) < 1e-16)}}")
     red = f"list_reduce(range(1, {2 * TERMS + 1}), lambda s, k: {step}, {init})"
-    return f"(CASE WHEN ({red}).done THEN ({red}).h ELSE ({red}).h * ({red}).d * ({red}).c END)"
+    return f"(CASE WHEN ({red}).done THEN ({red}).h END)"
 
 
 def p_from_ratio(a: str, b: str, r: str) -> str:
