@@ -52,3 +52,25 @@ def test_edge_rows(spark):
     assert {r.score for r in alone} == {0.0}
     assert {r.score for r in score_toxicity(docs, learn(docs, labels.limit(0))).collect()} == {0.0}
     assert score_toxicity(empty(spark), learn(empty(spark), labels)).collect() == []
+
+
+def test_copy_of_a_labelled_row_is_found(spark):
+    """Copies hold no term that tells the labels apart; the words of each toxic row are its own."""
+    toxic = [(i, f"alpha{i} beta{i} gamma{i} delta{i}") for i in range(40)]
+    clean = [(100 + i, f"some common prose about topic{i % 9}") for i in range(60)]
+    copies = [(1000 + i, text) for i, text in toxic]
+    docs = spark.createDataFrame(toxic + clean + copies, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, _ in toxic] + [(i, 0) for i, _ in clean], "doc_id long, label int")
+    rows = {r.doc_id: r for r in score_toxicity(docs, learn(docs, labels)).collect()}
+    for i, _ in toxic:
+        copy = rows[1000 + i]
+        assert copy.neighbours[0] == i and abs(copy.similarities[0] - 1) < 1e-8 and copy.predicted == 1
+
+
+def test_norm_holds_terms_that_no_example_has(spark):
+    docs = spark.createDataFrame([(1, "red"), (2, "blue"), (3, "red green")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int")
+    row = score_toxicity(docs, learn(docs, labels)).filter("doc_id = 3").first()
+    red, green = np.log(4 / 3) + 1, np.log(4 / 2) + 1
+    # "green" is one word and its first 4 bytes, both in one document
+    assert row.neighbours == [1] and abs(row.similarities[0] - red / np.sqrt(red ** 2 + 2 * green ** 2)) < 1e-8

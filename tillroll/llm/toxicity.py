@@ -2,15 +2,17 @@
 
 Terms are words without ASCII punctuation and the first 4 and 6 bytes of
 longer words, so that inflected and compounded forms meet.  The examples are a
-bounded, seeded sample of the labelled rows.  The vocabulary holds the terms
-whose presence depends on the label (chi-squared, and a least ratio); their weights are
-log(1 + count) times an inverse document frequency counted over all documents.
-
-The index keeps, for each block of examples, its postings and the largest
-weight of each term.  A text visits blocks in the order of the bound that
-these maxima give on its cosine, and stops when no block can beat its k-th
-neighbour.  The votes of the k nearest, by squared similarity and weighted back to
-the label shares of all labelled rows, give the score.
+bounded, seeded sample of the labelled rows, and every term of theirs is
+indexed.  Weights are log(1 + count) times an inverse document frequency
+counted over all documents; a text's norm takes in all its terms, also those
+that no example has (their frequencies lie in the shared folder).
+
+Terms of few examples have short postings, which are added up whole.  For the
+terms of most examples the index keeps dense blocks of examples and the
+largest weight of each term in each block.  A text first visits the block of
+its largest bound, and then those alone whose bound can still reach its k-th
+neighbour.  The votes of the k nearest, by similarity and weighted back to the
+label shares of all labelled rows, give the score.
 """
 
 from __future__ import annotations
@@ -20,16 +22,23 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.frames import map_slices, signed, slices
+from tillroll.llm.frames import delta, map_slices, pack, shuffle_partitions, signed, slices, undelta, unpack, write_scratch
+from tillroll.llm.lm_score import PACKED, TALLY, WORDS, _batch, _shards, _smallest, _store, _sum_by, arrays
 from tillroll.llm.words import Words, mix, split_words
+from tillroll.session import scratch_path
 
 _TERM = np.zeros(256, dtype=bool)
 _TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 STEMS = (4, 6)
 EXAMPLE_BLOCK = 64
+COMMON = 512                     # terms with dense weights
+TEXTS_AT_ONCE = 256
+POSTINGS_AT_ONCE = 1 << 20
+TERMS_AT_ONCE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -37,8 +46,8 @@ class Neighbours:
     """Parameters of the classifier; the sample's bound is ``per_class`` rows of each label."""
 
     per_class: int = 2000
-    max_terms: int = 4096
-    min_examples: int = 5        # examples that a term of the vocabulary is in, at least
+    max_terms: int = 4096        # of telling terms, which weight votes
+    min_examples: int = 5        # examples that a telling term is in, at least
     min_chi2: float = 25.0
     min_ratio: float = 4.0       # between the term's shares of the two classes, either way
     k: int = 15
@@ -59,61 +68,140 @@ def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(owners)
 
 
-def _counted(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (text, term) with counts, by text."""
-    order = np.lexsort((hashes, owner))
-    h, t = hashes[order], owner[order]
-    first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (t[1:] != t[:-1])])) if len(h) else order
-    return h[first], t[first], np.diff(np.append(first, len(h)))
+def _counted(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct terms, and the distinct (text, position of its term) with counts, by text."""
+    distinct, which = np.unique(hashes, return_inverse=True)
+    bits = max(1, int(len(distinct)).bit_length())
+    key = np.sort(owner.astype(np.int64) << bits | which)
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else key
+    counts = np.diff(np.append(first, len(key)))
+    return distinct, key[first] >> bits, key[first] & (1 << bits) - 1, counts
+
+
+@dataclass
+class Rows:
+    """Unit TF-IDF rows of texts: entries (vocabulary position, weight), text by text."""
+
+    first: np.ndarray            # n + 1 offsets of the texts' entries
+    at: np.ndarray
+    weight: np.ndarray
+    size: int                    # of the vocabulary
+
+    def __len__(self) -> int:
+        return len(self.first) - 1
+
+    @property
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self)), np.diff(self.first))
+
+    def part(self, low: int, high: int) -> Rows:
+        cut = slice(self.first[low], self.first[high])
+        return Rows(self.first[low:high + 1] - self.first[low], self.at[cut], self.weight[cut], self.size)
+
+    def dense(self) -> np.ndarray:
+        out = np.zeros((len(self), self.size))
+        out[self.owner, self.at] = self.weight
+        return out
+
+    @property
+    def T(self) -> np.ndarray:
+        return self.dense().T
+
+    def __matmul__(self, other: np.ndarray) -> np.ndarray:
+        return self.dense() @ other
 
 
 @dataclass
 class Model:
     rule: Neighbours
-    vocabulary: np.ndarray                 # sorted term hashes
-    idf: np.ndarray
+    vocabulary: np.ndarray                 # sorted hashes of all terms of the examples
+    folder: str                            # document frequencies of all terms
+    shards: int
+    n_docs: int
     ids: np.ndarray                        # examples, block by block
     toxic: np.ndarray
     vote: np.ndarray                       # weight of an example's label
     share: float                           # toxic share of all labelled rows
-    empty_score: float                     # of texts without a term of the vocabulary
-    most: np.ndarray = field(default=None)          # terms x blocks, largest weight
-    blocks: list = field(default_factory=list)      # (terms, weights terms x examples)
-
-    def rows(self, column: pa.Array) -> np.ndarray:
-        """Unit TF-IDF rows of texts over the vocabulary."""
+    empty_score: float                     # of texts without a neighbour
+    telling: np.ndarray = field(default=None)       # whether a term's presence depends on the label
+    column: np.ndarray = field(default=None)        # a term's row in ``dense``, -1 if it has postings
+    dense: np.ndarray = field(default=None)         # common terms x examples
+    most: np.ndarray = field(default=None)          # common terms x blocks, largest weight
+    first: np.ndarray = field(default=None)         # offsets of each term's postings
+    posting: np.ndarray = field(default=None)       # positions of examples
+    weight: np.ndarray = field(default=None)
+    marks: np.ndarray = field(default=None)         # telling terms x examples, unit columns
+    blocks: list = field(default_factory=list)      # (start, end)
+
+    def idf(self, df: np.ndarray) -> np.ndarray:
+        return np.log((self.n_docs + 1) / (df + 1)) + 1
+
+    def rows(self, column: pa.Array) -> Rows:
+        """TF-IDF rows of texts over the vocabulary, each over the norm of all terms of its text."""
         n, size = len(column), len(self.vocabulary)
-        out = np.zeros((n, size))
         if not size:
-            return out
-        h, t = terms(column)
-        at = np.minimum(np.searchsorted(self.vocabulary, h), size - 1)
-        have = self.vocabulary[at] == h
-        np.add.at(out, (t[have], at[have]), 1.0)
-        return unit(np.log1p(out) * self.idf)
-
-
-def unit(rows: np.ndarray) -> np.ndarray:
-    norm = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-    return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
-
-
-def index(model: Model, rows: np.ndarray, ids: np.ndarray, toxic: np.ndarray, vote: np.ndarray) -> None:
-    """Blocks of examples with alike main terms, each with its postings and largest weights."""
-    main = rows.argmax(axis=1) if rows.shape[1] else np.zeros(len(rows), np.int64)
-    top = rows.max(axis=1) if rows.shape[1] else np.zeros(len(rows))
-    order = np.lexsort((ids, -top, main, top == 0))
-    rows, model.ids, model.toxic, model.vote = rows[order], ids[order], toxic[order], vote[order]
-    starts = range(0, len(rows), EXAMPLE_BLOCK)
-    model.most = np.zeros((rows.shape[1], len(starts)))
-    for b, low in enumerate(starts):
-        part = rows[low:low + EXAMPLE_BLOCK].T
-        used = np.flatnonzero(part.any(axis=1))
-        model.most[:, b] = part.max(axis=1, initial=0)
-        model.blocks.append((used, np.ascontiguousarray(part[used])))
-
-
-def nearest(model: Model, rows: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return Rows(np.zeros(n + 1, np.int64), np.zeros(0, np.int64), np.zeros(0), 0)
+        distinct, t, which, c = _counted(*terms(column))
+        df = arrays(self.folder).find("terms", distinct, self.shards, 1)[0]
+        weight = np.log1p(c) * self.idf(df)[which]
+        norm = np.sqrt(np.bincount(t, weight * weight, minlength=n))
+        at = np.minimum(np.searchsorted(self.vocabulary, distinct), size - 1)
+        have = (self.vocabulary[at] == distinct)[which]
+        t = t[have]
+        return Rows(np.searchsorted(t, np.arange(n + 1)), at[which[have]], weight[have] / norm[t], size)
+
+
+def index(model: Model, rows: Rows, ids: np.ndarray, toxic: np.ndarray, vote: np.ndarray) -> None:
+    """Blocks of examples of alike weights (so their largest weights bound them well), and postings."""
+    n, size = len(rows), rows.size
+    least = np.full(n, np.inf)
+    np.minimum.at(least, rows.owner, rows.weight)
+    order = np.lexsort((ids, least))
+    model.ids, model.toxic, model.vote = ids[order], toxic[order], vote[order]
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
+    owner = place[rows.owner]
+    model.blocks = [(low, min(low + EXAMPLE_BLOCK, n)) for low in range(0, n, EXAMPLE_BLOCK)]
+    held = np.bincount(rows.at, minlength=size)
+    common = np.sort(np.argsort(-held, kind="stable")[:COMMON])
+    model.column = np.full(size, -1, np.int32)
+    model.column[common] = np.arange(len(common))
+    often = model.column[rows.at] >= 0
+    model.dense = np.zeros((len(common), n))
+    model.dense[model.column[rows.at[often]], owner[often]] = rows.weight[often]
+    model.most = np.maximum.reduceat(model.dense, [low for low, _ in model.blocks], axis=1)
+    at, who, weight = rows.at[~often], owner[~often], rows.weight[~often]
+    by = np.lexsort((who, at))
+    model.first = np.searchsorted(at[by], np.arange(size + 1))
+    model.posting, model.weight = who[by].astype(np.int32), weight[by]
+    chosen = np.flatnonzero(model.telling)
+    marked = model.telling[rows.at]
+    model.marks = np.zeros((len(chosen), n))
+    model.marks[np.searchsorted(chosen, rows.at[marked]), owner[marked]] = rows.weight[marked]
+    model.marks = unit(model.marks.T).T
+
+
+def _from_postings(model: Model, rows: Rows) -> np.ndarray:
+    """Texts x examples: the part of each cosine that terms with postings give."""
+    n, examples = len(rows), len(model.ids)
+    out = np.zeros(n * examples)
+    rare = np.flatnonzero(model.column[rows.at] < 0)
+    low = model.first[rows.at[rare]]
+    counts = model.first[rows.at[rare] + 1] - low
+    base, weight, ends = rows.owner[rare] * examples, rows.weight[rare], np.cumsum(counts)
+    start = 0
+    while start < len(rare):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + POSTINGS_AT_ONCE, side="right")))
+        each = counts[start:end]
+        entry = np.repeat(np.arange(start, end), each)
+        spot = np.arange(len(entry)) + np.repeat(low[start:end] - (ends[start:end] - each - before), each)
+        out += np.bincount(base[entry] + model.posting[spot], weight[entry] * model.weight[spot], len(out))
+        start = end
+    return out.reshape(n, examples)
+
+
+def nearest(model: Model, rows: Rows, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The k nearest examples of each row: (similarities, positions; -1 if there are fewer).
 
     Only positive similarities count, ties go to the smaller id, and an
@@ -121,47 +209,87 @@ def nearest(model: Model, rows: np.ndarray, own: np.ndarray) -> tuple[np.ndarray
     """
     k, n = model.rule.k, len(rows)
     sims, spots = np.zeros((n, k)), np.full((n, k), -1, np.int64)
-    ids_of = np.append(model.ids, np.iinfo(np.int64).max)       # position -1 sorts last
-    bound = rows @ model.most if len(model.blocks) else np.zeros((n, 0))
-    order = np.argsort(-bound, axis=1, kind="stable")
-    alive = np.arange(n)
-    for step in range(bound.shape[1]):
-        block = order[alive, step]
-        reach = bound[alive, block]
-        go = (reach > 0) & (reach >= sims[alive, -1] - 1e-9)
-        alive, block = alive[go], block[go]
-        if not len(alive):
-            break
-        by = np.argsort(block, kind="stable")
-        cuts = np.flatnonzero(np.diff(block[by])) + 1
-        for group in np.split(by, cuts):
-            b, who = block[group[0]], alive[group]
-            used, weights = model.blocks[b]
-            new = np.round(rows[np.ix_(who, used)] @ weights, 9)
-            spot = np.arange(b * EXAMPLE_BLOCK, b * EXAMPLE_BLOCK + weights.shape[1])
-            new[own[who][:, None] == model.ids[spot][None, :]] = 0
-            all_sims = np.concatenate([sims[who], new], axis=1)
-            all_spots = np.concatenate([spots[who], np.where(new > 0, spot[None, :], -1)], axis=1)
-            best = np.lexsort((ids_of[all_spots], -all_sims), axis=1)[:, :k]
-            sims[who] = np.take_along_axis(all_sims, best, axis=1)
-            spots[who] = np.take_along_axis(all_spots, best, axis=1)
+    if not model.blocks:
+        return sims, spots
+    for low in range(0, n, TEXTS_AT_ONCE):
+        high = min(low + TEXTS_AT_ONCE, n)
+        found, who, spot = _visit(model, rows.part(low, high), own[low:high], k)
+        rank = np.arange(len(who)) - np.searchsorted(who, who)
+        sims[low + who, rank], spots[low + who, rank] = found, spot
     return sims, spots
 
 
-def votes(model: Model, sims: np.ndarray, spots: np.ndarray) -> np.ndarray:
+def _visit(model: Model, rows: Rows, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(similarity, row, example) of the k nearest of each row, nearest first."""
+    n = len(rows)
+    starts = np.array([b[0] for b in model.blocks])
+    every = _from_postings(model, rows)
+    column = model.column[rows.at]
+    often = column >= 0
+    dense = np.zeros((n, len(model.dense)))
+    dense[rows.owner[often], column[often]] = rows.weight[often]
+    bound = dense @ model.most + np.maximum.reduceat(every, starts, axis=1)
+    sims = np.zeros(every.shape)
+
+    def visit(wanted: np.ndarray) -> None:
+        for b, (low, high) in enumerate(model.blocks):
+            who = np.flatnonzero(wanted[:, b])
+            if len(who):
+                got = np.round(every[who, low:high] + dense[who] @ model.dense[:, low:high], 9)
+                got[own[who][:, None] == model.ids[low:high][None, :]] = 0
+                sims[who, low:high] = got
+    best = np.zeros(bound.shape, dtype=bool)
+    best[np.arange(n), bound.argmax(axis=1)] = True
+    visit(best)
+    least = _kth(sims, k)
+    visit((bound > 0) & (bound >= least[:, None] - 1e-9) & ~best)
+    who, spot = np.nonzero((sims >= _kth(sims, k)[:, None]) & (sims > 0))
+    found = sims[who, spot]
+    order = np.lexsort((model.ids[spot], -found, who))
+    who, spot, found = who[order], spot[order], found[order]
+    keep = np.arange(len(who)) - np.searchsorted(who, who) < k
+    return found[keep], who[keep], spot[keep]
+
+
+def _kth(sims: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest value of each row (0 if there are fewer)."""
+    return np.partition(sims, -k, axis=1)[:, -k] if sims.shape[1] >= k else np.zeros(len(sims))
+
+
+def votes(model: Model, rows: Rows, sims: np.ndarray, spots: np.ndarray) -> np.ndarray:
+    """Scores of texts from their neighbours' votes.
+
+    A vote grows with the cosine, against the nearest's, and without bound for
+    copies; its weight is the cosine of the telling terms of text and example
+    (1 if neither has one).
+    """
     have = spots >= 0
-    if not len(model.ids):
+    if not len(model.ids) or not model.blocks:
         return np.full(len(sims), model.empty_score)
-    weight = np.where(have, sims ** 2 * model.vote[spots], 0)
+    top = np.where(have[:, :1], sims[:, :1], 1)
+    near = (sims / top) ** 2 * (1.001 - np.minimum(top, 1)) / (1.001 - np.minimum(sims, 1))
+    column = np.cumsum(model.telling) - 1
+    told = model.telling[rows.at]
+    text = np.zeros((len(rows), len(model.marks)))
+    text[rows.owner[told], column[rows.at[told]]] = rows.weight[told]
+    text = unit(text)
+    alike = np.take_along_axis(text @ model.marks, spots, axis=1)
+    neither = ~text.any(axis=1)[:, None] & ~model.marks.any(axis=0)[spots]
+    weight = np.where(have, near * np.where(neither, 1, alike) * model.vote[spots], 0)
     extra = model.rule.smoothing
     score = ((weight * model.toxic[spots]).sum(axis=1) + extra * model.share) / (weight.sum(axis=1) + extra)
     return np.where(have.any(axis=1), score, model.empty_score)
 
 
+def unit(rows: np.ndarray) -> np.ndarray:
+    norm = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
+
+
 def _example_terms(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    h, t, c = _counted(*terms(piece.column("text")))
+    distinct, t, which, c = _counted(*terms(piece.column("text")))
     ids = piece.column("doc_id").to_numpy()
-    yield pa.RecordBatch.from_arrays([pa.array(ids[t]), pa.array(signed(h)), pa.array(c.astype(np.int64))],
+    yield pa.RecordBatch.from_arrays([pa.array(ids[t]), pa.array(signed(distinct[which])), pa.array(c.astype(np.int64))],
                                      ["doc_id", "term", "n"])
 
 
@@ -186,62 +314,109 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Neighbours = Neighbours()) -
     label_of = {r["doc_id"]: r["label"] for r in sample}
     toxic = np.array([label_of[i] for i in ids.tolist()], np.float64)
     vote = np.array([shares[int(x)] / min(shares[int(x)], rule.per_class) for x in toxic])
-    empty = Model(rule, np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0), np.zeros(0), share, share)
+    model = Model(rule, np.zeros(0, np.uint64), "", 0, 0, np.zeros(0, np.int64), np.zeros(0), np.zeros(0), share, share)
     if len(shares) < 2:
-        return empty
-
-    # At most 2 * per_class rows: the sample's ids are sent to the scan, its term counts stay in Spark.
-    chosen = F.broadcast(spark.createDataFrame([(int(i), int(x)) for i, x in zip(ids, toxic)], "doc_id long, label int"))
-    counted = map_slices(texts.join(chosen.select("doc_id"), "doc_id"), _example_terms, "doc_id long, term long, n long") \
-        .groupBy("doc_id", "term").agg(F.max("n").alias("n")).persist()
-    n1, n0 = float(toxic.sum()), float(len(toxic) - toxic.sum())
-    seen = counted.join(chosen, "doc_id").groupBy("term").agg(
-        F.sum("label").cast("double").alias("a"), F.sum(1 - F.col("label")).cast("double").alias("b"))
-    chi2 = ((n1 + n0) * F.pow(F.col("a") * (n0 - F.col("b")) - F.col("b") * (n1 - F.col("a")), 2)
-            / (n1 * n0 * (F.col("a") + F.col("b")) * (n1 + n0 - F.col("a") - F.col("b"))))
-    ratio = (F.col("a") + 0.5) / (n1 + 1) / ((F.col("b") + 0.5) / (n0 + 1))
-    picked = seen.filter((F.col("a") + F.col("b") >= rule.min_examples) & (F.col("a") + F.col("b") < n1 + n0)
-                         & (F.greatest(ratio, 1 / ratio) >= rule.min_ratio)) \
-        .withColumn("chi2", chi2).filter(F.col("chi2") >= rule.min_chi2) \
-        .orderBy(F.desc("chi2"), "term").limit(rule.max_terms).select("term")
-    vocabulary = np.sort(np.array([r["term"] for r in picked.collect()], np.int64).view(np.uint64))
-    wanted = F.broadcast(spark.createDataFrame([(int(x),) for x in signed(vocabulary)], "term long"))
-    entries = counted.join(wanted, "term").toPandas()       # per_class * 2 examples x max_terms at most, mostly far less
-    counted.unpersist()
-
-    n_docs, df = _document_frequency(texts, vocabulary)
-    idf = np.log((n_docs + 1) / (df + 1)) + 1
-    model = Model(rule, vocabulary, idf, empty.ids, empty.toxic, empty.vote, share, share)
-    rows = np.zeros((len(ids), len(vocabulary)))
-    at = np.searchsorted(vocabulary, entries["term"].to_numpy(np.int64).view(np.uint64))
-    rows[np.searchsorted(ids, entries["doc_id"].to_numpy(np.int64)), at] = entries["n"].to_numpy(np.float64)
-    rows = unit(np.log1p(rows) * idf)
-    bare = ~rows.any(axis=1)
+        return model
+
+    # At most 2 * per_class rows: the sample's ids are sent to the scan, its term counts come back.
+    chosen = F.broadcast(spark.createDataFrame([(int(i),) for i in ids], "doc_id long"))
+    entries = map_slices(texts.join(chosen, "doc_id"), _example_terms, "doc_id long, term long, n long") \
+        .groupBy("doc_id", "term").agg(F.max("n").alias("n")).toArrow()
+    model.vocabulary, at = np.unique(entries["term"].to_numpy().view(np.uint64), return_inverse=True)
+    who, n = np.searchsorted(ids, entries["doc_id"].to_numpy()), entries["n"].to_numpy()
+    model.folder, model.shards, model.n_docs, df = _document_frequency(texts, model.vocabulary)
+    order = np.lexsort((at, who))
+    who, at = who[order], at[order]
+    weight = np.log1p(n[order]) * model.idf(df)[at]
+    norm = np.sqrt(np.bincount(who, weight * weight, minlength=len(ids)))
+    rows = Rows(np.searchsorted(who, np.arange(len(ids) + 1)), at, weight / norm[who], len(model.vocabulary))
+    bare = norm == 0
     model.empty_score = float((vote[bare] @ toxic[bare] + rule.smoothing * share) / (vote[bare].sum() + rule.smoothing))
-    index(model, rows, ids, toxic, vote)
+    model.telling = _telling(rows, toxic, rule)
+    if rows.size:
+        index(model, rows, ids, toxic, vote)
     return model
 
 
-def _document_frequency(texts: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarray]:
-    """Number of all documents and how many hold each term: one array per slice, added up in Spark."""
-    size = len(vocabulary)
+def _telling(rows: Rows, toxic: np.ndarray, rule: Neighbours) -> np.ndarray:
+    """Terms whose presence depends on the label: chi-squared, and a least ratio of the two classes' shares."""
+    n1 = toxic.sum()
+    n0 = len(toxic) - n1
+    held = np.bincount(rows.at, minlength=rows.size)
+    a = np.bincount(rows.at, toxic[rows.owner], minlength=rows.size)
+    b = held - a
+    ratio = (a + 0.5) / (n1 + 1) / ((b + 0.5) / (n0 + 1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        chi2 = (n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2 / (n1 * n0 * held * (n1 + n0 - held))
+    fit = np.flatnonzero((held >= rule.min_examples) & (held < n1 + n0) & (np.maximum(ratio, 1 / ratio) >= rule.min_ratio)
+                         & (chi2 >= rule.min_chi2))
+    out = np.zeros(rows.size, dtype=bool)
+    out[fit[np.argsort(-chi2[fit], kind="stable")[:rule.max_terms]]] = True
+    return out
+
+
+def _count_terms(shards: int):
+    """How many texts hold each term, packed for the range shards of the terms' hashes."""
+    def flush(parts: list[tuple[np.ndarray, np.ndarray]], total: int) -> pa.RecordBatch:
+        (h,), (c,) = _sum_by((np.concatenate([p[0] for p in parts]),), np.concatenate([p[1] for p in parts]))
+        return _batch([(s, WORDS, pack(delta(h[part]), _smallest(c[part]))) for s, part in _shards(h, shards)]
+                      + [(0, TALLY, pack(np.array([total], np.int64)))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, df = 0, np.zeros(size, np.int64)
+        parts, held, total = [], 0, 0
         for piece in slices(batches):
+            distinct, _, which, _ = _counted(*terms(piece.column("text")))
+            parts.append((distinct, np.bincount(which, minlength=len(distinct))))
+            held += len(distinct)
             total += piece.num_rows
-            if size:
-                h, t = terms(piece.column("text"))
-                at = np.minimum(np.searchsorted(vocabulary, h), size - 1)
-                have = vocabulary[at] == h
-                pairs = np.unique(t[have] * size + at[have])
-                df += np.bincount(pairs % size, minlength=size)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, size)), pa.array(np.append(total, df))], ["at", "n"])
-    sums = texts.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(size + 1, np.int64)
-    for r in sums:
-        out[r["at"] + 1] = r["n"]
-    return int(out[0]), out[1:]
+            if held >= TERMS_AT_ONCE:
+                yield flush(parts, total)
+                parts, held, total = [], 0, 0
+        if parts:
+            yield flush(parts, total)
+    return run
+
+
+def _store_terms(folder: str, vocabulary):
+    """Final frequencies of one shard, stored; those of the vocabulary go on, and the number of texts (at -1)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts, total, shard = [], [], 0, -1
+        for batch in batches:
+            for s, kind, payload in zip(batch.column("shard").to_pylist(), batch.column("kind").to_pylist(),
+                                        batch.column("payload")):
+                got = unpack(payload.as_py())
+                shard = s
+                if kind == TALLY:
+                    total += int(got[0][0])
+                else:
+                    hashes.append(undelta(got[0]))
+                    counts.append(got[1].astype(np.int64))
+        ats, ns = [-1], [total]
+        if hashes:
+            (h,), (c,) = _sum_by((np.concatenate(hashes),), np.concatenate(counts))
+            _store(folder, f"terms-{shard:05d}", h, _smallest(c))
+            _, at, spot = np.intersect1d(vocabulary.value, h, assume_unique=True, return_indices=True)
+            ats, ns = [-1, *at], [total, *c[spot]]
+        yield pa.RecordBatch.from_arrays([pa.array(ats, pa.int64()), pa.array(ns, pa.int64())], ["at", "n"])
+    return run
+
+
+def _document_frequency(texts: DataFrame, vocabulary: np.ndarray) -> tuple[str, int, int, np.ndarray]:
+    """Store in how many of all documents each term is: (folder, shards, documents, frequencies of the vocabulary)."""
+    spark = texts.sparkSession
+    shards = shuffle_partitions(spark)
+    folder = scratch_path(spark, "term-frequencies")
+    if ":" not in folder.split("/")[0]:
+        folder = f"file://{folder}"
+    system, root = fs.FileSystem.from_uri(folder)
+    system.create_dir(root)
+    held = spark.sparkContext.broadcast(vocabulary)
+    counted = texts.select("text").mapInArrow(_count_terms(shards), PACKED).repartitionById(shards, F.col("shard"))
+    got = write_scratch(counted.mapInArrow(_store_terms(folder, held), "at long, n long"), "vocabulary-frequencies").toArrow()
+    at, n = got["at"].to_numpy(), got["n"].to_numpy()
+    df = np.zeros(len(vocabulary), np.int64)
+    df[at[at >= 0]] = n[at >= 0]
+    return folder, shards, int(n[at < 0].sum()), df
 
 
 def _score(broadcast):
@@ -250,13 +425,14 @@ def _score(broadcast):
         for low in range(0, piece.num_rows, 512):
             part = piece.slice(low, 512)
             own = part.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
-            sims, spots = nearest(model, model.rows(part.column("text")), own)
+            rows = model.rows(part.column("text"))
+            sims, spots = nearest(model, rows, own)
             have = spots >= 0
             offsets = np.concatenate([[0], np.cumsum(have.sum(axis=1))]).astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (
                 model.ids[spots[have]] if have.any() else np.zeros(0, np.int64), sims[have])]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(np.clip(votes(model, sims, spots), 0, 1)), *lists],
+                [*part.columns, pa.array(np.clip(votes(model, rows, sims, spots), 0, 1)), *lists],
                 [*part.schema.names, "score", "neighbours", "similarities"])
     return run
 
@@ -265,9 +441,9 @@ def score_toxicity(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) ->
     """doc_id, text and the columns ``keep``, with score, predicted, and the evidence.
 
     ``neighbours`` holds the doc_ids of the nearest examples, nearest first
-    (ties: smaller id), ``similarities`` their cosines.  A text without a term
-    of the vocabulary, such as a null or empty one, gets the share among
-    examples without such terms.  Repeated rows score alike; other columns
+    (ties: smaller id), ``similarities`` their cosines.  A text that shares
+    no term with an example, such as a null or empty one, gets the share among
+    examples without terms.  Repeated rows score alike; other columns
     are left out; an empty table gives no rows.
     """
     chosen = docs.select("doc_id", "text", *keep)
