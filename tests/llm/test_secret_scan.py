@@ -1,7 +1,10 @@
 """Base spans against the plain patterns; novelty on planted strings."""
 
+import random
 import re
 
+import pytest
+
 from tillroll.llm.queries import QUERIES
 from tillroll.llm.secret_scan import novelty, redact, scan_secrets, scan_text
 
@@ -56,3 +59,26 @@ def test_redaction(spark):
 def test_query_columns(spark):
     assert QUERIES["op4_secret_scan"](spark, "/root/testdata/sf0.001").columns[:6] == [
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+
+
+@pytest.mark.parametrize("symbols", [
+    "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"])
+def test_random_strings_of_any_length(symbols):
+    draw = random.Random(7)
+    for before in ("The clerk wrote down Authorization: Bearer ", "and the private key is "):
+        for n in (20, 24, 32, 40, 48, 64, 128, 172, 256, 512, 1024, 4000):
+            for _ in range(5):
+                value = "".join(draw.choices(symbols, k=n - 3)) + symbols[0] + symbols[-1] + "7"
+                text = before + value + " and the prose goes on as before"
+                found = [s[:3] for s in scan_text(text)]
+                assert ("novel", len(before), len(before) + n) in found or found == [("hex", len(before), len(before) + n)], value
+        value = "".join(draw.choices(symbols, k=14)) + "A7"
+        assert ("novel", len(before), len(before) + 16) in [s[:3] for s in scan_text(before + value + " and so on")]
+
+
+def test_patterned_strings_stay_out():
+    for value in ("my_secret_password_example1", "aaaaaaaaaaaaaaaa1111111111111111", "0" * 38 + "A",
+                  "Abcabcabcabc123123123123", "A1" * 100, "0123456789ABCDEF" * 20):
+        spans = scan_text(f"the session signature is {value} and then")
+        assert all(kind != "novel" for kind, *_ in spans), value

@@ -5,8 +5,11 @@ them, every long mixed string that stands shortly behind a sensitive word is
 compressed by zstandard with a dictionary primed from common identifiers and
 the text around the string.  Its marginal bytes, against what the primed
 compressor spends on nothing, show how much of it neither the identifiers nor
-the surrounding text explain; an incompressible string is reported as kind
-``novel``.  Each span carries that novelty (marginal bytes per byte).
+the surrounding text explain.  The compressor also codes plain symbols in fewer
+bits, the more so the longer the string and the smaller its alphabet; so the
+measure is a random string of the same length over the same symbols.  A string
+that compresses hardly better is reported as kind ``novel``.  Each span carries
+that novelty (marginal bytes against those of the random string).
 
 A slice of texts is first searched as one byte buffer, so that patterns run
 only over texts that can hold a match.
@@ -52,7 +55,7 @@ class NoveltyRule:
     min_length: int = 16
     reach: int = 48              # code points between the end of the sensitive word and the string
     around: int = 2048           # code points of surrounding text in the dictionary, each side
-    min_novelty: float = 0.8     # marginal bytes per byte
+    min_novelty: float = 0.8     # marginal bytes, against a random string of that length and alphabet
     min_classes: int = 2         # of lower case, upper case, digits
 
 
@@ -96,20 +99,43 @@ def _with_word(low: bytes, offsets: np.ndarray, words: tuple[str, ...], n: int)
 
 
 def novelty(text: str, start: int, end: int, rule: NoveltyRule = NoveltyRule()) -> float:
-    """Marginal compressed bytes of text[start:end] per byte, given identifiers and the text around it."""
+    """Marginal compressed bytes of text[start:end], given identifiers and the text around it.
+
+    As a share of what a random string of its length and symbols takes, which is
+    at most its length.
+    """
     around = text[max(0, start - rule.around):start] + "\n" + text[end:end + rule.around]
     primed = zstandard.ZstdCompressionDict((IDENTIFIERS + "\n" + around).encode(),
                                            dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     packer = zstandard.ZstdCompressor(level=19, dict_data=primed, write_content_size=False,
                                       write_checksum=False, write_dict_id=False)
-    value = text[start:end].encode()
-    return max(0, len(packer.compress(value)) - len(packer.compress(b""))) / max(1, len(value))
+    value, nothing = text[start:end].encode(), len(packer.compress(b""))
+    marginal = max(0, len(packer.compress(value)) - nothing)
+    allowed = len(value)
+    if marginal < allowed and len(set(value)) > 1:
+        allowed = min(allowed, max(1, len(packer.compress(_random(value))) - nothing))
+    return marginal / max(1, allowed)
+
+
+def _random(value: bytes) -> bytes:
+    """A string of the length of ``value``, evenly drawn from its symbols; the same for the same."""
+    symbols = sorted(set(value))
+    return np.random.default_rng([len(value), *symbols]).choice(np.array(symbols, np.uint8), len(value)).tobytes()
 
 
 def _classes(value: str) -> int:
     return sum(bool(re.search(c, value)) for c in ("[a-z]", "[A-Z]", "[0-9]"))
 
 
+def _left(start: int, end: int, taken: list[tuple[int, int]]) -> int:
+    """Length of the longest piece of a range that none of the sorted ``taken`` ranges covers."""
+    most = 0
+    for a, b in taken:
+        most = max(most, min(a, end) - start)
+        start = max(start, b)
+    return max(most, end - start)
+
+
 def scan_text(text: str, rule: NoveltyRule = NoveltyRule()) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, novelty) of one text in code points, by start, then kind as in KINDS."""
     spans = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
@@ -122,7 +148,7 @@ def scan_text(text: str, rule: NoveltyRule = NoveltyRule()) -> list[tuple[str, i
         for m in re.finditer(r"[A-Za-z0-9+/_.=-]{%d,}" % rule.min_length, text):
             a, b = m.span()
             before = low[max(0, a - rule.reach - 12):a]
-            if (any(x < b and a < y for x, y in taken) or _classes(m[0]) < rule.min_classes
+            if (_left(a, b, taken) < rule.min_length or _classes(m[0]) < rule.min_classes
                     or not any(w in before for w in SENSITIVE)):
                 continue
             if (new := novelty(text, a, b, rule)) >= rule.min_novelty:
