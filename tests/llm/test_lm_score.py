@@ -82,3 +82,48 @@ def test_empty_tables(spark):
     assert score_texts(empty(spark), none).collect() == []
     row = score_texts(documents(spark).filter("doc_id = 5"), none).first()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (8, 0, 0, 0.0, 0.0)
+
+
+def higher(training, texts, order):
+    """Scores by a plain model of any order: counts of order k are the different grams above that end in them."""
+    def split(t):
+        seq = ["<start>"] * (order - 1) + [*plain(t), "</end>"]
+        return [tuple(seq[i - order + 1:i + 1]) for i in range(order - 1, len(seq))]
+    counts = {order: Counter(g for t in training for g in split(t))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    d = {k: discounts([x for g, x in c.items() if g != ("<start>",)]) for k, c in counts.items()}
+    after = {k: defaultdict(list) for k in counts}
+    for k, c in counts.items():
+        for g, x in c.items():
+            after[k][g[:-1]].append(x)
+
+    def prob(g):
+        k = len(g)
+        if k == 0:
+            return 1 / (len(counts[1]) + 1)
+        had = after[k][g[:-1]]
+        if not had:
+            return prob(g[1:])
+        x = counts[k][g]
+        return (x - d[k][min(x, 3)] + sum(d[k][min(y, 3)] for y in had) * prob(g[1:])) / sum(had)
+    for g in list(counts[order])[:10]:
+        assert sum(prob((*g[:-1], w)) for w, in [*counts[1], ("<unknown>",)]) == pytest.approx(1)
+    return [sum(math.log10(prob(g)) for g in split(t)) for t in texts]
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_orders_match_plain_model(spark, order):
+    docs = documents(spark).filter("doc_id is not null")
+    got = sorted(map(tuple, score_texts(docs, train(docs.filter("doc_id % 3 <> 0"), order=order)).select("doc_id", "score").collect()))
+    source = sorted(((r[0], r[1]) for r in rows() if r[0] is not None), key=lambda r: r[0])
+    expected = higher([t for i, t in source if i % 3], [t for _, t in source], order)
+    assert [g[0] for g in got] == [i for i, _ in source]
+    for g, e in zip(got, expected):
+        assert g[1] == pytest.approx(e, rel=1e-9)
+
+
+def test_order_three_uses_two_words_of_context(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(200)
+    two, three = (score_texts(docs, train(docs, order=k)).selectExpr("sum(score)").first()[0] for k in (2, 3))
+    assert three > two

@@ -1,17 +1,19 @@
-"""LM scoring by an interpolated modified Kneser-Ney bigram model.
-
-Counting is three Spark steps over packed arrays: texts -> (word pair, count)
-per task -> range shards of the pair's hash, where counts become final; each
-pair type then adds to the statistics of its two words, which meet in range
-shards of the word's hash.  Every shard stores its part of the model as sorted
-hash arrays with counts beside them, in the shared folder.
-
-Scoring maps those files into memory and looks up each distinct word and pair
-of a slice of texts once, in sorted order, so a worker touches each page of
-the model at most once per slice and holds none of it on its heap.
-
-p(w | v) = (c(vw) - D(c(vw))) / c(v) + g(v) * p(w), and p(w) likewise from the
-number of different words before w, interpolated with 1 / (V + 1).
+"""LM scoring by an interpolated modified Kneser-Ney model of any order from 2.
+
+Counting goes from the highest order N down, over packed arrays: texts ->
+(N tokens, count) per task -> range shards of the gram's hash, where counts
+become final.  Each gram type of order k then adds one to the continuation
+count of its last k - 1 tokens, which is the count of order k - 1, and to the
+statistics of its context, its first k - 1 tokens.  Every shard stores its part
+of the model as sorted hash arrays with counts beside them, in the shared folder.
+
+Scoring maps those files into memory and looks up each distinct word, gram and
+context of a slice of texts once, in sorted order, so a worker touches each page
+of the model at most once per slice and holds none of it on its heap.
+
+p(w | h) = (a(hw) - D(a(hw))) / a(h) + g(h) * p(w | h without its first token),
+and p(w) from the number of different words before w, interpolated with
+1 / (V + 1).  Texts begin with N - 1 start tokens, so each context is whole.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ _U = np.uint64
 END, START = _U(0x0E4D0E4D0E4D0E4D), _U(0x57A2757A2757A271)
 PAIRS_AT_ONCE = 3_000_000
 PACKED = "shard int, kind int, payload binary"
-WORDS, PAIRS, STATS, TALLY = 0, 1, 2, 3
+WORDS, GRAMS, CONTEXTS, TALLY = 0, 1, 2, 3
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,8 +60,39 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, before, first
 
 
-def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mix(before * _U(0x9E3779B97F4A7C15) + word)
+def grams(word: np.ndarray, first: np.ndarray, order: int) -> list[np.ndarray]:
+    """The token itself (last) and the order - 1 tokens before it, the farthest first."""
+    place = np.arange(len(word)) - np.repeat(first[:-1], np.diff(first))
+    out = [word]
+    for back in range(1, order):
+        out.insert(0, np.where(place >= back, np.roll(word, back), START))
+    return out
+
+
+def gram_hash(columns: list[np.ndarray]) -> np.ndarray:
+    out = columns[0]
+    for word in columns[1:]:
+        out = mix(out * _U(0x9E3779B97F4A7C15) + word)
+    return out
+
+
+def _merged(columns: list[np.ndarray], *values: np.ndarray):
+    """Distinct grams sorted by hash: (hashes, columns, sums of the values)."""
+    g = gram_hash(columns)
+    order = np.argsort(g, kind="stable")
+    g = g[order]
+    at = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else order
+    return g[at], [c[order][at] for c in columns], [np.add.reduceat(v[order], at) if len(at) else v[:0] for v in values]
+
+
+def _gram_rows(columns: list[np.ndarray], counts: np.ndarray, shards: int) -> list[tuple[int, int, bytes]]:
+    g, columns, (counts,) = _merged(columns, counts)
+    rows = []
+    for s, part in _shards(g, shards):
+        cut = [c[part] for c in columns]
+        order = np.lexsort(cut[::-1])
+        rows.append((s, GRAMS, pack(delta(cut[0][order]), *[c[order] for c in cut[1:]], _smallest(counts[part][order]))))
+    return rows
 
 
 def _sum_by(order_keys: tuple[np.ndarray, ...], *values: np.ndarray):
@@ -82,33 +115,21 @@ def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
          pa.array([r[2] for r in rows], pa.binary())], ["shard", "kind", "payload"])
 
 
-def _count(shards: int):
-    def flush(parts) -> pa.RecordBatch:
-        word = np.concatenate([p[0] for p in parts])
-        before = np.concatenate([p[1] for p in parts])
-        rows = []
-        (w,), (c,) = _sum_by((word,), np.ones(len(word), np.int64))
-        for s, part in _shards(w, shards):
-            rows.append((s, WORDS, pack(delta(w[part]), c[part])))
-        g = pair_hash(before, word)
-        order = np.argsort(g)
-        g, word, before = g[order], word[order], before[order]
-        at = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else order
-        c = np.diff(np.append(at, len(g)))
-        g, word, before = g[at], word[at], before[at]
-        for s, part in _shards(g, shards):
-            b, w, n = before[part], word[part], c[part]
-            order = np.lexsort((w, b))
-            rows.append((s, PAIRS, pack(delta(b[order]), w[order], n[order])))
-        return _batch(rows)
+def _count(shards: int, order: int):
+    def flush(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        one = np.ones(len(columns[-1]), np.int64)
+        (w,), (c,) = _sum_by((columns[-1],), one)
+        rows = [(s, WORDS, pack(delta(w[part]), c[part])) for s, part in _shards(w, shards)]
+        return _batch(rows + _gram_rows(columns, one, shards))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for piece in slices(batches):
-            word, before, _ = tokens(piece.column("text"))
-            parts.append((word, before))
+            word, _, first = tokens(piece.column("text"))
+            parts.append(grams(word, first, order))
             held += len(word)
-            if held >= PAIRS_AT_ONCE:
+            if held * order >= 2 * PAIRS_AT_ONCE:
                 yield flush(parts)
                 parts, held = [], 0
         if parts:
@@ -144,64 +165,72 @@ def _tally(counts: np.ndarray) -> np.ndarray:
     return np.array([np.count_nonzero(counts == k) for k in (1, 2, 3, 4)] + [len(counts)], np.int64)
 
 
-def _pairs(folder: str, shards: int):
-    """Final pair counts of one shard; statistics of words go on to the words' shards."""
+def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
+    for batch in batches:
+        for s, kind, payload in zip(batch.column("shard").to_pylist(), batch.column("kind").to_pylist(),
+                                    batch.column("payload")):
+            yield s, kind, payload.as_py()
+
+
+def _grams(folder: str, shards: int, order: int):
+    """Final counts of one shard's grams; contexts and the grams of the next lower order go on to their shards."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, word, count, shard = [], [], [], -1
-        for batch in batches:
-            for s, kind, payload in zip(batch.column("shard").to_pylist(), batch.column("kind").to_pylist(),
-                                        batch.column("payload")):
-                shard = s
-                if kind == WORDS:
-                    yield _batch([(s, WORDS, payload.as_py())])
-                else:
-                    b, w, c = unpack(payload.as_py())
-                    before.append(undelta(b))
-                    word.append(w)
-                    count.append(c)
-        if not before:
+        parts, shard = [], -1
+        for s, kind, payload in _payloads(batches):
+            if kind == WORDS:
+                yield _batch([(s, WORDS, payload)])
+                continue
+            shard = s
+            got = unpack(payload)
+            parts.append([undelta(got[0]), *got[1:-1], got[-1].astype(np.int64)])
+        if not parts:
             return
-        before, word, count = map(np.concatenate, (before, word, count))
-        (b, w), (c,) = _sum_by((before, word), count)
-        g = pair_hash(b, w)
-        order = np.argsort(g)
-        _store(folder, f"pairs-{shard:05d}", g[order], _smallest(c[order]))
+        *columns, count = [np.concatenate(c) for c in zip(*parts)]
+        parts.clear()
+        g, columns, (c,) = _merged(columns, count)
+        _store(folder, f"grams{order}-{shard:05d}", g, _smallest(c))
         yield _batch([(0, TALLY, pack(_tally(c)))])
-        one = np.ones(len(c), np.int64)
-        zero = np.zeros(len(c), np.int64)
-        # As a context: how many continuations it has once, twice, more often; as a word: words before it.
-        (h,), sums = _sum_by((np.concatenate([b, w]),),
-                             np.concatenate([(c == 1).astype(np.int64), zero]),
-                             np.concatenate([(c == 2).astype(np.int64), zero]),
-                             np.concatenate([(c >= 3).astype(np.int64), zero]), np.concatenate([zero, one]))
+        h, _, sums = _merged(columns[:-1], c, *[(few).astype(np.int64) for few in (c == 1, c == 2, c >= 3)])
         for s, part in _shards(h, shards):
-            yield _batch([(s, STATS, pack(delta(h[part]), *[x[part] for x in sums]))])
+            yield _batch([(s, CONTEXTS, pack(delta(h[part]), *[_smallest(x[part]) for x in sums]))])
+        yield _batch(_gram_rows(columns[1:], np.ones(len(c), np.int64), shards))
+    return run
+
+
+def _contexts(folder: str, order: int):
+    """Final arrays of one shard of contexts: hash, sum of its grams' counts, grams that count 1, 2, 3 or more."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, shard = [], -1
+        for s, _, payload in _payloads(batches):
+            shard = s
+            got = unpack(payload)
+            parts.append([undelta(got[0]), *[x.astype(np.int64) for x in got[1:]]])
+        if parts:
+            h, *columns = [np.concatenate(c) for c in zip(*parts)]
+            (h,), sums = _sum_by((h,), *columns)
+            _store(folder, f"contexts{order}-{shard:05d}", h, *map(_smallest, sums))
+        yield pa.RecordBatch.from_arrays([pa.array([len(parts)], pa.int64())], ["n"])
     return run
 
 
 def _words(folder: str):
-    """Final arrays of one shard of words: hash, count, words before it, continuations seen 1, 2, 3+ times."""
+    """Final arrays of one shard of words: hash, count, words before it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, columns, shard = [], [[] for _ in range(5)], -1
-        for batch in batches:
-            for s, kind, payload in zip(batch.column("shard").to_pylist(), batch.column("kind").to_pylist(),
-                                        batch.column("payload")):
-                shard = s
-                got = unpack(payload.as_py())
-                hashes.append(undelta(got[0]))
-                zero = np.zeros(len(got[0]), np.int64)
-                parts = (got[1], zero, zero, zero, zero) if kind == WORDS else (zero, got[4], got[1], got[2], got[3])
-                for out, x in zip(columns, parts):
-                    out.append(x)
+        hashes, counts, before, shard = [], [], [], -1
+        for s, kind, payload in _payloads(batches):
+            shard = s
+            got = unpack(payload)
+            hashes.append(undelta(got[0]))
+            n, zero = got[1].astype(np.int64), np.zeros(len(got[0]), np.int64)
+            counts.append(n if kind == WORDS else zero)
+            before.append(zero if kind == WORDS else n)
         if not hashes:
             return
-        (h,), sums = _sum_by((np.concatenate(hashes),), *map(np.concatenate, columns))
-        _store(folder, f"words-{shard:05d}", h, *map(_smallest, sums))
-        word = h != START                   # the start is a context, never a word
-        count, followed = sums[0][word], sums[1][word]
+        (h,), (count, followed) = _sum_by((np.concatenate(hashes),), np.concatenate(counts), np.concatenate(before))
+        _store(folder, f"words-{shard:05d}", h, _smallest(count), _smallest(followed))
+        word = h != START                   # the start is a context; where it is padding, also a gram's last token
         yield pa.RecordBatch.from_arrays([pa.array([pack(
-            _tally(followed), np.array([len(count), count.sum(), sums[0][h == END].sum()], np.int64))], pa.binary())],
-            ["payload"])
+            _tally(followed[word]), np.array([word.sum(), count[word].sum()], np.int64))], pa.binary())], ["payload"])
     return run
 
 
@@ -221,43 +250,51 @@ class Model:
 
     folder: str
     shards: int
+    order: int
     n_tokens: int
     n_types: int
-    n_texts: int
-    pair_discounts: np.ndarray
+    gram_discounts: dict[int, np.ndarray]    # by order, from 2
     word_discounts: np.ndarray
     pair_types: int
     rest: float              # mass that p(w) leaves to the uniform part
 
 
-def train(docs: DataFrame, text_col: str = "text") -> Model:
-    """Count ``docs`` whole and store the model in the shared folder.
+def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
+    """Count ``docs`` whole, in grams of up to ``order`` tokens, and store the model in the shared folder.
 
     A null text is empty: it counts one end.  An empty table gives a model
     that knows no token and gives each the probability 1 / (V + 1) = 1.
     """
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
     shards = shuffle_partitions(spark)
-    folder = scratch_path(spark, "bigrams")
+    folder = scratch_path(spark, "grams")
     if ":" not in folder.split("/")[0]:
         folder = f"file://{folder}"
     system, root = fs.FileSystem.from_uri(folder)
     system.create_dir(root)
-    texts = docs.select(F.col(text_col).alias("text"))
-    counted = texts.mapInArrow(_count(shards), PACKED).repartitionById(shards, F.col("shard"))
-    stats = write_scratch(counted.mapInArrow(_pairs(folder, shards), PACKED), "pair-statistics")
-    words = stats.filter(F.col("kind").isin(WORDS, STATS)).repartitionById(shards, F.col("shard"))
-    # One row of a few numbers per shard comes to the driver, from either step.
-    word_rows = [unpack(r["payload"]) for r in words.mapInArrow(_words(folder), "payload binary").collect()]
-    pair_rows = [unpack(r["payload"])[0] for r in stats.filter(F.col("kind") == TALLY).select("payload").collect()]
-    pair_tally = np.sum(pair_rows, axis=0) if pair_rows else np.zeros(5, np.int64)
+    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(_count(shards, order), PACKED)
+    tallies = {}
+    for k in range(order, 1, -1):
+        dealt = rows.repartitionById(shards, F.col("shard"))
+        done = write_scratch(dealt.mapInArrow(_grams(folder, shards, k), PACKED), f"grams-{k}")
+        contexts = done.filter(F.col("kind") == CONTEXTS).repartitionById(shards, F.col("shard"))
+        contexts.mapInArrow(_contexts(folder, k), "n long").agg(F.sum("n")).collect()
+        # One row of a few numbers per shard comes to the driver, here and below.
+        found = [unpack(r["payload"])[0] for r in done.filter(F.col("kind") == TALLY).select("payload").collect()]
+        tallies[k] = np.sum(found, axis=0) if found else np.zeros(5, np.int64)
+        rows = done.filter(F.col("kind").isin(WORDS, GRAMS))
+    words = rows.repartitionById(shards, F.col("shard")).mapInArrow(_words(folder), "payload binary")
+    word_rows = [unpack(r["payload"]) for r in words.collect()]
     word_tally = np.sum([r[0] for r in word_rows], axis=0) if word_rows else np.zeros(5, np.int64)
-    n_types, n_tokens, n_texts = np.sum([r[1] for r in word_rows], axis=0) if word_rows else (0, 0, 0)
+    n_types, n_tokens = np.sum([r[1] for r in word_rows], axis=0) if word_rows else (0, 0)
     d = discounts(word_tally)
-    types = int(pair_tally[4])
+    types = int(tallies[2][4])
     more = word_tally[4] - word_tally[0] - word_tally[1]
     rest = (d[1] * word_tally[0] + d[2] * word_tally[1] + d[3] * more) / types if types else 1.0
-    return Model(folder, shards, int(n_tokens), int(n_types), int(n_texts), discounts(pair_tally), d, types, float(rest))
+    return Model(folder, shards, order, int(n_tokens), int(n_types), {k: discounts(t) for k, t in tallies.items()}, d,
+                 types, float(rest))
 
 
 class Arrays:
@@ -310,25 +347,27 @@ def arrays(folder: str) -> Arrays:
 
 def _score(model: Model):
     def run(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        word, before, first = tokens(piece.column("text"))
+        word, _, first = tokens(piece.column("text"))
         n = len(first) - 1
         owner = np.repeat(np.arange(n), np.diff(first))
         stored = arrays(model.folder)
-        distinct, which = np.unique(np.concatenate([word, before]), return_inverse=True)
-        count, followed, ones, twos, more = stored.find("words", distinct, model.shards, 5)
-        w, v = which[:len(word)], which[len(word):]
-        pairs, pair_at = np.unique(pair_hash(before, word), return_inverse=True)
-        seen = stored.find("pairs", pairs, model.shards, 1)[0][pair_at]
-
+        distinct, w = np.unique(word, return_inverse=True)
+        count, followed = stored.find("words", distinct, model.shards, 2)
         d = model.word_discounts
         lower = np.full(len(distinct), model.rest / (model.n_types + 1))
         if model.pair_types:
             lower += (followed - d[np.minimum(followed, 3)]) / model.pair_types
-        d = model.pair_discounts
-        total = np.where(distinct == START, model.n_texts, count).astype(np.float64)
-        back = np.divide(d[1] * ones + d[2] * twos + d[3] * more, total, out=np.ones(len(total)), where=total > 0)
-        above = (seen - d[np.minimum(seen, 3)]) / np.maximum(total[v], 1)
-        logs = np.log10(above + back[v] * lower[w])
+        chance = lower[w]
+        columns = grams(word, first, model.order)
+        for k in range(2, model.order + 1):
+            d = model.gram_discounts[k]
+            keys, at = np.unique(gram_hash(columns[-k:]), return_inverse=True)
+            seen = stored.find(f"grams{k}", keys, model.shards, 1)[0][at]
+            keys, at = np.unique(gram_hash(columns[-k:-1]), return_inverse=True)
+            total, ones, twos, more = stored.find(f"contexts{k}", keys, model.shards, 4)
+            back = np.divide(d[1] * ones + d[2] * twos + d[3] * more, total, out=np.ones(len(total)), where=total > 0)
+            chance = (seen - d[np.minimum(seen, 3)]) / np.maximum(total, 1)[at] + back[at] * chance
+        logs = np.log10(chance)
         base = np.log10((count + 1) / (model.n_tokens + (model.n_types + 1)))
         kept = [k for k, name in enumerate(piece.schema.names) if name != "text"]
         yield pa.RecordBatch.from_arrays(

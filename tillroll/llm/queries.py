@@ -49,7 +49,7 @@ def training_labels(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
 @register("op1_lm_scores")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = train(docs.filter(fold(7) != 2))
+    model = train(docs.filter(fold(7) != 2), order=3)
     return score_texts(docs, model).select(
         "doc_id", (fold(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
         "perplexity")
