@@ -60,3 +60,22 @@ def test_edge_rows(spark, encode):
         want.append((r[0], len(encode(t)), len(encode(u)), len(encode("New: " + u))))
     assert got == sorted(want, key=str)
     assert count_with_edits(empty(spark), RANKS, public_tokenizers.PATTERN, edits).collect() == []
+
+
+def test_patterns_that_look_far_ahead():
+    """The new line joins all white space before it to one pre-token, far behind the edit's context."""
+    pattern = r"\s*[\r\n]+|\s+|\S+"
+    with open(RANKS, "rb") as f:
+        counter = PreTokenCounter(f.read(), pattern)
+    text = "\n" + " " * 10 + "x"
+    parts = counter.pattern.findall(text)
+    tree = TokenTree(list(map(len, parts)), counter.counts(parts))
+    text, n = tree.edit(text, 11, 12, "\n", counter)
+    fresh = counter.pattern.findall(text)
+    assert [x for s in tree.lengths for x in s] == list(map(len, fresh)) == [12]
+    assert tree.total == sum(counter.counts(fresh))
+
+
+def test_registered_pattern_is_bounded():
+    with open(RANKS, "rb") as f:
+        assert PreTokenCounter(f.read(), public_tokenizers.PATTERN).bounded

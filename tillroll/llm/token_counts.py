@@ -6,6 +6,8 @@ code points and tokens of segments of pre-tokens and of all spans of segments
 above them.  An edit descends to the pre-tokens that it touches, cuts the new
 text anew from a little before them, until a cut falls on an old one behind
 the edit, encodes only those pre-tokens and updates the sums above them.
+That holds for the patterns in BOUNDED; another pattern's cuts may depend on
+any text before or behind, so there an edit cuts and encodes the whole text.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 from tillroll.llm.frames import map_slices
 
 SEGMENT = 64                 # pre-tokens of a fresh segment
-CONTEXT = 3                  # code points behind a pre-token that its cut may depend on
+CONTEXT = 3                  # code points behind a pre-token that its cut may depend on, for these patterns:
+BOUNDED = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",)
 REMEMBERED = 300_000
 
 
@@ -35,6 +38,7 @@ class PreTokenCounter:
         self.encode = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=table,
                                         special_tokens={}).encode_ordinary
         self.pattern = regex.compile(pattern)
+        self.bounded = pattern in BOUNDED
         self.known: dict[str, int] = {}
 
     def counts(self, parts: list[str]) -> list[int]:
@@ -99,6 +103,10 @@ class TokenTree:
     def edit(self, text: str, start: int, end: int, replacement: str, counter: PreTokenCounter) -> tuple[str, int]:
         """Apply text[start:end] = replacement; (new text, pre-tokens encoded anew)."""
         new = text[:start] + replacement + text[end:]
+        if not counter.bounded:
+            parts = counter.pattern.findall(new)
+            self.__init__(list(map(len, parts)), counter.counts(parts))
+            return new, len(parts)
         segment, at = self.locate(max(0, start - CONTEXT - 1))
         lengths, counts = list(self.lengths[segment]), list(self.counts[segment])
         k = 0
