@@ -6,6 +6,8 @@ import re
 
 from tillroll.llm.jaccard_join import jaccard_join
 
+from tests.llm.test_words import thue_morse
+
 SCHEMA = "doc_id long, text string"
 
 
@@ -82,3 +84,7 @@ def test_empty_table_and_extra_columns(spark):
     df = spark.createDataFrame([(1, "a b", 5, "q", 1), (2, "a b", 5, "q", 1)],
                                "doc_id long, text string, hash long, digest string, u int")
     assert sorted(map(tuple, jaccard_join(df).collect())) == [(1, 1, 1, 1), (2, 1, 1, 1)]
+
+
+def test_words_that_a_polynomial_takes_for_one(spark):
+    check(spark, list(enumerate(thue_morse())))

@@ -1,13 +1,17 @@
 """Ids, decoded text and spans against the library."""
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from tillroll.llm.sentence_pieces import Normaliser, decode_pieces, encode_pieces
+from tillroll.llm.sentence_pieces import Normaliser, PieceCoder, decode_pieces, encode_pieces
+from tillroll.llm.words import Words
 
 from tests.llm.edge_rows import documents, empty, rows
+from tests.llm.test_words import thue_morse
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -92,3 +96,18 @@ def test_flat_way_is_the_general_way(library):
     lists = [[], [2], [1, 264, 2], [0, 264], [264, 0, 2], [3 + 0xE3], [3 + 0xE3, 3 + 0x81, 264], [28705, 28705, 264], [13, 264]]
     flat = np.array([i for x in lists for i in x], np.int64)
     assert it.decode_flat(flat, np.cumsum([0, *map(len, lists)])) == [library.decode(x) for x in lists]
+
+
+def test_words_of_one_hash_keep_their_own_ids(spark, library, monkeypatch):
+    pair = list(thue_morse())
+    texts = [" ".join(pair), pair[1], pair[0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for row in encode_pieces(docs, MODEL).collect():
+        assert row.ids == library.encode(texts[row.doc_id], add_eos=True)
+    # Even if all words had one hash: within a slice, and between slices.
+    it = PieceCoder(open(MODEL, "rb").read())
+    assert it.encode_flat(pa.array(["word"]))[0].tolist() == library.encode("word")
+    monkeypatch.setattr(Words, "hashes", lambda self, lower=True: np.zeros(len(self.starts), np.uint64))
+    assert it.encode_flat(pa.array(["one two"])) is None
+    it.by_hash[0] = b" other", b""
+    assert it.encode_flat(pa.array(["word"])) is None

@@ -43,6 +43,20 @@ def test_hash_does_not_depend_on_the_place_in_the_buffer():
     assert len(set(words.hashes()[1::2].tolist())) == 1
 
 
+def thue_morse(letters="ab", n=2048):
+    """Two words of n letters that any polynomial modulo 2^64 takes for one."""
+    one = "".join(letters[bin(k).count("1") % 2] for k in range(n))
+    return one, one.translate(str.maketrans(letters, letters[::-1]))
+
+
+def test_no_collision_by_construction():
+    words = split_words(pa.array([" ".join(thue_morse()), " ".join(thue_morse("xy", 4096))]))
+    assert len(set(words.hashes().tolist())) == 4
+    # blocks in another order, and a word that ends where another has zeros
+    words = split_words(pa.array(["abcdefgh12345678 12345678abcdefgh a a\x00 abcdefgh abcdefgh\x00"]))
+    assert len(set(words.hashes().tolist())) == 6
+
+
 def test_pack_round_trip():
     a = np.sort(np.random.default_rng(0).integers(0, 2 ** 63, 1000).astype(np.uint64))
     b = np.array([1.5, -2.0])

@@ -121,6 +121,16 @@ class Normaliser:
         return bytes(out), np.array([*align, at], np.int64)
 
 
+def _same_words(words: Words, model: np.ndarray) -> bool:
+    """Whether every word is spelled like the word whose index ``model`` gives (the first one of its hash)."""
+    values, first = words.blocks(lower=False)
+    n = np.diff(first)
+    if not np.array_equal(words.ends - words.starts, (words.ends - words.starts)[model]):
+        return False
+    at = np.repeat(first[:-1][model] - first[:-1], n) + np.arange(len(values))
+    return np.array_equal(values, values[at])
+
+
 class PieceCoder:
     """Encoder and decoder of one model, given as the bytes of its file."""
 
@@ -146,7 +156,7 @@ class PieceCoder:
                       and self.normalise.escape and self.normalise.prefix)
         self.plain = np.array([p.type in (kinds.NORMAL, kinds.BYTE) for p in spec.pieces])
         self.control = np.array([p.type == kinds.CONTROL for p in spec.pieces])
-        self.by_hash: dict[int, bytes] = {}
+        self.by_hash: dict[int, tuple[bytes, bytes]] = {}          # hash -> the word and its ids
         spec.normalizer_spec.precompiled_charsmap = b""
         spec.normalizer_spec.add_dummy_prefix = False
         spec.normalizer_spec.remove_extra_whitespaces = False
@@ -208,19 +218,24 @@ class PieceCoder:
         words = Words(data, at[:-1], at[1:], np.searchsorted(at[:-1], first))
         raw = words.hashes(lower=False)
         keys, where, which = np.unique(raw, return_index=True, return_inverse=True)
+        if not _same_words(words, where[which]):
+            return None
         held = self.by_hash
         wanted = keys.tolist()
+        blob = data.tobytes()
+        spelled = [blob[a:b] for a, b in zip(words.starts[where].tolist(), words.ends[where].tolist())]
         new = [k for k, h in enumerate(wanted) if h not in held]
+        if any(h in held and held[h][0] != w for h, w in zip(wanted, spelled)):
+            return None
         if len(held) + len(new) > REMEMBERED:
             held.clear()
             new = list(range(len(wanted)))
-        blob = data.tobytes()
         for low in range(0, len(new), 20_000):
             some = new[low:low + 20_000]
-            text = [blob[words.starts[w]:words.ends[w]].decode().replace(" ", MARK) for w in where[some].tolist()]
+            text = [spelled[k].decode().replace(" ", MARK) for k in some]
             for k, ids in zip(some, self.cutter.encode(text, num_threads=1)):
-                held[wanted[k]] = np.array(ids, np.int32).tobytes()
-        parts = [held[h] for h in wanted]
+                held[wanted[k]] = spelled[k], np.array(ids, np.int32).tobytes()
+        parts = [held[h][1] for h in wanted]
         table = np.frombuffer(b"".join(parts), np.int32)
         sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         if not self.plain[table].all():

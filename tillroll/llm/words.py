@@ -13,8 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 _U = np.uint64
-_STEP = _U(0x9E3779B97F4A7C15)          # odd, so that its powers can be inverted
-_PERIOD = 1 << 16
+_STEP = _U(0x9E3779B97F4A7C15)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -28,21 +27,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.empty(n, dtype=_U)
-    out[0] = 1
-    out[1:] = _U(base)
-    return np.multiply.accumulate(out)
-
-
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=_U) * _STEP)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
-_LOWER_VALUE = _BYTE_VALUE[_LOWER]
-_POW = _powers(int(_STEP), _PERIOD)
-_INV = _powers(pow(int(_STEP), -1, 1 << 64), _PERIOD)
+# The low k bytes of an 8-byte block.
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=_U)
 
 
 def utf8_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,33 +63,29 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
+    def blocks(self, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's bytes as 8-byte numbers (zeros behind its end), and the n + 1 offsets of its numbers."""
+        data = np.zeros(len(self.data) + 8, np.uint8)
+        data[:len(self.data)] = _LOWER[self.data] if lower else self.data
+        at_byte = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+        n = (self.ends - self.starts + 7) >> 3
+        first = np.concatenate([[0], np.cumsum(n)])
+        at = np.repeat(self.starts - 8 * first[:-1], n) + 8 * np.arange(first[-1])
+        return at_byte[at] & _KEEP[np.minimum(np.repeat(self.ends, n) - at, 8)], first
+
     def hashes(self, lower: bool = True) -> np.ndarray:
         """A 64-bit hash of each word, A-Z lower-cased if ``lower``; equal words have equal hashes.
 
-        Polynomial over random byte values, from running sums per stretch of
-        ``_PERIOD`` bytes; a word over a border adds up its two or more parts.
+        Every 8-byte block is mixed, then mixed again with its place, before
+        the blocks are summed: no two texts cancel by algebra, as they can in
+        a polynomial modulo 2^64.
         """
-        n = len(self.data)
-        values = _LOWER_VALUE if lower else _BYTE_VALUE
-        out = np.zeros(len(self.starts), dtype=_U)
-        if not len(out):
-            return out
-        running = np.zeros(_PERIOD + 1, dtype=_U)
-        for low in range(0, n, _PERIOD):
-            high = min(low + _PERIOD, n)
-            np.cumsum(values[self.data[low:high]] * _POW[:high - low],
-                      out=running[1:high - low + 1])
-            i = np.searchsorted(self.ends, low, side="right")
-            j = np.searchsorted(self.starts, high, side="left")
-            if i == j:
-                continue
-            a = np.maximum(self.starts[i:j], low) - low
-            b = np.minimum(self.ends[i:j], high) - low
-            part = (running[b] - running[a]) * _INV[a]
-            if self.starts[i] < low:             # continued: shift by the bytes already read
-                part[:1] *= _U(pow(int(_STEP), int(low - self.starts[i]), 1 << 64))
-            out[i:j] += part
-        return mix(out ^ (self.ends - self.starts).astype(_U))
+        if not len(self.starts):
+            return np.zeros(0, dtype=_U)
+        values, first = self.blocks(lower)
+        place = np.arange(len(values), dtype=_U) - np.repeat(first[:-1], np.diff(first)).astype(_U)
+        sums = np.add.reduceat(mix(mix(values) + (place + _U(1)) * _STEP), first[:-1])
+        return mix(sums ^ (self.ends - self.starts).astype(_U))
 
 
 def split_words(column: pa.Array | pa.ChunkedArray, inside_bytes: np.ndarray = _IS_WORD) -> Words:
