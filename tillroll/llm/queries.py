@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import lexical_rank, mixture
+from tillroll.llm import lexical_rank, mixture, spelling
 from tillroll.llm.fingerprints import fingerprint_edits
 from tillroll.llm.jaccard_join import jaccard_join
 from tillroll.llm.lm_score import score_texts, train
@@ -147,6 +147,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+@register("op12_spelling_variants", spelling.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 @register("op13_lexical_rank", lexical_rank.ORACLE)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_rank.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
