@@ -11,7 +11,7 @@ from tests.llm.test_words import thue_morse
 SCHEMA = "doc_id long, text string"
 
 
-def brute(rows, width=5):
+def brute(rows, width=5, least=75):
     sets = []
     for i, text in rows:
         words = [w.translate({c: c + 32 for c in range(65, 91)}) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
@@ -25,7 +25,7 @@ def brute(rows, width=5):
     degree = [0] * len(sets)
     for a, b in itertools.combinations(range(len(sets)), 2):
         x, y = sets[a][1], sets[b][1]
-        if x and y and 100 * len(x & y) >= 75 * len(x | y):
+        if x and y and 100 * len(x & y) >= least * len(x | y):
             degree[a] += 1
             degree[b] += 1
             parent[root(a)] = root(b)

@@ -42,3 +42,22 @@ def components(edges: DataFrame) -> DataFrame:
         now = write_scratch(_star(_star(now, large=True), large=False), "edges")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+
+
+class Forest:
+    """Connected components of a few nodes within one task."""
+
+    def __init__(self):
+        self.parent: dict = {}
+
+    def root(self, x):
+        while self.parent.setdefault(x, x) != x:
+            self.parent[x] = x = self.parent[self.parent[x]]
+        return x
+
+    def apart(self, x, y) -> bool:
+        return self.root(x) != self.root(y)
+
+    def join(self, x, y) -> None:
+        x, y = self.root(x), self.root(y)
+        self.parent[max(x, y)] = min(x, y)

@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.session import scratch_path
 
@@ -67,6 +68,20 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_skewed(rows: DataFrame, table: DataFrame, key: str, n: str, parts: int = 1000) -> DataFrame:
+    """Inner join on ``key``, which is unique in ``table``; column ``n`` there tells how many ``rows`` have it.
+
+    Keys that hold more than one of ``parts`` of all rows, fewer than ``parts``
+    of them therefore, are broadcast: their rows stay where they are.  All
+    others meet by hash.  ``n`` is not in the result.
+    """
+    total = table.agg(F.sum(n)).first()[0] or 0
+    hot = F.col(n) * parts > F.lit(total)
+    few = F.broadcast(table.filter(hot).drop(n))
+    return rows.join(few, key).unionByName(
+        rows.join(few.select(key), key, "left_anti").join(table.filter(~hot).drop(n), key))
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text",
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each piece holds about ``limit`` bytes of text (one row at least)."""

@@ -37,7 +37,7 @@ from tillroll.llm.frames import (
     delta, map_slices, pack, shard_bounds, shard_of, shuffle_partitions, signed, slices, undelta,
     unpack, unsigned, write_scratch,
 )
-from tillroll.llm.words import mix, shingle_hashes, split_words
+from tillroll.llm.words import shingle_sets
 
 BLOCK = 48                       # sets per block of a family, about
 SUFFIX_BINS = 16
@@ -60,24 +60,6 @@ class Threshold:
         return -(-self.num * (a + b) // (self.num + self.den))
 
 
-def shingle_sets(column: pa.Array, width: int):
-    """Distinct (hash, text) of a column sorted by hash, and per text the set size and digest."""
-    words = split_words(column)
-    hashes, first = shingle_hashes(words.hashes(), words.first, width)
-    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    order = np.argsort(hashes, kind="stable")
-    h, t = hashes[order], owner[order]
-    keep = np.ones(len(h), dtype=bool)
-    keep[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
-    h, t = h[keep], t[keep]
-    sizes = np.bincount(t, minlength=len(first) - 1)
-    values = np.zeros(len(hashes), dtype=np.uint64)
-    values[order[keep]] = mix(h ^ np.uint64(0xA0761D6478BD642F))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-    digests = mix(sums[first[1:]] - sums[first[:-1]] + sizes.astype(np.uint64))
-    return h, t, sizes, digests
-
-
 def _scan(width: int, shards: int):
     def run(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         h, t, sizes, digests = shingle_sets(piece.column("text"), width)

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tillroll.llm import lexical_rank, mixture, spelling
 from tillroll.llm.fingerprints import fingerprint_edits
 from tillroll.llm.jaccard_join import jaccard_join
+from tillroll.llm.link_sql import links_sql
 from tillroll.llm.lm_score import score_texts, train
+from tillroll.llm.minhash_dedup import minhash_dedup
 from tillroll.llm.quality import classify_quality
 from tillroll.llm.secret_scan import scan_secrets
 from tillroll.llm.sentence_pieces import encode_pieces
@@ -142,11 +144,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted", "neighbours", "similarities")
 
 
-@register("op10_jaccard_join")
+@register("op10_jaccard_join", links_sql(5, 75, 100, """n.doc_id, n.n AS n_shingles,
+  coalesce(c.component, n.doc_id) AS component_id, coalesce(g.links, 0) AS n_links"""))
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+@register("op11_minhash_dedup", links_sql(3, 85, 100, """n.doc_id, n.n AS n_shingles,
+  coalesce(c.component, n.doc_id) AS component_id, n.doc_id IS NOT DISTINCT FROM coalesce(c.component, n.doc_id) AS kept"""))
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup(table(spark, sf_dir, "documents"))
+
+
 @register("op12_spelling_variants", spelling.ORACLE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))

@@ -63,7 +63,7 @@ def _letters(place: np.ndarray, letter: np.ndarray) -> np.ndarray:
 
 
 def _key(sums: np.ndarray, length: int) -> np.ndarray:
-    return mix(sums + _U(length) * _U(0xD1B54A32D192ED03))
+    return mix(sums + _U(length * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
 
 
 def _by_length(words: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

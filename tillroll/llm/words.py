@@ -139,3 +139,21 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, width: int) -> tuple[np
             h = (h * int(_STEP) + int(x)) & 0xFFFFFFFFFFFFFFFF
         out[out_first[i]] = h ^ 0x5851F42D4C957F2D
     return mix(out), out_first
+
+
+def shingle_sets(column: pa.Array, width: int):
+    """Distinct (hash, text) of a column sorted by hash, and per text the set size and digest."""
+    words = split_words(column)
+    hashes, first = shingle_hashes(words.hashes(), words.first, width)
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    order = np.argsort(hashes, kind="stable")
+    h, t = hashes[order], owner[order]
+    keep = np.ones(len(h), dtype=bool)
+    keep[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
+    h, t = h[keep], t[keep]
+    sizes = np.bincount(t, minlength=len(first) - 1)
+    values = np.zeros(len(hashes), dtype=_U)
+    values[order[keep]] = mix(h ^ _U(0xA0761D6478BD642F))
+    sums = np.concatenate([np.zeros(1, _U), np.cumsum(values, dtype=_U)])
+    digests = mix(sums[first[1:]] - sums[first[:-1]] + sizes.astype(_U))
+    return h, t, sizes, digests
