@@ -14,7 +14,9 @@ read by all:
 The written tables also cut lineage: a lost executor costs a re-read.
 
 ``load`` stores what the driver's star tables give, ``load_drop`` a folder of
-CSV files.  Loads of the star tables are kept per session and fingerprint of
+CSV files.  A ``load_drop`` writes all three tables to a new folder and then
+switches to it in one commit (``versions.py``); ``open_drop`` reads the current
+version.  Loads of the star tables are kept per session and fingerprint of
 every input file (path, length, modification time from the Hadoop listing),
 so changed inputs are loaded again.
 """
@@ -29,10 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import clean as C
 from tillroll.operators.questions import targets_dim
+from tillroll.plans.versions import Store
 from tillroll.schema import FIXTURE_PARAMS, RAW_SCHEMA, Params
 from tillroll.session import scratch_path
 from tillroll.sources.daily_csv import read_daily_drop
-from tillroll.sources.sinks import write_raw_table
+from tillroll.sources.sinks import clustered
 from tillroll.sources.tables import raw_sales, table_path
 from tillroll.workspace import Drop
 
@@ -56,7 +59,7 @@ class StoredDrop(Drop):
     @cached_property
     def raw(self) -> DataFrame:
         with _LOCK:
-            write_raw_table(self.source(), f"{self.store}/sales")
+            clustered(self.source()).write.mode("overwrite").parquet(f"{self.store}/sales")
             return self._read("sales")
 
     @cached_property
@@ -112,6 +115,26 @@ def load(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> S
 
 
 def load_drop(spark: SparkSession, csv_path: str, store: str, params: Params = Params(),
-              schema=RAW_SCHEMA) -> StoredDrop:
-    """A folder of CSV files as the tables sales, firsts and targets in ``store``; a second load replaces them."""
-    return StoredDrop(spark, lambda: read_daily_drop(spark, csv_path, schema), store, params).store_all()
+              schema=RAW_SCHEMA, commit: str | None = None) -> StoredDrop:
+    """A folder of CSV files as the tables sales, firsts and targets of ``store``.
+
+    The tables that a load before has written stay readable until all three
+    new ones are written, and for those that hold them afterwards.  The
+    ledger of the files is kept in the store.  A ``commit`` that is current
+    already is not loaded again.
+    """
+    versions = Store(spark, store)
+    now = versions.version()
+    if commit is None or now["commit"] != commit:
+        folder = versions.new_folder("load")
+        StoredDrop(spark, lambda: read_daily_drop(spark, csv_path, schema, ledger=f"{versions.folder}/ledger"),
+                   folder, params).store_all()
+        versions.commit({"load": folder}, commit)
+    return open_drop(spark, store, params)
+
+
+def open_drop(spark: SparkSession, store: str, params: Params = Params(), number: int | None = None) -> StoredDrop:
+    """The drop that ``load_drop`` stored, as of a version, the current one by default."""
+    drop = StoredDrop(spark, None, Store(spark, store).version(number)["tables"]["load"], params)
+    drop.__dict__.update({name: drop._read("sales" if name == "raw" else name) for name in ("raw", "firsts", "targets")})
+    return drop

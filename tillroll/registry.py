@@ -24,8 +24,10 @@ from tillroll.plans.materialize import load
 from tillroll.schema import ROW_SEQ, SALES_COLUMNS
 from tillroll.session import scratch_path, stable_path
 from tillroll.sources.daily_csv import read_daily_drop
+from tillroll.sources.lines import DIALECT
 from tillroll.sources.sinks import write_clean_csv, write_daily_drop, write_raw_table
-from tillroll.streaming.increments import ingest_available, read_ingested
+from tillroll.streaming.firsts import FirstCopies
+from tillroll.streaming.increments import ingest_available
 from tillroll.workspace import Drop, as_output
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -284,7 +286,7 @@ def _write_raw(d: Drop) -> DataFrame:
 @register("write_clean_csv", ODQ.ORACLE["split_kept"])
 def _write_clean_csv(d: Drop) -> DataFrame:
     path = write_clean_csv(d.kept, stable_path(d.spark, f"clean-{d.key}"))
-    back = d.spark.read.schema(d.kept.schema).option("header", True).csv(path)
+    back = d.spark.read.schema(d.kept.schema).options(**DIALECT).option("header", True).csv(path)
     return as_output(back)
 
 
@@ -310,10 +312,9 @@ def _read_query(d: Drop) -> DataFrame:
 
 @register("stream_ingest_first_copies", OIO.ORACLE["stream_ingest_first_copies"])
 def _stream(d: Drop) -> DataFrame:
-    """Drop folder -> availableNow stream -> raw table -> first copies, cleaned."""
-    drop_dir = _drop_dir(d)
-    table_dir = scratch_path(d.spark, "stream_table")
-    q = ingest_available(d.spark, drop_dir, table_dir, scratch_path(d.spark, "stream_ckpt"),
-                         _drop_schema(d.raw))
+    """Drop folder -> availableNow stream of files -> raw table and merged first copies -> cleaned."""
+    firsts = FirstCopies(d.spark, scratch_path(d.spark, "stream_firsts"))
+    q = ingest_available(d.spark, _drop_dir(d), scratch_path(d.spark, "stream_table"),
+                         scratch_path(d.spark, "stream_ckpt"), _drop_schema(d.raw), firsts=firsts)
     q.awaitTermination()
-    return as_output(C.dedup_clean(read_ingested(d.spark, table_dir)))
+    return as_output(C.dedup_clean_from_firsts(firsts.read()))

@@ -3,16 +3,23 @@
 ``read_daily_drop`` scans every file of a drop with a fixed schema (no
 inference pass) and attaches the hidden ``row_seq`` identity column:
 
-    (file path, start of the file split, monotonically_increasing_id(), faults)
+    (file path, start of the file split, position in the split, faults)
 
-The id grows with the row position inside one split and the split start
-orders the splits of a file, so sorting by ``row_seq`` reproduces "files
-in sorted name order, rows in file order" without a global row number.
+The position grows within one split and the split start orders the splits of
+a file, so sorting by ``row_seq`` reproduces "files in sorted name order,
+rows in file order" without a global row number.
 
-Columns are aligned by header name.  The first line of every file is read on
-the driver (as many small reads as the listing has files); files of one
-header are scanned together, columns that a header lacks are NULL, columns
-that the schema lacks are left out.
+Which files there are, their headers and whether quoted fields go over
+several lines stands in a ledger (``ledger.py``), filled once per file by
+tasks.  Plain files go through Spark's CSV scan; files with multi-line
+fields are read line by line and put together (``lines.py``), in parallel too.
+The dialect is that of Python's csv module and pandas: a quote within quotes
+is doubled, a backslash is a character like any other.  A file that ends
+inside quotes is an error, as it is there.
+
+Columns are aligned by header name: columns that a header lacks are NULL,
+columns that the schema lacks are left out.  Headers of any number of forms
+take one scan: fields are read by position and picked by the file's header.
 
 Everything is read as text and converted here.  Text that pandas reads as
 missing (``schema.NULL_TOKENS``) is NULL.  A whole number may be written with
@@ -23,32 +30,17 @@ and the text; ``quality.unparsed_report`` counts them.
 
 from __future__ import annotations
 
-import csv
 import datetime
-from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.schema import DROP_MONTH, NULL_TOKENS, RAW_SCHEMA, ROW_SEQ
-
-
-def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names in the first line of a CSV file, through Hadoop's file systems."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    where = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)) if ":" in path else jvm.org.apache.hadoop.fs.Path(path)
-    stream = where.getFileSystem(conf).open(where)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
-        codec.createInputStream(stream) if codec is not None else stream, "UTF-8"))
-    try:
-        line = reader.readLine()
-    finally:
-        reader.close()
-    return tuple(next(csv.reader([line.lstrip("\ufeff")]), [])) if line else ()
+from tillroll.session import scratch_path, stable_path
+from tillroll.sources.ledger import Ledger, columns_of, listing, readable
+from tillroll.sources.lines import DIALECT, end_states, joined_lines, read_lines, whole_lines
 
 
 def _missing(value: Column) -> Column:
@@ -67,59 +59,156 @@ def _converted(value: Column, kind: T.DataType) -> Column:
 
 
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Text columns of ``df`` as the schema's columns, with the row's identity and faults."""
-    present = set(df.columns)
-    text = {f.name: _missing(F.col(f"`{f.name}`")) if f.name in present else F.lit(None).cast("string")
-            for f in schema.fields}
+    """Text columns ``t.<name>`` and file, block, pos as the schema's columns with the row's identity and faults."""
+    text = {f.name: _missing(F.col(f"t.`{f.name}`")) for f in schema.fields}
     values = {f.name: _converted(text[f.name], f.dataType) for f in schema.fields}
     faults = [F.when(text[f.name].isNotNull() & values[f.name].isNull(), F.concat(F.lit(f"{f.name}="), text[f.name]))
               for f in schema.fields if not isinstance(f.dataType, T.StringType)]
-    seq = F.struct(F.col("_metadata.file_path").alias("file"),
-                   F.col("_metadata.file_block_start").alias("block"),
-                   F.monotonically_increasing_id().alias("pos"),
-                   F.array_compact(F.array(*faults)).alias("faults"))
+    seq = F.struct("file", "block", "pos", F.array_compact(F.array(*faults)).alias("faults"))
     return df.select(*[values[f.name].alias(f.name) for f in schema.fields], seq.alias(ROW_SEQ))
 
 
-def _in_days(df: DataFrame, days: tuple[datetime.date, datetime.date] | None) -> DataFrame:
-    if days is None or DROP_MONTH not in df.columns:
-        return df
-    return df.filter(F.col(DROP_MONTH).between(*[d.strftime("%Y-%m") for d in days]))
+def _positions(header: tuple[str, ...], schema: T.StructType) -> list[int | None]:
+    return [header.index(n) if n in header else None for n in schema.names]
 
 
-def read_daily_drop(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_SCHEMA,
-                    days: tuple[datetime.date, datetime.date] | None = None) -> DataFrame:
-    """All CSV files under ``path`` (a folder, a glob or a list) as raw rows.
+def _picked(fields: DataFrame, width: int, forms: dict[str | None, list[str]], schema: T.StructType) -> DataFrame:
+    """file, block, pos, p0 ... -> with ``t``: the text of every column of the schema, picked by header.
 
-    ``days`` (first, last) limits the read: months of a written drop are
-    pruned before a file is opened, then rows by order_date.  An empty folder
-    gives no rows.
+    ``forms``: header -> files.  With one header the columns are named
+    outright, so that the scan prunes them; with several, rows meet their file's.
     """
-    # Only the listing is used here: no column is inferred from data.
-    listed = spark.read.schema("value string").option("pathGlobFilter", "*.csv*").csv(path)
-    base = {"basePath": path} if isinstance(path, str) and not any(c in path for c in "*?[{") else {}
-    files = sorted(listed.inputFiles())
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda f: header_of(spark, f), files))
-    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for file, header in zip(files, headers):
-        if header:
-            by_header[header].append(file)
+    at = {header: _positions(columns_of(header), schema) for header in forms}
+    if len(at) == 1:
+        places = next(iter(at.values()))
+        text = [F.lit(None).cast("string") if p is None else F.col(f"p{p}") for p in places]
+        return fields.select("file", "block", "pos", F.struct(*[c.alias(n) for c, n in zip(text, schema.names)]).alias("t"))
+    of_file = fields.sparkSession.createDataFrame(
+        [(f, [None if p is None else p + 1 for p in at[header]]) for header, files in forms.items() for f in files],
+        "file string, places array<int>")
+    every = F.array(*[F.col(f"p{k}") for k in range(width)])
+    text = [F.when(F.col("places")[k].isNotNull(), F.element_at(every, F.coalesce(F.col("places")[k], F.lit(1)))).alias(n)
+            for k, n in enumerate(schema.names)]
+    return fields.join(of_file, "file").select("file", "block", "pos", F.struct(*text).alias("t"))
+
+
+def _width(forms: dict[str | None, list[str]]) -> int:
+    return max([1, *(len(columns_of(h)) for h in forms)])
+
+
+def _field_schema(width: int) -> T.StructType:
+    return T.StructType([T.StructField(f"p{k}", T.StringType()) for k in range(width)])
+
+
+def _plain_rows(spark: SparkSession, path, forms: dict[str | None, list[str]], schema: T.StructType) -> DataFrame:
+    """Rows of files whose records are lines, by Spark's CSV scan."""
+    width = _width(forms)
+    scan = spark.read.schema(_field_schema(width)).options(**DIALECT).option("header", True) \
+        .option("enforceSchema", True).option("pathGlobFilter", "*.csv*").csv(path)
+    meta = F.col("_metadata")
+    fields = scan.select(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"),
+                         F.monotonically_increasing_id().alias("pos"), *[f"p{k}" for k in range(width)])
+    return _typed(_picked(fields, width, forms, schema), schema)
+
+
+def rows_of_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of files of any kind from their stored lines (``read_lines`` with ``end_states``).
+
+    The first record of a file is its header.  Which files hold records of
+    several lines is one small aggregate; only those go through windows.
+    """
+    spark = lines.sparkSession
+    kinds = lines.groupBy("file").agg(F.max("out_end").alias("open")).collect()        # a row per file
+    several = [r.file for r in kinds if r.open]
+    whole = whole_lines(lines.filter(~F.col("file").isin(several)) if several else lines).withColumn("closed", F.lit(True))
+    records = whole if len(several) < len(kinds) else None
+    if several:
+        glued = joined_lines(lines.filter(F.col("file").isin(several)))
+        path = scratch_path(spark, "records")
+        glued.write.parquet(path)
+        glued = spark.read.parquet(path)
+        unclosed = [r.file for r in glued.filter(~F.col("closed")).select("file").distinct().limit(5).collect()]
+        if unclosed:
+            raise ValueError(f"a quoted field is never closed in {', '.join(unclosed)}")
+        records = glued if records is None else records.unionByName(glued)
+    if records is None:
+        return no_rows(spark, schema)
+    records = records.withColumn("place", F.struct("block", "pos"))
+    firsts = records.groupBy("file").agg(F.min("place").alias("first"))
+    headers = records.join(firsts, "file").filter(F.col("place") == F.col("first")) \
+        .select("file", "first", "record").collect()                                 # a row per file
+    forms: dict[str | None, list[str]] = {}
+    for r in headers:
+        forms.setdefault(r.record, []).append(r.file)
+    first_place = spark.createDataFrame([(r.file, r["first"]) for r in headers], firsts.schema)
+    data = records.join(first_place, "file").filter(F.col("place") > F.col("first"))
+    width = _width(forms)
+    fields = data.withColumn("p", F.from_csv("record", _field_schema(width).simpleString()[7:-1].replace(":", " "), DIALECT)) \
+        .select("file", "block", "pos", "p.*")
+    return _typed(_picked(fields, width, forms, schema), schema)
+
+
+def stored_lines(spark: SparkSession, files: list[str], keep: str) -> DataFrame:
+    """The lines of files, read once and stored with their end states at ``keep``."""
+    end_states(read_lines(spark, files)).write.mode("overwrite").parquet(keep)
+    return spark.read.parquet(keep)
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    text = T.StructType([T.StructField(n, T.StringType()) for n in schema.names])
+    return _typed(spark.createDataFrame([], T.StructType([
+        T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("pos", T.LongType()),
+        T.StructField("t", text)])), schema)
+
+
+def _ledger_folder(spark: SparkSession, path: str | list[str]) -> str:
+    return stable_path(spark, "ledger-" + hashlib.sha256(repr(path).encode()).hexdigest()[:16])
+
+
+def _rows(spark: SparkSession, path, files: list, schema: T.StructType, all_listed: bool) -> DataFrame:
+    """Rows of ledger entries; ``path`` holds no other files if ``all_listed``."""
+    plain: dict[str | None, list[str]] = {}
+    for r in files:
+        if r.length and not r.multiline:
+            plain.setdefault(r.header, []).append(r.file)
+    several = [readable(r.file) for r in files if r.multiline]
     parts = []
-    for header, same in by_header.items():
-        text = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        # One header for all files: the folder itself is read, so that its partitions prune.
-        whole = len(by_header) == 1 and len(same) == len(files)
-        df = spark.read.schema(text).option("header", True).option("enforceSchema", True) \
-            .options(**({} if whole else base)).csv(path if whole else same)
-        typed = _typed(_in_days(df, days), schema)
-        parts.append(typed if days is None else typed.filter(F.col("order_date").between(*days)))
+    if plain:
+        whole = all_listed and not several and isinstance(path, str)
+        parts.append(_plain_rows(spark, path if whole else [readable(f) for fs in plain.values() for f in fs], plain, schema))
+    if several:
+        parts.append(rows_of_lines(stored_lines(spark, several, scratch_path(spark, "lines")), schema))
     if not parts:
-        return _typed(spark.createDataFrame([], "order_id string").withColumn("_metadata", F.struct(
-            F.lit("").alias("file_path"), F.lit(0).cast("long").alias("file_block_start"))), schema)
-    return reduce(DataFrame.unionByName, parts)
+        return no_rows(spark, schema)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def source_files(raw: DataFrame) -> int:
-    """Number of files that a scanned drop was read from, files without rows included."""
-    return len(set(raw.inputFiles()))
+def read_daily_drop(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_SCHEMA,
+                    days: tuple[datetime.date, datetime.date] | None = None, ledger: str | None = None) -> DataFrame:
+    """All CSV files under ``path`` (a folder, a glob or a list) as raw rows.
+
+    ``days`` (first, last) limits the read to rows of these days, and opens
+    only files that hold some, by the ledger.  ``ledger`` is its folder, kept
+    from run to run; without it the application keeps one of its own.  An
+    empty folder gives no rows.
+    """
+    book = Ledger(spark, ledger or _ledger_folder(spark, path))
+    listed = listing(spark, path)
+    if days is not None:         # a written drop names months in its folders
+        month = F.regexp_extract("file", rf"/{DROP_MONTH}=(\d{{4}}-\d{{2}})/", 1)
+        listed = listed.filter((month == "") | month.between(*[d.strftime("%Y-%m") for d in days]))
+    found = book.record_files(listed, schema.names)
+    if days is None:
+        return _rows(spark, path, found.collect(), schema, all_listed=True)
+
+    def dates(files: list[str]) -> DataFrame:
+        some = found.filter(F.col("file").isin(files)).collect()
+        return _rows(spark, path, some, schema, all_listed=False).select(F.col(f"{ROW_SEQ}.file").alias("file"), "order_date")
+    ranged = book.record_ranges(found, dates)
+    some = ranged.filter((F.col("first_date") <= F.lit(days[1])) & (F.col("last_date") >= F.lit(days[0]))).collect()
+    return _rows(spark, path, some, schema, all_listed=False).filter(F.col("order_date").between(*days))
+
+
+def source_files(spark: SparkSession, path: str | list[str]) -> int:
+    """Number of files of a drop, files without rows included."""
+    return listing(spark, path).count()

@@ -12,7 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.plans.versions import Store
 from tillroll.schema import DROP_MONTH, ROW_SEQ
+from tillroll.sources.lines import DIALECT
+
+# As Python's csv module and pandas write: quotes doubled, blanks and line breaks kept.
+WRITTEN = {**DIALECT, "header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def write_daily_drop(raw: DataFrame, path: str) -> str:
@@ -26,13 +31,13 @@ def write_daily_drop(raw: DataFrame, path: str) -> str:
                   .repartitionByRange("order_date", ROW_SEQ)
                   .sortWithinPartitions("order_date", ROW_SEQ)
                   .drop(ROW_SEQ))
-    (ordered.write.mode("overwrite").option("header", True)
+    (ordered.write.mode("overwrite").options(**WRITTEN)
             .partitionBy(DROP_MONTH).csv(path))
     return path
 
 
-def write_raw_table(raw: DataFrame, path: str) -> str:
-    """Store the raw table as parquet, clustered by (order_date, row_seq).
+def clustered(raw: DataFrame) -> DataFrame:
+    """Raw rows as the raw table holds them, clustered by (order_date, row_seq).
 
     ``REBALANCE(order_date)`` hash-distributes days over tasks and lets AQE
     split a day that holds a large share of the rows; unlike a range
@@ -41,13 +46,15 @@ def write_raw_table(raw: DataFrame, path: str) -> str:
     parquet row-group statistics prune date filters.  ``row_seq`` is stored,
     so the first-copy order does not depend on file order.
     """
-    (raw.hint("rebalance", "order_date")
-        .sortWithinPartitions("order_date", ROW_SEQ)
-        .write.mode("overwrite").parquet(path))
-    return path
+    return raw.hint("rebalance", "order_date").sortWithinPartitions("order_date", ROW_SEQ)
+
+
+def write_raw_table(raw: DataFrame, path: str) -> str:
+    """Replace the raw table in the store ``path`` by a switch; the folder that is current now."""
+    return Store(raw.sparkSession, path).replace("sales", clustered(raw))
 
 
 def write_clean_csv(kept: DataFrame, path: str) -> str:
     """Kept orders as CSV with a header (a folder of part files)."""
-    kept.write.mode("overwrite").option("header", True).csv(path)
+    kept.write.mode("overwrite").options(**WRITTEN).csv(path)
     return path
