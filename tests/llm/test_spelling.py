@@ -75,7 +75,6 @@ def test_random_variants_in_one_pass_and_in_several(spark, monkeypatch):
     assert any(r[1] and r[2] != r[1] for r in want) and max(r[4] for r in want) > 5
     assert table(df) == want
     # One bitmap a pass, and a filter that lets everything through, change nothing.
-    monkeypatch.setattr(spelling, "BITS_PER_WORD", 512)
     monkeypatch.setattr(spelling, "EDITS_AT_ONCE", 3000)
     shards = spelling.Shards.__init__
     monkeypatch.setattr(spelling.Shards, "__init__", lambda self, counts: shards(self, counts, 512))

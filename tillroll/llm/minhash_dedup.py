@@ -1,7 +1,7 @@
 """Near duplicates by MinHash bands and sequential Bayesian verification.
 
-1. Each text's set of distinct word shingles gives a digest, 96 minima and the
-   sorted hashes; equal sets are one class from here on.
+1. Each text's set of distinct word shingles gives a digest and 96 minima;
+   equal sets are one class from here on.
 2. 24 bands of four minima are the keys on which classes meet.  Two sets of
    similarity 0.85 share none with probability 2e-8.
 3. In each key, the class of the smallest digest is the hub; every class is
@@ -16,7 +16,9 @@ A pair is verified in steps.  After each batch of 16 minima the posterior of
 its similarity (uniform prior, binomial matches) is looked at: the pair is
 pruned when the chance that it reaches the threshold falls below
 ``MISS`` = 1e-6.  Pairs that survive all batches are counted on the full sets,
-and only that count makes a link.
+and only that count makes a link.  The sets are not kept for all texts: a
+second pass makes those of classes that may be counted, picked by a broadcast
+Bloom filter.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.bloom import Filter
 from tillroll.llm.components import Forest, components
 from tillroll.llm.frames import join_skewed, map_slices, ship_package, signed, write_scratch
 from tillroll.llm.words import mix, shingle_sets
@@ -106,23 +109,36 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * both >= num * (len(a) + len(b) - both)
 
 
+def _firsts(piece: pa.RecordBatch, width: int, wanted: Filter | None = None):
+    """Sizes and digests of a slice's texts, which texts are the first of their set, and these sets' hashes, flat."""
+    h, t, sizes, digests = shingle_sets(piece.column("text"), width)
+    _, where = np.unique(digests, return_index=True)
+    is_first = np.zeros(len(sizes), dtype=bool)                  # a copy within the slice needs no second set
+    is_first[where if wanted is None else where[wanted.hits(digests[where])]] = True
+    is_first &= sizes > 0
+    h, t = h[is_first[t]], t[is_first[t]]
+    h = h[np.argsort(t, kind="stable")]
+    return sizes, digests, is_first, h, np.concatenate([[0], np.cumsum(np.where(is_first, sizes, 0))])
+
+
 def _scan(width: int):
     def run(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        h, t, sizes, digests = shingle_sets(piece.column("text"), width)
-        _, where = np.unique(digests, return_index=True)
-        is_first = np.zeros(len(sizes), dtype=bool)              # a copy within the slice needs no second set
-        is_first[where] = True
-        is_first &= sizes > 0
-        h, t = h[is_first[t]], t[is_first[t]]
-        order = np.argsort(t, kind="stable")
-        h = h[order]
-        first = np.concatenate([[0], np.cumsum(np.where(is_first, sizes, 0))])
+        sizes, digests, is_first, h, first = _firsts(piece, width)
         signatures = iter(minima(h, first))
         yield pa.RecordBatch.from_arrays(
             [piece.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(signed(digests), mask=sizes == 0),
-             pa.array([next(signatures).tobytes() if f else None for f in is_first], pa.binary()),
-             pa.array([h[a:b].tobytes() if f else None for f, a, b in zip(is_first, first, first[1:])], pa.binary())],
-            ["doc_id", "n_shingles", "digest", "signature", "shingles"])
+             pa.array([next(signatures).tobytes() if f else None for f in is_first], pa.binary())],
+            ["doc_id", "n_shingles", "digest", "signature"])
+    return run
+
+
+def _sets(width: int, wanted: Filter):
+    def run(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        _, digests, is_first, h, first = _firsts(piece, width, wanted)
+        at = np.flatnonzero(is_first)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(signed(digests[at])), pa.array([h[first[k]:first[k + 1]].tobytes() for k in at], pa.binary())],
+            ["digest", "shingles"])
     return run
 
 
@@ -189,20 +205,19 @@ def _cell(num: int, den: int, steps):
     return run
 
 
-def _hub_links(shared: DataFrame, classes: DataFrame, sets, num: int, den: int, steps) -> DataFrame:
-    """Links of classes with the hubs of their keys."""
-    pairs = write_scratch(shared.filter("digest <> hub").select(F.col("digest").alias("u"), F.col("hub").alias("v")).distinct(),
-                          "hub-pairs")
+def _against(some: DataFrame, table: DataFrame, value: str) -> DataFrame:
+    """Pairs (u, v) with both sides' ``value`` as left and right; few v may stand in many pairs."""
+    left = table.select(F.col("digest").alias("u"), F.col(value).alias("left"))
+    right = table.select(F.col("digest").alias("v"), F.col(value).alias("right")).join(
+        some.groupBy("v").agg(F.count(F.lit(1)).alias("pairs_of_v")), "v")
+    return join_skewed(some.join(left, "u"), right, "v", "pairs_of_v")
 
-    def met(some: DataFrame, table: DataFrame, value: str) -> DataFrame:
-        left = table.select(F.col("digest").alias("u"), F.col(value).alias("left"))
-        right = table.select(F.col("digest").alias("v"), F.col(value).alias("right")).join(
-            some.groupBy("v").agg(F.count(F.lit(1)).alias("pairs_of_v")), "v")
-        return join_skewed(some.join(left, "u"), right, "v", "pairs_of_v")
 
-    alive = write_scratch(met(pairs, classes, "signature").mapInArrow(_pairs_probable(steps), "u long, v long"), "probable")
-    return write_scratch(met(alive, sets(alive.select(F.explode(F.array("u", "v")).alias("digest"))), "shingles")
-                         .mapInArrow(_pairs_linked(num, den), "u long, v long"), "hub-links")
+def _hub_pairs(shared: DataFrame, classes: DataFrame, steps) -> DataFrame:
+    """Classes and hubs of their keys that may link."""
+    pairs = write_scratch(shared.filter("digest <> hub").select(F.col("digest").alias("u"), F.col("hub").alias("v")).distinct(),
+                          "hub-pairs")
+    return write_scratch(_against(pairs, classes, "signature").mapInArrow(_pairs_probable(steps), "u long, v long"), "probable")
 
 
 def _grid(held: DataFrame) -> DataFrame:
@@ -221,7 +236,8 @@ def _grid(held: DataFrame) -> DataFrame:
         .select("left_block", "right_block").distinct()
 
 
-def _rest_links(entries: DataFrame, labels: DataFrame, classes: DataFrame, sets, num: int, den: int, steps) -> DataFrame:
+def _rest_links(entries: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, num: int, den: int,
+                steps) -> DataFrame:
     """Links within keys that still hold several components; ``entries`` are those of keys of 3 classes or more."""
     labelled = entries.join(labels, "digest", "left").withColumn("label", F.coalesce("root", "digest")).drop("root")
     apart = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
@@ -248,7 +264,7 @@ def _rest_links(entries: DataFrame, labels: DataFrame, classes: DataFrame, sets,
         .filter("left_own is null or right_own is null or left_own <> right_own").select("left_block", "right_block") \
         .unionByName(owner.filter("own is null").select(F.col("block").alias("left_block"), F.col("block").alias("right_block")))
     payload = write_scratch(
-        placed.join(classes.select("digest", "signature"), "digest").join(sets(placed.select("digest")), "digest")
+        placed.join(classes.select("digest", "signature"), "digest").join(sets, "digest")
         .groupBy("block").agg(F.collect_list(F.struct("digest", "label", "signature", "shingles")).alias("members")), "members")
     met = pairs.join(payload.select(F.col("block").alias("left_block"), F.col("members").alias("left")), "left_block").join(
         payload.select(F.col("block").alias("right_block"), F.col("members").alias("right")), "right_block")
@@ -278,18 +294,19 @@ def minhash_dedup(docs: DataFrame, width: int = 3, num: int = 85, den: int = 100
     steps = least_matches(num / den)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = write_scratch(map_slices(
-        texts, _scan(width), "doc_id long, n_shingles long, digest long, signature binary, shingles binary"), "rows")
+        texts, _scan(width), "doc_id long, n_shingles long, digest long, signature binary"), "rows")
     classes = write_scratch(rows.filter("signature is not null").select("digest", F.col("n_shingles").alias("size"), "signature")
                             .dropDuplicates(["digest"]), "classes")
-
-    def sets(wanted: DataFrame) -> DataFrame:
-        return rows.filter("shingles is not null").select("digest", "shingles").join(
-            wanted.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"])
-
     entries = classes.select("digest", "signature").mapInArrow(_entries, "key long, digest long")
     hubs = entries.groupBy("key").agg(F.min("digest").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = write_scratch(join_skewed(entries, hubs.withColumn("several", F.col("n") > 2), "key", "n"), "shared")
-    links = _hub_links(shared, classes, sets, num, den, steps)
+    probable = _hub_pairs(shared, classes, steps)
+    # Classes whose sets may be counted: those of probable pairs, and those that meet others than the hub.
+    counted = write_scratch(probable.select(F.explode(F.array("u", "v")).alias("digest"))
+                            .unionByName(shared.filter("several").select("digest")).distinct(), "counted")
+    sets = write_scratch(map_slices(texts, _sets(width, Filter(counted, "digest")), "digest long, shingles binary")
+                         .join(counted, "digest").dropDuplicates(["digest"]), "sets")
+    links = write_scratch(_against(probable, sets, "shingles").mapInArrow(_pairs_linked(num, den), "u long, v long"), "hub-links")
     labels = write_scratch(components(links).select(F.col("node").alias("digest"), "root"), "labels")
     rest = _rest_links(shared.filter("several").select("key", "digest"), labels, classes, sets, num, den, steps)
     reached = components(links.unionByName(rest))

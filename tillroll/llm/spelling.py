@@ -26,16 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.bloom import BITS_PER_KEY, BLOCK_BITS, FILTER_BYTES, PER_MAP, bitmaps, hits, key_bits, place, portion
 from tillroll.llm.frames import ship_package, signed, write_scratch
 from tillroll.llm.words import mix
 
 LETTERS = r"[A-Za-zÀ-ÿ]"
 ALPHABET = np.array([*range(ord("a"), ord("z") + 1), *range(0xC0, 0x100)], np.uint8)
-BITS_PER_WORD = 16
-BLOCK_BITS = 512
-PROBES = 6                       # bits of one word in its block
-BITMAP_BITS = 32768              # bits of one of Spark's bitmaps
-FILTER_BYTES = 64 << 20          # filter broadcast in one pass, at most
 LONGEST = 255                    # words of more letters share one shard
 EDITS_AT_ONCE = 1 << 19
 
@@ -93,7 +89,7 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Shards:
     """Where in the filter the words of each length lie."""
 
-    def __init__(self, counts: dict[int, int], bits: int = BITS_PER_WORD):
+    def __init__(self, counts: dict[int, int], bits: int = BITS_PER_KEY):
         sizes = np.zeros(LONGEST + 1, np.int64)
         for shard, n in counts.items():
             sizes[shard] = -(-n * bits // BLOCK_BITS)
@@ -103,12 +99,7 @@ class Shards:
 
     def block(self, keys: np.ndarray, length: int) -> np.ndarray:
         shard = min(length, LONGEST)
-        return (self.base[shard] + ((keys >> _U(32)) * self.size[shard] >> _U(32))).astype(np.int64)
-
-
-def _bits(keys: np.ndarray, probe: int) -> np.ndarray:
-    """The bit within its block that a word sets for one of its probes."""
-    return ((mix(keys ^ _U(0xA24BAED4963EE407)) >> _U(9 * probe)) & _U(BLOCK_BITS - 1)).astype(np.int64)
+        return (self.base[shard] + place(keys, self.size[shard])).astype(np.int64)
 
 
 def _set_bits(shards: Shards):
@@ -121,7 +112,7 @@ def _set_bits(shards: Shards):
                 mine = sizes == length
                 where[mine] = shards.block(keys[mine], length)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([where * BLOCK_BITS + _bits(keys, p) for p in range(PROBES)]))], ["bit"])
+                [pa.array(key_bits(keys, where))], ["bit"])
     return run
 
 
@@ -164,10 +155,7 @@ def _probe(shards: Shards, low: int, high: int, filter_words):
                             continue
                         block = shards.block(key, size)
                         hit = np.flatnonzero((block >= low) & (block < high))
-                        for p in range(PROBES):
-                            bit = _bits(key[hit], p)
-                            word = bits[(block[hit] - low) * (BLOCK_BITS // 64) + (bit >> 6)]
-                            hit = hit[(word >> (bit & 63).astype(_U)) & _U(1) == 1]
+                        hit = hit[hits(bits, key[hit], block[hit] - low)]
                         if len(hit):
                             yield pa.RecordBatch.from_arrays(
                                 [pa.array(own[at[k + row[hit]]]), pa.array(signed(key[hit])),
@@ -183,19 +171,14 @@ def _hits(vocabulary: DataFrame, filter_bytes: int) -> DataFrame:
     shards = Shards({r.shard: r.n for r in vocabulary.groupBy(shard.alias("shard"))
                     .agg(F.count(F.lit(1)).alias("n")).collect()})          # one row a shard, 250 at most
     set_bits = vocabulary.select("key", "length").mapInArrow(_set_bits(shards), "bit long")
-    maps = write_scratch(
-        set_bits.groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("map")), "filter")
-    per_map = BITMAP_BITS // BLOCK_BITS
-    at_once = max(1, filter_bytes * 8 // BITMAP_BITS)           # bitmaps of one pass
+    maps = write_scratch(bitmaps(set_bits), "filter")
+    n_maps = -(-shards.blocks // PER_MAP)
+    at_once = max(1, filter_bytes // (PER_MAP * BLOCK_BITS // 8))            # bitmaps of one pass
     found = None
-    for first in range(0, -(-shards.blocks // per_map), at_once):
-        portion = bytearray(min(at_once, -(-shards.blocks // per_map) - first) * (BITMAP_BITS // 8))
-        for r in maps.filter(F.col("bucket").between(first + 1, first + at_once)).toLocalIterator():
-            portion[(r.bucket - 1 - first) * (BITMAP_BITS // 8):(r.bucket - first) * (BITMAP_BITS // 8)] = r.map
-        held = spark.sparkContext.broadcast(bytes(portion))
+    for first in range(0, n_maps, at_once):
+        held = spark.sparkContext.broadcast(portion(maps, first, min(at_once, n_maps - first)))
         some = vocabulary.select("word", "key").mapInArrow(
-            _probe(shards, first * per_map, (first + at_once) * per_map, held),
+            _probe(shards, first * PER_MAP, (first + at_once) * PER_MAP, held),
             "key long, other_key long, place int, letter int")
         found = some if found is None else found.unionByName(some)
     return found
