@@ -3,6 +3,7 @@
 import os
 import random
 import tempfile
+from datetime import date
 
 from tests.fixtures import make_raw
 from tests.test_sources import _row, _write
@@ -36,8 +37,8 @@ def test_batches_in_any_order_equal_one_load(spark):
     for k, batch in enumerate(batches):
         merged.merge(_raw(spark, batch), f"b{k}")
     assert _rows(merged.read()) == want
-    assert merged.merge(_raw(spark, batches[0]), "again") == set()          # nothing new: no bucket is written
-    assert merged.merge(_raw(spark, batches[1]), "again") == set()          # the same commit
+    assert merged.merge(_raw(spark, batches[0]), "again").buckets == set()  # nothing new: no bucket is written
+    assert merged.merge(_raw(spark, batches[1]), "again") == (set(), set())  # the same commit
     assert _rows(merged.read()) == want
 
 
@@ -46,11 +47,12 @@ def test_untouched_buckets_keep_their_files(spark):
     merged.merge(_raw(spark, [(f"O{k}", "No", k) for k in range(200)]), "one")
     before = merged._folders()
     late = _raw(spark, [("O7", "No", 5000), ("O8", "Yes", 5001), ("N1", "No", 5002)])     # two late copies, one new order
-    changed = merged.merge(late, "two")
+    changed, days = merged.merge(late, "two")
+    assert days == {date(2026, 6, 22)}
     after = merged._folders()
     assert len(changed) == 1 and {k for k in after if before.get(k) != after[k]} == changed
     assert merged.read().count() == 201
-    assert merged.merge(_raw(spark, [("O9", "No", -1)]), "three") != set()                # an earlier copy wins
+    assert merged.merge(_raw(spark, [("O9", "No", -1)]), "three").days                    # an earlier copy wins
     assert {r.order_id: r.quantity for r in merged.read().collect()}["O9"] == -1
 
 

@@ -82,6 +82,8 @@ INVENTORY = {
     "corr_discount_quantity", "ttest_returns", "linear_trend", "forecast_next_day",
     # 2.9 incremental ingestion
     "stream_ingest_first_copies",
+    # summaries that late days update
+    "summary_daily_trend", "summary_linear_trend", "summary_verdicts",
 }
 
 

@@ -10,7 +10,8 @@ from tillroll.registry import QUERIES
 from tillroll.workspace import Drop
 
 SF = "/root/testdata/sf0.001"
-IO = {"scan_daily_csv", "csv_sales_clean", "write_raw_table", "write_clean_csv", "stream_ingest_first_copies"}
+IO = {"scan_daily_csv", "csv_sales_clean", "write_raw_table", "write_clean_csv", "stream_ingest_first_copies",
+      "summary_daily_trend", "summary_linear_trend", "summary_verdicts"}
 
 
 def _plan(df) -> str:

@@ -68,11 +68,14 @@ def eda_daily(kept: DataFrame, with_aov: bool = False) -> DataFrame:
     return g.select(*cols).orderBy("order_date")
 
 
-def eda_region(kept: DataFrame, with_salespeople: bool = False) -> DataFrame:
-    extra = [F.count_distinct("customer_id").alias("customers")]
-    if with_salespeople:
-        extra.append(F.count_distinct("salesperson").alias("salespeople"))
-    g = _grouped(kept, ["region"], extra)
+def eda_region(kept: DataFrame, with_salespeople: bool = False, met: DataFrame | None = None) -> DataFrame:
+    """``met``: distinct counts kept as bitmaps (see ``questions.with_met``)."""
+    if met is None:
+        g = _grouped(kept, ["region"], [F.count_distinct("customer_id").alias("customers"),
+                                        *([F.count_distinct("salesperson").alias("salespeople")] if with_salespeople else [])])
+    else:
+        counts = met.select(F.col("key").alias("region"), "customers", "salespeople")
+        g = _grouped(kept, ["region"]).join(counts, "region", "left").fillna(0, ["customers", "salespeople"])
     cols = ["region", "orders", "customers"]
     if with_salespeople:
         cols.append("salespeople")

@@ -68,13 +68,27 @@ def q2_category(clean: DataFrame) -> DataFrame:
             .orderBy(F.desc("total_revenue"), "category"))
 
 
-def q3_region(clean: DataFrame) -> DataFrame:
-    g = clean.groupBy("region").agg(
-        F.countDistinct("salesperson").alias("salespeople_count"),
-        F.countDistinct("customer_id").alias("unique_customers"),
+def with_met(df: DataFrame, key: str, aggs: list, met: DataFrame | None, salespeople: str, customers: str) -> DataFrame:
+    """Rows of ``df`` grouped by ``key`` with the distinct salespeople and customers of each group.
+
+    ``met`` (key, salespeople, customers) holds these counts, as
+    ``plans.summaries`` keeps them in bitmaps; without it they are counted
+    here, for which Spark multiplies every row (Expand).
+    """
+    if met is None:
+        return df.groupBy(key).agg(F.countDistinct("salesperson").alias(salespeople),
+                                   F.countDistinct("customer_id").alias(customers), *aggs)
+    counts = met.select(F.col("key").alias("_met_key"), F.col("salespeople").alias(salespeople),
+                        F.col("customers").alias(customers))
+    return df.groupBy(key).agg(*aggs).join(counts, F.col(key).eqNullSafe(F.col("_met_key")), "left") \
+        .drop("_met_key").fillna(0, [salespeople, customers])
+
+
+def q3_region(clean: DataFrame, met: DataFrame | None = None) -> DataFrame:
+    g = with_met(clean, "region", [
         F.count("order_id").alias("order_count"),
         F.sum("quantity").alias("_units"),
-        *_money_aggs())
+        *_money_aggs()], met, "salespeople_count", "unique_customers")
     return (g.select(
                 "region", "salespeople_count", "unique_customers", "order_count",
                 to_double("_units").alias("total_units"),
@@ -87,7 +101,11 @@ def q3_region(clean: DataFrame) -> DataFrame:
 def q4_daily_trend(clean: DataFrame) -> DataFrame:
     daily = clean.groupBy("order_date").agg(F.count("order_id").alias("orders"),
                                             F.sum("revenue").alias("_rev"))
-    seq = with_sequence(daily, "order_date", "_rev", running="_cum", previous="_prev")
+    return trend_table(with_sequence(daily, "order_date", "_rev", running="_cum", previous="_prev"))
+
+
+def trend_table(seq: DataFrame) -> DataFrame:
+    """Q4's columns from days (order_date, orders, _rev) with running total and previous value."""
     change = (F.col("_rev") - F.col("_prev")).cast(MONEY)
     return (seq.select(
                 "order_date", "orders",
@@ -143,12 +161,9 @@ def q7_payment(clean: DataFrame) -> DataFrame:
             .orderBy(F.desc("total_revenue"), "payment_method"))
 
 
-def q8_channel(clean: DataFrame) -> DataFrame:
-    g = clean.groupBy("channel").agg(
-        F.count("order_id").alias("order_count"),
-        F.countDistinct("salesperson").alias("salespeople_involved"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        *_money_aggs())
+def q8_channel(clean: DataFrame, met: DataFrame | None = None) -> DataFrame:
+    g = with_met(clean, "channel", [F.count("order_id").alias("order_count"), *_money_aggs()], met,
+                 "salespeople_involved", "unique_customers")
     total_rev = grouped_totals(g, "_rev")["_rev"]
     return (g.select(
                 "channel", "order_count", "salespeople_involved", "unique_customers",

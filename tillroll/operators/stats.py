@@ -91,6 +91,11 @@ def anova_factors(df: DataFrame, factors: dict[str, Column],
                 .select(F.col("_f.factor").alias("factor"), F.col("_f.level").alias("level"), "_v"))
     g = tagged.groupBy("factor", "level").agg(
         F.count("_v").alias("n"), F.avg("_v").alias("mean"), F.var_pop("_v").alias("vp"))
+    return anova_of_levels(g)
+
+
+def anova_of_levels(g: DataFrame) -> DataFrame:
+    """One row per factor from the moments (factor, level, n, mean, vp) of its levels."""
     g.persist(StorageLevel.MEMORY_AND_DISK)      # one row per level, read by both branches
     grand = g.groupBy("factor").agg(
         (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_grand"))
@@ -144,8 +149,12 @@ def anova_discount(kept: DataFrame) -> DataFrame:
 def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row: n, r, r_squared, t-test p_value (n - 2 df), verdict."""
     pairs = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    one = pairs.agg(F.count(F.lit(1)).alias("n"),
-                    F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("r"))
+    return correlation_test(pairs.agg(F.count(F.lit(1)).alias("n"),
+                                      F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("r")))
+
+
+def correlation_test(one: DataFrame) -> DataFrame:
+    """n, r, r_squared, p_value, verdict from (n, r)."""
     r = F.col("r")
     dfree = (F.col("n") - 2).cast("double")
     t_ratio = F.when(F.abs(r) >= 1, F.lit(float("inf"))).otherwise(r * r / (1 - r * r))
@@ -167,6 +176,11 @@ def welch_t(df: DataFrame, group: str, first, second, value: str = "revenue") ->
                  F.var_samp(F.when(a, v)).alias("v1"),
                  F.count(F.when(b, v)).alias("n2"), F.avg(F.when(b, v)).alias("m2"),
                  F.var_samp(F.when(b, v)).alias("v2"))
+    return welch_test(one)
+
+
+def welch_test(one: DataFrame) -> DataFrame:
+    """Welch's test from the moments (n1, m1, v1, n2, m2, v2) of two levels."""
     s1 = F.try_divide(F.col("v1"), F.col("n1"))
     s2 = F.try_divide(F.col("v2"), F.col("n2"))
     se2 = s1 + s2
@@ -228,7 +242,11 @@ def daily_revenue(kept: DataFrame) -> DataFrame:
 def linear_trend(kept: DataFrame) -> DataFrame:
     """OLS of daily revenue on the day ordinal: slope, intercept, R^2, p, stderr."""
     daily = daily_revenue(kept)
-    seq = with_sequence(daily, "order_date", "day_revenue", index="day_index")
+    return trend_of_days(with_sequence(daily, "order_date", "day_revenue", index="day_index"))
+
+
+def trend_of_days(seq: DataFrame) -> DataFrame:
+    """The trend of (day_index, day_revenue) rows."""
     x, y = F.col("day_index").cast("double"), F.col("day_revenue").cast("double")
     one = seq.agg(F.count(F.lit(1)).alias("days"), F.regr_slope(y, x).alias("slope"),
                   F.regr_intercept(y, x).alias("intercept"), F.corr(x, y).alias("r"),

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import clean as C
 from tillroll.operators.questions import targets_dim
+from tillroll.plans.summaries import Summaries
 from tillroll.plans.versions import Store
 from tillroll.schema import FIXTURE_PARAMS, RAW_SCHEMA, Params
 from tillroll.session import scratch_path
@@ -74,6 +75,14 @@ class StoredDrop(Drop):
             targets_dim(self.raw, self.params.weekly_target).write.mode("overwrite").parquet(f"{self.store}/targets")
             return self._read("targets")
 
+    @cached_property
+    def visits(self) -> DataFrame:
+        """Who was met where, as bitmaps (``summaries.month_visits``)."""
+        with _LOCK:
+            kept = Summaries(self.spark, f"{self.store}/summaries")
+            kept.refresh(self.firsts, tables=("visits",), commit="visits")
+            return kept.table("visits")
+
     @cached_property
     def clean(self) -> DataFrame:
         return C.sales_clean_from_firsts(self.firsts)

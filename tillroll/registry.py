@@ -21,6 +21,7 @@ from tillroll.oracle import questions as OQ
 from tillroll.oracle import stats as OS
 from tillroll.plans.catalog import read_query, register_views
 from tillroll.plans.materialize import load
+from tillroll.plans.summaries import Summaries, met_counts
 from tillroll.schema import ROW_SEQ, SALES_COLUMNS
 from tillroll.session import scratch_path, stable_path
 from tillroll.sources.daily_csv import read_daily_drop
@@ -64,17 +65,25 @@ def _targets(d: Drop) -> DataFrame:
 _QUESTIONS = {
     "q1_salesperson_rank": Q.q1_salesperson_rank,
     "q2_category": Q.q2_category,
-    "q3_region": Q.q3_region,
     "q4_daily_trend": Q.q4_daily_trend,
     "q5_top_products": Q.q5_top_products,
     "q6_discount": Q.q6_discount,
     "q7_payment": Q.q7_payment,
-    "q8_channel": Q.q8_channel,
 }
 for _name, _fn in _QUESTIONS.items():
     register(_name, OQ.ORACLE[_name])(lambda d, _fn=_fn: _fn(d.clean))
 
 
+@register("q3_region", OQ.ORACLE["q3_region"])
+def _q3(d: Drop) -> DataFrame:
+    return Q.q3_region(d.clean, met_counts(d.visits, "clean", "region"))
+
+
+@register("q8_channel", OQ.ORACLE["q8_channel"])
+def _q8(d: Drop) -> DataFrame:
+    return Q.q8_channel(d.clean, met_counts(d.visits, "clean", "channel"))
+
+
 @register("q9_target_attainment", OQ.ORACLE["q9_target_attainment"])
 def _q9(d: Drop) -> DataFrame:
     return Q.q9_target_attainment(d.clean, d.targets)
@@ -126,7 +135,8 @@ _EDA = {
     "eda_daily": lambda d: X.eda_daily(d.kept),
     "eda_daily_aov": lambda d: X.eda_daily(d.kept, with_aov=True),
     "eda_region": lambda d: X.eda_region(d.kept),
-    "eda_region_salespeople": lambda d: X.eda_region(d.kept, with_salespeople=True),
+    "eda_region_salespeople": lambda d: X.eda_region(d.kept, with_salespeople=True,
+                                                     met=met_counts(d.visits, "kept", "region")),
     "eda_region_efficiency": lambda d: X.eda_region_efficiency(d.kept, d.params.team_size),
     "eda_products": lambda d: X.eda_products(d.kept),
     "eda_products_aov": lambda d: X.eda_products(d.kept, with_aov=True),
@@ -198,7 +208,11 @@ def _ttest(d: Drop) -> DataFrame:
 
 @register("linear_trend", OS.ORACLE["linear_trend"])
 def _trend(d: Drop) -> DataFrame:
-    return S.linear_trend(d.kept).select(
+    return trend_report(S.linear_trend(d.kept))
+
+
+def trend_report(trend: DataFrame) -> DataFrame:
+    return trend.select(
         "days", F.round("slope", 6).alias("slope"), F.round("intercept", 4).alias("intercept"),
         F.round("r_squared", 10).alias("r_squared"), F.round("p_value", 9).alias("p_value"),
         _neg_log10(), F.round("stderr", 6).alias("stderr"), "low_r_squared")
@@ -218,18 +232,21 @@ def _eta(d: Drop) -> DataFrame:
     return a.select("factor", F.round("eta_squared", 10).alias("eta_squared"), "effect")
 
 
-@register("stat_verdicts", OS.ORACLE["stat_verdicts"])
-def _verdicts(d: Drop) -> DataFrame:
-    """The five tests with their verdicts; the three ANOVAs share one pass."""
-    a = S.anova_factors(d.kept, S.standard_factors())
+def _anova_rows(a: DataFrame) -> DataFrame:
     factor = F.col("factor")
-    anovas = a.select(
+    return a.select(
         F.when(factor == "region", 1).when(factor == "salesperson", 2).otherwise(4)
          .alias("position"),
         F.concat(F.lit("anova_"), F.when(factor == "discount_pct", F.lit("discount"))
                  .otherwise(factor)).alias("test"),
         F.round("f_stat", 6).alias("statistic"), F.round("p_value", 9).alias("p_value"),
         "verdict")
+
+
+@register("stat_verdicts", OS.ORACLE["stat_verdicts"])
+def _verdicts(d: Drop) -> DataFrame:
+    """The five tests with their verdicts; the three ANOVAs share one pass."""
+    anovas = _anova_rows(S.anova_factors(d.kept, S.standard_factors()))
     # One row with both tests, one pass; unfolded into two rows, not read twice.
     pair = S.kept_corr_and_return_ttest(d.dedup).select(F.inline(F.array(
         F.struct(F.lit(3).alias("position"), F.lit("corr_discount_quantity").alias("test"),
@@ -318,3 +335,45 @@ def _stream(d: Drop) -> DataFrame:
                          scratch_path(d.spark, "stream_ckpt"), _drop_schema(d.raw), firsts=firsts)
     q.awaitTermination()
     return as_output(C.dedup_clean_from_firsts(firsts.read()))
+
+
+# --- summaries that late days update ----------------------------------------------
+
+
+def _summaries(d: Drop) -> Summaries:
+    """Summaries of ``d`` that were first filled when only odd days of each month were there, then with the others."""
+    kept = Summaries(d.spark, stable_path(d.spark, f"summaries-{d.key}"))
+    odd = F.day("order_date") % 2 == 1
+    tables = ("days", "months", "moments", "pairs")
+    if not kept.store.numbers():
+        kept.refresh(d.firsts.filter(odd), commit="odd days", tables=tables)
+        late = [r[0] for r in d.firsts.filter(~F.coalesce(odd, F.lit(False))).select("order_date").distinct().collect()]
+        kept.refresh(d.firsts, late, commit="late days", tables=tables)
+    return kept
+
+
+@register("summary_daily_trend", OQ.ORACLE["q4_daily_trend"])
+def _summary_trend(d: Drop) -> DataFrame:
+    """Q4 from the stored prefix sums over dates."""
+    return Q.trend_table(_summaries(d).running_days("clean").withColumnRenamed("revenue", "_rev"))
+
+
+@register("summary_linear_trend", OS.ORACLE["linear_trend"])
+def _summary_linear(d: Drop) -> DataFrame:
+    """The trend from the stored days."""
+    days = _summaries(d).running_days("kept").filter("order_date is not null")
+    return trend_report(S.trend_of_days(days.select(F.col("_idx").alias("day_index"), F.col("revenue").alias("day_revenue"))))
+
+
+@register("summary_verdicts", OS.ORACLE["stat_verdicts"])
+def _summary_verdicts(d: Drop) -> DataFrame:
+    """The five tests from stored moments."""
+    kept = _summaries(d)
+    anovas = _anova_rows(S.anova_of_levels(kept.level_moments().filter("factor <> 'return_flag'")))
+    corr = S.correlation_test(kept.pair()).select(
+        F.lit(3).alias("position"), F.lit("corr_discount_quantity").alias("test"), F.round("r", 10).alias("statistic"),
+        F.round("p_value", 9).alias("p_value"), "verdict")
+    welch = S.welch_test(kept.return_moments()).select(
+        F.lit(5).alias("position"), F.lit("ttest_returns").alias("test"), F.round("t_stat", 6).alias("statistic"),
+        F.round("p_value", 9).alias("p_value"), "verdict")
+    return anovas.unionByName(corr).unionByName(welch)

@@ -18,6 +18,9 @@ hash; choose ``buckets`` so that one is about as large as a file should be.
 
 from __future__ import annotations
 
+from datetime import date
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,13 @@ BUCKETS = 64
 _BUCKET = "_bucket"
 
 
+class Merged(NamedTuple):
+    """What a merge changed: buckets, and order dates whose first copies are other ones now."""
+
+    buckets: set[str]
+    days: set[date | None]
+
+
 def _changed_buckets(mine: DataFrame, stored: DataFrame) -> set[str]:
     """Buckets in which a batch's first copies are news to the stored ones."""
     kept = F.col("return_flag") == KEPT_FLAG
@@ -41,6 +51,15 @@ def _changed_buckets(mine: DataFrame, stored: DataFrame) -> set[str]:
     return {str(r[0]) for r in news.select(_BUCKET).distinct().collect()}        # at most one row a bucket
 
 
+def _changed_days(before: DataFrame | None, after: DataFrame) -> set[date | None]:
+    """Dates of first copies that stand in one of two states only."""
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        return rows.select("order_id", "return_flag", ROW_SEQ, "is_first", "order_date", F.lit(sign).alias("_sign"))
+    both = signed(after, 1) if before is None else signed(after, 1).unionByName(signed(before, -1))
+    other = both.groupBy("order_id", "return_flag", ROW_SEQ, "is_first", "order_date").agg(F.sum("_sign").alias("_sign"))
+    return {r[0] for r in other.filter("_sign <> 0").select("order_date").distinct().collect()}     # a row a day
+
+
 class FirstCopies:
     """The stored first copies of a growing drop."""
 
@@ -67,29 +86,30 @@ class FirstCopies:
             .write.partitionBy(_BUCKET).parquet(folder)
         return {name.split("=")[1]: f"{folder}/{name}" for name in self.store.names(folder) if name.startswith(_BUCKET)}
 
-    def merge(self, batch: DataFrame, commit: str) -> set[str]:
-        """Bring a batch of raw rows in; the buckets that changed."""
+    def merge(self, batch: DataFrame, commit: str) -> Merged:
+        """Bring a batch of raw rows in."""
         if self.store.version()["commit"] == commit:
-            return set()
+            return Merged(set(), set())
         held = self._folders()
         mine = self._bucketed(first_copies(batch))
         if not held:
             new = self._write(mine)
             self.store.commit({"firsts": new}, commit)
-            return set(new)
+            return Merged(set(new), _changed_days(None, self._read(list(new.values()))) if new else set())
         path = scratch_path(self.spark, "batch-firsts")
         mine.write.parquet(path)
         mine = self.spark.read.parquet(path)
         touched = {str(r[0]) for r in mine.select(_BUCKET).distinct().collect()}
         met = [held[k] for k in touched if k in held]
         changed = _changed_buckets(mine, self._read(met)) if met else touched
-        new = {}
+        new, days = {}, set()
         if changed:
             merged = mine.filter(F.col(_BUCKET).isin([int(k) for k in changed])).drop(_BUCKET, "is_first")
             old = [held[k] for k in changed if k in held]
             if old:
                 merged = merged.unionByName(self._read(old).drop("is_first"))
             new = self._write(self._bucketed(first_copies(merged)))
+            days = _changed_days(self._read(old) if old else None, self._read(list(new.values())))
         self.store.commit({"firsts": {**held, **new}}, commit)
         remove_scratch(self.spark, path)
-        return set(new)
+        return Merged(set(new), days)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tillroll.plans.summaries import Summaries
 from tillroll.schema import RAW_SCHEMA, ROW_SEQ
 from tillroll.session import remove_scratch, scratch_path
 from tillroll.sources.daily_csv import rows_of_lines, stored_lines
@@ -40,7 +41,8 @@ def new_files(spark: SparkSession, drop_dir: str, files_per_batch: int | None =
     return named(reader.load(drop_dir))
 
 
-def _append_batch(table_dir: str, schema: T.StructType, checkpoint: str, firsts: FirstCopies | None, ledger: str | None):
+def _append_batch(table_dir: str, schema: T.StructType, checkpoint: str, firsts: FirstCopies | None, ledger: str | None,
+                  summaries: Summaries | None):
     def write(batch: DataFrame, epoch_id: int) -> None:
         found = batch.collect()                              # names of this batch's files
         files = [readable(r.file) for r in found if r.length]
@@ -52,7 +54,9 @@ def _append_batch(table_dir: str, schema: T.StructType, checkpoint: str, firsts:
         remove_scratch(spark, keep)
         rows = spark.read.parquet(folder)
         if firsts is not None:
-            firsts.merge(rows, f"{checkpoint}#{epoch_id}")
+            changed = firsts.merge(rows, f"{checkpoint}#{epoch_id}")
+            if summaries is not None and changed.days:
+                summaries.refresh(firsts.read(), changed.days, f"{checkpoint}#{epoch_id}")
         if ledger is not None:
             ranges = rows.groupBy(F.col(f"{ROW_SEQ}.file").alias("file")).agg(
                 F.count(F.lit(1)).alias("rows"), F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"))
@@ -63,14 +67,16 @@ def _append_batch(table_dir: str, schema: T.StructType, checkpoint: str, firsts:
 
 def ingest_available(spark: SparkSession, drop_dir: str, table_dir: str, checkpoint_dir: str,
                      schema: T.StructType = RAW_SCHEMA, files_per_batch: int | None = None,
-                     firsts: FirstCopies | None = None, ledger: str | None = None) -> StreamingQuery:
+                     firsts: FirstCopies | None = None, ledger: str | None = None,
+                     summaries: Summaries | None = None) -> StreamingQuery:
     """Append every not-yet-ingested file of ``drop_dir`` to ``table_dir``, then stop.
 
-    ``firsts`` also gets every batch; ``ledger`` (a folder) the rows and dates
-    of every file.
+    ``firsts`` also gets every batch, ``summaries`` the days whose first copies
+    a batch changed, and ``ledger`` (a folder) the rows and dates of every file.
     """
     stream = new_files(spark, drop_dir, files_per_batch)
-    return (stream.writeStream.foreachBatch(_append_batch(table_dir, schema, checkpoint_dir, firsts, ledger))
+    return (stream.writeStream.foreachBatch(_append_batch(
+        table_dir, schema, checkpoint_dir, firsts, ledger, summaries))
                   .option("checkpointLocation", checkpoint_dir)
                   .trigger(availableNow=True)
                   .start())
