@@ -56,3 +56,21 @@ def test_water_level(spark):
             del free[s]
     assert {r.source: r.weight for r in rows} == weight
     assert {r.source: r.target for r in rows} == pytest.approx(want)
+
+
+@pytest.mark.parametrize("ids", ["half null", "two ids", "one row", "no words"])
+def test_repeated_and_null_ids_come_near_the_targets(spark, ids):
+    """No document or group of alike rows may draw a source away from its target."""
+    rows = []
+    for k in range(400):
+        i = {"half null": None if k % 2 else k, "two ids": k % 2, "one row": 7, "no words": k % 3}[ids]
+        text = "" if ids == "no words" and k % 5 else "same words here" if ids == "one row" else " ".join(["w"] * (k % 9 + 1)) + f" {k}"
+        rows.append((i, text, ["a", "b", "c", None][k % 4]))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    assert mixed(df) == by_sql(df)
+    taken, target, largest = {}, {}, 0
+    for r in mix_sources(df).collect():
+        assert 0 <= r.repeats <= 3
+        taken[r.source] = taken.get(r.source, 0) + r.size * r.repeats
+        target[r.source], largest = r.target, max(largest, r.size)
+    assert all(abs(taken[s] - target[s]) <= largest for s in taken), (taken, target)

@@ -6,9 +6,12 @@ until none is above.  A source's target becomes whole repetitions of all its
 documents and a seeded sample of one more, cut where the running size comes
 nearest to what is left.
 
-Only sizes move: the text is read once to count words, the cut of each source
-is found from sums over 4,096 ranges of a seeded hash and a sort inside one
-range, and documents then compare their own hash with that cut.
+Only sizes move: the text is read once to count words, and each row draws a
+seeded hash of its id and text.  The cut of each source is found from sums:
+over 4,096 ranges of the hash, over the hashes inside one range, over the
+input partitions of the rows that have the last hash (rows alike in id and
+text, which may be many), and row by row inside one of those.  Rows then
+compare their own draw and place with the cut.
 """
 
 from __future__ import annotations
@@ -25,10 +28,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def sized(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """docs with ``size`` (words, null text 0) and ``draw`` (hash of seed and doc_id, hex)."""
+    """docs with ``size`` (words, null text 0), ``draw`` (hash of seed, doc_id and text, hex) and ``place``.
+
+    ``place`` tells rows of one draw apart: such rows are alike, so it does
+    not matter which of them it puts first.
+    """
     return docs.withColumns({
         "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
-        "draw": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))),
+        "draw": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"),
+                               F.md5(F.coalesce("text", F.lit(""))))),
+        "place": F.monotonically_increasing_id(),
     })
 
 
@@ -70,61 +79,92 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CA
                       F.when(above, F.col("most").cast("double")).otherwise(F.lit(level) * F.col("weight")).alias("target"))
 
 
+def _border(sums: DataFrame, at: DataFrame, name: str) -> DataFrame:
+    """(source, name, before, more): of each source's parts, the one within which its running size reaches ``more``.
+
+    ``sums`` has source, name and inside; ``at`` has source, before (the size
+    ahead of all these parts) and more, one row per source.
+    """
+    reach = Window.partitionBy("source").orderBy(name).rowsBetween(Window.unboundedPreceding, 0)
+    ranged = sums.withColumn("start", F.sum("inside").over(reach) - F.col("inside")).withColumnRenamed("source", "_s")
+    start = F.col("before") + F.col("start")
+    return ranged.join(at, F.col("_s").eqNullSafe(F.col("source"))) \
+        .filter((start <= F.col("more")) & (start + F.col("inside") > F.col("more"))) \
+        .select("source", name, start.alias("before"), "more")
+
+
+def _met(rows: DataFrame, border: DataFrame, *names: str) -> DataFrame:
+    """``rows`` that lie in their source's border part; its names are in both."""
+    same = F.col("source").eqNullSafe(F.col("_s"))
+    for n in names:
+        same = same & (F.col(n) == F.col(f"_{n}"))
+    few = border.select(F.col("source").alias("_s"), *[F.col(n).alias(f"_{n}") for n in names])
+    return rows.join(few, same, "left_semi")
+
+
 def source_plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """(source, size, draw) of all documents -> one row per source with target, whole and cut."""
+    """(source, size, draw, place) of all rows -> one row per source with target, whole and the last draw and place taken.
+
+    Rows are added up per draw and input partition before anything is joined,
+    so rows of one draw, however many, count as one row a partition.
+    """
     aims = targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     aims = aims.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
                            .otherwise(0).cast("int"))
     aims = write_scratch(aims.withColumn("more", F.col("target") - F.col("whole") * F.col("source_size")), "targets")
-    reach = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    buckets = sizes.groupBy("source", F.substring("draw", 1, 3).alias("bucket")).agg(F.sum("size").alias("inside"))
-    buckets = buckets.withColumn("before", F.sum("inside").over(reach) - F.col("inside"))
-    key = lambda df, name: df.withColumnRenamed("source", name)
-    border = key(buckets, "s").join(aims, F.col("s").eqNullSafe(F.col("source"))).filter(
-        "before <= more and before + inside > more").select("source", "bucket", "before", "more")
-    order = Window.partitionBy("source").orderBy("draw", "size").rowsBetween(Window.unboundedPreceding, 0)
-    inside = key(sizes.withColumn("b", F.substring("draw", 1, 3)), "s").join(
-        border, F.col("s").eqNullSafe(F.col("source")) & (F.col("b") == F.col("bucket")))
-    last = inside.withColumn("start", F.col("before") + F.sum("size").over(order) - F.col("size")) \
-        .filter(F.col("start") + F.col("size") / 2 <= F.col("more")).groupBy(F.col("source").alias("s")) \
-        .agg(F.max("draw").alias("last"))
-    cuts = border.join(last, F.col("s").eqNullSafe(F.col("source")), "left").select(
-        F.col("source").alias("s"), F.coalesce("last", "bucket").alias("cut"))
-    return aims.join(cuts, F.col("s").eqNullSafe(F.col("source")), "left").select(
-        "source", "source_size", "target", "whole", F.coalesce("cut", F.lit("")).alias("cut"))
+    sizes = sizes.withColumn("part", F.shiftright("place", 33))
+    parts = write_scratch(sizes.groupBy("source", "draw", "part").agg(F.sum("size").alias("inside")), "parts") \
+        .withColumn("bucket", F.substring("draw", 1, 3))
+    added = lambda rows, name: rows.groupBy("source", name).agg(F.sum("inside").alias("inside"))
+    at = aims.select("source", F.lit(0).cast("long").alias("before"), "more")
+    at = write_scratch(_border(added(parts, "bucket"), at, "bucket"), "border")
+    at = write_scratch(_border(added(_met(parts, at, "bucket"), "draw"), at, "draw"), "border")
+    draws = at.select("source", "draw")
+    at = write_scratch(_border(added(_met(parts, at, "draw"), "part"), at, "part").join(
+        draws.select(F.col("source").alias("_s"), "draw"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s"), "border")
+    # What is left are rows of one draw in one input partition.
+    order = Window.partitionBy("source").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    rows = _met(sizes, at, "draw", "part").withColumn("start", F.sum("size").over(order) - F.col("size")) \
+        .select(F.col("source").alias("_s"), "place", "start", "size")
+    nearest = F.col("before") + F.col("start") + F.col("size") / 2 <= F.col("more")
+    cuts = rows.join(at, F.col("_s").eqNullSafe(F.col("source"))).groupBy("_s", "draw").agg(
+        F.coalesce(F.max(F.when(nearest, F.col("place"))), F.min("place") - 1).alias("cut_place"))
+    return aims.join(cuts.withColumnRenamed("draw", "cut"), F.col("_s").eqNullSafe(F.col("source")), "left").select(
+        "source", "source_size", "target", "whole", F.coalesce("cut", F.lit("")).alias("cut"),
+        F.coalesce("cut_place", F.lit(-1)).alias("cut_place"))
 
 
 def with_repeats(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """rows (source, draw, ...) with source_size, target and ``repeats``, how often the mix takes each.
+    """rows (source, draw, place, ...) with source_size, target and ``repeats``, how often the mix takes each.
 
     A source may hold a third of all rows: rows meet their source's one row of
-    the plan by source and the first two digits of their draw, 256 parts each.
+    the plan by source and a hash of their place, 256 parts each.
     """
-    digits = [f"{d:02x}" for d in range(256)]
-    aims = plan.select(F.col("source").alias("_mix_source"), "source_size", "target", "whole", "cut",
-                       F.explode(F.array(*map(F.lit, digits))).alias("_mix_part"))
-    same = F.col("source").eqNullSafe(F.col("_mix_source")) & (F.substring("draw", 1, 2) == F.col("_mix_part"))
-    return rows.join(aims, same).withColumn(
-        "repeats", F.col("whole") + (F.col("draw") <= F.col("cut")).cast("int")) \
-        .drop("_mix_source", "_mix_part", "whole", "cut")
+    part = F.pmod(F.xxhash64("place"), F.lit(256))
+    aims = plan.withColumnRenamed("source", "_mix_source").withColumn("_mix_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(255))))
+    taken = (F.col("draw") < F.col("cut")) | ((F.col("draw") == F.col("cut")) & (F.col("place") <= F.col("cut_place")))
+    same = F.col("source").eqNullSafe(F.col("_mix_source")) & (part == F.col("_mix_part"))
+    return rows.join(aims, same).withColumn("repeats", F.col("whole") + taken.cast("int")) \
+        .drop("_mix_source", "_mix_part", "whole", "cut", "cut_place")
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
     """doc_id, source, size, source_size, target, repeats of every document.
 
     Null and empty texts have size 0 and are taken like others of their
-    source; null sources form one source, ranked last; repeated rows each
-    count, and rows of one doc_id draw alike; a null doc_id draws as "null".
+    source; null sources form one source, ranked last.  Rows of one id or of
+    none draw for themselves, by their text; rows alike in id and text each
+    count, and as many of them are taken as come nearest to the target.
     If all sizes are 0, targets are 0.  An empty table gives no rows.
     """
     sizes = write_scratch(sized(docs.select("doc_id", "source", "text"), seed).drop("text"), "sizes")
-    return with_repeats(sizes, source_plan(sizes, weights, cap)).drop("draw")
+    return with_repeats(sizes, source_plan(sizes, weights, cap)).drop("draw", "place")
 
 
 ORACLE = r"""
 WITH sizes AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS draw
+  SELECT row_number() OVER () AS r, doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS draw
   FROM documents),
 totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source),
 weighted AS (
@@ -148,12 +188,12 @@ parts AS (
   FROM (SELECT *, CAST(CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS BIGINT) AS whole
         FROM aims)),
 run AS (
-  SELECT s.doc_id, s.size, s.draw, p.source_size, p.target, p.whole, p.more, s.source,
-         CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.draw, s.size ROWS UNBOUNDED PRECEDING) AS BIGINT) - s.size
-           AS start
-  FROM sizes s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source),
-cuts AS (SELECT source, max(draw) AS cut FROM run WHERE start + size / 2.0 <= more AND source_size > 0 GROUP BY source)
+  SELECT s.doc_id, s.size, p.source_size, p.target, p.whole, p.more, s.source, row_number() OVER w AS k,
+         CAST(sum(s.size) OVER w AS BIGINT) - s.size AS start
+  FROM sizes s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source
+  WINDOW w AS (PARTITION BY s.source ORDER BY s.draw, s.r ROWS UNBOUNDED PRECEDING)),
+cuts AS (SELECT source, max(k) AS cut FROM run WHERE start + size / 2.0 <= more AND source_size > 0 GROUP BY source)
 SELECT r.doc_id, r.size, r.source_size, r.target,
-       r.size * (r.whole + CASE WHEN r.draw <= c.cut THEN 1 ELSE 0 END) AS taken
+       r.size * (r.whole + CASE WHEN r.k <= c.cut THEN 1 ELSE 0 END) AS taken
 FROM run r LEFT JOIN cuts c ON r.source IS NOT DISTINCT FROM c.source
 """
