@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from tillroll.llm.top_k import BallTree, top_k, whole_vectors
+from tillroll.llm.top_k import MOST, NONE, BallTree, top_k, whole_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int, shard int, payload string, score long"
 
@@ -18,7 +18,7 @@ def brute(rows, k=5):
         if i % 50 == 0:
             queries[i] = min(queries.get(i, v), v)
     for i, q in queries.items():
-        scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in good if j != i and len(v) == len(q))
+        scored = sorted((-max(-MOST, min(MOST, sum(a * b for a, b in zip(q, v)))), j) for j, v in good if j != i and len(v) == len(q))
         out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -52,7 +52,7 @@ def test_bounds_leave_out_nodes_and_lose_nothing():
     again = BallTree.unpacked(tree.packed())
     queries = rows[::50]
     own = ids[::50]
-    found, scores = again.search(own, queries, 5, np.full(len(own), -np.inf))
+    found, scores = again.search(own, queries, 5, np.full(len(own), NONE))
     every = queries @ rows.T
     every[np.arange(len(own)), own] = -np.inf
     for r in range(len(own)):
@@ -61,3 +61,21 @@ def test_bounds_leave_out_nodes_and_lose_nothing():
     floors = scores[:, -1]
     more, _ = again.search(own, queries, 5, floors)
     assert (more == found).all()
+
+
+def test_large_finite_components(spark):
+    rng = random.Random(9)
+    rows = [(i, [rng.choice([1.0, -1.0]) * rng.choice([0.5, 3e5, 2.0 ** 24 + 2, 1e9]) for _ in range(3)]) for i in range(120)]
+    rows += [(150, [1e30, 1.0, 0.0]), (200, [-1e30, 1e30, 1.0]), (250, [3e38, 3e38, -3e38]), (7, [3.4e38, 0.0, 0.0])]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_a_task_carries_the_best_scores_from_tree_to_tree(spark, monkeypatch):
+    from tillroll.llm import top_k as T
+    monkeypatch.setattr(T, "TREE_ROWS", 16)
+    monkeypatch.setattr(T, "LEAF_ROWS", 4)
+    monkeypatch.setattr(T, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(T, "BLOCKS_HELD", 2)
+    rng = random.Random(10)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(5)]) for i in range(500)]
+    assert run(spark, rows) == brute(rows)

@@ -5,7 +5,8 @@ trees of a bounded number of vectors.  The queries, in blocks, meet every
 tree.  A node's bound on the inner product is q.centre + |q| * radius; a query
 goes into the child with the larger bound first and leaves out nodes that
 cannot reach its current k-th score.  That score starts from a first tree,
-searched before all others, and is shared with every later search.
+searched before all others; a task then carries it on from tree to tree of its
+shard.
 """
 
 from __future__ import annotations
@@ -22,12 +23,22 @@ from tillroll.llm.frames import pack, shuffle_partitions, unpack, write_scratch
 TREE_ROWS = 8192
 LEAF_ROWS = 128
 BLOCK_ROWS = 1024
+BLOCKS_HELD = 256                # blocks whose best hits a searching task keeps at a time
+EXACT = 2.0 ** 53                # sums of whole doubles below this are exact
+NONE = np.iinfo(np.int64).min    # score of no candidate
+MOST = np.iinfo(np.int64).max
 
 
 def whole_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, vector) of rows with an id and finite components; floor(256 * x) of each component."""
-    vector = F.transform(F.col(vector_col), lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("double"))
-    good = F.forall(F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    """(vec_id, vector) of rows with an id and finite components; floor(256 * x) of each component.
+
+    From 2^53 on a double is whole already.  A component whose 256-fold is no
+    finite double any more counts as non-finite: its vector takes no part.
+    """
+    scaled = lambda x: F.lit(256.0) * x.cast("double")
+    whole = lambda y: F.when(F.abs(y) < 2.0 ** 53, F.floor(y).cast("double")).otherwise(y)
+    vector = F.transform(F.col(vector_col), lambda x: whole(scaled(x)))
+    good = F.forall(F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(scaled(x)) < float("inf")))
     return rows.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0) & good) \
         .select(F.col(id_col).cast("long").alias("vec_id"), vector.alias("vector"))
 
@@ -43,6 +54,29 @@ def _matrices(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarr
         yield int(dim), at, flat[starts[at][:, None] + np.arange(dim)[None, :]]
 
 
+def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of whole doubles as int64, exact; those beyond int64 stop at its ends."""
+    with np.errstate(all="ignore"):
+        limit = np.abs(a).sum(axis=1).max(initial=0) * np.abs(b).max(initial=0)
+        if limit < EXACT:
+            return (a @ b.T).astype(np.int64)
+    out = np.empty((len(a), len(b)), np.int64)
+    right = [[int(x) for x in row] for row in b]
+    for i, row in enumerate(a):
+        left = [int(x) for x in row]
+        for j, other in enumerate(right):
+            out[i, j] = max(NONE + 1, min(MOST, sum(x * y for x, y in zip(left, other))))
+    return out
+
+
+def _nearest_first(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k largest scores of each row with their ids, ties to the smaller id."""
+    best = np.lexsort((ids, -scores.astype(np.float64)), axis=1) if np.abs(scores[scores > NONE]).max(initial=0) < EXACT else \
+        np.array([sorted(range(ids.shape[1]), key=lambda c: (-int(s[c]), int(i[c]))) for i, s in zip(ids, scores)])
+    best = best[:, :k]
+    return np.take_along_axis(ids, best, axis=1), np.take_along_axis(scores, best, axis=1)
+
+
 class BallTree:
     """Vectors in tree order, and nodes (low, high, left, right) with centres and radii."""
 
@@ -83,14 +117,17 @@ class BallTree:
         return tree
 
     def search(self, own: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray):
-        """Ids and scores (queries x k, best first; score -inf where none); floors: scores that count as reached."""
+        """Ids and scores (queries x k, best first; score NONE where none); floors: scores that count as reached."""
         n = len(queries)
-        ids = np.full((n, k), np.iinfo(np.int64).max)
-        scores = np.full((n, k), -np.inf)
-        norms = np.sqrt((queries * queries).sum(axis=1))
-        # The bound is a little high, so that rounding never leaves out a tie.
-        bounds = (queries @ self.centres.T + norms[:, None] * self.radii[None, :])
-        bounds += 1e-9 * (np.abs(bounds) + norms[:, None] * self.radii[None, :]) + 1e-6
+        ids = np.full((n, k), MOST)
+        scores = np.full((n, k), NONE)
+        with np.errstate(all="ignore"):
+            norms = np.sqrt((queries * queries).sum(axis=1))
+            # The bound is a little high, so that rounding never leaves out a tie.
+            centres = queries @ self.centres.T
+            spread = norms[:, None] * (self.radii + 1e-9 * np.sqrt((self.centres ** 2).sum(axis=1)))[None, :]
+            bounds = centres + spread + 1e-9 * (np.abs(centres) + spread) + 1e-6
+        bounds[~np.isfinite(bounds)] = np.inf              # components too large for squares: nothing is left out
 
         def visit(node: int, who: np.ndarray) -> None:
             who = who[bounds[who, node] >= np.maximum(scores[who, -1], floors[who])]
@@ -98,14 +135,12 @@ class BallTree:
                 return
             low, high, left, right = self.nodes[node]
             if left < 0:
-                found = queries[who] @ self.rows[low:high].T
+                found = inner_products(queries[who], self.rows[low:high])
                 mine = self.ids[low:high]
-                found[own[who][:, None] == mine[None, :]] = -np.inf
-                all_scores = np.concatenate([scores[who], found], axis=1)
-                all_ids = np.concatenate([ids[who], np.broadcast_to(mine, found.shape)], axis=1)
-                best = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
-                scores[who] = np.take_along_axis(all_scores, best, axis=1)
-                ids[who] = np.take_along_axis(all_ids, best, axis=1)
+                found[own[who][:, None] == mine[None, :]] = NONE
+                ids[who], scores[who] = _nearest_first(
+                    np.concatenate([ids[who], np.broadcast_to(mine, found.shape)], axis=1),
+                    np.concatenate([scores[who], found], axis=1), k)
                 return
             first = bounds[who, left] >= bounds[who, right]
             for group, a, b in ((who[first], left, right), (who[~first], right, left)):
@@ -173,11 +208,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([pack(ids, rows.reshape(-1))], pa.binary())], ["block", "dim", "queries"])
 
 
-_HITS = "query_id long, vec_id long, score double"
+_HITS = "query_id long, vec_id long, score long"
 
 
 def _hits(own, ids, scores) -> pa.RecordBatch:
-    have = np.isfinite(scores)
+    have = scores > NONE
     return pa.RecordBatch.from_arrays(
         [pa.array(np.repeat(own, have.sum(axis=1))), pa.array(ids[have]), pa.array(scores[have])],
         ["query_id", "vec_id", "score"])
@@ -191,7 +226,7 @@ def _first(k: int):
                 dim = batch.column("dim")[i].as_py()
                 own, rows = unpack(batch.column("queries")[i].as_py())
                 tree = BallTree.unpacked(batch.column("payload")[i].as_py())
-                ids, scores = tree.search(own, rows.reshape(-1, dim), k, np.full(len(own), -np.inf))
+                ids, scores = tree.search(own, rows.reshape(-1, dim), k, np.full(len(own), NONE))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("block").slice(i, 1), pa.array([dim], pa.int32()),
                      pa.array([pack(own, rows, np.ascontiguousarray(scores[:, -1]))], pa.binary()),
@@ -211,14 +246,30 @@ def _first_hits(k: int):
 
 
 def _rest(k: int):
+    """Search of all other trees: what a block's queries have reached in one tree is the floor in the next."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple] = {}              # block -> ids of the queries, first floors, best ids and scores so far
+
+        def given(block: int) -> pa.RecordBatch:
+            own, floors, ids, scores = held.pop(block)
+            scores[scores < floors[:, None]] = NONE
+            return _hits(own, ids, scores)
         for batch in batches:
             for i in range(batch.num_rows):
+                block = batch.column("block")[i].as_py()
                 own, rows, floors = unpack(batch.column("queries")[i].as_py())
+                if block in held:
+                    _, _, ids, scores = held.pop(block)
+                else:
+                    ids, scores = np.full((len(own), k), MOST), np.full((len(own), k), NONE)
                 tree = BallTree.unpacked(batch.column("payload")[i].as_py())
-                ids, scores = tree.search(own, rows.reshape(len(own), -1), k, floors)
-                scores[scores < floors[:, None]] = -np.inf
-                yield _hits(own, ids, scores)
+                more = tree.search(own, rows.reshape(len(own), -1), k, np.maximum(floors, scores[:, -1]))
+                held[block] = (own, floors, *_nearest_first(
+                    np.concatenate([ids, more[0]], axis=1), np.concatenate([scores, more[1]], axis=1), k))
+                if len(held) > BLOCKS_HELD:      # the block that was searched longest ago
+                    yield given(next(iter(held)))
+        for block in list(held):
+            yield given(block)
     return run
 
 
@@ -226,7 +277,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k largest inner products of each query, exact.
 
     ``vectors`` and ``queries`` have vec_id and a vector of finite whole
-    numbers.  Ties go to the smaller vec_id; candidates with the query's own
+    numbers (as doubles, of any size).  Scores are exact integers; one beyond
+    the range of a long counts as the end of that range.  Ties go to the smaller vec_id; candidates with the query's own
     id are left out; vectors of another dimension are no candidates.  A
     query id that occurs several times is searched once, with its smallest
     vector; repeated candidate rows each count.  Empty input gives no rows.
@@ -247,10 +299,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     begun = write_scratch(blocks.join(heads, "dim").mapInArrow(
         _first(k), "block long, dim int, queries binary, hits binary, first long"), "blocks")
     # Each block goes to every shard: the trees of a shard and all blocks meet by (shard, dim).
-    everywhere = begun.select("dim", "queries", "first", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    everywhere = begun.select("dim", "block", "queries", "first", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     found = trees.join(everywhere, ["shard", "dim"]).filter("tree <> first") \
-        .select("payload", "queries").mapInArrow(_rest(k), _HITS)
+        .select("payload", "block", "queries").mapInArrow(_rest(k), _HITS)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return begun.mapInArrow(_first_hits(k), _HITS).unionByName(found) \
         .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k) \
-        .select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
+        .select("query_id", "rank", "vec_id", "score")
