@@ -82,3 +82,40 @@ def test_patterned_strings_stay_out():
                   "Abcabcabcabc123123123123", "A1" * 100, "0123456789ABCDEF" * 20):
         spans = scan_text(f"the session signature is {value} and then")
         assert all(kind != "novel" for kind, *_ in spans), value
+
+
+ALPHABETS = {"lower": ("abcdefghijklmnopqrstuvwxyz", 24), "upper": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 32), "digits": ("0123456789", 24),
+             "mixed": ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 32)}
+FORMS = ["signature=", "auth=", "pwd=", "session=", "credential=", "aws_credential_value=", "https://x.org/?signature=",
+         "the bearer is ", "a credential that nobody should write down anywhere near the desk in the hall, not even once, is "]
+
+
+@pytest.mark.parametrize("alphabet", ALPHABETS)
+def test_every_form_and_alphabet(alphabet):
+    symbols, n = ALPHABETS[alphabet]
+    draw = random.Random(n)
+    for form in FORMS:
+        found = 0
+        for _ in range(50):
+            value = "".join(draw.choices(symbols, k=n))
+            before = "The clerk put it in the file: " + form
+            spans = scan_text(before + value + " and went home. The rest is prose as before.")
+            found += any(a == len(before) and b == a + n for _, a, b, _ in spans)
+        assert found >= 49, (form, found)
+
+
+def test_words_behind_sensitive_words_stay_out():
+    text = ("The session token and the password were changed. Responsibilities, misunderstandings and responsibilities again: "
+            "the misunderstandings of interdepartmental-communication between interdepartmental offices need communication, "
+            "and misunderstandings-of-responsibilities follow.")
+    longest = [m[0] for m in re.finditer(r"[A-Za-z-]{16,}", text)]
+    spans = [text[a:b] for _, a, b, _ in scan_text(text)]
+    assert len(longest) >= 7 and set(spans) <= {longest[0]}, spans
+
+
+def test_false_positives_on_the_given_documents(spark):
+    """Documents without a planted secret that get a novel span: fewer than 1 in 100."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = scan_secrets(docs).collect()
+    clean = [r for r in rows if not any(s.kind != "novel" for s in r.spans)]
+    assert sum(bool(r.spans) for r in clean) < 0.01 * len(clean)

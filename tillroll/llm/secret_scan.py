@@ -1,14 +1,15 @@
 """Secret scans: known forms, and strings that a primed compressor finds new.
 
 Known forms (kinds assign, access, hex) come from fixed patterns.  Beyond
-them, every long mixed string that stands shortly behind a sensitive word is
-compressed by zstandard with a dictionary primed from common identifiers and
+them, every long string behind a sensitive word, also one within the same run
+of characters (``signature=...``), is compressed by zstandard with a dictionary primed from common identifiers and
 the text around the string.  Its marginal bytes, against what the primed
 compressor spends on nothing, show how much of it neither the identifiers nor
 the surrounding text explain.  The compressor also codes plain symbols in fewer
 bits, the more so the longer the string and the smaller its alphabet; so the
-measure is a random string of the same length over the same symbols.  A string
-that compresses hardly better is reported as kind ``novel``.  Each span carries
+measure is a random string of the same length over the same symbols; words, in
+prose or joined by marks, are spelled in the identifiers or the text around and
+stay below it.  A string that compresses hardly better is reported as kind ``novel``.  Each span carries
 that novelty (marginal bytes against those of the random string).
 
 A slice of texts is first searched as one byte buffer, so that patterns run
@@ -43,7 +44,7 @@ IDENTIFIERS = (
     "username user_name password passwd secret token api_key apikey access_key access_token refresh_token client_id "
     "client_secret authorization bearer credential private_key public_key session_id signature example placeholder "
     "changeme change_me your_token_here your_api_key_here my_secret_password replace_with_your_own undefined null none "
-    "true false default string integer boolean config settings environment process.env os.environ getenv localhost "
+    "http https www mail example.com example.org localhost index.html true false default string integer boolean config settings environment process.env os.environ getenv "
     "0123456789abcdefABCDEF 1234567890 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 00000000 xxxxxxxxxxxxxxxx "
     "XXXXXXXXXXXXXXXX ................ ---------------- ================ ________________ aaaaaaaaaaaaaaaa")
 
@@ -52,11 +53,10 @@ IDENTIFIERS = (
 class NoveltyRule:
     """When a string in sensitive context is reported."""
 
-    min_length: int = 16
-    reach: int = 48              # code points between the end of the sensitive word and the string
+    min_length: int = 16         # shorter strings are too short to tell from a word
+    reach: int = 2048            # code points before the string in which the sensitive word may stand
     around: int = 2048           # code points of surrounding text in the dictionary, each side
     min_novelty: float = 0.8     # marginal bytes, against a random string of that length and alphabet
-    min_classes: int = 2         # of lower case, upper case, digits
 
 
 _RUN = np.zeros(256, dtype=bool)
@@ -123,8 +123,19 @@ def _random(value: bytes) -> bytes:
     return np.random.default_rng([len(value), *symbols]).choice(np.array(symbols, np.uint8), len(value)).tobytes()
 
 
-def _classes(value: str) -> int:
-    return sum(bool(re.search(c, value)) for c in ("[a-z]", "[A-Z]", "[0-9]"))
+_KEY = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*=+(?=[^=])")
+
+
+def _pieces(run: str, least: int) -> list[int]:
+    """Where strings begin that a run of characters may hold, in the order in which they are tried.
+
+    What follows the name of a key, then the run itself, then what follows its
+    other marks.
+    """
+    key = _KEY.match(run)
+    begins = [key.end()] if key else []
+    begins += [0, *(i + 1 for i, c in enumerate(run) if c in "=/")]
+    return [i for i in dict.fromkeys(begins) if len(run) - i >= least]
 
 
 def _left(start: int, end: int, taken: list[tuple[int, int]]) -> int:
@@ -145,14 +156,17 @@ def scan_text(text: str, rule: NoveltyRule = NoveltyRule()) -> list[tuple[str, i
     low = text.translate({c: c + 32 for c in range(65, 91)})
     if any(w in low for w in SENSITIVE):
         taken = sorted((a, b) for _, a, b in spans)
+        told = sorted({(m.start(), m.end()) for w in SENSITIVE for m in re.finditer(re.escape(w), low)})
+        ends = np.array([b for _, b in told])
         for m in re.finditer(r"[A-Za-z0-9+/_.=-]{%d,}" % rule.min_length, text):
-            a, b = m.span()
-            before = low[max(0, a - rule.reach - 12):a]
-            if (_left(a, b, taken) < rule.min_length or _classes(m[0]) < rule.min_classes
-                    or not any(w in before for w in SENSITIVE)):
-                continue
-            if (new := novelty(text, a, b, rule)) >= rule.min_novelty:
-                out.append(("novel", a, b, new))
+            for i in _pieces(m[0], rule.min_length):
+                a, b = m.start() + i, m.end()
+                behind = ((ends <= a) & (ends > a - rule.reach)).any()
+                if not behind or _left(a, b, taken) < rule.min_length:
+                    continue
+                if (new := novelty(text, a, b, rule)) >= rule.min_novelty:
+                    out.append(("novel", a, b, new))
+                    break
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
