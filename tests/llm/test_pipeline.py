@@ -65,3 +65,14 @@ def test_edge_rows_and_empty_table(spark, tmp_path):
     assert rows == []
     kept = dict(P.STAGES)["near_duplicates"](spark, documents(spark), str(tmp_path))
     assert Counter(r.doc_id for r in kept.collect())[6] == 0 and kept.count() == 16
+
+
+def test_near_duplicates_with_repeated_ids_and_clashing_names(spark):
+    same, other = "one two three four five six seven eight", "quite another text with words of its own here"
+    rows = [(5, "A " + same, 77, 88), (5, other, 77, 89), (1, other, 77, 90), (None, other, 77, 91), (None, "A " + same, 77, 92),
+            (9, "A " + same, 77, 93), (7, None, 77, 94), (7, None, 77, 94), (None, "lone words of nobody", 77, 95)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, a, b, 3) for i, t, a, b in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, _copy int, _row int, number int")
+    kept = dict(P.STAGES)["near_duplicates"](spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted((r._copy, r._row, r.number) for r in kept.collect()) == [(77, k, 3) for k in (88, 90, 94, 95)]
