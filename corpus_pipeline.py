@@ -38,15 +38,20 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one of the smallest doc_id; of repeated rows, one.
+    """One row of each group of links stays: the one of the smallest doc_id, a null id after all others.
 
-    Rows without an id stay: nothing names them.
+    Rows are joined by a hash of id and text, so one id may have several
+    texts, and rows without an id take part like any others.  Of rows alike in
+    id and text one stays; rows without words link with nothing and stay.
     """
-    firsts = jaccard_join(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    same = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = docs.join(firsts, "doc_id", "left_semi").withColumn("_copy", F.rank().over(same)) \
-        .withColumn("_row", F.row_number().over(same)).filter("_copy = _row").select(*docs.columns)
-    return kept.unionByName(docs.filter("doc_id is null"))
+    numbered = _carried(docs).withColumn("number", F.xxhash64("doc_id", "text"))
+    groups = jaccard_join(numbered.select("number", "text"), id_col="number").select(
+        F.col("doc_id").alias("number"), F.col("component_id").alias("group")).distinct()
+    firsts = numbered.select("number", "doc_id").distinct().join(groups, "number").groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "number")).alias("first"))
+    alike = Window.partitionBy("number", "doc_id", F.md5("text")).orderBy("number")
+    one_each = numbered.withColumn("copy", F.row_number().over(alike)).filter("copy = 1")
+    return _restored(one_each.join(firsts.select(F.col("first.number").alias("number")), "number", "left_semi"), docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +65,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, once a row."""
     drawn = mixture.sized(_carried(docs))
-    sizes = write_scratch(drawn.select("doc_id", "source", "size", "draw"), "sizes")
+    sizes = write_scratch(drawn.select("doc_id", "source", "size", "draw", "place"), "sizes")
     taken = mixture.with_repeats(drawn, mixture.source_plan(sizes)).filter("repeats > 0")
     return _restored(taken.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.col("repeats")))), docs)
 
