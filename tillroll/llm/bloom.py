@@ -46,7 +46,7 @@ def portion(maps: DataFrame, first: int, n: int) -> bytes:
     """``n`` bitmaps from the one numbered ``first`` (from 0), absent ones as zeros."""
     size = BITMAP_BITS // 8
     out = bytearray(n * size)
-    for r in maps.filter(F.col("bucket").between(first + 1, first + n)).toLocalIterator():
+    for r in maps.filter(F.col("bucket").between(first + 1, first + n)).collect():           # n maps of 4 KB at most
         out[(r.bucket - 1 - first) * size:(r.bucket - first) * size] = r.map
     return bytes(out)
 

@@ -30,18 +30,21 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has columns u, v (long); loops and repeats are allowed and an
     empty graph gives no rows.  Alternating large and small stars: each round
     is a few joins on the edges alone, and the number of rounds grows with
-    the logarithm of the longest path.  Rounds end when no edge changes.
+    the logarithm of the longest path.  Rounds end when the edges are stars.
     """
-    now = write_scratch(edges.filter("u <> v").distinct(), "edges")
-    seen = None
-    while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen or state[0] == 0:
-            break
-        seen = state
+    now = write_scratch(edges.filter("u <> v"), "edges")
+    while not _are_stars(now):
         now = write_scratch(_star(_star(now, large=True), large=False), "edges")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-        now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+    return now.select(F.explode(F.array("u", "v")).alias("node"), F.least("u", "v").alias("root")).distinct()
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every edge ties a node to the smallest of its component: no larger end stands in a second edge."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.greatest("u", "v").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.least("u", "v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("e")).select("e.*")
+    return not ends.groupBy("node").agg(F.sum("up").alias("ups"), F.max("down").alias("down")) \
+        .filter("ups > 1 or (ups = 1 and down = 1)").limit(1).count()
 
 
 class Forest:

@@ -68,18 +68,20 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def join_skewed(rows: DataFrame, table: DataFrame, key: str, n: str, parts: int = 1000) -> DataFrame:
-    """Inner join on ``key``, which is unique in ``table``; column ``n`` there tells how many ``rows`` have it.
+def join_skewed(rows: DataFrame, table: DataFrame, key: str, counts: DataFrame, parts: int = 1000) -> DataFrame:
+    """Inner join on ``key``, which is unique in ``table``; ``counts`` (stored) has key and n, the ``rows`` of each key.
 
     Keys that hold more than one of ``parts`` of all rows, fewer than ``parts``
     of them therefore, are broadcast: their rows stay where they are.  All
-    others meet by hash.  ``n`` is not in the result.
+    others meet by hash.
     """
-    total = table.agg(F.sum(n)).first()[0] or 0
-    hot = F.col(n) * parts > F.lit(total)
-    few = F.broadcast(table.filter(hot).drop(n))
-    return rows.join(few, key).unionByName(
-        rows.join(few.select(key), key, "left_anti").join(table.filter(~hot).drop(n), key))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = [r[0] for r in counts.filter(F.col("n") * parts > F.lit(total)).select(key).collect()]     # below ``parts``
+    if not hot:
+        return rows.join(table, key)
+    is_hot = F.col(key).isin(hot)
+    return rows.filter(is_hot).join(F.broadcast(table.filter(is_hot)), key).unionByName(
+        rows.filter(~is_hot).join(table.filter(~is_hot), key))
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text",

@@ -5,12 +5,13 @@
 2. 24 bands of four minima are the keys on which classes meet.  Two sets of
    similarity 0.85 share none with probability 2e-8.
 3. In each key, the class of the smallest digest is the hub; every class is
-   verified against the hubs of its keys.  A large group of near copies
-   becomes one component here, by a number of pairs that is linear in it.
-4. Keys that still hold several components: their classes are put in blocks,
-   and the pairs of blocks that share a key and are not of one component meet
-   in one task each.  There all pairs that share a key are verified, unless
-   links already found connect them.
+   verified against the hubs of its keys.  The smallest hub that a class links
+   with is its label, so classes of one label are connected: a large group of
+   near copies gets one label here, by a number of pairs that is linear in it.
+4. Keys that still hold several labels: their classes are put in blocks, and
+   the pairs of blocks that share a key and are not of one label meet in one
+   task each.  There all pairs that share a key are verified, unless links
+   already found connect them.
 
 A pair is verified in steps.  After each batch of 16 minima the posterior of
 its similarity (uniform prior, binomial matches) is looked at: the pair is
@@ -44,6 +45,7 @@ BLOCK = 48                       # classes of a block, about
 BLOCK_SHINGLES = 1 << 17         # shingles of a block, about
 GRID = 32                        # blocks of a key on one side of a cell, about
 CHUNK = 1 << 15
+SLICE = 2 << 20                  # bytes of text handled at once
 
 _U = np.uint64
 _FLIP = mix(np.arange(1, MINIMA + 1, dtype=_U) * _U(0x9E3779B97F4A7C15))
@@ -137,8 +139,9 @@ def _sets(width: int, wanted: Filter):
         _, digests, is_first, h, first = _firsts(piece, width, wanted)
         at = np.flatnonzero(is_first)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(signed(digests[at])), pa.array([h[first[k]:first[k + 1]].tobytes() for k in at], pa.binary())],
-            ["digest", "shingles"])
+            [pa.array(signed(digests[at])), pa.array([m.tobytes() for m in minima(h, first)], pa.binary()),
+             pa.array([h[first[k]:first[k + 1]].tobytes() for k in at], pa.binary())],
+            ["digest", "signature", "shingles"])
     return run
 
 
@@ -178,7 +181,7 @@ def _cell(num: int, den: int, steps):
     """Links between two blocks of classes that connect what was not connected."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 same = row["left_block"] == row["right_block"]
                 sides = [row["left"], row["left"] if same else row["right"]]
                 signatures = [np.frombuffer(b"".join(m["signature"] for m in side), np.uint32).reshape(-1, MINIMA)
@@ -206,11 +209,11 @@ def _cell(num: int, den: int, steps):
 
 
 def _against(some: DataFrame, table: DataFrame, value: str) -> DataFrame:
-    """Pairs (u, v) with both sides' ``value`` as left and right; few v may stand in many pairs."""
+    """Pairs (u, v) with both sides' ``value`` as left and right; a few v may stand in many pairs."""
+    counts = write_scratch(some.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "pairs-of-v")
     left = table.select(F.col("digest").alias("u"), F.col(value).alias("left"))
-    right = table.select(F.col("digest").alias("v"), F.col(value).alias("right")).join(
-        some.groupBy("v").agg(F.count(F.lit(1)).alias("pairs_of_v")), "v")
-    return join_skewed(some.join(left, "u"), right, "v", "pairs_of_v")
+    right = table.select(F.col("digest").alias("v"), F.col(value).alias("right"))
+    return join_skewed(some.join(left, "u"), right, "v", counts, parts=100)
 
 
 def _hub_pairs(shared: DataFrame, classes: DataFrame, steps) -> DataFrame:
@@ -221,33 +224,36 @@ def _hub_pairs(shared: DataFrame, classes: DataFrame, steps) -> DataFrame:
 
 
 def _grid(held: DataFrame) -> DataFrame:
-    """left_block <= right_block that hold a common key, from (key, block).
+    """left_block < right_block that hold a common key, from stored (key, block, own); not two of one label's.
 
     A key of many blocks is cut in cells of about GRID x GRID blocks: no task
     ever lists all blocks of a key.
     """
-    sides = held.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / GRID).cast("int").alias("cuts"),
-                                    F.count(F.lit(1)).alias("blocks_of_key")).filter("blocks_of_key > 1")
-    placed = join_skewed(held, sides, "key", "blocks_of_key").withColumn("at", F.pmod(F.xxhash64("block"), F.col("cuts")))
+    sides = write_scratch(held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sides")
+    cuts = sides.select("key", F.ceil(F.col("n") / GRID).cast("int").alias("cuts"))
+    placed = join_skewed(held, cuts, "key", sides).withColumn("at", F.pmod(F.xxhash64("block"), F.col("cuts")))
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1))
-    left = placed.select("key", F.col("at").alias("row"), others.alias("column"), F.col("block").alias("left_block"))
-    right = placed.select("key", others.alias("row"), F.col("at").alias("column"), F.col("block").alias("right_block"))
+    left = placed.select("key", F.col("at").alias("row"), others.alias("column"), F.col("block").alias("left_block"),
+                         F.col("own").alias("left_own"))
+    right = placed.select("key", others.alias("row"), F.col("at").alias("column"), F.col("block").alias("right_block"),
+                          F.col("own").alias("right_own"))
     return left.join(right, ["key", "row", "column"]).filter("left_block < right_block") \
+        .filter("left_own is null or right_own is null or left_own <> right_own") \
         .select("left_block", "right_block").distinct()
 
 
-def _rest_links(entries: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, num: int, den: int,
-                steps) -> DataFrame:
-    """Links within keys that still hold several components; ``entries`` are those of keys of 3 classes or more."""
-    labelled = entries.join(labels, "digest", "left").withColumn("label", F.coalesce("root", "digest")).drop("root")
-    apart = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                        F.min("digest").alias("hub"), F.count(F.lit(1)).alias("n")).filter("low <> high")
-    open_entries = write_scratch(join_skewed(labelled, apart.select("key", "hub", "n"), "key", "n"), "open")
-    family = components(open_entries.select(F.col("digest").alias("u"), F.col("hub").alias("v")))
-    sized = classes.select("digest", "size")
-    members = family.select(F.col("node").alias("digest"), F.col("root").alias("family")).join(sized, "digest") \
-        .join(labels, "digest", "left").withColumn("label", F.coalesce("root", "digest")).drop("root")
-    # A component that fills a block of its own family has blocks of its own, the others share theirs.
+def _rest_links(entries: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int, steps) -> DataFrame:
+    """Links within keys that still hold several labels; ``entries`` are those of keys of 3 classes or more."""
+    labelled = write_scratch(entries.join(labels, "digest", "left").select(
+        "key", "digest", "hub", F.coalesce("root", "digest").alias("label")), "labelled")
+    apart = write_scratch(labelled.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+        .filter("low <> high").select("key", "n"), "apart")
+    open_entries = write_scratch(join_skewed(labelled, apart.select("key"), "key", apart), "open")
+    # Classes that meet in many keys have a smallest hub in common: it only decides who shares a block.
+    members = open_entries.groupBy("digest").agg(F.min("hub").alias("family"), F.min("label").alias("label")) \
+        .join(sets.select("digest", (F.octet_length("shingles") / 8).alias("size")), "digest")
+    # A label that fills a block of its own family has blocks of its own, the others share theirs.
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_SHINGLES)).alias("blocks")
     whole = members.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n")) \
         .filter(F.col("n") >= BLOCK).select("family", "label", F.lit(True).alias("large"))
@@ -257,15 +263,12 @@ def _rest_links(entries: DataFrame, labels: DataFrame, classes: DataFrame, sets:
     placed = write_scratch(grouped.join(counts, (F.col("family") == F.col("f")) & F.col("own").eqNullSafe(F.col("o"))).select(
         "digest", "label", "own", F.xxhash64("family", F.coalesce("own", F.lit(0)), F.col("own").isNull(),
                                              F.pmod(F.xxhash64("digest"), "blocks")).alias("block")), "blocks")
-    held = open_entries.join(placed.select("digest", "block"), "digest").select("key", "block").distinct()
-    owner = placed.select("block", "own").distinct()
-    pairs = _grid(held).join(owner.select(F.col("block").alias("left_block"), F.col("own").alias("left_own")), "left_block") \
-        .join(owner.select(F.col("block").alias("right_block"), F.col("own").alias("right_own")), "right_block") \
-        .filter("left_own is null or right_own is null or left_own <> right_own").select("left_block", "right_block") \
-        .unionByName(owner.filter("own is null").select(F.col("block").alias("left_block"), F.col("block").alias("right_block")))
-    payload = write_scratch(
-        placed.join(classes.select("digest", "signature"), "digest").join(sets, "digest")
-        .groupBy("block").agg(F.collect_list(F.struct("digest", "label", "signature", "shingles")).alias("members")), "members")
+    held = write_scratch(open_entries.select("key", "digest").join(placed.select("digest", "block", "own"), "digest")
+                         .select("key", "block", "own").distinct(), "blocks-of-keys")
+    payload = write_scratch(placed.join(sets, "digest").groupBy("block").agg(
+        F.collect_list(F.struct("digest", "label", "signature", "shingles")).alias("members"), F.first("own").alias("own")), "members")
+    pairs = _grid(held).unionByName(payload.filter("own is null").select(
+        F.col("block").alias("left_block"), F.col("block").alias("right_block")))
     met = pairs.join(payload.select(F.col("block").alias("left_block"), F.col("members").alias("left")), "left_block").join(
         payload.select(F.col("block").alias("right_block"), F.col("members").alias("right")), "right_block")
     return write_scratch(met.mapInArrow(_cell(num, den, steps), "u long, v long"), "rest-links")
@@ -294,30 +297,33 @@ def minhash_dedup(docs: DataFrame, width: int = 3, num: int = 85, den: int = 100
     steps = least_matches(num / den)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = write_scratch(map_slices(
-        texts, _scan(width), "doc_id long, n_shingles long, digest long, signature binary"), "rows")
-    classes = write_scratch(rows.filter("signature is not null").select("digest", F.col("n_shingles").alias("size"), "signature")
+        texts, _scan(width), "doc_id long, n_shingles long, digest long, signature binary", limit=SLICE), "rows")
+    classes = write_scratch(rows.filter("signature is not null").select("digest", "signature")
                             .dropDuplicates(["digest"]), "classes")
     entries = classes.select("digest", "signature").mapInArrow(_entries, "key long, digest long")
-    hubs = entries.groupBy("key").agg(F.min("digest").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = write_scratch(join_skewed(entries, hubs.withColumn("several", F.col("n") > 2), "key", "n"), "shared")
+    hubs = write_scratch(entries.groupBy("key").agg(F.min("digest").alias("hub"), F.count(F.lit(1)).alias("n"))
+                         .filter("n > 1"), "hubs")
+    shared = write_scratch(join_skewed(entries, hubs.select("key", "hub", (F.col("n") > 2).alias("several")), "key", hubs),
+                           "shared")
     probable = _hub_pairs(shared, classes, steps)
     # Classes whose sets may be counted: those of probable pairs, and those that meet others than the hub.
     counted = write_scratch(probable.select(F.explode(F.array("u", "v")).alias("digest"))
                             .unionByName(shared.filter("several").select("digest")).distinct(), "counted")
-    sets = write_scratch(map_slices(texts, _sets(width, Filter(counted, "digest")), "digest long, shingles binary")
+    sets = write_scratch(map_slices(texts, _sets(width, Filter(counted, "digest")), "digest long, signature binary, shingles binary", limit=SLICE)
                          .join(counted, "digest").dropDuplicates(["digest"]), "sets")
     links = write_scratch(_against(probable, sets, "shingles").mapInArrow(_pairs_linked(num, den), "u long, v long"), "hub-links")
-    labels = write_scratch(components(links).select(F.col("node").alias("digest"), "root"), "labels")
-    rest = _rest_links(shared.filter("several").select("key", "digest"), labels, classes, sets, num, den, steps)
+    labels = write_scratch(links.groupBy(F.col("u").alias("digest")).agg(F.min("v").alias("root")), "labels")
+    rest = _rest_links(shared.filter("several").select("key", "digest", "hub"), labels, sets, num, den, steps)
     reached = components(links.unionByName(rest))
 
     mine = rows.select("doc_id", "n_shingles", "digest")
     held = mine.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"))
     held = write_scratch(held.join(reached.select(F.col("node").alias("digest"), "root"), "digest", "left")
                          .withColumn("root", F.coalesce("root", "digest")), "held")
-    roots = held.groupBy("root").agg(F.min("low").alias("component"), F.count(F.lit(1)).alias("classes"))
-    named = write_scratch(join_skewed(held, roots, "root", "classes").select("digest", "component", "n"), "named")
-    joined = join_skewed(mine.filter("digest is not null"), named, "digest", "n").unionByName(
+    roots = write_scratch(held.groupBy("root").agg(F.min("low").alias("component"), F.count(F.lit(1)).alias("n")), "roots")
+    named = write_scratch(join_skewed(held, roots.select("root", "component"), "root", roots)
+                          .select("digest", "component", "n"), "named")
+    joined = join_skewed(mine.filter("digest is not null"), named.select("digest", "component"), "digest", named).unionByName(
         mine.filter("digest is null").withColumn("component", F.lit(None).cast("long")))
     component = F.coalesce("component", "doc_id")
     return joined.select("doc_id", "n_shingles", component.alias("component_id"),
