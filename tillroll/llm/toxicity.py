@@ -11,12 +11,19 @@ Terms of few examples have short postings, which are added up whole.  For the
 terms of most examples the index keeps dense blocks of examples and the
 largest weight of each term in each block.  A text first visits the block of
 its largest bound, and then those alone whose bound can still reach its k-th
-neighbour.  The votes of the k nearest, by similarity and weighted back to the
-label shares of all labelled rows, give the score.
+neighbour.  The k nearest vote by their distance, weighted back to the label
+shares of all labelled rows; among them the distance over terms that tell the
+labels apart counts, whatever else a text is about.
+
+Votes become scores by a monotone map: every example is scored by the others,
+and isotonic regression of the labels on these votes, weighted like them,
+gives the share of toxic rows at each vote.  Index and map are made in a task,
+and reach the other tasks by broadcast.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -46,11 +53,11 @@ class Neighbours:
     """Parameters of the classifier; the sample's bound is ``per_class`` rows of each label."""
 
     per_class: int = 2000
-    max_terms: int = 4096        # of telling terms, which weight votes
     min_examples: int = 5        # examples that a telling term is in, at least
-    min_chi2: float = 25.0
-    min_ratio: float = 4.0       # between the term's shares of the two classes, either way
-    k: int = 15
+    min_chi2: float = 40.0
+    min_ratio: float = 6.0       # between the term's shares of the two classes, either way
+    k: int = 200
+    evidence: int = 15           # nearest examples that are given with a score
     smoothing: float = 0.5       # weight of the label shares among the votes
     reject_at: float = 0.5
 
@@ -132,6 +139,7 @@ class Model:
     weight: np.ndarray = field(default=None)
     marks: np.ndarray = field(default=None)         # telling terms x examples, unit columns
     blocks: list = field(default_factory=list)      # (start, end)
+    scale: tuple = field(default=None)              # votes, ascending, and the scores they stand for
 
     def idf(self, df: np.ndarray) -> np.ndarray:
         return np.log((self.n_docs + 1) / (df + 1)) + 1
@@ -281,6 +289,34 @@ def votes(model: Model, rows: Rows, sims: np.ndarray, spots: np.ndarray) -> np.n
     return np.where(have.any(axis=1), score, model.empty_score)
 
 
+def isotonic(x: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Points of the non-decreasing step function of ``x`` that fits the labels best (pool adjacent violators)."""
+    order = np.argsort(x, kind="stable")
+    at, first = np.unique(x[order], return_index=True)
+    pools = []                           # least and largest x, sum of labels, weight
+    for v, s, w in zip(at, np.add.reduceat((label * weight)[order], first), np.add.reduceat(weight[order], first)):
+        pools.append([v, v, s, w])
+        while len(pools) > 1 and pools[-2][2] * pools[-1][3] >= pools[-1][2] * pools[-2][3]:
+            _, high, s, w = pools.pop()
+            pools[-1][1:] = [high, pools[-1][2] + s, pools[-1][3] + w]
+    return np.array([p[k] for p in pools for k in (0, 1)]), np.array([p[2] / p[3] for p in pools for _ in (0, 1)])
+
+
+def scores(model: Model, rows: Rows, sims: np.ndarray, spots: np.ndarray) -> np.ndarray:
+    """Calibrated scores from neighbours' votes."""
+    voted = votes(model, rows, sims, spots)
+    return np.clip(voted if model.scale is None else np.interp(voted, *model.scale), 0, 1)
+
+
+def calibrate(model: Model, rows: Rows, ids: np.ndarray, toxic: np.ndarray, vote: np.ndarray) -> None:
+    """The scale from every example's vote without itself."""
+    voted = []
+    for low in range(0, len(rows), TEXTS_AT_ONCE):
+        part = rows.part(low, min(low + TEXTS_AT_ONCE, len(rows)))
+        voted.append(votes(model, part, *nearest(model, part, ids[low:low + TEXTS_AT_ONCE])))
+    model.scale = isotonic(np.concatenate(voted), toxic, vote)
+
+
 def unit(rows: np.ndarray) -> np.ndarray:
     norm = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
     return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
@@ -296,13 +332,13 @@ def _example_terms(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, labels: DataFrame, rule: Neighbours = Neighbours()) -> Model:
     """The model from ``labels`` (doc_id, label 0/1) and the texts of those documents.
 
-    Conflicting labels of one document count as 1.  Without labels, or with
-    one label alone, no vocabulary results and all scores are the label share
-    (0 without labels).
+    Labels other than 0 and 1 are left out; conflicting labels of one document
+    count as 1.  Without labels, or with one label alone, no vocabulary results
+    and all scores are the label share (0 without labels).
     """
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
-    known = labels.filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
+    known = labels.filter("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     known = known.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
     shares = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(shares.values())
@@ -318,24 +354,38 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Neighbours = Neighbours()) -
     if len(shares) < 2:
         return model
 
-    # At most 2 * per_class rows: the sample's ids are sent to the scan, its term counts come back.
+    # At most 2 * per_class rows: the sample's ids are sent to the scan; its term counts stay in the shared folder.
     chosen = F.broadcast(spark.createDataFrame([(int(i),) for i in ids], "doc_id long"))
-    entries = map_slices(texts.join(chosen, "doc_id"), _example_terms, "doc_id long, term long, n long") \
-        .groupBy("doc_id", "term").agg(F.max("n").alias("n")).toArrow()
-    model.vocabulary, at = np.unique(entries["term"].to_numpy().view(np.uint64), return_inverse=True)
-    who, n = np.searchsorted(ids, entries["doc_id"].to_numpy()), entries["n"].to_numpy()
+    entries = write_scratch(map_slices(texts.join(chosen, "doc_id"), _example_terms, "doc_id long, term long, n long")
+                            .groupBy("doc_id", "term").agg(F.max("n").alias("n")), "example-terms")
+    found = entries.select("term").distinct().toArrow()["term"].to_numpy()           # distinct terms of the sample
+    model.vocabulary = np.sort(found.view(np.uint64))
     model.folder, model.shards, model.n_docs, df = _document_frequency(texts, model.vocabulary)
-    order = np.lexsort((at, who))
-    who, at = who[order], at[order]
-    weight = np.log1p(n[order]) * model.idf(df)[at]
-    norm = np.sqrt(np.bincount(who, weight * weight, minlength=len(ids)))
-    rows = Rows(np.searchsorted(who, np.arange(len(ids) + 1)), at, weight / norm[who], len(model.vocabulary))
-    bare = norm == 0
-    model.empty_score = float((vote[bare] @ toxic[bare] + rule.smoothing * share) / (vote[bare].sum() + rule.smoothing))
-    model.telling = _telling(rows, toxic, rule)
-    if rows.size:
-        index(model, rows, ids, toxic, vote)
-    return model
+    # The sample's entries meet in one task: their number is bounded by the sample and its texts.
+    built = entries.coalesce(1).mapInArrow(_build(model, ids, toxic, vote, df), "model binary")
+    return pickle.loads(write_scratch(built, "model").first().model)
+
+
+def _build(model: Model, ids: np.ndarray, toxic: np.ndarray, vote: np.ndarray, df: np.ndarray):
+    """The model with its index and scale, from all entries (doc_id, term, n) of the examples."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[b.column(c).to_numpy() for c in ("doc_id", "term", "n")] for b in batches]
+        who, term, n = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3))
+        who, at = np.searchsorted(ids, who), np.searchsorted(model.vocabulary, term.view(np.uint64))
+        order = np.lexsort((at, who))
+        who, at = who[order], at[order]
+        weight = np.log1p(n[order]) * model.idf(df)[at]
+        norm = np.sqrt(np.bincount(who, weight * weight, minlength=len(ids)))
+        rows = Rows(np.searchsorted(who, np.arange(len(ids) + 1)), at, weight / norm[who], len(model.vocabulary))
+        bare = norm == 0
+        extra = model.rule.smoothing
+        model.empty_score = float((vote[bare] @ toxic[bare] + extra * model.share) / (vote[bare].sum() + extra))
+        model.telling = _telling(rows, toxic, model.rule)
+        if rows.size:
+            index(model, rows, ids, toxic, vote)
+            calibrate(model, rows, ids, toxic, vote)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model, protocol=5)], pa.binary())], ["model"])
+    return run
 
 
 def _telling(rows: Rows, toxic: np.ndarray, rule: Neighbours) -> np.ndarray:
@@ -351,7 +401,7 @@ def _telling(rows: Rows, toxic: np.ndarray, rule: Neighbours) -> np.ndarray:
     fit = np.flatnonzero((held >= rule.min_examples) & (held < n1 + n0) & (np.maximum(ratio, 1 / ratio) >= rule.min_ratio)
                          & (chi2 >= rule.min_chi2))
     out = np.zeros(rows.size, dtype=bool)
-    out[fit[np.argsort(-chi2[fit], kind="stable")[:rule.max_terms]]] = True
+    out[fit] = True
     return out
 
 
@@ -427,12 +477,14 @@ def _score(broadcast):
             own = part.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
             rows = model.rows(part.column("text"))
             sims, spots = nearest(model, rows, own)
+            score = scores(model, rows, sims, spots)
+            sims, spots = sims[:, :model.rule.evidence], spots[:, :model.rule.evidence]
             have = spots >= 0
             offsets = np.concatenate([[0], np.cumsum(have.sum(axis=1))]).astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (
                 model.ids[spots[have]] if have.any() else np.zeros(0, np.int64), sims[have])]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(np.clip(votes(model, rows, sims, spots), 0, 1)), *lists],
+                [*part.columns, pa.array(score), *lists],
                 [*part.schema.names, "score", "neighbours", "similarities"])
     return run
 
@@ -440,8 +492,8 @@ def _score(broadcast):
 def score_toxicity(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text and the columns ``keep``, with score, predicted, and the evidence.
 
-    ``neighbours`` holds the doc_ids of the nearest examples, nearest first
-    (ties: smaller id), ``similarities`` their cosines.  A text that shares
+    ``neighbours`` holds the doc_ids of the nearest ``rule.evidence`` examples,
+    nearest first (ties: smaller id), ``similarities`` their cosines.  A text that shares
     no term with an example, such as a null or empty one, gets the share among
     examples without terms.  Repeated rows score alike; other columns
     are left out; an empty table gives no rows.
