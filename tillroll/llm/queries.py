@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import lexical_rank, mixture, spelling
 from tillroll.llm.fingerprints import fingerprint_edits
+from tillroll.llm.frames import shuffle_partitions
 from tillroll.llm.jaccard_join import jaccard_join
 from tillroll.llm.link_sql import links_sql
 from tillroll.llm.lm_score import score_texts, train
@@ -15,9 +16,10 @@ from tillroll.llm.minhash_dedup import minhash_dedup
 from tillroll.llm.quality import classify_quality
 from tillroll.llm.secret_scan import scan_secrets
 from tillroll.llm.sentence_pieces import encode_pieces
-from tillroll.llm.token_counts import count_with_edits
+from tillroll.llm.token_trees import apply_edits, store_trees
 from tillroll.llm.top_k import top_k, whole_vectors
 from tillroll.llm.toxicity import learn, score_toxicity
+from tillroll.session import scratch_path
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_PAIRS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -67,22 +69,24 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.xxhash64("begins", "ends").alias("spans_hash"))
 
 
-def _middle(text: str) -> tuple[int, int, str]:
-    return len(text) // 2, len(text) // 2 + 20, text[:20]
-
-
-def _front(text: str) -> tuple[int, int, str]:
-    return 0, 0, "New: "
-
-
 @register("op3_token_counts")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of every text, then with 20 code points in the middle replaced by the first 20, then with a new start."""
-    counted = count_with_edits(table(spark, sf_dir, "documents"), BYTE_PAIRS, public_tokenizers.PATTERN,
-                               [_middle, _front])
-    return counted.select("doc_id", "n_tokens", "n_pretokens", F.col("after")[0].alias("n_tokens_middle"),
-                          F.col("after")[1].alias("n_tokens_front"), F.col("reencoded")[0].alias("reencoded_middle"),
-                          F.col("reencoded")[1].alias("reencoded_front"))
+    """Trees of every text stored, then a table of edits: 20 code points in the middle replaced by the first 20, a new start."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = store_trees(docs, BYTE_PAIRS, public_tokenizers.PATTERN, scratch_path(spark, "token-trees"), shuffle_partitions(spark))
+    half = F.floor(F.length("text") / 2)
+    edits = docs.filter("doc_id is not null and text is not null").groupBy("doc_id").agg(F.min(F.struct(
+        half.alias("start"), F.left("text", F.lit(20)).alias("replacement"))).alias("m")).select("doc_id", F.inline(F.array(
+            F.struct(F.lit(1).alias("seq"), F.col("m.start").alias("start"), (F.col("m.start") + 20).alias("end"),
+                     F.col("m.replacement").alias("replacement")),
+            F.struct(F.lit(2).alias("seq"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"),
+                     F.lit("New: ").alias("replacement")))))
+    counted = apply_edits(trees, edits, BYTE_PAIRS, public_tokenizers.PATTERN)
+    at = lambda column, k, other: F.coalesce(F.get(column, F.lit(k)), other)
+    first, none = F.col("first_tokens"), F.lit(0).cast("long")
+    return counted.select("doc_id", first.alias("n_tokens"), F.col("first_pretokens").alias("n_pretokens"),
+                          at("after", 0, first).alias("n_tokens_middle"), at("after", 1, first).alias("n_tokens_front"),
+                          at("reencoded", 0, none).alias("reencoded_middle"), at("reencoded", 1, none).alias("reencoded_front"))
 
 
 def _joined(spans: Column) -> Column:
