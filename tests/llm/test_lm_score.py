@@ -62,7 +62,7 @@ def test_matches_plain_model(spark):
     docs = documents(spark).filter("doc_id is not null")
     held = docs.filter("doc_id % 3 = 0")
     training = docs.filter("doc_id % 3 <> 0")
-    got = sorted(map(tuple, score_texts(docs, train(training)).select(
+    got = sorted(map(tuple, score_texts(docs, train(training, order=2)).select(
         "doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score").collect()))
     source = sorted(((r[0], r[1]) for r in rows() if r[0] is not None), key=lambda r: r[0])
     expected = brute([t for i, t in source if i % 3], [t for _, t in source])
@@ -78,7 +78,7 @@ def test_beats_the_base_on_held_out_text(spark):
 
 
 def test_empty_tables(spark):
-    none = train(empty(spark))
+    none = train(empty(spark), order=2)
     assert score_texts(empty(spark), none).collect() == []
     row = score_texts(documents(spark).filter("doc_id = 5"), none).first()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (8, 0, 0, 0.0, 0.0)

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.session import scratch_path
+from tillroll.session import remove_scratch, scratch_path
 
 SLICE_BYTES = 8 << 20        # text handled at once by one task
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -68,6 +68,13 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_tables(spark: SparkSession, *written: DataFrame | None) -> None:
+    """Delete tables that ``write_scratch`` wrote and nothing reads any more."""
+    for df in written:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()} if df is not None else ():
+            remove_scratch(spark, folder)
+
+
 def join_skewed(rows: DataFrame, table: DataFrame, key: str, counts: DataFrame, parts: int = 1000) -> DataFrame:
     """Inner join on ``key``, which is unique in ``table``; ``counts`` (stored) has key and n, the ``rows`` of each key.
 

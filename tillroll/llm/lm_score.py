@@ -1,11 +1,17 @@
 """LM scoring by an interpolated modified Kneser-Ney model of any order from 2.
 
-Counting goes from the highest order N down, over packed arrays: texts ->
-(N tokens, count) per task -> range shards of the gram's hash, where counts
-become final.  Each gram type of order k then adds one to the continuation
-count of its last k - 1 tokens, which is the count of order k - 1, and to the
-statistics of its context, its first k - 1 tokens.  Every shard stores its part
-of the model as sorted hash arrays with counts beside them, in the shared folder.
+First the distinct words are counted and numbered: their hashes lie sorted in
+the shared folder, and a word's number is its place there.  Grams then travel
+as numbers, a few bytes a token.  Counting goes from the highest order N down,
+over packed arrays: texts -> (N tokens, count) per task -> shards by the hash
+of the gram's context, its first N - 1 tokens.  There counts become final, and
+so do the statistics of every context, as all its grams are in one shard.
+Each gram type of order k then adds one to the continuation count of its last
+k - 1 tokens, which is the count of order k - 1.  Every shard stores its part
+of the model as sorted hash arrays with counts beside them, in the shared
+folder.  Grams and contexts are known by 40 bits of their hash within a shard,
+so of a million grams in a shard one unseen gram in a million is taken for one
+of them; words are known by all 64.
 
 Scoring maps those files into memory and looks up each distinct word, gram and
 context of a slice of texts once, in sorted order, so a worker touches each page
@@ -14,6 +20,9 @@ of the model at most once per slice and holds none of it on its heap.
 p(w | h) = (a(hw) - D(a(hw))) / a(h) + g(h) * p(w | h without its first token),
 and p(w) from the number of different words before w, interpolated with
 1 / (V + 1).  Texts begin with N - 1 start tokens, so each context is whole.
+Grams that begin with a start token have continuation counts at the lower
+orders like all others, which are 1 there: nothing but more start tokens
+stands before them.
 """
 
 from __future__ import annotations
@@ -32,20 +41,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.frames import (
-    delta, map_slices, pack, shard_bounds, shuffle_partitions, slices, undelta, unpack, write_scratch,
+    delta, map_slices, pack, remove_tables, shard_bounds, shard_of, shuffle_partitions, slices, undelta, unpack, write_scratch,
 )
 from tillroll.llm.words import mix, split_words
 from tillroll.session import scratch_path
 
 _U = np.uint64
-END, START = _U(0x0E4D0E4D0E4D0E4D), _U(0x57A2757A2757A271)
+END = _U(0x0E4D0E4D0E4D0E4D)     # hash of the end of a text
+START = _U(0)                    # number of a start token; words count from 1
+UNKNOWN = _U(1) << _U(40)        # numbers from here on: words that training did not see
 PAIRS_AT_ONCE = 3_000_000
 PACKED = "shard int, kind int, payload binary"
-WORDS, GRAMS, CONTEXTS, TALLY = 0, 1, 2, 3
+WORDS, GRAMS, TALLY = 0, 1, 3
 
 
-def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token hashes of all texts (words, then one end), the token before each, and n + 1 offsets."""
+def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of all texts (words, then one end), and n + 1 offsets."""
     words = split_words(column)
     n = len(words.first) - 1
     first = words.first + np.arange(n + 1)
@@ -54,10 +65,7 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     last[first[1:] - 1] = True
     out[last] = END
     out[~last] = words.hashes()
-    before = np.empty_like(out)
-    before[1:] = out[:-1]
-    before[first[:-1]] = START
-    return out, before, first
+    return out, first
 
 
 def grams(word: np.ndarray, first: np.ndarray, order: int) -> list[np.ndarray]:
@@ -70,8 +78,8 @@ def grams(word: np.ndarray, first: np.ndarray, order: int) -> list[np.ndarray]:
 
 
 def gram_hash(columns: list[np.ndarray]) -> np.ndarray:
-    out = columns[0]
-    for word in columns[1:]:
+    out = np.full(len(columns[0]), len(columns), dtype=_U)
+    for word in columns:
         out = mix(out * _U(0x9E3779B97F4A7C15) + word)
     return out
 
@@ -86,12 +94,16 @@ def _merged(columns: list[np.ndarray], *values: np.ndarray):
 
 
 def _gram_rows(columns: list[np.ndarray], counts: np.ndarray, shards: int) -> list[tuple[int, int, bytes]]:
-    g, columns, (counts,) = _merged(columns, counts)
+    """Distinct grams packed for the shards of their contexts (words: of their own hash)."""
+    _, columns, (counts,) = _merged(columns, counts)
+    shard = shard_of(gram_hash(columns[:-1] or columns), shards)
+    order = np.lexsort((*columns[::-1], shard))
+    bounds = np.searchsorted(shard[order], np.arange(shards + 1))
     rows = []
-    for s, part in _shards(g, shards):
-        cut = [c[part] for c in columns]
-        order = np.lexsort(cut[::-1])
-        rows.append((s, GRAMS, pack(delta(cut[0][order]), *[c[order] for c in cut[1:]], _smallest(counts[part][order]))))
+    for s in np.flatnonzero(np.diff(bounds)).tolist():
+        part = order[bounds[s]:bounds[s + 1]]
+        rows.append((s, GRAMS, pack(_smallest(delta(columns[0][part])), *[_smallest(c[part]) for c in columns[1:]],
+                                    _smallest(counts[part]))))
     return rows
 
 
@@ -115,19 +127,64 @@ def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
          pa.array([r[2] for r in rows], pa.binary())], ["shard", "kind", "payload"])
 
 
-def _count(shards: int, order: int):
+def _count_words(shards: int):
+    """Distinct words of a task's texts with their counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts, held = [], [], 0
+        for piece in slices(batches):
+            h, n = np.unique(tokens(piece.column("text"))[0], return_counts=True)
+            hashes.append(h)
+            counts.append(n)
+            held += len(h)
+            if held >= PAIRS_AT_ONCE:
+                yield flush(hashes, counts)
+                hashes, counts, held = [], [], 0
+        if held:
+            yield flush(hashes, counts)
+
+    def flush(hashes: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        (h,), (n,) = _sum_by((np.concatenate(hashes),), np.concatenate(counts))
+        return _batch([(s, WORDS, pack(delta(h[part]), _smallest(n[part]))) for s, part in _shards(h, shards)])
+    return run
+
+
+def _store_words(folder: str):
+    """One shard of words, stored: hashes and counts; the shard with its words and tokens goes on."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts, shard = [], [], -1
+        for s, _, payload in _payloads(batches):
+            shard = s
+            h, n = unpack(payload)
+            hashes.append(undelta(h))
+            counts.append(n.astype(np.int64))
+        if hashes:
+            (h,), (n,) = _sum_by((np.concatenate(hashes),), np.concatenate(counts))
+            _store(folder, f"words-{shard:05d}", h, _smallest(n))
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(h)], pa.int64()), pa.array([n.sum()], pa.int64())], ["shard", "n", "tokens"])
+    return run
+
+
+def numbered(stored, hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number and count of each word: its place among all words, from 1; words not stored get numbers of their own."""
+    distinct, which = np.unique(hashes, return_inverse=True)
+    place, count = stored.places("words", distinct, len(offsets))
+    shard = shard_of(distinct, len(offsets))
+    number = np.where(place >= 0, offsets[shard] + place + 1, 0).astype(_U)
+    unseen = place < 0
+    number[unseen] = UNKNOWN | distinct[unseen] >> _U(1)
+    return number[which], count[which]
+
+
+def _count(folder: str, shards: int, order: int, offsets: np.ndarray):
     def flush(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
         columns = [np.concatenate(c) for c in zip(*parts)]
-        one = np.ones(len(columns[-1]), np.int64)
-        (w,), (c,) = _sum_by((columns[-1],), one)
-        rows = [(s, WORDS, pack(delta(w[part]), c[part])) for s, part in _shards(w, shards)]
-        return _batch(rows + _gram_rows(columns, one, shards))
+        return _batch(_gram_rows(columns, np.ones(len(columns[-1]), np.int64), shards))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for piece in slices(batches):
-            word, _, first = tokens(piece.column("text"))
-            parts.append(grams(word, first, order))
+            word, first = tokens(piece.column("text"))
+            parts.append(grams(numbered(arrays(folder), word, offsets)[0], first, order))
             held += len(word)
             if held * order >= 2 * PAIRS_AT_ONCE:
                 yield flush(parts)
@@ -172,65 +229,52 @@ def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, byt
             yield s, kind, payload.as_py()
 
 
+def _unpacked(payload: bytes) -> list[np.ndarray]:
+    """The columns of grams and their counts, as ``_gram_rows`` packs them."""
+    first, *columns, counts = unpack(payload)
+    return [np.cumsum(first, dtype=_U), *[c.astype(_U) for c in columns], counts.astype(np.int64)]
+
+
+def _prints(sorted_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The upper 40 bits of hashes, as 32 and 8."""
+    return (sorted_hashes >> _U(32)).astype(np.uint32), (sorted_hashes >> _U(24)).astype(np.uint8)
+
+
 def _grams(folder: str, shards: int, order: int):
-    """Final counts of one shard's grams; contexts and the grams of the next lower order go on to their shards."""
+    """Final counts of one shard's grams and contexts; the grams of the next lower order go on to their shards."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, shard = [], -1
-        for s, kind, payload in _payloads(batches):
-            if kind == WORDS:
-                yield _batch([(s, WORDS, payload)])
-                continue
+        for s, _, payload in _payloads(batches):
             shard = s
-            got = unpack(payload)
-            parts.append([undelta(got[0]), *got[1:-1], got[-1].astype(np.int64)])
+            parts.append(_unpacked(payload))
         if not parts:
             return
         *columns, count = [np.concatenate(c) for c in zip(*parts)]
         parts.clear()
         g, columns, (c,) = _merged(columns, count)
-        _store(folder, f"grams{order}-{shard:05d}", g, _smallest(c))
+        _store(folder, f"grams{order}-{shard:05d}", *_prints(g), _smallest(c))
         yield _batch([(0, TALLY, pack(_tally(c)))])
         h, _, sums = _merged(columns[:-1], c, *[(few).astype(np.int64) for few in (c == 1, c == 2, c >= 3)])
-        for s, part in _shards(h, shards):
-            yield _batch([(s, CONTEXTS, pack(delta(h[part]), *[_smallest(x[part]) for x in sums]))])
+        _store(folder, f"contexts{order}-{shard:05d}", *_prints(h), *map(_smallest, sums))
         yield _batch(_gram_rows(columns[1:], np.ones(len(c), np.int64), shards))
     return run
 
 
-def _contexts(folder: str, order: int):
-    """Final arrays of one shard of contexts: hash, sum of its grams' counts, grams that count 1, 2, 3 or more."""
+def _followed(folder: str):
+    """Final arrays of one shard of words: the hash of its number, and how many words stand before it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, shard = [], -1
+        numbers, counts, shard = [], [], -1
         for s, _, payload in _payloads(batches):
             shard = s
-            got = unpack(payload)
-            parts.append([undelta(got[0]), *[x.astype(np.int64) for x in got[1:]]])
-        if parts:
-            h, *columns = [np.concatenate(c) for c in zip(*parts)]
-            (h,), sums = _sum_by((h,), *columns)
-            _store(folder, f"contexts{order}-{shard:05d}", h, *map(_smallest, sums))
-        yield pa.RecordBatch.from_arrays([pa.array([len(parts)], pa.int64())], ["n"])
-    return run
-
-
-def _words(folder: str):
-    """Final arrays of one shard of words: hash, count, words before it."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts, before, shard = [], [], [], -1
-        for s, kind, payload in _payloads(batches):
-            shard = s
-            got = unpack(payload)
-            hashes.append(undelta(got[0]))
-            n, zero = got[1].astype(np.int64), np.zeros(len(got[0]), np.int64)
-            counts.append(n if kind == WORDS else zero)
-            before.append(zero if kind == WORDS else n)
-        if not hashes:
+            number, n = _unpacked(payload)
+            numbers.append(number)
+            counts.append(n)
+        if not numbers:
             return
-        (h,), (count, followed) = _sum_by((np.concatenate(hashes),), np.concatenate(counts), np.concatenate(before))
-        _store(folder, f"words-{shard:05d}", h, _smallest(count), _smallest(followed))
-        word = h != START                   # the start is a context; where it is padding, also a gram's last token
-        yield pa.RecordBatch.from_arrays([pa.array([pack(
-            _tally(followed[word]), np.array([word.sum(), count[word].sum()], np.int64))], pa.binary())], ["payload"])
+        h, (number,), (n,) = _merged([np.concatenate(numbers)], np.concatenate(counts))
+        _store(folder, f"followed-{shard:05d}", h, _smallest(n))
+        # The start is a context; where it is padding, also a gram's last token.
+        yield pa.RecordBatch.from_arrays([pa.array([pack(_tally(n[number != START]))], pa.binary())], ["payload"])
     return run
 
 
@@ -251,6 +295,7 @@ class Model:
     folder: str
     shards: int
     order: int
+    offsets: np.ndarray      # words in the shards before each
     n_tokens: int
     n_types: int
     gram_discounts: dict[int, np.ndarray]    # by order, from 2
@@ -259,7 +304,7 @@ class Model:
     rest: float              # mass that p(w) leaves to the uniform part
 
 
-def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
+def train(docs: DataFrame, text_col: str = "text", order: int = 3) -> Model:
     """Count ``docs`` whole, in grams of up to ``order`` tokens, and store the model in the shared folder.
 
     A null text is empty: it counts one end.  An empty table gives a model
@@ -274,26 +319,31 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
         folder = f"file://{folder}"
     system, root = fs.FileSystem.from_uri(folder)
     system.create_dir(root)
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(_count(shards, order), PACKED)
-    tallies = {}
+    texts = docs.select(F.col(text_col).alias("text"))
+    stored = write_scratch(texts.mapInArrow(_count_words(shards), PACKED).repartitionById(shards, F.col("shard"))
+                           .mapInArrow(_store_words(folder), "shard int, n long, tokens long"), "words").collect()   # a row a shard
+    sizes, n_tokens = np.zeros(shards, np.int64), sum(r.tokens for r in stored)
+    sizes[[r.shard for r in stored]] = [r.n for r in stored]
+    offsets, n_types = np.cumsum(sizes) - sizes, int(sizes.sum())
+    rows = texts.mapInArrow(_count(folder, shards, order, offsets), PACKED)
+    tallies, above = {}, None
     for k in range(order, 1, -1):
         dealt = rows.repartitionById(shards, F.col("shard"))
         done = write_scratch(dealt.mapInArrow(_grams(folder, shards, k), PACKED), f"grams-{k}")
-        contexts = done.filter(F.col("kind") == CONTEXTS).repartitionById(shards, F.col("shard"))
-        contexts.mapInArrow(_contexts(folder, k), "n long").agg(F.sum("n")).collect()
+        remove_tables(spark, above)              # their grams are counted
         # One row of a few numbers per shard comes to the driver, here and below.
         found = [unpack(r["payload"])[0] for r in done.filter(F.col("kind") == TALLY).select("payload").collect()]
         tallies[k] = np.sum(found, axis=0) if found else np.zeros(5, np.int64)
-        rows = done.filter(F.col("kind").isin(WORDS, GRAMS))
-    words = rows.repartitionById(shards, F.col("shard")).mapInArrow(_words(folder), "payload binary")
-    word_rows = [unpack(r["payload"]) for r in words.collect()]
-    word_tally = np.sum([r[0] for r in word_rows], axis=0) if word_rows else np.zeros(5, np.int64)
-    n_types, n_tokens = np.sum([r[1] for r in word_rows], axis=0) if word_rows else (0, 0)
+        rows, above = done.filter(F.col("kind") == GRAMS), done
+    words = rows.repartitionById(shards, F.col("shard")).mapInArrow(_followed(folder), "payload binary")
+    word_rows = [unpack(r["payload"])[0] for r in words.collect()]
+    word_tally = np.sum(word_rows, axis=0) if word_rows else np.zeros(5, np.int64)
+    remove_tables(spark, above)
     d = discounts(word_tally)
     types = int(tallies[2][4])
     more = word_tally[4] - word_tally[0] - word_tally[1]
     rest = (d[1] * word_tally[0] + d[2] * word_tally[1] + d[3] * more) / types if types else 1.0
-    return Model(folder, shards, order, int(n_tokens), int(n_types), {k: discounts(t) for k, t in tallies.items()}, d,
+    return Model(folder, shards, order, offsets, int(n_tokens), int(n_types), {k: discounts(t) for k, t in tallies.items()}, d,
                  types, float(rest))
 
 
@@ -320,6 +370,41 @@ class Arrays:
                     self.open[name] = np.load(copy.name, mmap_mode="r")
         return self.open[name]
 
+    def places(self, kind: str, hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+        """Place of sorted hashes in their shard's array (-1 where unknown), and the value beside it (0)."""
+        place, value = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
+        for s, part in _shards(hashes, shards):
+            keys = self.get(f"{kind}-{s:05d}-0")
+            if keys is not None:
+                at = np.minimum(np.searchsorted(keys, hashes[part]), len(keys) - 1)
+                have = np.flatnonzero(keys[at] == hashes[part])
+                place[part.start + have] = at[have]
+                value[part.start + have] = self.get(f"{kind}-{s:05d}-1")[at[have]]
+        return place, value
+
+    def find_prints(self, kind: str, shard: np.ndarray, hashes: np.ndarray, columns: int) -> list[np.ndarray]:
+        """Values of hashes in the first ``columns`` arrays of the given shards; 0 where unknown."""
+        out = [np.zeros(len(hashes), np.int64) for _ in range(columns)]
+        order = np.lexsort((hashes, shard))
+        names, first = np.unique(shard[order], return_index=True)
+        for s, low, high in zip(names.tolist(), first, np.append(first[1:], len(order))):
+            upper = self.get(f"{kind}-{s:05d}-0")
+            if upper is None:
+                continue
+            lower, mine = self.get(f"{kind}-{s:05d}-1"), order[low:high]
+            wanted, rest = _prints(hashes[mine])
+            at = np.searchsorted(upper, wanted)
+            open_ = np.arange(len(mine))
+            while len(open_):                    # more than one step where upper bits agree, which is rare
+                open_ = open_[at[open_] < len(upper)]
+                open_ = open_[upper[at[open_]] == wanted[open_]]
+                same = lower[at[open_]] == rest[open_]
+                for k, x in enumerate(out):
+                    x[mine[open_[same]]] = self.get(f"{kind}-{s:05d}-{k + 2}")[at[open_[same]]]
+                open_ = open_[~same]
+                at[open_] += 1
+        return out
+
     def find(self, kind: str, hashes: np.ndarray, shards: int, columns: int) -> list[np.ndarray]:
         """Values of sorted hashes in the first ``columns`` arrays; 0 where unknown."""
         out = [np.zeros(len(hashes), np.int64) for _ in range(columns)]
@@ -347,24 +432,26 @@ def arrays(folder: str) -> Arrays:
 
 def _score(model: Model):
     def run(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        word, _, first = tokens(piece.column("text"))
+        hashes, first = tokens(piece.column("text"))
         n = len(first) - 1
         owner = np.repeat(np.arange(n), np.diff(first))
         stored = arrays(model.folder)
-        distinct, w = np.unique(word, return_inverse=True)
-        count, followed = stored.find("words", distinct, model.shards, 2)
+        word, count = numbered(stored, hashes, model.offsets)
+        keys, at = np.unique(gram_hash([word]), return_inverse=True)
+        followed = stored.find("followed", keys, model.shards, 1)[0]
         d = model.word_discounts
-        lower = np.full(len(distinct), model.rest / (model.n_types + 1))
+        lower = np.full(len(keys), model.rest / (model.n_types + 1))
         if model.pair_types:
             lower += (followed - d[np.minimum(followed, 3)]) / model.pair_types
-        chance = lower[w]
+        chance = lower[at]
         columns = grams(word, first, model.order)
         for k in range(2, model.order + 1):
             d = model.gram_discounts[k]
-            keys, at = np.unique(gram_hash(columns[-k:]), return_inverse=True)
-            seen = stored.find(f"grams{k}", keys, model.shards, 1)[0][at]
-            keys, at = np.unique(gram_hash(columns[-k:-1]), return_inverse=True)
-            total, ones, twos, more = stored.find(f"contexts{k}", keys, model.shards, 4)
+            context, at = np.unique(gram_hash(columns[-k:-1]), return_inverse=True)
+            shard = shard_of(context, model.shards)
+            total, ones, twos, more = stored.find_prints(f"contexts{k}", shard, context, 4)
+            keys, where, which = np.unique(gram_hash(columns[-k:]), return_index=True, return_inverse=True)
+            seen = stored.find_prints(f"grams{k}", shard[at[where]], keys, 1)[0][which]
             back = np.divide(d[1] * ones + d[2] * twos + d[3] * more, total, out=np.ones(len(total)), where=total > 0)
             chance = (seen - d[np.minimum(seen, 3)]) / np.maximum(total, 1)[at] + back[at] * chance
         logs = np.log10(chance)
@@ -372,9 +459,9 @@ def _score(model: Model):
         kept = [k for k, name in enumerate(piece.schema.names) if name != "text"]
         yield pa.RecordBatch.from_arrays(
             [*[piece.column(k) for k in kept], pa.array(np.diff(first).astype(np.int64)),
-             pa.array(np.bincount(owner, weights=count[w] > 0, minlength=n).astype(np.int64)),
+             pa.array(np.bincount(owner, weights=count > 0, minlength=n).astype(np.int64)),
              pa.array(np.full(n, model.n_tokens, np.int64)),
-             pa.array(np.bincount(owner, weights=base[w], minlength=n)),
+             pa.array(np.bincount(owner, weights=base, minlength=n)),
              pa.array(np.bincount(owner, weights=logs, minlength=n))],
             [*[piece.schema.names[k] for k in kept], "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
