@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from tillroll.llm import frames
 from tillroll.llm import minhash_dedup as M
 from tillroll.llm.minhash_dedup import minhash_dedup
 
@@ -45,7 +46,7 @@ def test_random_near_copies(spark):
 def test_dense_groups_over_several_blocks(spark, monkeypatch, block, grid):
     """Copies of copies: most pairs share a key, few links lead to the hub, components stay apart."""
     monkeypatch.setattr(M, "BLOCK", block)
-    monkeypatch.setattr(M, "GRID", grid)
+    monkeypatch.setattr(frames, "GRID", grid)
     rng = random.Random(block)
     base = [f"b{i}" for i in range(120)]
     texts = near_copies(rng, base, 40, [0, 1, 2, 3, 4, 5], [f"x{k}" for k in range(300)])

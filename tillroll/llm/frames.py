@@ -91,6 +91,27 @@ def join_skewed(rows: DataFrame, table: DataFrame, key: str, counts: DataFrame,
         rows.filter(~is_hot).join(table.filter(~is_hot), key))
 
 
+GRID = 32                        # blocks of a key on one side of a cell, about
+
+
+def block_pairs(held: DataFrame, *carried: str) -> DataFrame:
+    """left_block < right_block that hold a common key, from stored (key, block, ...), a row for each common key.
+
+    ``carried`` columns of the blocks come as left_<name> and right_<name>.  A
+    key of many blocks is cut in cells of about GRID x GRID blocks: no task
+    ever lists all blocks of a key.
+    """
+    sides = write_scratch(held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sides")
+    cuts = sides.select("key", F.ceil(F.col("n") / GRID).cast("int").alias("cuts"))
+    placed = join_skewed(held, cuts, "key", sides).withColumn("at", F.pmod(F.xxhash64("block"), F.col("cuts")))
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1))
+    left = placed.select("key", F.col("at").alias("row"), others.alias("column"),
+                         *[F.col(c).alias(f"left_{c}") for c in ("block", *carried)])
+    right = placed.select("key", others.alias("row"), F.col("at").alias("column"),
+                          *[F.col(c).alias(f"right_{c}") for c in ("block", *carried)])
+    return left.join(right, ["key", "row", "column"]).filter("left_block < right_block")
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text",
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each piece holds about ``limit`` bytes of text (one row at least)."""

@@ -13,8 +13,8 @@ Steps, each a Spark shuffle of packed arrays:
 3. per set: rare-first order, prefix; sets whose prefix holds no repeated
    shingle are out;
 4. sets that share prefix shingles form families; large families are split
-   into blocks by hash, and each pair of blocks that shares a prefix shingle
-   meets in one task.  There length, prefix with position, and suffix filters
+   into blocks of alike set sizes, and each pair of blocks that shares a prefix
+   shingle and whose sizes can link meets in one task.  There length, prefix with position, and suffix filters
    leave the pairs that are verified; each pair lies in one pair of blocks,
    so it is verified once.  A task gives back a forest of links and each
    set's number of links, never all pairs of a dense group.
@@ -34,12 +34,13 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
 from tillroll.llm.frames import (
-    delta, map_slices, pack, shard_bounds, shard_of, shuffle_partitions, signed, slices, undelta,
+    block_pairs, delta, join_skewed, map_slices, pack, shard_bounds, shard_of, shuffle_partitions, signed, slices, undelta,
     unpack, unsigned, write_scratch,
 )
 from tillroll.llm.words import shingle_sets
 
 BLOCK = 48                       # sets per block of a family, about
+BLOCK_SHINGLES = 1 << 17         # shingles per block, about
 SUFFIX_BINS = 16
 CROSS_AT_ONCE = 4 << 20          # matches expanded at once in a verification
 
@@ -325,25 +326,31 @@ def jaccard_join(docs: DataFrame, width: int = 5, threshold: Threshold = Thresho
             _prefixes(threshold), "digest long, size long, alone long, prefix long, shingles binary"), "sets")
     entries = sets.mapInArrow(_entries, "hash long, digest long")
 
-    hubs = entries.groupBy("hash").agg(F.min("digest").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    edges = entries.join(hubs, "hash").select(F.col("digest").alias("u"), "v").distinct()
-    family = components(edges)
-    sizes = family.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    placed = write_scratch(family.join(sizes, "root").select(
-        F.col("node").alias("digest"), "blocks",
-        F.xxhash64("root", F.pmod(F.xxhash64("node"), "blocks")).alias("block")), "blocks")
-
-    copies = rows.filter("digest is not null").groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
-    members = sets.join(placed, "digest").join(copies, "digest").groupBy("block").agg(
-        F.collect_list(F.struct("digest", "size", "alone", "prefix", "copies", "shingles")).alias("members"))
-    across = (entries.join(placed.filter("blocks > 1"), "digest").select("hash", "block").distinct()
-              .groupBy("hash").agg(F.array_sort(F.collect_set("block")).alias("all")).filter("size(all) > 1")
-              .select("all").distinct()
-              .select(F.posexplode("all").alias("at", "left_block"), "all")
-              .select("left_block", F.explode(F.expr("slice(all, at + 2, size(all))")).alias("right_block"))
-              .distinct())
-    pairs = placed.select(F.col("block").alias("left_block"), F.col("block").alias("right_block")).distinct() \
-        .unionByName(across)
+    hubs = write_scratch(entries.groupBy("hash").agg(F.min("digest").alias("v"), F.count(F.lit(1)).alias("n"))
+                         .filter("n > 1"), "hubs")
+    edges = join_skewed(entries, hubs.select("hash", "v"), "hash", hubs).select(F.col("digest").alias("u"), "v").distinct()
+    family = components(edges).select(F.col("node").alias("digest"), "root").join(sets.select("digest", "size"), "digest")
+    # Sets of one band are of alike sizes: in a large family, bands that cannot link never meet.
+    band = F.floor(F.log("size") / F.log(F.lit(threshold.den / threshold.num)))
+    large = family.groupBy("root").agg((F.count(F.lit(1)) > BLOCK).alias("large"))
+    banded = family.join(large, "root").withColumn("band", F.when(F.col("large"), band).otherwise(-1))
+    counts = banded.groupBy("root", "band").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_SHINGLES)).alias("blocks"))
+    placed = write_scratch(banded.join(counts, ["root", "band"]).select(
+        "digest", "size", F.xxhash64("root", "band", F.pmod(F.xxhash64("digest"), "blocks")).alias("block")), "blocks")
+
+    copies = write_scratch(rows.filter("digest is not null").groupBy("digest").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("low")), "copies")
+    members = sets.join(placed.select("digest", "block"), "digest").join(copies.select("digest", "copies"), "digest") \
+        .groupBy("block").agg(F.collect_list(F.struct("digest", "size", "alone", "prefix", "copies", "shingles")).alias("members"))
+    reach = placed.groupBy("block").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    held = write_scratch(entries.join(placed.select("digest", "block"), "digest").select(F.col("hash").alias("key"), "block")
+                         .distinct().join(reach, "block"), "blocks-of-hashes")
+    across = block_pairs(held, "least", "most").filter(
+        (threshold.den * F.col("left_most") >= threshold.num * F.col("right_least"))
+        & (threshold.den * F.col("right_most") >= threshold.num * F.col("left_least"))) \
+        .select("left_block", "right_block").distinct()
+    pairs = reach.select(F.col("block").alias("left_block"), F.col("block").alias("right_block")).unionByName(across)
     left = members.select(F.col("block").alias("left_block"), F.col("members").alias("left"))
     right = members.select(F.col("block").alias("right_block"), F.col("members").alias("right"))
     met = pairs.join(left, "left_block").join(right, "right_block").select(
@@ -352,9 +359,13 @@ def jaccard_join(docs: DataFrame, width: int = 5, threshold: Threshold = Thresho
 
     linked = components(found.filter("u <> v").select("u", "v"))
     degrees = found.filter("degree > 0").groupBy(F.col("u").alias("digest")).agg(F.sum("degree").alias("degree"))
-    keyed = rows.join(linked.select(F.col("node").alias("digest"), "root"), "digest", "left") \
-        .withColumn("key", F.coalesce("root", "digest"))
-    smallest = keyed.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("component_id"))
-    return keyed.join(smallest, "key", "left").join(degrees, "digest", "left").join(copies, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("degree", F.lit(0))).alias("n_links"))
+    named = write_scratch(copies.join(linked.select(F.col("node").alias("digest"), "root"), "digest", "left")
+                          .join(degrees, "digest", "left").withColumn("root", F.coalesce("root", "digest")), "named")
+    smallest = write_scratch(named.groupBy("root").agg(F.min("low").alias("component"), F.count(F.lit(1)).alias("n")), "smallest")
+    classes = write_scratch(join_skewed(named, smallest.select("root", "component"), "root", smallest).select(
+        "digest", "component", F.col("copies").alias("n"),
+        (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links")), "classes")
+    joined = join_skewed(rows.filter("digest is not null"), classes.select("digest", "component", "n_links"), "digest", classes)
+    joined = joined.unionByName(rows.filter("digest is null"), allowMissingColumns=True)
+    return joined.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
+                         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))

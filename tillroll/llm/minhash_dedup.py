@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.bloom import Filter
 from tillroll.llm.components import Forest, components
-from tillroll.llm.frames import join_skewed, map_slices, ship_package, signed, write_scratch
+from tillroll.llm.frames import block_pairs, join_skewed, map_slices, ship_package, signed, write_scratch
 from tillroll.llm.words import mix, shingle_sets
 
 BANDS, ROWS = 24, 4
@@ -43,7 +43,6 @@ BATCH = 16
 MISS = 1e-6
 BLOCK = 48                       # classes of a block, about
 BLOCK_SHINGLES = 1 << 17         # shingles of a block, about
-GRID = 32                        # blocks of a key on one side of a cell, about
 CHUNK = 1 << 15
 SLICE = 2 << 20                  # bytes of text handled at once
 
@@ -223,25 +222,6 @@ def _hub_pairs(shared: DataFrame, classes: DataFrame, steps) -> DataFrame:
     return write_scratch(_against(pairs, classes, "signature").mapInArrow(_pairs_probable(steps), "u long, v long"), "probable")
 
 
-def _grid(held: DataFrame) -> DataFrame:
-    """left_block < right_block that hold a common key, from stored (key, block, own); not two of one label's.
-
-    A key of many blocks is cut in cells of about GRID x GRID blocks: no task
-    ever lists all blocks of a key.
-    """
-    sides = write_scratch(held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sides")
-    cuts = sides.select("key", F.ceil(F.col("n") / GRID).cast("int").alias("cuts"))
-    placed = join_skewed(held, cuts, "key", sides).withColumn("at", F.pmod(F.xxhash64("block"), F.col("cuts")))
-    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1))
-    left = placed.select("key", F.col("at").alias("row"), others.alias("column"), F.col("block").alias("left_block"),
-                         F.col("own").alias("left_own"))
-    right = placed.select("key", others.alias("row"), F.col("at").alias("column"), F.col("block").alias("right_block"),
-                          F.col("own").alias("right_own"))
-    return left.join(right, ["key", "row", "column"]).filter("left_block < right_block") \
-        .filter("left_own is null or right_own is null or left_own <> right_own") \
-        .select("left_block", "right_block").distinct()
-
-
 def _rest_links(entries: DataFrame, labels: DataFrame, sets: DataFrame, num: int, den: int, steps) -> DataFrame:
     """Links within keys that still hold several labels; ``entries`` are those of keys of 3 classes or more."""
     labelled = write_scratch(entries.join(labels, "digest", "left").select(
@@ -267,7 +247,8 @@ def _rest_links(entries: DataFrame, labels: DataFrame, sets: DataFrame, num: int
                          .select("key", "block", "own").distinct(), "blocks-of-keys")
     payload = write_scratch(placed.join(sets, "digest").groupBy("block").agg(
         F.collect_list(F.struct("digest", "label", "signature", "shingles")).alias("members"), F.first("own").alias("own")), "members")
-    pairs = _grid(held).unionByName(payload.filter("own is null").select(
+    apart = block_pairs(held, "own").filter("left_own is null or right_own is null or left_own <> right_own")
+    pairs = apart.select("left_block", "right_block").distinct().unionByName(payload.filter("own is null").select(
         F.col("block").alias("left_block"), F.col("block").alias("right_block")))
     met = pairs.join(payload.select(F.col("block").alias("left_block"), F.col("members").alias("left")), "left_block").join(
         payload.select(F.col("block").alias("right_block"), F.col("members").alias("right")), "right_block")
