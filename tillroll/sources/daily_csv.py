@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from tillroll.schema import DROP_MONTH, NULL_TOKENS, RAW_SCHEMA, ROW_SEQ
 from tillroll.session import scratch_path, stable_path
 from tillroll.sources.ledger import Ledger, columns_of, listing, readable
-from tillroll.sources.lines import DIALECT, end_states, joined_lines, read_lines, whole_lines
+from tillroll.sources.lines import DIALECT, end_states, is_blank, joined_lines, read_lines, whole_lines
 
 
 def _missing(value: Column) -> Column:
@@ -118,30 +118,33 @@ def rows_of_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     several lines is one small aggregate; only those go through windows.
     """
     spark = lines.sparkSession
-    kinds = lines.groupBy("file").agg(F.max("out_end").alias("open")).collect()        # a row per file
-    several = [r.file for r in kinds if r.open]
-    whole = whole_lines(lines.filter(~F.col("file").isin(several)) if several else lines).withColumn("closed", F.lit(True))
-    records = whole if len(several) < len(kinds) else None
+    kinds = lines.groupBy("file", "block").agg(F.max("out_end").alias("open"), F.min(
+        F.when(~is_blank(F.col("value")), F.col("pos"))).alias("first")).collect()       # a row per split
+    several = sorted({r.file for r in kinds if r.open})
+    firsts = [r for r in kinds if r.file not in several]
+    records = whole_lines(lines.filter(~F.col("file").isin(several)) if several else lines)
     if several:
-        glued = joined_lines(lines.filter(F.col("file").isin(several)))
         path = scratch_path(spark, "records")
-        glued.write.parquet(path)
+        joined_lines(lines.filter(F.col("file").isin(several))).write.parquet(path)
         glued = spark.read.parquet(path)
         unclosed = [r.file for r in glued.filter(~F.col("closed")).select("file").distinct().limit(5).collect()]
         if unclosed:
             raise ValueError(f"a quoted field is never closed in {', '.join(unclosed)}")
-        records = glued if records is None else records.unionByName(glued)
-    if records is None:
+        firsts += glued.groupBy("file", "block").agg(F.min("pos").alias("first")).collect()
+        records = records.unionByName(glued.drop("closed"))
+    first: dict[str, tuple[int, int]] = {}
+    for r in firsts:
+        if r.first is not None:
+            first[r.file] = min(first.get(r.file, (r.block, r.first)), (r.block, r.first))
+    if not first:
         return no_rows(spark, schema)
-    records = records.withColumn("place", F.struct("block", "pos"))
-    firsts = records.groupBy("file").agg(F.min("place").alias("first"))
-    headers = records.join(firsts, "file").filter(F.col("place") == F.col("first")) \
-        .select("file", "first", "record").collect()                                 # a row per file
+    places = spark.createDataFrame([(f, *p) for f, p in first.items()], "file string, first_block long, first_pos long")
+    placed = records.join(places, "file")
+    is_header = (F.col("block") == F.col("first_block")) & (F.col("pos") == F.col("first_pos"))
     forms: dict[str | None, list[str]] = {}
-    for r in headers:
+    for r in placed.filter(is_header).select("file", "record").collect():                # a row per file
         forms.setdefault(r.record, []).append(r.file)
-    first_place = spark.createDataFrame([(r.file, r["first"]) for r in headers], firsts.schema)
-    data = records.join(first_place, "file").filter(F.col("place") > F.col("first"))
+    data = placed.filter(~is_header).select("file", "block", "pos", "record")
     width = _width(forms)
     fields = data.withColumn("p", F.from_csv("record", _field_schema(width).simpleString()[7:-1].replace(":", " "), DIALECT)) \
         .select("file", "block", "pos", "p.*")

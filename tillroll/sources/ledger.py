@@ -71,13 +71,13 @@ def _facts(spark: SparkSession, files: list[str], fields: list[str]) -> DataFram
     that matters; just those travel as text.
     """
     names = "|".join(re.escape(n) for n in fields)
-    lines = end_states(read_lines(spark, [readable(f) for f in files])).withColumn("place", F.struct("block", "pos"))
-    named = F.col("value").rlike(rf'(^|﻿|,)"?({names})"?\r?(,|$)')
-    return lines.select(*KEY, "place", "out_end", F.when(named, F.col("place")).alias("named_place"),
-                        F.when(named, F.rtrim(F.col("value"))).alias("named_line")) \
-        .groupBy(*KEY).agg(F.min("place").alias("first"), F.min("named_place").alias("first_named"),
-                           F.min_by("named_line", "named_place").alias("line"), F.max("out_end").alias("open")) \
-        .select(*KEY, F.when(F.col("first") == F.col("first_named"), F.col("line")).alias("header"),
+    lines = end_states(read_lines(spark, [readable(f) for f in files]))
+    opening = F.col("block") == 0
+    named = opening & F.col("value").rlike(rf'(^|﻿|,)"?({names})"?\r?(,|$)')
+    head = F.array_min(F.collect_list(F.when(named, F.struct("pos", F.rtrim(F.col("value")).alias("line")))))
+    return lines.groupBy(*KEY).agg(F.min(F.when(opening, F.col("pos"))).alias("first"), head.alias("head"),
+                                   F.max("out_end").alias("open")) \
+        .select(*KEY, F.when(F.col("first") == F.col("head.pos"), F.col("head.line")).alias("header"),
                 (F.col("open") == 1).alias("multiline"))
 
 

@@ -61,10 +61,14 @@ def _without_return(value: Column) -> Column:
     return F.when(F.endswith(value, F.lit("\r")), F.left(value, F.length(value) - 1)).otherwise(value)
 
 
+def is_blank(value: Column) -> Column:
+    return F.trim(_without_return(value)) == ""
+
+
 def whole_lines(lines: DataFrame) -> DataFrame:
     """Records of files in which no line ends inside quotes: the lines that are not blank."""
-    return lines.select("file", "block", "pos", _without_return(F.col("value")).alias("record")) \
-        .filter(F.trim("record") != "")
+    return lines.filter(~is_blank(F.col("value"))).select(
+        "file", "block", "pos", _without_return(F.col("value")).alias("record"))
 
 
 def joined_lines(lines: DataFrame) -> DataFrame:
@@ -107,6 +111,6 @@ def joined_lines(lines: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("block", "pos", "value"))).alias("lines"), F.first("closed").alias("closed"))
     glued = glued.select("file", F.col("of_block").alias("block"), F.col("of_pos").alias("pos"),
                          F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("record"), "closed")
-    alone = lined.filter(whole & (F.trim(_without_return(F.col("value"))) != "")).select(
+    alone = lined.filter(whole & ~is_blank(F.col("value"))).select(
         "file", "block", "pos", F.col("value").alias("record"), "closed")
     return alone.unionByName(glued).withColumn("record", _without_return(F.col("record")))

@@ -53,9 +53,11 @@ def _changed_buckets(mine: DataFrame, stored: DataFrame) -> set[str]:
 
 def _changed_days(before: DataFrame | None, after: DataFrame) -> set[date | None]:
     """Dates of first copies that stand in one of two states only."""
+    if before is None:
+        return {r[0] for r in after.select("order_date").distinct().collect()}
     def signed(rows: DataFrame, sign: int) -> DataFrame:
         return rows.select("order_id", "return_flag", ROW_SEQ, "is_first", "order_date", F.lit(sign).alias("_sign"))
-    both = signed(after, 1) if before is None else signed(after, 1).unionByName(signed(before, -1))
+    both = signed(after, 1).unionByName(signed(before, -1))
     other = both.groupBy("order_id", "return_flag", ROW_SEQ, "is_first", "order_date").agg(F.sum("_sign").alias("_sign"))
     return {r[0] for r in other.filter("_sign <> 0").select("order_date").distinct().collect()}     # a row a day
 
