@@ -155,3 +155,15 @@ def test_the_ledger_looks_into_new_and_changed_files_only(spark, monkeypatch):
     assert {r.file.rsplit("/", 1)[1] for r in kept.collect() if r.multiline} == {"sales_2023_02_01.csv"}
     plan = listing(spark, d)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan                          # names only, no content
+
+
+def test_folders_in_folders_patterns_and_lists(spark):
+    d = _folder()
+    for k, sub in enumerate(("", "2026", "2026/06", "order_month=2026-06")):
+        os.makedirs(os.path.join(d, sub), exist_ok=True)
+        _write(os.path.join(d, sub), f"sales {k} [x].csv", [_row(f"O{k}")])
+    ids = lambda path: sorted(r.order_id for r in read_daily_drop(spark, path).collect())
+    assert ids(d) == ["O0", "O1", "O2", "O3"]
+    assert ids(f"{d}/2026/*.csv") == ["O1"] and ids([f"{d}/2026/06", f"{d}/order_month=2026-06"]) == ["O2", "O3"]
+    _write(d, "sales_9.csv", [_row("O9", name="two\nlines")])
+    assert ids(d) == ["O0", "O1", "O2", "O3", "O9"]

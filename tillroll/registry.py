@@ -330,7 +330,7 @@ def _read_query(d: Drop) -> DataFrame:
 @register("stream_ingest_first_copies", OIO.ORACLE["stream_ingest_first_copies"])
 def _stream(d: Drop) -> DataFrame:
     """Drop folder -> availableNow stream of files -> raw table and merged first copies -> cleaned."""
-    firsts = FirstCopies(d.spark, scratch_path(d.spark, "stream_firsts"))
+    firsts = FirstCopies(d.spark, scratch_path(d.spark, "stream_firsts"), buckets=8)
     q = ingest_available(d.spark, _drop_dir(d), scratch_path(d.spark, "stream_table"),
                          scratch_path(d.spark, "stream_ckpt"), _drop_schema(d.raw), firsts=firsts)
     q.awaitTermination()

@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from tillroll.schema import DROP_MONTH, NULL_TOKENS, RAW_SCHEMA, ROW_SEQ
 from tillroll.session import scratch_path, stable_path
-from tillroll.sources.ledger import Ledger, columns_of, listing, readable
+from tillroll.sources.ledger import CSV_FILES, Ledger, columns_of, is_glob, listing, readable
 from tillroll.sources.lines import DIALECT, end_states, is_blank, joined_lines, read_lines, whole_lines
 
 
@@ -104,7 +104,8 @@ def _plain_rows(spark: SparkSession, path, forms: dict[str | None, list[str]], s
     """Rows of files whose records are lines, by Spark's CSV scan."""
     width = _width(forms)
     scan = spark.read.schema(_field_schema(width)).options(**DIALECT).option("header", True) \
-        .option("enforceSchema", True).option("pathGlobFilter", "*.csv*").csv(path)
+        .option("enforceSchema", True).option("pathGlobFilter", CSV_FILES) \
+        .option("recursiveFileLookup", not is_glob(path)).csv(path)
     meta = F.col("_metadata")
     fields = scan.select(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"),
                          F.monotonically_increasing_id().alias("pos"), *[f"p{k}" for k in range(width)])

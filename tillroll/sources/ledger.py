@@ -30,7 +30,7 @@ CSV_FILES = "*.csv*"
 def listing(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """file, length, modified of every CSV file under ``path``; no content is read."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", CSV_FILES) \
-        .option("recursiveFileLookup", not _is_glob(path)).load(path)
+        .option("recursiveFileLookup", not is_glob(path)).load(path)
     return named(found)
 
 
@@ -41,7 +41,8 @@ def named(found: DataFrame) -> DataFrame:
                         meta["file_modification_time"].alias("modified"))
 
 
-def _is_glob(path: str | list[str]) -> bool:
+def is_glob(path: str | list[str]) -> bool:
+    """Whether a path is a pattern or a list; a folder is read with all folders below it."""
     return not isinstance(path, str) or bool(re.search(r"[*?\[{]", path))
 
 
