@@ -51,6 +51,7 @@ END = _U(0x0E4D0E4D0E4D0E4D)     # hash of the end of a text
 START = _U(0)                    # number of a start token; words count from 1
 UNKNOWN = _U(1) << _U(40)        # numbers from here on: words that training did not see
 PAIRS_AT_ONCE = 3_000_000
+SLICE = 2 << 20                  # bytes of text scored at once
 PACKED = "shard int, kind int, payload binary"
 WORDS, GRAMS, TALLY = 0, 1, 3
 
@@ -73,7 +74,7 @@ def grams(word: np.ndarray, first: np.ndarray, order: int) -> list[np.ndarray]:
     place = np.arange(len(word)) - np.repeat(first[:-1], np.diff(first))
     out = [word]
     for back in range(1, order):
-        out.insert(0, np.where(place >= back, np.roll(word, back), START))
+        out.insert(0, np.where(place >= back, np.roll(word, back), word.dtype.type(START)))
     return out
 
 
@@ -87,7 +88,7 @@ def gram_hash(columns: list[np.ndarray]) -> np.ndarray:
 def _merged(columns: list[np.ndarray], *values: np.ndarray):
     """Distinct grams sorted by hash: (hashes, columns, sums of the values)."""
     g = gram_hash(columns)
-    order = np.argsort(g, kind="stable")
+    order = np.argsort(g)
     g = g[order]
     at = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else order
     return g[at], [c[order][at] for c in columns], [np.add.reduceat(v[order], at) if len(at) else v[:0] for v in values]
@@ -97,7 +98,11 @@ def _gram_rows(columns: list[np.ndarray], counts: np.ndarray, shards: int) -> li
     """Distinct grams packed for the shards of their contexts (words: of their own hash)."""
     _, columns, (counts,) = _merged(columns, counts)
     shard = shard_of(gram_hash(columns[:-1] or columns), shards)
-    order = np.lexsort((*columns[::-1], shard))
+    # One sort by shard and first token (below 2^32), roughly by the second: what lies together packs well.
+    key = shard.astype(_U) << _U(40) | columns[0] << _U(8)
+    if len(columns) > 2 and len(shard):
+        key |= columns[1] >> _U(max(0, int(columns[1].max()).bit_length() - 8))
+    order = np.argsort(key)
     bounds = np.searchsorted(shard[order], np.arange(shards + 1))
     rows = []
     for s in np.flatnonzero(np.diff(bounds)).tolist():
@@ -131,7 +136,7 @@ def _count_words(shards: int):
     """Distinct words of a task's texts with their counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts, held = [], [], 0
-        for piece in slices(batches):
+        for piece in slices(batches, limit=SLICE):
             h, n = np.unique(tokens(piece.column("text"))[0], return_counts=True)
             hashes.append(h)
             counts.append(n)
@@ -182,9 +187,11 @@ def _count(folder: str, shards: int, order: int, offsets: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
-        for piece in slices(batches):
+        for piece in slices(batches, limit=SLICE):
             word, first = tokens(piece.column("text"))
-            parts.append(grams(numbered(arrays(folder), word, offsets)[0], first, order))
+            number = numbered(arrays(folder), word, offsets)[0]
+            small = np.uint32 if number.max(initial=0) < 1 << 32 else _U
+            parts.append(grams(number.astype(small), first, order))
             held += len(word)
             if held * order >= 2 * PAIRS_AT_ONCE:
                 yield flush(parts)
@@ -232,7 +239,8 @@ def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, byt
 def _unpacked(payload: bytes) -> list[np.ndarray]:
     """The columns of grams and their counts, as ``_gram_rows`` packs them."""
     first, *columns, counts = unpack(payload)
-    return [np.cumsum(first, dtype=_U), *[c.astype(_U) for c in columns], counts.astype(np.int64)]
+    small = np.uint32 if int(first.sum(dtype=_U)) < 1 << 32 else _U
+    return [np.cumsum(first, dtype=small), *columns, counts]
 
 
 def _prints(sorted_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -240,6 +248,11 @@ def _prints(sorted_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (sorted_hashes >> _U(32)).astype(np.uint32), (sorted_hashes >> _U(24)).astype(np.uint8)
 
 
+def print_keys(shard: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Shard and 40 bits of hashes as one number, ordered as the shards store them."""
+    return shard.astype(_U) << _U(40) | hashes >> _U(24)
+
+
 def _grams(folder: str, shards: int, order: int):
     """Final counts of one shard's grams and contexts; the grams of the next lower order go on to their shards."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +264,8 @@ def _grams(folder: str, shards: int, order: int):
             return
         *columns, count = [np.concatenate(c) for c in zip(*parts)]
         parts.clear()
-        g, columns, (c,) = _merged(columns, count)
+        g, columns, (c,) = _merged(columns, count.astype(np.int64))
+        del count
         _store(folder, f"grams{order}-{shard:05d}", *_prints(g), _smallest(c))
         yield _batch([(0, TALLY, pack(_tally(c)))])
         h, _, sums = _merged(columns[:-1], c, *[(few).astype(np.int64) for few in (c == 1, c == 2, c >= 3)])
@@ -268,7 +282,7 @@ def _followed(folder: str):
             shard = s
             number, n = _unpacked(payload)
             numbers.append(number)
-            counts.append(n)
+            counts.append(n.astype(np.int64))
         if not numbers:
             return
         h, (number,), (n,) = _merged([np.concatenate(numbers)], np.concatenate(counts))
@@ -382,27 +396,27 @@ class Arrays:
                 value[part.start + have] = self.get(f"{kind}-{s:05d}-1")[at[have]]
         return place, value
 
-    def find_prints(self, kind: str, shard: np.ndarray, hashes: np.ndarray, columns: int) -> list[np.ndarray]:
-        """Values of hashes in the first ``columns`` arrays of the given shards; 0 where unknown."""
-        out = [np.zeros(len(hashes), np.int64) for _ in range(columns)]
-        order = np.lexsort((hashes, shard))
-        names, first = np.unique(shard[order], return_index=True)
-        for s, low, high in zip(names.tolist(), first, np.append(first[1:], len(order))):
+    def find_prints(self, kind: str, keys: np.ndarray, columns: int) -> list[np.ndarray]:
+        """Values of sorted ``print_keys`` in the first ``columns`` arrays of their shards; 0 where unknown."""
+        out = [np.zeros(len(keys), np.int64) for _ in range(columns)]
+        shard = (keys >> _U(40)).astype(np.int64)
+        names, first = np.unique(shard, return_index=True)
+        for s, low, high in zip(names.tolist(), first, np.append(first[1:], len(keys))):
             upper = self.get(f"{kind}-{s:05d}-0")
             if upper is None:
                 continue
-            lower, mine = self.get(f"{kind}-{s:05d}-1"), order[low:high]
-            wanted, rest = _prints(hashes[mine])
+            lower = self.get(f"{kind}-{s:05d}-1")
+            wanted, rest = (keys[low:high] >> _U(8)).astype(np.uint32), keys[low:high].astype(np.uint8)
             at = np.searchsorted(upper, wanted)
-            open_ = np.arange(len(mine))
-            while len(open_):                    # more than one step where upper bits agree, which is rare
-                open_ = open_[at[open_] < len(upper)]
-                open_ = open_[upper[at[open_]] == wanted[open_]]
-                same = lower[at[open_]] == rest[open_]
+            left = np.arange(high - low)
+            while len(left):                     # more than one step where upper bits agree, which is rare
+                left = left[at[left] < len(upper)]
+                left = left[upper[at[left]] == wanted[left]]
+                same = lower[at[left]] == rest[left]
                 for k, x in enumerate(out):
-                    x[mine[open_[same]]] = self.get(f"{kind}-{s:05d}-{k + 2}")[at[open_[same]]]
-                open_ = open_[~same]
-                at[open_] += 1
+                    x[low + left[same]] = self.get(f"{kind}-{s:05d}-{k + 2}")[at[left[same]]]
+                left = left[~same]
+                at[left] += 1
         return out
 
     def find(self, kind: str, hashes: np.ndarray, shards: int, columns: int) -> list[np.ndarray]:
@@ -447,11 +461,12 @@ def _score(model: Model):
         columns = grams(word, first, model.order)
         for k in range(2, model.order + 1):
             d = model.gram_discounts[k]
-            context, at = np.unique(gram_hash(columns[-k:-1]), return_inverse=True)
+            context = gram_hash(columns[-k:-1])
             shard = shard_of(context, model.shards)
-            total, ones, twos, more = stored.find_prints(f"contexts{k}", shard, context, 4)
-            keys, where, which = np.unique(gram_hash(columns[-k:]), return_index=True, return_inverse=True)
-            seen = stored.find_prints(f"grams{k}", shard[at[where]], keys, 1)[0][which]
+            keys, which = np.unique(print_keys(shard, gram_hash(columns[-k:])), return_inverse=True)
+            seen = stored.find_prints(f"grams{k}", keys, 1)[0][which]
+            keys, at = np.unique(print_keys(shard, context), return_inverse=True)
+            total, ones, twos, more = stored.find_prints(f"contexts{k}", keys, 4)
             back = np.divide(d[1] * ones + d[2] * twos + d[3] * more, total, out=np.ones(len(total)), where=total > 0)
             chance = (seen - d[np.minimum(seen, 3)]) / np.maximum(total, 1)[at] + back[at] * chance
         logs = np.log10(chance)
@@ -478,5 +493,5 @@ def score_texts(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id"
     chosen = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.drop("text").schema.fields)
     scored = map_slices(chosen, _score(model), schema + ", n_tokens long, n_known long, train_tokens long, "
-                        "base_score double, score double")
+                        "base_score double, score double", limit=SLICE)
     return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
