@@ -61,7 +61,7 @@ def _check(spark, kept, firsts):
     _same(X.eda_region(orders, True, met_counts(visits, "kept", "region")), X.eda_region(orders, True))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_random_corrections_equal_a_rescan(spark, seed):
     rng = random.Random(seed)
     every = [date(2025, 11, 20) + timedelta(d) for d in range(0, 100, 3)] + [None]
