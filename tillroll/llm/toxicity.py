@@ -17,8 +17,8 @@ labels apart counts, whatever else a text is about.
 
 Votes become scores by a monotone map: every example is scored by the others,
 and isotonic regression of the labels on these votes, weighted like them,
-gives the share of toxic rows at each vote.  Index and map are made in a task,
-and reach the other tasks by broadcast.
+gives the share of toxic rows at each vote.  Index and map are made in a task
+and stored in the shared folder, from where the scoring tasks load them.
 """
 
 from __future__ import annotations
@@ -46,6 +46,7 @@ COMMON = 512                     # terms with dense weights
 TEXTS_AT_ONCE = 256
 POSTINGS_AT_ONCE = 1 << 20
 TERMS_AT_ONCE = 1_000_000
+SLICE = 2 << 20                  # bytes of text handled at once
 
 
 @dataclass(frozen=True)
@@ -159,6 +160,28 @@ class Model:
         return Rows(np.searchsorted(t, np.arange(n + 1)), at[which[have]], weight[have] / norm[t], size)
 
 
+_LOADED: dict[str, Model] = {}
+
+
+@dataclass(frozen=True)
+class StoredModel:
+    """A model in the shared folder: tasks load it, once per worker; the driver need not hold it."""
+
+    rule: Neighbours
+    folder: str
+
+    def load(self) -> Model:
+        if self.folder not in _LOADED:
+            _LOADED.clear()
+            _LOADED[self.folder] = pickle.loads(arrays(self.folder).get("model-0"))
+        return _LOADED[self.folder]
+
+    def __getattr__(self, name: str):
+        if name.startswith("_"):
+            raise AttributeError(name)
+        return getattr(self.load(), name)
+
+
 def index(model: Model, rows: Rows, ids: np.ndarray, toxic: np.ndarray, vote: np.ndarray) -> None:
     """Blocks of examples of alike weights (so their largest weights bound them well), and postings."""
     n, size = len(rows), rows.size
@@ -329,7 +352,7 @@ def _example_terms(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
                                      ["doc_id", "term", "n"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, rule: Neighbours = Neighbours()) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, rule: Neighbours = Neighbours()) -> Model | StoredModel:
     """The model from ``labels`` (doc_id, label 0/1) and the texts of those documents.
 
     Labels other than 0 and 1 are left out; conflicting labels of one document
@@ -356,18 +379,18 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Neighbours = Neighbours()) -
 
     # At most 2 * per_class rows: the sample's ids are sent to the scan; its term counts stay in the shared folder.
     chosen = F.broadcast(spark.createDataFrame([(int(i),) for i in ids], "doc_id long"))
-    entries = write_scratch(map_slices(texts.join(chosen, "doc_id"), _example_terms, "doc_id long, term long, n long")
+    entries = write_scratch(map_slices(texts.join(chosen, "doc_id"), _example_terms, "doc_id long, term long, n long", limit=SLICE)
                             .groupBy("doc_id", "term").agg(F.max("n").alias("n")), "example-terms")
     found = entries.select("term").distinct().toArrow()["term"].to_numpy()           # distinct terms of the sample
     model.vocabulary = np.sort(found.view(np.uint64))
     model.folder, model.shards, model.n_docs, df = _document_frequency(texts, model.vocabulary)
     # The sample's entries meet in one task: their number is bounded by the sample and its texts.
-    built = entries.coalesce(1).mapInArrow(_build(model, ids, toxic, vote, df), "model binary")
-    return pickle.loads(write_scratch(built, "model").first().model)
+    entries.coalesce(1).mapInArrow(_build(model, ids, toxic, vote, df), "bytes long").collect()
+    return StoredModel(rule, model.folder)
 
 
 def _build(model: Model, ids: np.ndarray, toxic: np.ndarray, vote: np.ndarray, df: np.ndarray):
-    """The model with its index and scale, from all entries (doc_id, term, n) of the examples."""
+    """Make the model's index and scale from all entries (doc_id, term, n) of the examples, and store it in its folder."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [[b.column(c).to_numpy() for c in ("doc_id", "term", "n")] for b in batches]
         who, term, n = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3))
@@ -384,7 +407,9 @@ def _build(model: Model, ids: np.ndarray, toxic: np.ndarray, vote: np.ndarray, d
         if rows.size:
             index(model, rows, ids, toxic, vote)
             calibrate(model, rows, ids, toxic, vote)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model, protocol=5)], pa.binary())], ["model"])
+        payload = np.frombuffer(pickle.dumps(model, protocol=5), np.uint8)
+        _store(model.folder, "model", payload)
+        yield pa.RecordBatch.from_arrays([pa.array([len(payload)], pa.int64())], ["bytes"])
     return run
 
 
@@ -414,7 +439,7 @@ def _count_terms(shards: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held, total = [], 0, 0
-        for piece in slices(batches):
+        for piece in slices(batches, limit=SLICE):
             distinct, _, which, _ = _counted(*terms(piece.column("text")))
             parts.append((distinct, np.bincount(which, minlength=len(distinct))))
             held += len(distinct)
@@ -469,9 +494,9 @@ def _document_frequency(texts: DataFrame, vocabulary: np.ndarray) -> tuple[str,
     return folder, shards, int(n[at < 0].sum()), df
 
 
-def _score(broadcast):
+def _score(given: Model | StoredModel):
     def run(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        model = broadcast.value
+        model = given.load() if isinstance(given, StoredModel) else given
         for low in range(0, piece.num_rows, 512):
             part = piece.slice(low, 512)
             own = part.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
@@ -489,7 +514,7 @@ def _score(broadcast):
     return run
 
 
-def score_toxicity(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: Model | StoredModel, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text and the columns ``keep``, with score, predicted, and the evidence.
 
     ``neighbours`` holds the doc_ids of the nearest ``rule.evidence`` examples,
@@ -500,6 +525,6 @@ def score_toxicity(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) ->
     """
     chosen = docs.select("doc_id", "text", *keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields)
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    scored = map_slices(chosen, _score(held), schema + ", score double, neighbours array<long>, similarities array<double>")
+    scored = map_slices(chosen, _score(model), schema + ", score double, neighbours array<long>, similarities array<double>",
+                        limit=SLICE)
     return scored.withColumn("predicted", (F.col("score") >= model.rule.reject_at).cast("int"))
