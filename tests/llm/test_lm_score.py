@@ -3,9 +3,10 @@
 import math
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
-from tillroll.llm.lm_score import score_texts, train
+from tillroll.llm.lm_score import Arrays, _coded, _prints, _store, print_keys, score_texts, train
 
 from tests.llm.edge_rows import documents, empty, rows
 from tests.llm.test_words import plain
@@ -127,3 +128,20 @@ def test_order_three_uses_two_words_of_context(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(200)
     two, three = (score_texts(docs, train(docs, order=k)).selectExpr("sum(score)").first()[0] for k in (2, 3))
     assert three > two
+
+
+def test_prints_find_what_is_stored_and_hardly_anything_else(tmp_path):
+    """Values come back exactly, upper bits that agree included; of unseen hashes about one in a million is taken for a stored one."""
+    rng = np.random.default_rng(3)
+    stored = np.unique(rng.integers(0, 2 ** 64, 400_000, dtype=np.uint64))
+    twins = stored[:1000] ^ np.uint64(1 << 24)                   # the same 32 upper bits, the next of the other 8
+    stored = np.unique(np.concatenate([stored, twins]))
+    columns = [rng.integers(0, n, len(stored)) for n in (3, 70_000, 2)]
+    _store(f"file://{tmp_path}", "x-00005", *_prints(stored), *_coded(columns))
+    arrays = Arrays(f"file://{tmp_path}")
+    keys = print_keys(np.full(len(stored), 5), stored)
+    assert all((got == want).all() for got, want in zip(arrays.find_prints("x", keys, 3), columns))
+    _store(f"file://{tmp_path}", "y-00005", *_prints(stored), np.ones(len(stored), np.uint8))
+    unseen = np.sort(rng.integers(0, 2 ** 64, 2_000_000, dtype=np.uint64))
+    assert arrays.find_prints("y", print_keys(np.full(len(unseen), 5), unseen))[0].sum() <= 8
+    assert arrays.find_prints("y", print_keys(np.full(len(unseen), 6), unseen))[0].sum() == 0

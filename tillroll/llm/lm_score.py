@@ -91,7 +91,9 @@ def _merged(columns: list[np.ndarray], *values: np.ndarray):
     order = np.argsort(g)
     g = g[order]
     at = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else order
-    return g[at], [c[order][at] for c in columns], [np.add.reduceat(v[order], at) if len(at) else v[:0] for v in values]
+    kept = order[at]
+    return g[at], [c[kept] for c in columns], [np.add.reduceat(v[order], at, dtype=np.int64) if len(at) else v[:0].astype(np.int64)
+                                               for v in values]
 
 
 def _gram_rows(columns: list[np.ndarray], counts: np.ndarray, shards: int) -> list[tuple[int, int, bytes]]:
@@ -183,7 +185,7 @@ def numbered(stored, hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarra
 def _count(folder: str, shards: int, order: int, offsets: np.ndarray):
     def flush(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
         columns = [np.concatenate(c) for c in zip(*parts)]
-        return _batch(_gram_rows(columns, np.ones(len(columns[-1]), np.int64), shards))
+        return _batch(_gram_rows(columns, np.ones(len(columns[-1]), np.uint8), shards))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -248,11 +250,36 @@ def _prints(sorted_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (sorted_hashes >> _U(32)).astype(np.uint32), (sorted_hashes >> _U(24)).astype(np.uint8)
 
 
+def _coded(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Rows of numbers as codes from 1, and the columns of the distinct rows (0: zeros): most rows are alike."""
+    code = np.zeros(len(columns[0]), np.int64)
+    for c in columns:
+        values, which = np.unique(c, return_inverse=True)
+        code = np.unique(code * len(values) + which, return_inverse=True)[1]
+    some = np.empty(int(code.max(initial=-1)) + 1, np.int64)
+    some[code] = np.arange(len(code))            # any row of each code
+    return [_smallest(code + 1), *[_smallest(np.concatenate([[0], c[some]])) for c in columns]]
+
+
 def print_keys(shard: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Shard and 40 bits of hashes as one number, ordered as the shards store them."""
     return shard.astype(_U) << _U(40) | hashes >> _U(24)
 
 
+def _contexts(columns: list[np.ndarray], counts: np.ndarray) -> list[np.ndarray]:
+    """Of each context: its print, the sum of its grams' counts, and how many of them count 1, 2, 3 or more."""
+    h = gram_hash(columns)
+    by = np.argsort(h)
+    h, counts = h[by], counts[by]
+    at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    prints = _prints(h[at])
+    del h, by
+    sums = [np.add.reduceat(counts, at)]
+    for few in (counts == 1, counts == 2, counts >= 3):
+        sums.append(np.add.reduceat(few, at, dtype=np.int64))
+    return [*prints, *_coded(sums)]
+
+
 def _grams(folder: str, shards: int, order: int):
     """Final counts of one shard's grams and contexts; the grams of the next lower order go on to their shards."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,13 +291,14 @@ def _grams(folder: str, shards: int, order: int):
             return
         *columns, count = [np.concatenate(c) for c in zip(*parts)]
         parts.clear()
-        g, columns, (c,) = _merged(columns, count.astype(np.int64))
+        g, columns, (c,) = _merged(columns, count)
         del count
         _store(folder, f"grams{order}-{shard:05d}", *_prints(g), _smallest(c))
         yield _batch([(0, TALLY, pack(_tally(c)))])
-        h, _, sums = _merged(columns[:-1], c, *[(few).astype(np.int64) for few in (c == 1, c == 2, c >= 3)])
-        _store(folder, f"contexts{order}-{shard:05d}", *_prints(h), *map(_smallest, sums))
-        yield _batch(_gram_rows(columns[1:], np.ones(len(c), np.int64), shards))
+        del g
+        _store(folder, f"contexts{order}-{shard:05d}", *_contexts(columns[:-1], c))
+        c = np.ones(len(c), np.uint8)
+        yield _batch(_gram_rows(columns[1:], c, shards))
     return run
 
 
@@ -396,9 +424,9 @@ class Arrays:
                 value[part.start + have] = self.get(f"{kind}-{s:05d}-1")[at[have]]
         return place, value
 
-    def find_prints(self, kind: str, keys: np.ndarray, columns: int) -> list[np.ndarray]:
-        """Values of sorted ``print_keys`` in the first ``columns`` arrays of their shards; 0 where unknown."""
-        out = [np.zeros(len(keys), np.int64) for _ in range(columns)]
+    def find_prints(self, kind: str, keys: np.ndarray, columns: int = 0) -> list[np.ndarray]:
+        """Values of sorted ``print_keys`` in their shards, 0 where unknown: one, or ``columns`` that ``_coded`` stored."""
+        out = [np.zeros(len(keys), np.int64) for _ in range(columns or 1)]
         shard = (keys >> _U(40)).astype(np.int64)
         names, first = np.unique(shard, return_index=True)
         for s, low, high in zip(names.tolist(), first, np.append(first[1:], len(keys))):
@@ -413,8 +441,9 @@ class Arrays:
                 left = left[at[left] < len(upper)]
                 left = left[upper[at[left]] == wanted[left]]
                 same = lower[at[left]] == rest[left]
+                found = self.get(f"{kind}-{s:05d}-2")[at[left[same]]]
                 for k, x in enumerate(out):
-                    x[low + left[same]] = self.get(f"{kind}-{s:05d}-{k + 2}")[at[left[same]]]
+                    x[low + left[same]] = self.get(f"{kind}-{s:05d}-{k + 3}")[found] if columns else found
                 left = left[~same]
                 at[left] += 1
         return out
@@ -464,7 +493,7 @@ def _score(model: Model):
             context = gram_hash(columns[-k:-1])
             shard = shard_of(context, model.shards)
             keys, which = np.unique(print_keys(shard, gram_hash(columns[-k:])), return_inverse=True)
-            seen = stored.find_prints(f"grams{k}", keys, 1)[0][which]
+            seen = stored.find_prints(f"grams{k}", keys)[0][which]
             keys, at = np.unique(print_keys(shard, context), return_inverse=True)
             total, ones, twos, more = stored.find_prints(f"contexts{k}", keys, 4)
             back = np.divide(d[1] * ones + d[2] * twos + d[3] * more, total, out=np.ones(len(total)), where=total > 0)
