@@ -119,20 +119,24 @@ _MET = {"salesperson": "salesperson", "customer_id": "customer"}
 
 
 def month_visits(clean: DataFrame, dedup: DataFrame, ids: DataFrame) -> DataFrame:
-    """month, view, dimension, key, what, bucket, map: who was met where, one bitmap per bucket of ids."""
-    def met(df: DataFrame, view: str, dimensions: list[str]) -> DataFrame:
-        found = df.select(month_of("order_date").alias("month"), *[F.col(d) for d in dimensions],
-                          *[F.col(c).cast("string").alias(w) for c, w in _MET.items()]).distinct()
-        for what in _MET.values():
-            mine = ids.filter(F.col("what") == what).select(F.col("value").alias(what), F.col("id").alias(f"{what}_id"))
-            found = found.join(mine, what, "left")
-        pairs = [F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("key"), F.lit(w).alias("what"),
-                          F.col(f"{w}_id").alias("id")) for d in dimensions for w in _MET.values()]
-        return found.select("month", F.lit(view).alias("view"), F.inline(F.array(*pairs))).filter("id is not null")
-    every = met(clean, "clean", ["region", "channel"]).unionByName(
-        met(dedup.filter(F.col("return_flag") == KEPT_FLAG), "kept", ["region"]))
-    return every.groupBy("month", "view", "dimension", "key", "what", F.bitmap_bucket_number(F.col("id") + 1).alias("bucket")) \
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("id") + 1)).alias("map"))
+    """month, view, dimension, key, what, bucket, map: who was met where, one bitmap per bucket of ids.
+
+    Ids are dealt out by bitmap first, so a task makes its own bitmaps whole:
+    no task holds, and no shuffle moves, a part of every bitmap.
+    """
+    def met(df: DataFrame, view: str, dimensions: list[str], column: str, what: str) -> DataFrame:
+        found = df.select(month_of("order_date").alias("month"), *dimensions, F.col(column).cast("string").alias("value"))
+        mine = ids.filter(F.col("what") == what).select("value", "id")
+        keys = [F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("key")) for d in dimensions]
+        return found.filter("value is not null").distinct().join(mine, "value").select(
+            "month", F.lit(view).alias("view"), F.lit(what).alias("what"), (F.col("id") + 1).alias("id"),
+            F.inline(F.array(*keys)))
+    kept = dedup.filter(F.col("return_flag") == KEPT_FLAG)
+    every = reduce(DataFrame.unionByName, [met(df, view, dimensions, column, what) for df, view, dimensions in (
+        (clean, "clean", ["region", "channel"]), (kept, "kept", ["region"])) for column, what in _MET.items()])
+    bitmap = ["month", "view", "dimension", "key", "what", "bucket"]
+    return every.withColumn("bucket", F.bitmap_bucket_number("id")).repartition(*bitmap).groupBy(*bitmap) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("map"))
 
 
 # --- combining states ---------------------------------------------------------
@@ -183,15 +187,12 @@ class Summaries:
         tables = self.store.version()["tables"]
         return self.store.read("ids") if tables.get("ids") else self.spark.createDataFrame([], "what string, value string, id long")
 
-    def _add_ids(self, *facts: DataFrame) -> dict[str, str]:
+    def _add_ids(self, facts: DataFrame) -> dict[str, str]:
         """Give values that have no id yet the next ids; the parts of ``ids`` by their number."""
         known = self._known_ids()
         parts = dict(self.store.version()["tables"].get("ids", {}))
-        values = None
-        for df in facts:
-            some = df.select(F.inline(F.array(*[F.struct(F.lit(w).alias("what"), F.col(c).cast("string").alias("value"))
-                                                for c, w in _MET.items()])))
-            values = some if values is None else values.unionByName(some)
+        values = facts.select(F.inline(F.array(*[F.struct(F.lit(w).alias("what"), F.col(c).cast("string").alias("value"))
+                                                 for c, w in _MET.items()])))
         new = values.filter("value is not null").distinct().join(known, ["what", "value"], "left_anti")
         base = {r.what: r.n for r in known.groupBy("what").agg(F.count(F.lit(1)).alias("n")).collect()}
         for what in _MET.values():
@@ -218,7 +219,7 @@ class Summaries:
         new: dict[str, dict] = {}
         if "visits" in tables:
             some, others = _in_months(clean, months), _in_months(dedup, months)
-            new["ids"] = self._add_ids(some, others)
+            new["ids"] = self._add_ids(_in_months(firsts, months))       # both views are filters over it
             ids = self.spark.read.parquet(*new["ids"].values())
             new["visits"] = self._write("visits", month_visits(some, others, ids), held, months)
         kept = dedup.filter(F.col("return_flag") == KEPT_FLAG)
