@@ -340,11 +340,13 @@ def _stream(d: Drop) -> DataFrame:
 # --- summaries that late days update ----------------------------------------------
 
 
-def _summaries(d: Drop) -> Summaries:
-    """Summaries of ``d`` that were first filled when only odd days of each month were there, then with the others."""
-    kept = Summaries(d.spark, stable_path(d.spark, f"summaries-{d.key}"))
+def _summaries(d: Drop, *tables: str) -> Summaries:
+    """Summaries of ``d`` that were first filled when only odd days of each month were there, then with the others.
+
+    ``tables``: those that the question reads.
+    """
+    kept = Summaries(d.spark, stable_path(d.spark, f"summaries-{'-'.join(tables)}-{d.key}"))
     odd = F.day("order_date") % 2 == 1
-    tables = ("days", "months", "moments", "pairs")
     if not kept.store.numbers():
         kept.refresh(d.firsts.filter(odd), commit="odd days", tables=tables)
         late = [r[0] for r in d.firsts.filter(~F.coalesce(odd, F.lit(False))).select("order_date").distinct().collect()]
@@ -355,20 +357,20 @@ def _summaries(d: Drop) -> Summaries:
 @register("summary_daily_trend", OQ.ORACLE["q4_daily_trend"])
 def _summary_trend(d: Drop) -> DataFrame:
     """Q4 from the stored prefix sums over dates."""
-    return Q.trend_table(_summaries(d).running_days("clean").withColumnRenamed("revenue", "_rev"))
+    return Q.trend_table(_summaries(d, "days", "months").running_days("clean").withColumnRenamed("revenue", "_rev"))
 
 
 @register("summary_linear_trend", OS.ORACLE["linear_trend"])
 def _summary_linear(d: Drop) -> DataFrame:
     """The trend from the stored days."""
-    days = _summaries(d).running_days("kept").filter("order_date is not null")
+    days = _summaries(d, "days", "months").running_days("kept").filter("order_date is not null")
     return trend_report(S.trend_of_days(days.select(F.col("_idx").alias("day_index"), F.col("revenue").alias("day_revenue"))))
 
 
 @register("summary_verdicts", OS.ORACLE["stat_verdicts"])
 def _summary_verdicts(d: Drop) -> DataFrame:
     """The five tests from stored moments."""
-    kept = _summaries(d)
+    kept = _summaries(d, "moments", "pairs")
     anovas = _anova_rows(S.anova_of_levels(kept.level_moments().filter("factor <> 'return_flag'")))
     corr = S.correlation_test(kept.pair()).select(
         F.lit(3).alias("position"), F.lit("corr_discount_quantity").alias("test"), F.round("r", 10).alias("statistic"),
