@@ -106,7 +106,7 @@ def product_label(df: DataFrame, out: str = "label") -> DataFrame:
                                               F.col("sku_id").cast("string")))
 
 
-def first_copies(raw: DataFrame, key: str = "order_id", order: str = ROW_SEQ) -> DataFrame:
+def first_copies(raw: DataFrame, key: str | list[str] = "order_id", order: str | list[str] = ROW_SEQ) -> DataFrame:
     """Flat rows that serve both cleaning orders, with ``is_first``.
 
     One row per (key, return_flag) survives: its first copy.  Among the few
@@ -114,12 +114,15 @@ def first_copies(raw: DataFrame, key: str = "order_id", order: str = ROW_SEQ) ->
     rows; the survivor that is not returned is the first kept copy.  Rows that
     are neither are left out.  The first ranking keeps one row per group and
     map partition before the shuffle (a partial WindowGroupLimit), so a hot
-    key shrinks there; the second sees the survivors alone.
+    key shrinks there; the second sees the survivors alone, a row per flag,
+    and needs no further sort.  Rows that lie together by a column of ``key``
+    already (joined by it, for example) are not shuffled.
     """
-    copy = F.row_number().over(Window.partitionBy(key, "return_flag").orderBy(order))
+    keys, orders = ([c] if isinstance(c, str) else list(c) for c in (key, order))
+    copy = F.row_number().over(Window.partitionBy(*keys, "return_flag").orderBy(*orders))
     survivors = raw.withColumn("_copy", copy).filter(F.col("_copy") == 1).drop("_copy")
-    place = F.row_number().over(Window.partitionBy(key).orderBy(order))
-    return (survivors.withColumn("is_first", place == 1)
+    place = F.struct(*orders, "return_flag")             # distinct among the survivors of a key
+    return (survivors.withColumn("is_first", place.eqNullSafe(F.min(place).over(Window.partitionBy(*keys))))
                      .filter(F.col("is_first") | (F.col("return_flag") == KEPT_FLAG)))
 
 

@@ -37,7 +37,7 @@ from tillroll.schema import FIXTURE_PARAMS, RAW_SCHEMA, Params
 from tillroll.session import scratch_path
 from tillroll.sources.daily_csv import read_daily_drop
 from tillroll.sources.sinks import clustered
-from tillroll.sources.tables import raw_sales, table_path
+from tillroll.sources.tables import raw_first_copies, raw_sales, table_path
 from tillroll.workspace import Drop
 
 _LOADS: dict[tuple, Drop] = {}
@@ -46,12 +46,18 @@ _TABLES = ["lineitem", "orders", "customer", "nation", "region", "supplier", "pa
 
 
 class StoredDrop(Drop):
-    """A drop whose raw rows, first copies and targets are tables in ``store``."""
+    """A drop whose raw rows, first copies and targets are tables in ``store``.
 
-    def __init__(self, spark: SparkSession, source: Callable[[], DataFrame], store: str, params: Params = Params()):
+    While no query has needed the raw rows, first copies and targets are made
+    from the source: ``first_source`` gives its first copies, if it has a way.
+    """
+
+    def __init__(self, spark: SparkSession, source: Callable[[], DataFrame], store: str, params: Params = Params(),
+                 first_source: Callable[[], DataFrame] | None = None):
         super().__init__(spark, None, params)
         del self.__dict__["raw"]
         self.source = source
+        self.first_source = first_source
         self.store = store.rstrip("/")
 
     def _read(self, name: str) -> DataFrame:
@@ -66,13 +72,16 @@ class StoredDrop(Drop):
     @cached_property
     def firsts(self) -> DataFrame:
         with _LOCK:
-            C.first_copies(self.raw).write.mode("overwrite").parquet(f"{self.store}/firsts")
+            stored = "raw" in self.__dict__ or self.first_source is None
+            firsts = C.first_copies(self.raw) if stored else self.first_source()
+            firsts.write.mode("overwrite").parquet(f"{self.store}/firsts")
             return self._read("firsts")
 
     @cached_property
     def targets(self) -> DataFrame:
         with _LOCK:
-            targets_dim(self.raw, self.params.weekly_target).write.mode("overwrite").parquet(f"{self.store}/targets")
+            raw = self.raw if "raw" in self.__dict__ or self.first_source is None else self.source()
+            targets_dim(raw, self.params.weekly_target).write.mode("overwrite").parquet(f"{self.store}/targets")
             return self._read("targets")
 
     @cached_property
@@ -119,7 +128,8 @@ def load(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> S
     key = (spark.sparkContext.applicationId, sf_dir, files, params)
     with _LOCK:
         if key not in _LOADS:
-            _LOADS[key] = StoredDrop(spark, lambda: raw_sales(spark, sf_dir), scratch_path(spark, "load"), params)
+            _LOADS[key] = StoredDrop(spark, lambda: raw_sales(spark, sf_dir), scratch_path(spark, "load"), params,
+                                     lambda: raw_first_copies(spark, sf_dir))
         return _LOADS[key]
 
 

@@ -6,13 +6,18 @@ tables (25 and 5 rows) and are broadcast explicitly; orders, customer,
 supplier and part grow with the scale factor, so the join strategy for them
 is left to Catalyst and AQE, which broadcast only below
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffle-join.
+
+Customers join the orders, which are fewer than their lines; the lines meet
+the narrower dimension first and their orders last, so that all lines of an
+order lie together and their first copies are found without a further shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators.clean import first_copies
 from tillroll.schema import PRICE, ROW_SEQ
 
 # Columns that fix the order of copies of one order_id.  They stand in for
@@ -31,9 +36,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw order line per lineitem row, plus the hidden ``row_seq``."""
-    li = read_table(spark, sf_dir, "lineitem")
+def _joined(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Rows of lineitem with the columns of their order, customer, place, supplier and part."""
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
@@ -46,12 +50,18 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
            .select("n_nationkey", "n_name", "r_name"))
 
-    joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-              .join(customer, F.col("o_custkey") == customer.c_custkey)
-              .join(F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey)
-              .join(supplier, F.col("l_suppkey") == supplier.s_suppkey)
-              .join(part, F.col("l_partkey") == part.p_partkey))
+    placed = (orders.join(customer, orders.o_custkey == customer.c_custkey)
+              .join(F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey))
+    return (lines.join(supplier, lines.l_suppkey == supplier.s_suppkey)
+            .join(part, F.col("l_partkey") == part.p_partkey)
+            .join(placed, F.col("l_orderkey") == F.col("o_orderkey")))
+
 
+def _return_flag() -> Column:
+    return F.when(F.col("l_returnflag") == "R", F.lit("Yes")).otherwise(F.lit("No"))
+
+
+def _order_lines(joined: DataFrame, *more: str) -> DataFrame:
     qty = F.col("l_quantity")
     second = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 997) % 86400
     return joined.select(
@@ -73,8 +83,29 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(qty).cast("int").alias("quantity"),
         F.col("p_retailprice").cast(PRICE).alias("unit_price"),
         F.round(F.col("l_discount") * 100).cast("int").alias("discount_pct"),
-        F.when(F.col("l_returnflag") == "R", F.lit("Yes")).otherwise(F.lit("No")).alias("return_flag"),
+        _return_flag().alias("return_flag"),
         F.col("o_orderpriority").alias("payment_method"),
         F.col("o_orderstatus").alias("channel"),
         F.struct(*[F.col(c) for c in FIRST_COPY_ORDER]).alias(ROW_SEQ),
+        *more,
     )
+
+
+def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw order line per lineitem row, plus the hidden ``row_seq``."""
+    return _order_lines(_joined(spark, sf_dir, read_table(spark, sf_dir, "lineitem")))
+
+
+def raw_first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``clean.first_copies`` of ``raw_sales``, found where the last join has brought an order's lines together.
+
+    An order_id is one (l_orderkey, l_linenumber).  Lines without a number have
+    no order_id, which is one key over all orders, so they go by themselves.
+    """
+    lines = read_table(spark, sf_dir, "lineitem")
+    numbered = _joined(spark, sf_dir, lines.filter("l_linenumber is not null")).withColumn("return_flag", _return_flag())
+    found = _order_lines(first_copies(numbered, ["l_orderkey", "l_linenumber"], FIRST_COPY_ORDER), "is_first")
+    unnumbered = lines.filter("l_linenumber is null")
+    if unnumbered.isEmpty():
+        return found
+    return found.unionByName(first_copies(_order_lines(_joined(spark, sf_dir, unnumbered))))
