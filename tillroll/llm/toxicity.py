@@ -220,14 +220,22 @@ def _from_postings(model: Model, rows: Rows) -> np.ndarray:
     low = model.first[rows.at[rare]]
     counts = model.first[rows.at[rare] + 1] - low
     base, weight, ends = rows.owner[rare] * examples, rows.weight[rare], np.cumsum(counts)
+    if not len(rare):
+        return out.reshape(n, examples)
     start = 0
     while start < len(rare):
         before = ends[start - 1] if start else 0
         end = max(start + 1, int(np.searchsorted(ends, before + POSTINGS_AT_ONCE, side="right")))
         each = counts[start:end]
-        entry = np.repeat(np.arange(start, end), each)
-        spot = np.arange(len(entry)) + np.repeat(low[start:end] - (ends[start:end] - each - before), each)
-        out += np.bincount(base[entry] + model.posting[spot], weight[entry] * model.weight[spot], len(out))
+        spot = np.repeat(low[start:end] - (ends[start:end] - each - before), each)
+        spot += np.arange(len(spot))
+        # The texts of these entries, which come text by text: no other part of ``out`` changes.
+        first, last = base[start], base[end - 1] + examples
+        at = np.repeat(base[start:end] - first, each)
+        at += model.posting[spot]
+        gain = np.repeat(weight[start:end], each)
+        gain *= model.weight[spot]
+        out[first:last] += np.bincount(at, gain, last - first)
         start = end
     return out.reshape(n, examples)
 
@@ -261,14 +269,17 @@ def _visit(model: Model, rows: Rows, own: np.ndarray, k: int) -> tuple[np.ndarra
     dense[rows.owner[often], column[often]] = rows.weight[often]
     bound = dense @ model.most + np.maximum.reduceat(every, starts, axis=1)
     sims = np.zeros(every.shape)
+    by_id = np.argsort(model.ids)
+    at = by_id[np.minimum(np.searchsorted(model.ids[by_id], own), len(by_id) - 1)]
+    self_row = np.flatnonzero(model.ids[at] == own)
+    self_spot = at[self_row]
 
     def visit(wanted: np.ndarray) -> None:
         for b, (low, high) in enumerate(model.blocks):
             who = np.flatnonzero(wanted[:, b])
             if len(who):
-                got = np.round(every[who, low:high] + dense[who] @ model.dense[:, low:high], 9)
-                got[own[who][:, None] == model.ids[low:high][None, :]] = 0
-                sims[who, low:high] = got
+                sims[who, low:high] = np.round(every[who, low:high] + dense[who] @ model.dense[:, low:high], 9)
+        sims[self_row, self_spot] = 0
     best = np.zeros(bound.shape, dtype=bool)
     best[np.arange(n), bound.argmax(axis=1)] = True
     visit(best)
