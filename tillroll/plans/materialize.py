@@ -77,11 +77,15 @@ class StoredDrop(Drop):
             firsts.write.mode("overwrite").parquet(f"{self.store}/firsts")
             return self._read("firsts")
 
+    @property
+    def rows(self) -> DataFrame:
+        """The raw rows for one pass: the stored table if there is one, else straight from the star tables."""
+        return self.raw if "raw" in self.__dict__ or self.first_source is None else self.source()
+
     @cached_property
     def targets(self) -> DataFrame:
         with _LOCK:
-            raw = self.raw if "raw" in self.__dict__ or self.first_source is None else self.source()
-            targets_dim(raw, self.params.weekly_target).write.mode("overwrite").parquet(f"{self.store}/targets")
+            targets_dim(self.rows, self.params.weekly_target).write.mode("overwrite").parquet(f"{self.store}/targets")
             return self._read("targets")
 
     @cached_property

@@ -270,17 +270,18 @@ _WRITTEN: set[str] = set()
 
 def _drop_dir(d: Drop) -> str:
     """The raw rows written once as a CSV drop in the shared folder: an
-    input of the CSV keys, like a landing zone (one per loaded Drop)."""
+    input of the CSV keys, like a landing zone (one per loaded Drop).  They
+    need no raw table for it, which would shuffle and write all rows once more."""
     path = stable_path(d.spark, f"drop-{d.key}")
     if path not in _WRITTEN:
-        write_daily_drop(d.raw, path)
+        write_daily_drop(d.rows, path)
         _WRITTEN.add(path)
     return path
 
 
 def _csv_drop(d: Drop) -> DataFrame:
     """Scan the CSV drop of ``d``."""
-    return read_daily_drop(d.spark, _drop_dir(d), _drop_schema(d.raw))
+    return read_daily_drop(d.spark, _drop_dir(d), _drop_schema(d.rows))
 
 
 @register("scan_daily_csv", OIO.ORACLE["scan_daily_csv"])
@@ -332,7 +333,7 @@ def _stream(d: Drop) -> DataFrame:
     """Drop folder -> availableNow stream of files -> raw table and merged first copies -> cleaned."""
     firsts = FirstCopies(d.spark, scratch_path(d.spark, "stream_firsts"), buckets=8)
     q = ingest_available(d.spark, _drop_dir(d), scratch_path(d.spark, "stream_table"),
-                         scratch_path(d.spark, "stream_ckpt"), _drop_schema(d.raw), firsts=firsts)
+                         scratch_path(d.spark, "stream_ckpt"), _drop_schema(d.rows), firsts=firsts)
     q.awaitTermination()
     return as_output(C.dedup_clean_from_firsts(firsts.read()))
 

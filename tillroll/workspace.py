@@ -27,6 +27,11 @@ class Drop:
     def from_tables(cls, spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Drop:
         return cls(spark, raw_sales(spark, sf_dir), params)
 
+    @property
+    def rows(self) -> DataFrame:
+        """The raw rows for one pass over them."""
+        return self.raw
+
     @cached_property
     def firsts(self) -> DataFrame:
         """The rows that the two cleaning orders need (``clean.first_copies``)."""
