@@ -141,3 +141,42 @@ def test_terms_votes_and_scores_against_plain_python(spark):
         score, near = vote(i)
         assert abs(np.interp(score, *model.scale) - got[i].score) < 1e-6, i
         assert np.allclose(got[i].similarities, [s for s, _ in near], atol=1e-8)
+
+
+def _built(tmp_path, n=300, size=6000, each=700):
+    """A stored model of ``n`` examples with ``each`` terms out of ``size``, and the most memory that making it took."""
+    import tracemalloc
+
+    from tillroll.llm.toxicity import Model, _build
+    rng = np.random.default_rng(3)
+    ids, toxic, vote = np.arange(n) * 7, (np.arange(n) % 3 == 0) * 1.0, np.ones(n)
+    vocabulary = np.sort(rng.integers(1, 1 << 63, size, dtype=np.uint64))
+    model = Model(Neighbours(), vocabulary, f"file://{tmp_path}", 1, 1000, np.zeros(0, np.int64), np.zeros(0), np.zeros(0), 0.3, 0.3)
+    batches = [pa.RecordBatch.from_arrays([pa.array(np.full(each, i)), pa.array(rng.choice(vocabulary, each, False).view(np.int64)),
+                                           pa.array(rng.integers(1, 5, each))], ["doc_id", "term", "n"]) for i in rng.permutation(ids)]
+    tracemalloc.start()
+    try:
+        list(_build(model, ids, toxic, vote, np.full(size, 9))(iter(batches)))
+        return model, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_making_the_model_takes_little_memory_an_entry(tmp_path):
+    assert _built(tmp_path)[1] < 130 * 300 * 700                 # bytes
+
+
+def test_workers_map_the_stored_arrays(tmp_path):
+    import mmap
+
+    from tillroll.llm.toxicity import MAPPED, StoredModel
+    model, _ = _built(tmp_path)
+    stored = StoredModel(model.rule, model.folder).load()
+    for name in MAPPED:
+        array, bases = getattr(stored, name), []
+        assert np.array_equal(array, getattr(model, name)), name
+        while array is not None:
+            bases.append(type(array))
+            array = getattr(array, "base", None)
+        assert mmap.mmap in bases, name
+    assert np.array_equal(stored.ids, model.ids) and np.array_equal(stored.scale, model.scale)

@@ -18,14 +18,15 @@ labels apart counts, whatever else a text is about.
 Votes become scores by a monotone map: every example is scored by the others,
 and isotonic regression of the labels on these votes, weighted like them,
 gives the share of toxic rows at each vote.  Index and map are made in a task
-and stored in the shared folder, from where the scoring tasks load them.
+and stored in the shared folder, array by array; the scoring tasks map those
+files into memory, so the workers of a machine hold them once, in its file cache.
 """
 
 from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,9 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.frames import delta, map_slices, pack, shuffle_partitions, signed, slices, undelta, unpack, write_scratch
+from tillroll.llm.frames import (
+    delta, map_slices, memory_returned, pack, shuffle_partitions, signed, slices, undelta, unpack, write_scratch,
+)
 from tillroll.llm.lm_score import PACKED, TALLY, WORDS, _batch, _shards, _smallest, _store, _sum_by, arrays
 from tillroll.llm.words import Words, mix, split_words
 from tillroll.session import scratch_path
@@ -43,8 +46,8 @@ _TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Tru
 STEMS = (4, 6)
 EXAMPLE_BLOCK = 64
 COMMON = 512                     # terms with dense weights
-TEXTS_AT_ONCE = 256
-POSTINGS_AT_ONCE = 1 << 20
+TEXTS_AT_ONCE = 128
+POSTINGS_AT_ONCE = 1 << 18
 TERMS_AT_ONCE = 1_000_000
 SLICE = 2 << 20                  # bytes of text handled at once
 
@@ -160,9 +163,21 @@ class Model:
         return Rows(np.searchsorted(t, np.arange(n + 1)), at[which[have]], weight[have] / norm[t], size)
 
 
+# The arrays that tasks map from the shared folder.
+MAPPED = ("vocabulary", "telling", "column", "dense", "most", "first", "posting", "weight", "marks")
 _LOADED: dict[str, Model] = {}
 
 
+def _store_model(model: Model) -> int:
+    """Store a model in its folder, its large arrays as files of their own; the bytes of all."""
+    large = {name: getattr(model, name) for name in MAPPED if getattr(model, name) is not None}
+    for name, array in large.items():
+        _store(model.folder, f"model-{name}", array)
+    rest = np.frombuffer(pickle.dumps(replace(model, **dict.fromkeys(large)), protocol=5), np.uint8)
+    _store(model.folder, "model", rest)
+    return sum(array.nbytes for array in large.values()) + len(rest)
+
+
 @dataclass(frozen=True)
 class StoredModel:
     """A model in the shared folder: tasks load it, once per worker; the driver need not hold it."""
@@ -173,7 +188,12 @@ class StoredModel:
     def load(self) -> Model:
         if self.folder not in _LOADED:
             _LOADED.clear()
-            _LOADED[self.folder] = pickle.loads(arrays(self.folder).get("model-0"))
+            files = arrays(self.folder)
+            model = pickle.loads(files.get("model-0"))
+            for name in MAPPED:
+                mapped = files.get(f"model-{name}-0")
+                setattr(model, name, None if mapped is None else np.asarray(mapped))
+            _LOADED[self.folder] = model
         return _LOADED[self.folder]
 
     def __getattr__(self, name: str):
@@ -189,7 +209,7 @@ def index(model: Model, rows: Rows, ids: np.ndarray, toxic: np.ndarray, vote: np
     np.minimum.at(least, rows.owner, rows.weight)
     order = np.lexsort((ids, least))
     model.ids, model.toxic, model.vote = ids[order], toxic[order], vote[order]
-    place = np.empty(n, np.int64)
+    place = np.empty(n, np.int32)
     place[order] = np.arange(n)
     owner = place[rows.owner]
     model.blocks = [(low, min(low + EXAMPLE_BLOCK, n)) for low in range(0, n, EXAMPLE_BLOCK)]
@@ -204,7 +224,8 @@ def index(model: Model, rows: Rows, ids: np.ndarray, toxic: np.ndarray, vote: np
     at, who, weight = rows.at[~often], owner[~often], rows.weight[~often]
     by = np.lexsort((who, at))
     model.first = np.searchsorted(at[by], np.arange(size + 1))
-    model.posting, model.weight = who[by].astype(np.int32), weight[by]
+    model.posting, model.weight = who[by], weight[by]
+    del at, who, weight, by
     chosen = np.flatnonzero(model.telling)
     marked = model.telling[rows.at]
     model.marks = np.zeros((len(chosen), n))
@@ -403,14 +424,25 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Neighbours = Neighbours()) -
 def _build(model: Model, ids: np.ndarray, toxic: np.ndarray, vote: np.ndarray, df: np.ndarray):
     """Make the model's index and scale from all entries (doc_id, term, n) of the examples, and store it in its folder."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[b.column(c).to_numpy() for c in ("doc_id", "term", "n")] for b in batches]
-        who, term, n = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3))
-        who, at = np.searchsorted(ids, who), np.searchsorted(model.vocabulary, term.view(np.uint64))
-        order = np.lexsort((at, who))
-        who, at = who[order], at[order]
-        weight = np.log1p(n[order]) * model.idf(df)[at]
+        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for b in batches:                # a number for an entry, by example and term: each entry comes once
+            who = np.searchsorted(ids, b.column("doc_id").to_numpy())
+            keys.append(who << 32 | np.searchsorted(model.vocabulary, b.column("term").to_numpy().view(np.uint64)))
+            counts.append(b.column("n").to_numpy().astype(np.int32))
+        key, n = np.concatenate(keys), np.concatenate(counts)
+        del keys, counts
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        del order
+        who, at = (key >> 32).astype(np.int32), key.astype(np.int32)
+        del key
+        weight = np.log1p(n, dtype=np.float64)
+        weight *= model.idf(df)[at]
         norm = np.sqrt(np.bincount(who, weight * weight, minlength=len(ids)))
-        rows = Rows(np.searchsorted(who, np.arange(len(ids) + 1)), at, weight / norm[who], len(model.vocabulary))
+        weight /= norm[who]
+        first = np.concatenate([[0], np.cumsum(np.bincount(who, minlength=len(ids)))])
+        rows = Rows(first, at, weight, len(model.vocabulary))
+        del who, n
         bare = norm == 0
         extra = model.rule.smoothing
         model.empty_score = float((vote[bare] @ toxic[bare] + extra * model.share) / (vote[bare].sum() + extra))
@@ -418,10 +450,8 @@ def _build(model: Model, ids: np.ndarray, toxic: np.ndarray, vote: np.ndarray, d
         if rows.size:
             index(model, rows, ids, toxic, vote)
             calibrate(model, rows, ids, toxic, vote)
-        payload = np.frombuffer(pickle.dumps(model, protocol=5), np.uint8)
-        _store(model.folder, "model", payload)
-        yield pa.RecordBatch.from_arrays([pa.array([len(payload)], pa.int64())], ["bytes"])
-    return run
+        yield pa.RecordBatch.from_arrays([pa.array([_store_model(model)], pa.int64())], ["bytes"])
+    return memory_returned(run)
 
 
 def _telling(rows: Rows, toxic: np.ndarray, rule: Neighbours) -> np.ndarray:
@@ -460,7 +490,7 @@ def _count_terms(shards: int):
                 parts, held, total = [], 0, 0
         if parts:
             yield flush(parts, total)
-    return run
+    return memory_returned(run)
 
 
 def _store_terms(folder: str, vocabulary):
@@ -484,7 +514,7 @@ def _store_terms(folder: str, vocabulary):
             _, at, spot = np.intersect1d(vocabulary.value, h, assume_unique=True, return_indices=True)
             ats, ns = [-1, *at], [total, *c[spot]]
         yield pa.RecordBatch.from_arrays([pa.array(ats, pa.int64()), pa.array(ns, pa.int64())], ["at", "n"])
-    return run
+    return memory_returned(run)
 
 
 def _document_frequency(texts: DataFrame, vocabulary: np.ndarray) -> tuple[str, int, int, np.ndarray]:
