@@ -19,6 +19,8 @@ from tillroll.sources.lines import DIALECT
 # As Python's csv module and pandas write: quotes doubled, blanks and line breaks kept.
 WRITTEN = {**DIALECT, "header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"      # the folder that Spark gives a null
+
 
 def write_daily_drop(raw: DataFrame, path: str) -> str:
     """Write raw rows as a drop: ``order_month=YYYY-MM/part-*.csv`` with
@@ -26,10 +28,14 @@ def write_daily_drop(raw: DataFrame, path: str) -> str:
 
     A folder per month keeps the files few; a read of some days opens only
     their months.  The number of ranges is left to Spark (AQE).
+
+    A partitioned write needs rows sorted by a folder column that is never
+    null; were they not, Spark would sort by it alone and drop the sort below.
     """
-    ordered = (raw.withColumn(DROP_MONTH, F.date_format("order_date", "yyyy-MM"))
+    month = F.coalesce(F.date_format("order_date", "yyyy-MM"), F.lit(NO_MONTH))
+    ordered = (raw.withColumn(DROP_MONTH, month)
                   .repartitionByRange("order_date", ROW_SEQ)
-                  .sortWithinPartitions("order_date", ROW_SEQ)
+                  .sortWithinPartitions(DROP_MONTH, "order_date", ROW_SEQ)
                   .drop(ROW_SEQ))
     (ordered.write.mode("overwrite").options(**WRITTEN)
             .partitionBy(DROP_MONTH).csv(path))
