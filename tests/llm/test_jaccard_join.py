@@ -1,9 +1,14 @@
 """The join against all pairs by brute force."""
 
 import itertools
+import os
 import random
 import re
+import tracemalloc
 
+import numpy as np
+
+from tillroll.llm import jaccard_join as join
 from tillroll.llm.jaccard_join import jaccard_join
 
 from tests.llm.test_words import thue_morse
@@ -88,3 +93,52 @@ def test_empty_table_and_extra_columns(spark):
 
 def test_words_that_a_polynomial_takes_for_one(spark):
     check(spark, list(enumerate(thue_morse())))
+
+
+def dense_block(seed, sets=96, size=1300):
+    rng = np.random.default_rng(seed)
+    base = np.random.default_rng(9).integers(1, 1 << 63, size).astype(np.uint64)
+    members = []
+    for _ in range(sets):
+        hashes, changed = base.copy(), rng.choice(size, rng.choice([2, 150]), replace=False)
+        hashes[changed] = rng.integers(1, 1 << 63, len(changed))
+        members.append({"digest": int(rng.integers(1, 1 << 62)), "size": size, "alone": 0,
+                        "prefix": size - join.Threshold().needed(size) + 1, "copies": 1, "shingles": hashes.tobytes()})
+    return join._Block(members)
+
+
+def test_verification_of_dense_blocks_takes_little_memory():
+    a, b = dense_block(1), dense_block(2)
+    tracemalloc.start()
+    linked = join.links_between(a, b, join.Threshold(), False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for i, j in itertools.product(range(0, 96, 7), range(0, 96, 5)):
+        x, y = set(a.hash[a.owner == i].tolist()), set(b.hash[b.owner == j].tolist())
+        assert linked[i, j] == (100 * len(x & y) >= 75 * len(x | y) and bool(
+            set(a.hash[a.owner == i][:a.prefix[i]].tolist()) & set(b.hash[b.owner == j][:b.prefix[j]].tolist())))
+    assert peak < 64 << 20
+
+
+def test_verification_gets_pairs_of_blocks_in_bounded_batches(spark, monkeypatch, tmp_path):
+    seen, verify = str(tmp_path / "batches"), join._verify
+
+    def noting(threshold):
+        run = verify(threshold)
+
+        def noted(batches):
+            def each():
+                for batch in batches:
+                    with open(f"{seen}-{os.getpid()}", "a") as out:
+                        out.write(f"{batch.num_rows} {batch.nbytes}\n")
+                    yield batch
+            yield from run(each())
+        return noted
+    monkeypatch.setattr(join, "_verify", noting)
+    monkeypatch.setattr(join, "PAIR_BYTES", 1 << 15, raising=False)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    check(spark, [(i, " ".join(f"x{i}" if k == i % 60 else f"b{k}" for k in range(60))) for i in range(300)])
+    batches = [tuple(map(int, line.split())) for f in tmp_path.iterdir() for line in f.read_text().splitlines()]
+    assert sum(n for n, _ in batches) >= 10                      # pairs of blocks
+    assert max(n for n, _ in batches) <= 2
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before

@@ -25,6 +25,7 @@ from tillroll.session import remove_scratch, scratch_path
 
 SLICE_BYTES = 8 << 20        # text handled at once by one task
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 _SHIPPED: set[str] = set()
@@ -60,6 +61,17 @@ def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(CLEANUP, before)
 
 
+@contextmanager
+def arrow_bytes(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Writes within hand about ``limit`` bytes at once to a worker (one row at least): executor and worker hold a batch each."""
+    before = spark.conf.get(ARROW_BYTES)
+    spark.conf.set(ARROW_BYTES, f"{limit}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_BYTES, before)
+
+
 def write_scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared folder and read it back: lineage ends here."""
     spark = df.sparkSession

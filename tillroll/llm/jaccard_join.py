@@ -34,15 +34,17 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
 from tillroll.llm.frames import (
-    block_pairs, delta, join_skewed, map_slices, pack, shard_bounds, shard_of, shuffle_partitions, signed, slices, undelta,
-    unpack, unsigned, write_scratch,
+    arrow_bytes, block_pairs, delta, join_skewed, map_slices, memory_returned, pack, shard_bounds, shard_of, shuffle_partitions,
+    signed, slices, undelta, unpack, unsigned, write_scratch,
 )
 from tillroll.llm.words import shingle_sets
 
 BLOCK = 48                       # sets per block of a family, about
 BLOCK_SHINGLES = 1 << 17         # shingles per block, about
 SUFFIX_BINS = 16
-CROSS_AT_ONCE = 4 << 20          # matches expanded at once in a verification
+CROSS_AT_ONCE = 1 << 18          # matches expanded at once in a verification
+SCAN_BYTES = 4 << 20             # text whose shingles a task holds at once
+PAIR_BYTES = 4 << 20             # pairs of blocks handed to a verification at once; a pair holds up to 2 MB, about
 
 
 @dataclass(frozen=True)
@@ -317,13 +319,13 @@ def jaccard_join(docs: DataFrame, width: int = 5, threshold: Threshold = Thresho
     shards = shuffle_partitions(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     packed = "shard int, kind int, payload binary"
-    scanned = map_slices(texts, _scan(width, shards), packed)
+    scanned = map_slices(texts, _scan(width, shards), packed, limit=SCAN_BYTES)
     counted = write_scratch(
-        scanned.repartitionById(shards, F.col("shard")).mapInArrow(_count(shards), packed), "shingles")
+        scanned.repartitionById(shards, F.col("shard")).mapInArrow(memory_returned(_count(shards)), packed), "shingles")
     rows = counted.filter("kind = 0").mapInArrow(_documents, "doc_id long, n_shingles long, digest long")
     sets = write_scratch(
         counted.filter("kind = 1").repartitionById(shards, F.col("shard")).mapInArrow(
-            _prefixes(threshold), "digest long, size long, alone long, prefix long, shingles binary"), "sets")
+            memory_returned(_prefixes(threshold)), "digest long, size long, alone long, prefix long, shingles binary"), "sets")
     entries = sets.mapInArrow(_entries, "hash long, digest long")
 
     hubs = write_scratch(entries.groupBy("hash").agg(F.min("digest").alias("v"), F.count(F.lit(1)).alias("n"))
@@ -355,7 +357,8 @@ def jaccard_join(docs: DataFrame, width: int = 5, threshold: Threshold = Thresho
     right = members.select(F.col("block").alias("right_block"), F.col("members").alias("right"))
     met = pairs.join(left, "left_block").join(right, "right_block").select(
         "left", "right", (F.col("left_block") == F.col("right_block")).alias("same"))
-    found = write_scratch(met.mapInArrow(_verify(threshold), "u long, v long, degree long"), "links")
+    with arrow_bytes(spark, PAIR_BYTES):
+        found = write_scratch(met.mapInArrow(memory_returned(_verify(threshold)), "u long, v long, degree long"), "links")
 
     linked = components(found.filter("u <> v").select("u", "v"))
     degrees = found.filter("degree > 0").groupBy(F.col("u").alias("digest")).agg(F.sum("degree").alias("degree"))
