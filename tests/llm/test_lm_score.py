@@ -6,7 +6,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from tillroll.llm.lm_score import Arrays, _coded, _prints, _store, print_keys, score_texts, train
+from tillroll.llm.frames import distinct, sort_order
+from tillroll.llm.lm_score import Arrays, _coded, _places, _prints, _store, print_keys, score_texts, search, train
 
 from tests.llm.edge_rows import documents, empty, rows
 from tests.llm.test_words import plain
@@ -145,3 +146,26 @@ def test_prints_find_what_is_stored_and_hardly_anything_else(tmp_path):
     unseen = np.sort(rng.integers(0, 2 ** 64, 2_000_000, dtype=np.uint64))
     assert arrays.find_prints("y", print_keys(np.full(len(unseen), 5), unseen))[0].sum() <= 8
     assert arrays.find_prints("y", print_keys(np.full(len(unseen), 6), unseen))[0].sum() == 0
+
+
+@pytest.mark.parametrize("top", [1, 5, 1 << 20, (1 << 64) - 1])
+@pytest.mark.parametrize("n", [0, 1, 2, 1000, 70_001])
+def test_orders_and_distinct_values_are_those_of_numpy(n, top):
+    values = np.random.default_rng(n).integers(0, top, n, dtype=np.uint64, endpoint=True)
+    values[n // 2:] = values[:n - n // 2]                        # repeats
+    values[n // 3:n // 3 + 50] ^= np.uint64(1)                   # and values that differ in the last bit alone
+    assert (sort_order(values) == np.argsort(values, kind="stable")).all()
+    found, which = distinct(values)
+    want, place = np.unique(values, return_inverse=True)
+    assert (found == want).all() and (which == place).all()
+
+
+@pytest.mark.parametrize("n", [1, 2, 31, 64, 5000, 200_000])
+def test_places_lead_to_where_values_lie(n):
+    rng = np.random.default_rng(n)
+    for high in (1 << 32, 1 << 20):                              # evenly spread, as prints are, and all at one end
+        values = np.sort(rng.integers(0, high, n, dtype=np.uint64)).astype(np.uint32)
+        wanted = np.concatenate([values, rng.integers(0, 1 << 32, 3000, dtype=np.uint64).astype(np.uint32),
+                                 np.array([0, (1 << 32) - 1], np.uint32)])
+        assert (search(values, _places(values), wanted) == np.searchsorted(values, wanted)).all()
+        assert len(_places(values)) <= max(2, n // 32 + 1)

@@ -13,9 +13,12 @@ folder.  Grams and contexts are known by 40 bits of their hash within a shard,
 so of a million grams in a shard one unseen gram in a million is taken for one
 of them; words are known by all 64.
 
-Scoring maps those files into memory and looks up each distinct word, gram and
-context of a slice of texts once, in sorted order, so a worker touches each page
-of the model at most once per slice and holds none of it on its heap.
+Scoring maps those files into memory and looks up the distinct words and all
+grams and contexts of a slice of texts in sorted order, so a worker touches each
+page of the model at most once per slice and holds none of it on its heap.  What
+depends on one word alone is found once per distinct word.  Beside sorted prints
+lies where every ``APART``-th part of their range begins, so a search starts
+within about ``APART`` prints of its place.
 
 p(w | h) = (a(hw) - D(a(hw))) / a(h) + g(h) * p(w | h without its first token),
 and p(w) from the number of different words before w, interpolated with
@@ -41,7 +44,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.frames import (
-    delta, map_slices, pack, remove_tables, shard_bounds, shard_of, shuffle_partitions, slices, undelta, unpack, write_scratch,
+    delta, distinct, map_slices, pack, remove_tables, shard_bounds, shard_of, shuffle_partitions, slices, sort_order, undelta,
+    unpack, write_scratch,
 )
 from tillroll.llm.words import mix, split_words
 from tillroll.session import scratch_path
@@ -52,6 +56,7 @@ START = _U(0)                    # number of a start token; words count from 1
 UNKNOWN = _U(1) << _U(40)        # numbers from here on: words that training did not see
 PAIRS_AT_ONCE = 3_000_000
 SLICE = 2 << 20                  # bytes of text scored at once
+APART = 32                       # prints between two stored places, about
 PACKED = "shard int, kind int, payload binary"
 WORDS, GRAMS, TALLY = 0, 1, 3
 
@@ -79,7 +84,15 @@ def grams(word: np.ndarray, first: np.ndarray, order: int) -> list[np.ndarray]:
 
 
 def gram_hash(columns: list[np.ndarray]) -> np.ndarray:
-    out = np.full(len(columns[0]), len(columns), dtype=_U)
+    return _followed_by(_begun(columns[0], len(columns)), columns[1:])
+
+
+def _begun(word: np.ndarray, order: int) -> np.ndarray:
+    """What ``gram_hash`` of a gram of ``order`` tokens makes of the first."""
+    return mix(np.full(len(word), order, dtype=_U) * _U(0x9E3779B97F4A7C15) + word)
+
+
+def _followed_by(out: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
     for word in columns:
         out = mix(out * _U(0x9E3779B97F4A7C15) + word)
     return out
@@ -88,7 +101,7 @@ def gram_hash(columns: list[np.ndarray]) -> np.ndarray:
 def _merged(columns: list[np.ndarray], *values: np.ndarray):
     """Distinct grams sorted by hash: (hashes, columns, sums of the values)."""
     g = gram_hash(columns)
-    order = np.argsort(g)
+    order = sort_order(g)
     g = g[order]
     at = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else order
     kept = order[at]
@@ -101,10 +114,10 @@ def _gram_rows(columns: list[np.ndarray], counts: np.ndarray, shards: int) -> li
     _, columns, (counts,) = _merged(columns, counts)
     shard = shard_of(gram_hash(columns[:-1] or columns), shards)
     # One sort by shard and first token (below 2^32), roughly by the second: what lies together packs well.
-    key = shard.astype(_U) << _U(40) | columns[0] << _U(8)
+    key = shard.astype(_U) << _U(int(columns[0].max(initial=0)).bit_length() + 8) | columns[0].astype(_U) << _U(8)
     if len(columns) > 2 and len(shard):
         key |= columns[1] >> _U(max(0, int(columns[1].max()).bit_length() - 8))
-    order = np.argsort(key)
+    order = sort_order(key)
     bounds = np.searchsorted(shard[order], np.arange(shards + 1))
     rows = []
     for s in np.flatnonzero(np.diff(bounds)).tolist():
@@ -116,7 +129,7 @@ def _gram_rows(columns: list[np.ndarray], counts: np.ndarray, shards: int) -> li
 
 def _sum_by(order_keys: tuple[np.ndarray, ...], *values: np.ndarray):
     """Distinct keys in sorted order (first key first) and sums of the values."""
-    order = np.lexsort(order_keys[::-1])
+    order = sort_order(order_keys[0]) if len(order_keys) == 1 else np.lexsort(order_keys[::-1])
     keys = [k[order] for k in order_keys]
     new = np.zeros(len(order), dtype=bool)
     if len(order):
@@ -173,13 +186,19 @@ def _store_words(folder: str):
 
 def numbered(stored, hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Number and count of each word: its place among all words, from 1; words not stored get numbers of their own."""
-    distinct, which = np.unique(hashes, return_inverse=True)
-    place, count = stored.places("words", distinct, len(offsets))
-    shard = shard_of(distinct, len(offsets))
+    words, which = distinct(hashes)
+    number, count = _numbers(stored, words, offsets)
+    return number[which], count[which]
+
+
+def _numbers(stored, words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number and count of distinct words, sorted by hash."""
+    place, count = stored.places("words", words, len(offsets))
+    shard = shard_of(words, len(offsets))
     number = np.where(place >= 0, offsets[shard] + place + 1, 0).astype(_U)
     unseen = place < 0
-    number[unseen] = UNKNOWN | distinct[unseen] >> _U(1)
-    return number[which], count[which]
+    number[unseen] = UNKNOWN | words[unseen] >> _U(1)
+    return number, count
 
 
 def _count(folder: str, shards: int, order: int, offsets: np.ndarray):
@@ -227,6 +246,11 @@ def _store(folder: str, name: str, *arrays: np.ndarray) -> None:
         system.move(temporary, f"{root}/{name}-{k}.npy")
 
 
+def _store_prints(folder: str, name: str, upper: np.ndarray, *arrays: np.ndarray) -> None:
+    _store(folder, name, upper, *arrays)
+    _store(folder, f"{name}-places", _places(upper))
+
+
 def _tally(counts: np.ndarray) -> np.ndarray:
     return np.array([np.count_nonzero(counts == k) for k in (1, 2, 3, 4)] + [len(counts)], np.int64)
 
@@ -250,12 +274,29 @@ def _prints(sorted_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (sorted_hashes >> _U(32)).astype(np.uint32), (sorted_hashes >> _U(24)).astype(np.uint8)
 
 
+def _places(sorted_upper: np.ndarray) -> np.ndarray:
+    """Where each of equal parts of the range of 32 bits begins in sorted values, and their end: about ``APART`` values a part."""
+    bits = max(0, (len(sorted_upper) // APART).bit_length() - 1)
+    parts = np.arange(1 << bits, dtype=_U) << _U(32 - bits)
+    return np.append(np.searchsorted(sorted_upper, parts.astype(np.uint32)), len(sorted_upper)).astype(np.uint32)
+
+
+def search(sorted_upper: np.ndarray, places: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """``np.searchsorted`` of 32-bit values, by the ``_places`` of the sorted ones."""
+    part = wanted.astype(np.int64) >> (32 - (len(places) - 1).bit_length() + 1)
+    at, end = places[part].astype(np.int64), places[part + 1].astype(np.int64)
+    for k in range(int((end - at).max(initial=0)).bit_length() - 1, -1, -1):     # halving, all at once
+        lower = sorted_upper.take(at + ((1 << k) - 1), mode="clip") < wanted
+        at += np.multiply(lower, 1 << k, dtype=np.int64)
+    return np.minimum(at, len(sorted_upper))
+
+
 def _coded(columns: list[np.ndarray]) -> list[np.ndarray]:
     """Rows of numbers as codes from 1, and the columns of the distinct rows (0: zeros): most rows are alike."""
     code = np.zeros(len(columns[0]), np.int64)
     for c in columns:
-        values, which = np.unique(c, return_inverse=True)
-        code = np.unique(code * len(values) + which, return_inverse=True)[1]
+        values, which = distinct(c.astype(_U))
+        code = distinct((code * len(values) + which).astype(_U))[1]
     some = np.empty(int(code.max(initial=-1)) + 1, np.int64)
     some[code] = np.arange(len(code))            # any row of each code
     return [_smallest(code + 1), *[_smallest(np.concatenate([[0], c[some]])) for c in columns]]
@@ -269,7 +310,7 @@ def print_keys(shard: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def _contexts(columns: list[np.ndarray], counts: np.ndarray) -> list[np.ndarray]:
     """Of each context: its print, the sum of its grams' counts, and how many of them count 1, 2, 3 or more."""
     h = gram_hash(columns)
-    by = np.argsort(h)
+    by = sort_order(h)
     h, counts = h[by], counts[by]
     at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
     prints = _prints(h[at])
@@ -293,10 +334,10 @@ def _grams(folder: str, shards: int, order: int):
         parts.clear()
         g, columns, (c,) = _merged(columns, count)
         del count
-        _store(folder, f"grams{order}-{shard:05d}", *_prints(g), _smallest(c))
+        _store_prints(folder, f"grams{order}-{shard:05d}", *_prints(g), _smallest(c))
         yield _batch([(0, TALLY, pack(_tally(c)))])
         del g
-        _store(folder, f"contexts{order}-{shard:05d}", *_contexts(columns[:-1], c))
+        _store_prints(folder, f"contexts{order}-{shard:05d}", *_contexts(columns[:-1], c))
         c = np.ones(len(c), np.uint8)
         yield _batch(_gram_rows(columns[1:], c, shards))
     return run
@@ -403,13 +444,13 @@ class Arrays:
             if self.system.get_file_info(path).type == fs.FileType.NotFound:
                 self.open[name] = None
             elif self.local:
-                self.open[name] = np.load(path, mmap_mode="r")
+                self.open[name] = np.asarray(np.load(path, mmap_mode="r"))    # a plain view of the map: indexing is faster
             else:                                # fetch once per worker; the name goes at once, the map stays
                 with tempfile.NamedTemporaryFile(suffix=".npy") as copy, self.system.open_input_stream(path) as source:
                     while part := source.read(1 << 24):
                         copy.write(part)
                     copy.flush()
-                    self.open[name] = np.load(copy.name, mmap_mode="r")
+                    self.open[name] = np.asarray(np.load(copy.name, mmap_mode="r"))
         return self.open[name]
 
     def places(self, kind: str, hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
@@ -425,7 +466,7 @@ class Arrays:
         return place, value
 
     def find_prints(self, kind: str, keys: np.ndarray, columns: int = 0) -> list[np.ndarray]:
-        """Values of sorted ``print_keys`` in their shards, 0 where unknown: one, or ``columns`` that ``_coded`` stored."""
+        """Values of ``print_keys``, sorted and maybe repeated, in their shards, 0 where unknown: one, or ``columns`` that ``_coded`` stored."""
         out = [np.zeros(len(keys), np.int64) for _ in range(columns or 1)]
         shard = (keys >> _U(40)).astype(np.int64)
         names, first = np.unique(shard, return_index=True)
@@ -435,17 +476,22 @@ class Arrays:
                 continue
             lower = self.get(f"{kind}-{s:05d}-1")
             wanted, rest = (keys[low:high] >> _U(8)).astype(np.uint32), keys[low:high].astype(np.uint8)
-            at = np.searchsorted(upper, wanted)
-            left = np.arange(high - low)
+            places = self.get(f"{kind}-{s:05d}-places-0")
+            at = search(upper, _places(upper) if places is None else places, wanted)
+            left = np.flatnonzero(upper.take(at, mode="clip") == wanted)     # behind the last lie only larger ones
+            at = at.take(left)
             while len(left):                     # more than one step where upper bits agree, which is rare
-                left = left[at[left] < len(upper)]
-                left = left[upper[at[left]] == wanted[left]]
-                same = lower[at[left]] == rest[left]
-                found = self.get(f"{kind}-{s:05d}-2")[at[left[same]]]
+                same = lower.take(at) == rest.take(left)
+                found = self.get(f"{kind}-{s:05d}-2").take(at[same])
+                target = left[same] + low
                 for k, x in enumerate(out):
-                    x[low + left[same]] = self.get(f"{kind}-{s:05d}-{k + 3}")[found] if columns else found
-                left = left[~same]
-                at[left] += 1
+                    x[target] = self.get(f"{kind}-{s:05d}-{k + 3}").take(found) if columns else found
+                if same.all():
+                    break
+                left, at = left[~same], at[~same] + 1
+                more = upper.take(at, mode="clip") == wanted[left]
+                more &= at < len(upper)
+                left, at = left[more], at[more]
         return out
 
     def find(self, kind: str, hashes: np.ndarray, shards: int, columns: int) -> list[np.ndarray]:
@@ -473,37 +519,64 @@ def arrays(folder: str) -> Arrays:
     return _ARRAYS[folder]
 
 
+def _sorted_keys(shard: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys = print_keys(shard, hashes)
+    by = sort_order(keys)
+    return keys[by], by
+
+
+def _unsorted(values: np.ndarray, by: np.ndarray) -> np.ndarray:
+    out = np.empty_like(values)
+    out[by] = values
+    return out
+
+
+def _weights(stored: Arrays, k: int, context: np.ndarray, model: Model, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of the counts after each context of grams of order k, and the weight of the next lower order."""
+    keys, by = _sorted_keys(shard_of(context, model.shards), context)
+    total, ones, twos, more = stored.find_prints(f"contexts{k}", keys, 4)
+    back = np.divide(d[1] * ones + d[2] * twos + d[3] * more, total, out=np.ones(len(total)), where=total > 0)
+    return _unsorted(total, by), _unsorted(back, by)
+
+
 def _score(model: Model):
     def run(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         hashes, first = tokens(piece.column("text"))
         n = len(first) - 1
         owner = np.repeat(np.arange(n), np.diff(first))
         stored = arrays(model.folder)
-        word, count = numbered(stored, hashes, model.offsets)
-        keys, at = np.unique(gram_hash([word]), return_inverse=True)
-        followed = stored.find("followed", keys, model.shards, 1)[0]
+        words, which = distinct(hashes)
+        number, count = _numbers(stored, words, model.offsets)
+        known = (count > 0)[which]
+        base = np.log10((count + 1) / (model.n_tokens + (model.n_types + 1)))[which]
+        number = np.append(number, START)                        # the start is the last of the distinct tokens
+        token = [t - 1 for t in grams(which + 1, first, model.order)]    # -1: the start
+        keys = gram_hash([number])
+        by = sort_order(keys)
+        followed = _unsorted(stored.find("followed", keys[by], model.shards, 1)[0], by)
         d = model.word_discounts
         lower = np.full(len(keys), model.rest / (model.n_types + 1))
         if model.pair_types:
             lower += (followed - d[np.minimum(followed, 3)]) / model.pair_types
-        chance = lower[at]
-        columns = grams(word, first, model.order)
+        chance = lower[token[-1]]
+        columns = [number[t] for t in token]
         for k in range(2, model.order + 1):
             d = model.gram_discounts[k]
-            context = gram_hash(columns[-k:-1])
-            shard = shard_of(context, model.shards)
-            keys, which = np.unique(print_keys(shard, gram_hash(columns[-k:])), return_inverse=True)
-            seen = stored.find_prints(f"grams{k}", keys)[0][which]
-            keys, at = np.unique(print_keys(shard, context), return_inverse=True)
-            total, ones, twos, more = stored.find_prints(f"contexts{k}", keys, 4)
-            back = np.divide(d[1] * ones + d[2] * twos + d[3] * more, total, out=np.ones(len(total)), where=total > 0)
-            chance = (seen - d[np.minimum(seen, 3)]) / np.maximum(total, 1)[at] + back[at] * chance
+            if k == 2:                                           # the context is one token
+                total, back = _weights(stored, k, keys, model, d)
+                total, back, shard = total[token[-2]], back[token[-2]], shard_of(keys, model.shards)[token[-2]]
+            else:
+                context = _followed_by(_begun(number, k - 1)[token[-k]], columns[1 - k:-1])
+                total, back = _weights(stored, k, context, model, d)
+                shard = shard_of(context, model.shards)
+            sought, by = _sorted_keys(shard, _followed_by(_begun(number, k)[token[-k]], columns[1 - k:]))
+            seen = _unsorted(stored.find_prints(f"grams{k}", sought)[0], by)
+            chance = (seen - d[np.minimum(seen, 3)]) / np.maximum(total, 1) + back * chance
         logs = np.log10(chance)
-        base = np.log10((count + 1) / (model.n_tokens + (model.n_types + 1)))
         kept = [k for k, name in enumerate(piece.schema.names) if name != "text"]
         yield pa.RecordBatch.from_arrays(
             [*[piece.column(k) for k in kept], pa.array(np.diff(first).astype(np.int64)),
-             pa.array(np.bincount(owner, weights=count > 0, minlength=n).astype(np.int64)),
+             pa.array(np.bincount(owner, weights=known, minlength=n).astype(np.int64)),
              pa.array(np.full(n, model.n_tokens, np.int64)),
              pa.array(np.bincount(owner, weights=base, minlength=n)),
              pa.array(np.bincount(owner, weights=logs, minlength=n))],
