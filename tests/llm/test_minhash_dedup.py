@@ -97,3 +97,40 @@ def _alike(rng, every, share, n):
     for _ in range(n):
         mine = rng.choice(every, 400 - common, replace=False)
         yield mine[:200], np.concatenate([mine[:common], mine[200:]])
+
+
+def test_blocks_and_hubs_meet_in_one_task_a_partition(spark, monkeypatch):
+    """However small the pieces that Spark may cut from uneven joins: what two blocks hold is not joined to pairs of them."""
+    rng = random.Random(23)
+    texts = [t for k in range(12) for t in near_copies(
+        rng, [f"b{k}x{i}" for i in range(120)], 30, [0, 1, 2, 3, 4, 5], [f"x{k}" for k in range(300)])]
+    monkeypatch.setattr(M, "BLOCK", 7)
+    written = {}
+
+    def kept(df, name):
+        written[name] = frames.write_scratch(df, name)
+        return written[name]
+    monkeypatch.setattr(M, "write_scratch", kept)
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        check(spark, [(k, t) for k, t in enumerate(texts)])
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert written["rest-links"].count()
+    assert len(written["rest-links"].inputFiles()) <= 8
+
+
+@pytest.mark.parametrize("parts", [2000, 3])
+def test_a_hub_of_many_pairs_is_dealt_to_several_tasks(spark, monkeypatch, parts):
+    monkeypatch.setattr(M, "PARTS", parts)
+    pairs = [(u, v) for v, n in ((1, 60), (2, 25), (3, 1)) for u in range(100, 100 + n)]
+    some = frames.write_scratch(spark.createDataFrame(pairs, "u long, v long"), "some")
+    table = spark.createDataFrame([(k, f"value {k}") for k in [*range(1, 4), *range(100, 160)]], "digest long, value string")
+    got = sorted(tuple(r) for r in M._against(some, table, "value").select("u", "v", "left", "right").collect())
+    assert got == sorted((u, v, f"value {u}", f"value {v}") for u, v in pairs)

@@ -43,6 +43,7 @@ BATCH = 16
 MISS = 1e-6
 BLOCK = 48                       # classes of a block, about
 BLOCK_SHINGLES = 1 << 17         # shingles of a block, about
+PARTS = 2000                     # a class in more than this part of all pairs is dealt to several tasks
 CHUNK = 1 << 15
 SLICE = 2 << 20                  # bytes of text handled at once
 
@@ -176,43 +177,66 @@ def _pairs_linked(num: int, den: int):
     return run
 
 
+def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[dict]]]:
+    """Both blocks of each cell, or the only one; the rows of a cell lie together, in one batch or in two."""
+    cell, sides = None, []
+    for batch in batches:
+        for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
+            this = row["left_block"], row["right_block"]
+            if this != cell:
+                if sides:
+                    yield sides
+                cell, sides = this, []
+            sides.append(row["members"])
+    if sides:
+        yield sides
+
+
 def _cell(num: int, den: int, steps):
     """Links between two blocks of classes that connect what was not connected."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
-                same = row["left_block"] == row["right_block"]
-                sides = [row["left"], row["left"] if same else row["right"]]
-                signatures = [np.frombuffer(b"".join(m["signature"] for m in side), np.uint32).reshape(-1, MINIMA)
-                              for side in sides]
-                keys = [band_keys(s) for s in signatures]
-                sizes = [np.array([len(m["shingles"]) // 8 for m in side]) for side in sides]
-                meet = np.zeros((len(sides[0]), len(sides[1])), dtype=bool)
-                for k in range(BANDS):
-                    meet |= keys[0][:, k, None] == keys[1][None, :, k]
-                small, large = np.minimum.outer(*sizes), np.maximum.outer(*sizes)
-                meet &= den * small >= num * large
-                i, j = np.nonzero(np.triu(meet, 1) if same else meet)
-                alive = probable(signatures[0][i], signatures[1][j], steps)
-                known = Forest()
-                found = []
-                for a, b in zip(i[alive].tolist(), j[alive].tolist()):
-                    left, right = sides[0][a], sides[1][b]
-                    if known.apart(left["label"], right["label"]) and linked(
-                            np.frombuffer(left["shingles"], _U), np.frombuffer(right["shingles"], _U), num, den):
-                        known.join(left["label"], right["label"])
-                        found.append((left["digest"], right["digest"]))
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["u", "v"])
+        for sides in _sides(batches):
+            same = len(sides) == 1
+            sides = [sides[0], sides[-1]]
+            signatures = [np.frombuffer(b"".join(m["signature"] for m in side), np.uint32).reshape(-1, MINIMA)
+                          for side in sides]
+            keys = [band_keys(s) for s in signatures]
+            sizes = [np.array([len(m["shingles"]) // 8 for m in side]) for side in sides]
+            meet = np.zeros((len(sides[0]), len(sides[1])), dtype=bool)
+            for k in range(BANDS):
+                meet |= keys[0][:, k, None] == keys[1][None, :, k]
+            small, large = np.minimum.outer(*sizes), np.maximum.outer(*sizes)
+            meet &= den * small >= num * large
+            i, j = np.nonzero(np.triu(meet, 1) if same else meet)
+            alive = probable(signatures[0][i], signatures[1][j], steps)
+            known = Forest()
+            found = []
+            for a, b in zip(i[alive].tolist(), j[alive].tolist()):
+                left, right = sides[0][a], sides[1][b]
+                if known.apart(left["label"], right["label"]) and linked(
+                        np.frombuffer(left["shingles"], _U), np.frombuffer(right["shingles"], _U), num, den):
+                    known.join(left["label"], right["label"])
+                    found.append((left["digest"], right["digest"]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["u", "v"])
     return run
 
 
 def _against(some: DataFrame, table: DataFrame, value: str) -> DataFrame:
-    """Pairs (u, v) with both sides' ``value`` as left and right; a few v may stand in many pairs."""
-    counts = write_scratch(some.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "pairs-of-v")
-    left = table.select(F.col("digest").alias("u"), F.col(value).alias("left"))
-    right = table.select(F.col("digest").alias("v"), F.col(value).alias("right"))
-    return join_skewed(some.join(left, "u"), right, "v", counts, parts=100)
+    """Stored pairs (u, v) with both sides' ``value`` as left and right.
+
+    A few v may stand in many pairs: one of more than a ``PARTS``-th of all
+    pairs gets as many rows on the right, each of which meets a part of them.
+    """
+    total = some.count()                         # from the files' footers
+    many = some.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * PARTS > F.lit(total)).collect()   # below PARTS
+    cuts = F.broadcast(some.sparkSession.createDataFrame([(r.v, -(-r.n * PARTS // total)) for r in many], "v long, cuts int"))
+    n = F.coalesce("cuts", F.lit(1))
+    left = some.join(table.select(F.col("digest").alias("u"), F.col(value).alias("left")), "u") \
+        .join(cuts, "v", "left").withColumn("part", F.pmod(F.xxhash64("u"), n).cast("int")).drop("cuts")
+    right = table.select(F.col("digest").alias("v"), F.col(value).alias("right")) \
+        .join(cuts, "v", "left").withColumn("part", F.explode(F.sequence(F.lit(0), n - 1))).drop("cuts")
+    return left.join(right, ["v", "part"]).drop("part")
 
 
 def _hub_pairs(shared: DataFrame, classes: DataFrame, steps) -> DataFrame:
@@ -245,14 +269,19 @@ def _rest_links(entries: DataFrame, labels: DataFrame, sets: DataFrame, num: int
                                              F.pmod(F.xxhash64("digest"), "blocks")).alias("block")), "blocks")
     held = write_scratch(open_entries.select("key", "digest").join(placed.select("digest", "block", "own"), "digest")
                          .select("key", "block", "own").distinct(), "blocks-of-keys")
-    payload = write_scratch(placed.join(sets, "digest").groupBy("block").agg(
-        F.collect_list(F.struct("digest", "label", "signature", "shingles")).alias("members"), F.first("own").alias("own")), "members")
-    apart = block_pairs(held, "own").filter("left_own is null or right_own is null or left_own <> right_own")
-    pairs = apart.select("left_block", "right_block").distinct().unionByName(payload.filter("own is null").select(
-        F.col("block").alias("left_block"), F.col("block").alias("right_block")))
-    met = pairs.join(payload.select(F.col("block").alias("left_block"), F.col("members").alias("left")), "left_block").join(
-        payload.select(F.col("block").alias("right_block"), F.col("members").alias("right")), "right_block")
-    return write_scratch(met.mapInArrow(_cell(num, den, steps), "u long, v long"), "rest-links")
+    pairs = block_pairs(held, "own").filter("left_own is null or right_own is null or left_own <> right_own") \
+        .select("left_block", "right_block").distinct().unionByName(placed.filter("own is null").select(
+            F.col("block").alias("left_block"), F.col("block").alias("right_block")).distinct())
+    cells = pairs.select(F.explode(F.array_distinct(F.array("left_block", "right_block"))).alias("block"),
+                         F.struct("left_block", "right_block").alias("cell"))
+    # Each block is put together once, where the list of its cells is, and goes from there to all of them.
+    members = placed.join(sets, "digest").groupBy("block").agg(
+        F.collect_list(F.struct("digest", "label", "signature", "shingles")).alias("members"))
+    dealt = members.join(cells.groupBy("block").agg(F.collect_list("cell").alias("cells")).hint("shuffle_merge"), "block") \
+        .select(F.inline("cells"), "block", "members")
+    met = dealt.repartition("left_block", "right_block").sortWithinPartitions("left_block", "right_block", "block")
+    return write_scratch(met.select("left_block", "right_block", "members").mapInArrow(_cell(num, den, steps), "u long, v long"),
+                         "rest-links")
 
 
 def minhash_dedup(docs: DataFrame, width: int = 3, num: int = 85, den: int = 100) -> DataFrame:
@@ -293,7 +322,7 @@ def minhash_dedup(docs: DataFrame, width: int = 3, num: int = 85, den: int = 100
     sets = write_scratch(map_slices(texts, _sets(width, Filter(counted, "digest")), "digest long, signature binary, shingles binary", limit=SLICE)
                          .join(counted, "digest").dropDuplicates(["digest"]), "sets")
     links = write_scratch(_against(probable, sets, "shingles").mapInArrow(_pairs_linked(num, den), "u long, v long"), "hub-links")
-    labels = write_scratch(links.groupBy(F.col("u").alias("digest")).agg(F.min("v").alias("root")), "labels")
+    labels = links.groupBy(F.col("u").alias("digest")).agg(F.min("v").alias("root"))
     rest = _rest_links(shared.filter("several").select("key", "digest", "hub"), labels, sets, num, den, steps)
     reached = components(links.unionByName(rest))
 
