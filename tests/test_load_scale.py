@@ -1,6 +1,7 @@
 """What the load, the visits and the stored summaries move and keep."""
 
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -10,6 +11,9 @@ from tillroll import registry
 from tillroll.operators import clean as C
 from tillroll.plans.materialize import StoredDrop
 from tillroll.plans.summaries import month_visits
+from tillroll.session import write_table
+from tillroll.sources.ledger import listing
+from tillroll.sources.sinks import by_day, by_range
 from tillroll.sources.tables import raw_first_copies, raw_sales
 
 TABLES = {
@@ -91,3 +95,35 @@ def test_a_drop_is_written_without_a_raw_table(spark, star, key):
     columns = ["order_id", "order_date", "sku_id", "quantity", "salesperson", "return_flag"]
     known = "order_id is not null"       # rows without one are copies of each other, also over days: the first is by file
     assert got.count() > 50 and _bag(got.filter(known).select(columns)) == _bag(want.filter(known).select(columns))
+
+
+@pytest.mark.parametrize("deal, exchange", [(by_day, "REBALANCE_PARTITIONS_BY_COL"), (by_range, "Exchange rangepartitioning")])
+def test_columns_that_follow_from_others_are_made_behind_the_last_shuffle(spark, star, deal, exchange):
+    rows = raw_sales(spark, star, deal)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("ORD-") < plan.index(exchange) and plan.index("n_name") < plan.index(exchange)
+    assert exchange in plan and _bag(rows) == _bag(raw_sales(spark, star))
+
+
+def test_a_drop_of_the_tables_is_compressed(spark, star):
+    drop = registry.load(spark, star)
+    path = registry._drop_dir(drop)
+    files = [r.file for r in listing(spark, path).collect()]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    text = spark.read.option("header", True).csv(path, recursiveFileLookup=True)
+    assert text.count() == raw_sales(spark, star).count() and text.columns == [c for c in drop.rows.columns if c != "row_seq"]
+
+
+def test_shuffle_files_of_a_finished_write_are_removed(spark, tmp_path):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = blocks.getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+    before = shuffled()
+    write_table(spark.range(20_000).repartition(7, "id"), f"{tmp_path}/table")
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.read.parquet(f"{tmp_path}/table").count() == 20_000

@@ -21,10 +21,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.session import remove_scratch, scratch_path
+from tillroll.session import remove_scratch, scratch_path, shuffle_files_removed
 
 SLICE_BYTES = 8 << 20        # text handled at once by one task
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -50,17 +49,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-@contextmanager
-def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of a finished write are not needed again; Spark removes them."""
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(CLEANUP, before)
-
-
 @contextmanager
 def arrow_bytes(spark: SparkSession, limit: int) -> Iterator[None]:
     """Writes within hand about ``limit`` bytes at once to a worker (one row at least): executor and worker hold a batch each."""
@@ -76,7 +64,7 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared folder and read it back: lineage ends here."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with _shuffle_files_removed(spark):
+    with shuffle_files_removed(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

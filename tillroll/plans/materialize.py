@@ -33,11 +33,11 @@ from tillroll.operators import clean as C
 from tillroll.operators.questions import targets_dim
 from tillroll.plans.summaries import Summaries
 from tillroll.plans.versions import Store
-from tillroll.schema import FIXTURE_PARAMS, RAW_SCHEMA, Params
-from tillroll.session import scratch_path
+from tillroll.schema import FIXTURE_PARAMS, RAW_SCHEMA, ROW_SEQ, Params
+from tillroll.session import scratch_path, write_table
 from tillroll.sources.daily_csv import read_daily_drop
-from tillroll.sources.sinks import clustered
-from tillroll.sources.tables import raw_first_copies, raw_sales, table_path
+from tillroll.sources.sinks import by_day, clustered
+from tillroll.sources.tables import Deal, raw_first_copies, raw_sales, table_path
 from tillroll.workspace import Drop
 
 _LOADS: dict[tuple, Drop] = {}
@@ -53,11 +53,12 @@ class StoredDrop(Drop):
     """
 
     def __init__(self, spark: SparkSession, source: Callable[[], DataFrame], store: str, params: Params = Params(),
-                 first_source: Callable[[], DataFrame] | None = None):
+                 first_source: Callable[[], DataFrame] | None = None, dealt_source: Callable[[Deal], DataFrame] | None = None):
         super().__init__(spark, None, params)
         del self.__dict__["raw"]
         self.source = source
         self.first_source = first_source
+        self.dealt_source = dealt_source
         self.store = store.rstrip("/")
 
     def _read(self, name: str) -> DataFrame:
@@ -66,7 +67,7 @@ class StoredDrop(Drop):
     @cached_property
     def raw(self) -> DataFrame:
         with _LOCK:
-            clustered(self.source()).write.mode("overwrite").parquet(f"{self.store}/sales")
+            write_table(clustered(self.dealt(by_day), dealt=True), f"{self.store}/sales", "overwrite")
             return self._read("sales")
 
     @cached_property
@@ -74,7 +75,7 @@ class StoredDrop(Drop):
         with _LOCK:
             stored = "raw" in self.__dict__ or self.first_source is None
             firsts = C.first_copies(self.raw) if stored else self.first_source()
-            firsts.write.mode("overwrite").parquet(f"{self.store}/firsts")
+            write_table(firsts, f"{self.store}/firsts", "overwrite")
             return self._read("firsts")
 
     @property
@@ -82,10 +83,16 @@ class StoredDrop(Drop):
         """The raw rows for one pass: the stored table if there is one, else straight from the star tables."""
         return self.raw if "raw" in self.__dict__ or self.first_source is None else self.source()
 
+    def dealt(self, deal: Deal) -> DataFrame:
+        """The raw rows dealt to tasks by ``deal``; straight from the star tables, before columns that follow from others are made."""
+        if "raw" in self.__dict__:
+            return deal(self.raw, [ROW_SEQ])
+        return deal(self.source(), [ROW_SEQ]) if self.dealt_source is None else self.dealt_source(deal)
+
     @cached_property
     def targets(self) -> DataFrame:
         with _LOCK:
-            targets_dim(self.rows, self.params.weekly_target).write.mode("overwrite").parquet(f"{self.store}/targets")
+            write_table(targets_dim(self.rows, self.params.weekly_target), f"{self.store}/targets", "overwrite")
             return self._read("targets")
 
     @cached_property
@@ -133,7 +140,7 @@ def load(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> S
     with _LOCK:
         if key not in _LOADS:
             _LOADS[key] = StoredDrop(spark, lambda: raw_sales(spark, sf_dir), scratch_path(spark, "load"), params,
-                                     lambda: raw_first_copies(spark, sf_dir))
+                                     lambda: raw_first_copies(spark, sf_dir), lambda deal: raw_sales(spark, sf_dir, deal))
         return _LOADS[key]
 
 

@@ -16,6 +16,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.session import write_table
+
 KEEP = 2                         # versions whose folders ``clean`` leaves in place
 
 
@@ -86,7 +88,7 @@ class Store:
     def replace(self, table: str, df: DataFrame, commit: str | None = None) -> str:
         """Write ``df`` as the table's next version and switch to it; its folder."""
         folder = self.new_folder(table)
-        df.write.parquet(folder)
+        write_table(df, folder)
         self.commit({table: folder}, commit)
         return folder
 

@@ -26,7 +26,7 @@ from tillroll.schema import ROW_SEQ, SALES_COLUMNS
 from tillroll.session import scratch_path, stable_path
 from tillroll.sources.daily_csv import read_daily_drop
 from tillroll.sources.lines import DIALECT
-from tillroll.sources.sinks import write_clean_csv, write_daily_drop, write_raw_table
+from tillroll.sources.sinks import by_range, write_clean_csv, write_daily_drop, write_raw_table
 from tillroll.streaming.firsts import FirstCopies
 from tillroll.streaming.increments import ingest_available
 from tillroll.workspace import Drop, as_output
@@ -271,10 +271,11 @@ _WRITTEN: set[str] = set()
 def _drop_dir(d: Drop) -> str:
     """The raw rows written once as a CSV drop in the shared folder: an
     input of the CSV keys, like a landing zone (one per loaded Drop).  They
-    need no raw table for it, which would shuffle and write all rows once more."""
+    need no raw table for it, which would shuffle and write all rows once more.
+    Its files are compressed: as plain text they are the largest thing on disk."""
     path = stable_path(d.spark, f"drop-{d.key}")
     if path not in _WRITTEN:
-        write_daily_drop(d.rows, path)
+        write_daily_drop(d.dealt(by_range), path, dealt=True, compression="gzip")
         _WRITTEN.add(path)
     return path
 

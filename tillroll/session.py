@@ -7,8 +7,10 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every tillroll job relies on.  AQE re-plans joins from runtime
 # sizes, coalesces small shuffle partitions and splits skewed join partitions.
@@ -30,6 +32,8 @@ DEFAULT_CONF = {
 }
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _ROOTS: set[str] = set()
 
 
@@ -103,6 +107,24 @@ def stable_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}"
 
 
+@contextmanager
+def shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a finished write are not needed again; Spark removes them."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def write_table(df: DataFrame, path: str, mode: str = "error", by: list[str] | None = None) -> None:
+    """Write ``df`` as a parquet table of ours: zstd, and its shuffle files go when it is written."""
+    writer = df.write.mode(mode).option("compression", "zstd")
+    with shuffle_files_removed(df.sparkSession):
+        (writer.partitionBy(*by) if by else writer).parquet(path)
+
+
 def local_path(uri: str) -> str:
     """Strip a ``file:`` scheme (for tests that inspect written files)."""
     if uri.startswith("file:"):

@@ -7,13 +7,16 @@ supplier and part grow with the scale factor, so the join strategy for them
 is left to Catalyst and AQE, which broadcast only below
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffle-join.
 
-Customers join the orders, which are fewer than their lines; the lines meet
-the narrower dimension first and their orders last, so that all lines of an
+Customers join the orders, which are fewer than their lines; nation and region
+join last, where no shuffle follows; the lines meet the narrower dimension first
+and their orders last, so that all lines of an
 order lie together and their first copies are found without a further shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,9 @@ FIRST_COPY_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity",
                     "l_linestatus"]
 
 
+Deal = Callable[[DataFrame, list[str]], DataFrame]
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -36,10 +42,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def _joined(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
-    """Rows of lineitem with the columns of their order, customer, place, supplier and part."""
+def _joined(spark: SparkSession, sf_dir: str, lines: DataFrame, deal: Deal | None = None) -> DataFrame:
+    """Rows of lineitem with the columns of their order, customer, place, supplier and part, and ``order_date``.
+
+    Rows are dealt by ``deal`` before the place, a fixed-size table, joins them.
+    """
     orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+        "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("order_date"), "o_orderpriority")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -50,11 +59,14 @@ def _joined(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
     geo = (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
            .select("n_nationkey", "n_name", "r_name"))
 
-    placed = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-              .join(F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey))
-    return (lines.join(supplier, lines.l_suppkey == supplier.s_suppkey)
-            .join(part, F.col("l_partkey") == part.p_partkey)
-            .join(placed, F.col("l_orderkey") == F.col("o_orderkey")))
+    placed = orders.join(customer, orders.o_custkey == customer.c_custkey).drop("c_custkey")
+    found = (lines.join(supplier, lines.l_suppkey == supplier.s_suppkey)
+             .join(part, F.col("l_partkey") == part.p_partkey)
+             .withColumn("l_partkey", F.col("p_partkey")).drop("p_partkey")
+             .join(placed, F.col("l_orderkey") == F.col("o_orderkey")))
+    if deal is not None:
+        found = deal(found, FIRST_COPY_ORDER)
+    return found.join(F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey)
 
 
 def _return_flag() -> Column:
@@ -67,18 +79,18 @@ def _order_lines(joined: DataFrame, *more: str) -> DataFrame:
     return joined.select(
         F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("order_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
+        "order_date",
         # the tables have no time of day: a fixed one per order line
         F.format_string("%02d:%02d:%02d", F.floor(second / 3600), F.floor(second / 60) % 60, second % 60)
          .alias("order_time"),
         F.col("o_custkey").alias("customer_id"),
-        F.when(F.col("c_custkey") % 50 == 0, F.lit("")).otherwise(F.col("c_name")).alias("customer_name"),
+        F.when(F.col("o_custkey") % 50 == 0, F.lit("")).otherwise(F.col("c_name")).alias("customer_name"),
         F.when(F.col("l_partkey") % 100 == 7, F.lit("")).otherwise(F.col("r_name")).alias("region"),
         F.col("n_name").alias("city"),
         F.col("s_name").alias("salesperson"),
         F.col("p_type").alias("category"),
         F.col("p_name").alias("product_name"),
-        F.col("p_partkey").alias("sku_id"),
+        F.col("l_partkey").alias("sku_id"),
         F.when((F.col("l_partkey") + F.col("l_suppkey")) % 100 == 3, -qty)
          .otherwise(qty).cast("int").alias("quantity"),
         F.col("p_retailprice").cast(PRICE).alias("unit_price"),
@@ -91,9 +103,13 @@ def _order_lines(joined: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw order line per lineitem row, plus the hidden ``row_seq``."""
-    return _order_lines(_joined(spark, sf_dir, read_table(spark, sf_dir, "lineitem")))
+def raw_sales(spark: SparkSession, sf_dir: str, deal: Deal | None = None) -> DataFrame:
+    """One raw order line per lineitem row, plus the hidden ``row_seq``.
+
+    ``deal`` (rows, columns of their place) deals rows to tasks by ``order_date``
+    and place; the columns that follow from others are made behind it.
+    """
+    return _order_lines(_joined(spark, sf_dir, read_table(spark, sf_dir, "lineitem"), deal))
 
 
 def raw_first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import clean as C
 from tillroll.operators.questions import targets_dim
-from tillroll.schema import FIXTURE_PARAMS, Params
-from tillroll.sources.tables import raw_sales
+from tillroll.schema import FIXTURE_PARAMS, ROW_SEQ, Params
+from tillroll.sources.tables import Deal, raw_sales
 
 
 class Drop:
@@ -32,6 +32,10 @@ class Drop:
         """The raw rows for one pass over them."""
         return self.raw
 
+    def dealt(self, deal: Deal) -> DataFrame:
+        """The raw rows dealt to tasks by ``deal``."""
+        return deal(self.rows, [ROW_SEQ])
+
     @cached_property
     def firsts(self) -> DataFrame:
         """The rows that the two cleaning orders need (``clean.first_copies``)."""
