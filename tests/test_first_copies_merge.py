@@ -5,9 +5,12 @@ import random
 import tempfile
 from datetime import date
 
+import pytest
+
 from tests.fixtures import make_raw
 from tests.test_sources import _row, _write
 from tillroll.operators import clean as C
+from tillroll.streaming import firsts as firsts_module
 from tillroll.streaming.firsts import FirstCopies
 from tillroll.streaming.increments import ingest_available, new_files, read_ingested
 
@@ -75,3 +78,57 @@ def test_stream_reads_names_only_and_merges(spark):
     assert ranges == {f"sales_2026_06_{k}.csv": 2 for k in (23, 24, 25)}
     listed = new_files(spark, drop)
     assert listed.isStreaming and listed.columns == ["file", "length", "modified"]
+
+
+def _odd(spark, folder):
+    """Stored rows: a hot id, many without one, others with a few copies."""
+    rng = random.Random(3)
+    rows = [(rng.choice(["HOT", None, *(f"O{k}" for k in range(80))] if q % 2 else ["HOT", None]),
+             rng.choice(["No", "No", "Yes", None, "?"]), q) for q in range(600)]
+    rng.shuffle(rows)
+    _raw(spark, rows).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def test_a_merge_shuffles_rows_once(spark):
+    merged = FirstCopies(spark, _folder(), buckets=5)
+    plan = merged._first_copies(_odd(spark, _folder() + "/odd"))._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[0]
+    assert plan.count("Exchange ") == 1 and "Exchange rangepartitioning(_bucket" in plan
+
+
+@pytest.mark.parametrize("least", [4, 100, 10_000])
+def test_hot_ids_are_cut_before_the_shuffle(spark, monkeypatch, least):
+    monkeypatch.setattr(firsts_module, "HOT_ROWS", least)
+    rows = _odd(spark, _folder() + "/odd")
+    cut = firsts_module._without_hot_copies(rows)
+    most = max(r["count"] for r in cut.groupBy("order_id").count().collect())
+    assert most <= max(least, 4) or least == 10_000 and most > 100          # 4: a copy of each flag
+    merged = FirstCopies(spark, _folder(), buckets=5)
+    merged.merge(rows, "one")
+    want = C.first_copies(rows)
+    assert sorted(map(repr, merged.read().select(want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+@pytest.mark.parametrize("only", [[None], ["HOT"]])
+def test_a_single_hot_id_is_cut(spark, monkeypatch, only):
+    monkeypatch.setattr(firsts_module, "HOT_ROWS", 50)
+    folder = _folder() + "/one"
+    _raw(spark, [(only[0] if q % 3 else f"O{q}", "Yes" if q < 5 else "No", q) for q in range(300)]).write.parquet(folder)
+    cut = firsts_module._without_hot_copies(spark.read.parquet(folder))
+    assert cut.count() == 100 + 2 and _rows(C.first_copies(cut)) == _rows(C.first_copies(spark.read.parquet(folder)))
+
+
+def test_lines_are_not_shuffled_by_their_file(spark):
+    from tests.test_sources import _mixed_drop
+    from tillroll.schema import RAW_SCHEMA
+    from tillroll.sources.daily_csv import rows_of_lines, stored_lines
+    drop = _mixed_drop()
+    files = [os.path.join(drop, f) for f in sorted(os.listdir(drop))]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = rows_of_lines(stored_lines(spark, files, os.path.join(_folder(), "lines")), RAW_SCHEMA)
+        plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan and rows.count() == 3

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.schema import DROP_MONTH, NULL_TOKENS, RAW_SCHEMA, ROW_SEQ
-from tillroll.session import scratch_path, stable_path
+from tillroll.session import scratch_path, stable_path, write_table
 from tillroll.sources.ledger import CSV_FILES, Ledger, columns_of, is_glob, listing, readable
 from tillroll.sources.lines import DIALECT, end_states, is_blank, joined_lines, read_lines, whole_lines
 
@@ -89,7 +89,7 @@ def _picked(fields: DataFrame, width: int, forms: dict[str | None, list[str]], s
     every = F.array(*[F.col(f"p{k}") for k in range(width)])
     text = [F.when(F.col("places")[k].isNotNull(), F.element_at(every, F.coalesce(F.col("places")[k], F.lit(1)))).alias(n)
             for k, n in enumerate(schema.names)]
-    return fields.join(of_file, "file").select("file", "block", "pos", F.struct(*text).alias("t"))
+    return fields.join(F.broadcast(of_file), "file").select("file", "block", "pos", F.struct(*text).alias("t"))
 
 
 def _width(forms: dict[str | None, list[str]]) -> int:
@@ -140,7 +140,7 @@ def rows_of_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     if not first:
         return no_rows(spark, schema)
     places = spark.createDataFrame([(f, *p) for f, p in first.items()], "file string, first_block long, first_pos long")
-    placed = records.join(places, "file")
+    placed = records.join(F.broadcast(places), "file")                                   # a row per file: lines stay where they are
     is_header = (F.col("block") == F.col("first_block")) & (F.col("pos") == F.col("first_pos"))
     forms: dict[str | None, list[str]] = {}
     for r in placed.filter(is_header).select("file", "record").collect():                # a row per file
@@ -154,7 +154,7 @@ def rows_of_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
 
 def stored_lines(spark: SparkSession, files: list[str], keep: str) -> DataFrame:
     """The lines of files, read once and stored with their end states at ``keep``."""
-    end_states(read_lines(spark, files)).write.mode("overwrite").parquet(keep)
+    write_table(end_states(read_lines(spark, files)), keep, "overwrite")
     return spark.read.parquet(keep)
 
 

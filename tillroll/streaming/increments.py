@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.plans.summaries import Summaries
 from tillroll.schema import RAW_SCHEMA, ROW_SEQ
-from tillroll.session import remove_scratch, scratch_path
+from tillroll.session import remove_scratch, scratch_path, write_table
 from tillroll.sources.daily_csv import rows_of_lines, stored_lines
 from tillroll.sources.ledger import CSV_FILES, Ledger, named, readable
 from tillroll.streaming.firsts import FirstCopies
@@ -50,7 +50,7 @@ def _append_batch(table_dir: str, schema: T.StructType, checkpoint: str, firsts:
             return
         spark, keep = batch.sparkSession, scratch_path(batch.sparkSession, "lines")
         folder = f"{table_dir}/batch={epoch_id:010d}"
-        rows_of_lines(stored_lines(spark, files, keep), schema).write.mode("overwrite").parquet(folder)
+        write_table(rows_of_lines(stored_lines(spark, files, keep), schema), folder, "overwrite")
         remove_scratch(spark, keep)
         rows = spark.read.parquet(folder)
         if firsts is not None:
