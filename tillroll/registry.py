@@ -99,7 +99,7 @@ def _raw_out(df: DataFrame) -> DataFrame:
 register("dataset_overview", ODQ.ORACLE["dataset_overview"])(
     lambda d: DQ.dataset_overview(d.raw))
 register("column_profile", ODQ.ORACLE["column_profile"])(lambda d: DQ.column_profile(d.raw))
-register("preview_head", ODQ.ORACLE["preview_head"])(lambda d: as_output(DQ.preview_head(d.raw)))
+register("preview_head", ODQ.ORACLE["preview_head"])(lambda d: as_output(DQ.preview_head(d.rows)))
 register("dq_report", ODQ.ORACLE["dq_report"])(lambda d: DQ.dq_report(d.raw))
 for _issue in ["missing_names", "missing_region", "negative_qty", "duplicates", "returns"]:
     register(f"dq_{_issue}", ODQ.ORACLE[f"dq_{_issue}"])(
