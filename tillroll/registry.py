@@ -26,7 +26,7 @@ from tillroll.schema import ROW_SEQ, SALES_COLUMNS
 from tillroll.session import scratch_path, stable_path
 from tillroll.sources.daily_csv import read_daily_drop
 from tillroll.sources.lines import DIALECT
-from tillroll.sources.sinks import by_range, write_clean_csv, write_daily_drop, write_raw_table
+from tillroll.sources.sinks import by_day, by_range, write_clean_csv, write_daily_drop, write_raw_table
 from tillroll.streaming.firsts import FirstCopies
 from tillroll.streaming.increments import ingest_available
 from tillroll.workspace import Drop, as_output
@@ -298,7 +298,7 @@ def _csv_sales_clean(d: Drop) -> DataFrame:
 
 @register("write_raw_table", OIO.ORACLE["write_raw_table"])
 def _write_raw(d: Drop) -> DataFrame:
-    path = write_raw_table(d.raw, stable_path(d.spark, f"sales-{d.key}"))
+    path = write_raw_table(d.dealt(by_day), stable_path(d.spark, f"sales-{d.key}"), dealt=True)
     return _raw_out(d.spark.read.parquet(path))
 
 
