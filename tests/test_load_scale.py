@@ -99,7 +99,7 @@ def test_a_drop_is_written_without_a_raw_table(spark, star, key):
     assert got.count() > 50 and _bag(got.filter(known).select(columns)) == _bag(want.filter(known).select(columns))
 
 
-@pytest.mark.parametrize("key", ["preview_head", "fill_defaults", "write_raw_table"])
+@pytest.mark.parametrize("key", ["preview_head", "fill_defaults", "abs_quantity", "write_raw_table"])
 def test_one_pass_over_the_raw_rows_needs_no_stored_ones(spark, star, key):
     got = registry.QUERIES[key](spark, star)
     drop = registry.load(spark, star)

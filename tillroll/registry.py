@@ -110,7 +110,7 @@ register("dq_rows_removed", ODQ.ORACLE["dq_rows_removed"])(
 # --- 2.3: row-level cleaning steps ------------------------------------------------
 
 register("fill_defaults", ODQ.ORACLE["fill_defaults"])(lambda d: _raw_out(C.fill_defaults(d.rows)))
-register("abs_quantity", ODQ.ORACLE["abs_quantity"])(lambda d: _raw_out(C.abs_quantity(d.raw)))
+register("abs_quantity", ODQ.ORACLE["abs_quantity"])(lambda d: _raw_out(C.abs_quantity(d.rows)))
 register("derive_revenue", ODQ.ORACLE["derive_revenue"])(
     lambda d: _raw_out(C.derive_revenue(C.abs_quantity(C.fill_defaults(d.raw)))))
 register("derive_gross_discount", ODQ.ORACLE["derive_gross_discount"])(
